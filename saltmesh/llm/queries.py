@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .best_fit import op6_best_fit
 from .license_scan import op4_license_scan
 from .media_columns import op7_media_columns
 from .piece_bpe import op8_piece_bpe
@@ -14,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op4_license_scan,
+        op6_best_fit,
         op7_media_columns,
         op8_piece_bpe,
     )
