@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .best_fit import op6_best_fit
 from .license_scan import op4_license_scan
 from .media_columns import op7_media_columns
+from .multi_index import op3_multi_index
 from .piece_bpe import op8_piece_bpe
+from .warc import op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_warc,
+        op3_multi_index,
         op4_license_scan,
         op6_best_fit,
         op7_media_columns,
