@@ -10,6 +10,7 @@ from .best_fit import op6_best_fit
 from .license_scan import op4_license_scan
 from .media_columns import op7_media_columns
 from .multi_index import op3_multi_index
+from .ngram_join import op9_ngram_join
 from .piece_bpe import op8_piece_bpe
 from .warc import op1_warc
 
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_best_fit,
         op7_media_columns,
         op8_piece_bpe,
+        op9_ngram_join,
     )
 }
 
