@@ -12,6 +12,7 @@ from .media_columns import op7_media_columns
 from .multi_index import op3_multi_index
 from .ngram_join import op9_ngram_join
 from .piece_bpe import op8_piece_bpe
+from .suffix_dedup import op10_suffix_dedup
 from .warc import op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_media_columns,
         op8_piece_bpe,
         op9_ngram_join,
+        op10_suffix_dedup,
     )
 }
 
