@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .best_fit import op6_best_fit
+from .language_crf import op2_language_crf
 from .license_scan import op4_license_scan
 from .media_columns import op7_media_columns
 from .multi_index import op3_multi_index
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc,
+        op2_language_crf,
         op3_multi_index,
         op4_license_scan,
         op6_best_fit,
