@@ -311,6 +311,12 @@ def accepted() -> Column:
     return (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
 
 
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs whose language is accepted, with their columns."""
+    found = label_documents(docs, train(docs), keep=docs.columns).where(accepted())
+    return found.select(*(F.col(f"x_{k}").alias(c) for k, c in enumerate(docs.columns)))
+
+
 def op2_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = label_documents(docs, train(docs))

@@ -13,6 +13,7 @@ from .media_columns import op7_media_columns
 from .multi_index import op3_multi_index
 from .ngram_join import op9_ngram_join
 from .piece_bpe import op8_piece_bpe
+from .quality_bayes import op5_quality_bayes
 from .suffix_dedup import op10_suffix_dedup
 from .warc import op1_warc
 
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_crf,
         op3_multi_index,
         op4_license_scan,
+        op5_quality_bayes,
         op6_best_fit,
         op7_media_columns,
         op8_piece_bpe,

@@ -362,7 +362,7 @@ def covered(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, extra: list[str] | None = None) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, and the columns named in extra); kept is the remaining bytes as text, broken characters as U+FFFD."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, and the columns named in extra); kept is the remaining bytes as text, without characters that lost a byte."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     kept_cols = [F.col(c).alias(f"x_{k}") for k, c in enumerate(extra or [])]
@@ -382,7 +382,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 removed.append(len(data) - len(left))
                 runs.append(len(gone))
                 sha.append(hashlib.sha256(left).hexdigest())
-                kept.append(left.decode(errors="replace"))
+                kept.append(left.decode(errors="ignore"))
             others = [batch.column(f"x_{k}") for k in range(len(extra or []))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string()), *others], names)
 
@@ -393,5 +393,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return joined.mapInArrow(cut, schema).withColumnsRenamed({f"x_{k}": c for k, c in enumerate(extra or [])})
 
 
+def thinned_documents(docs: DataFrame) -> DataFrame:
+    """docs with repeated bytes removed from text, and n_chars of what is left; other columns stay."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    out = remove_repeats(docs, extra=others).withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("long"))
+    return out.select(*docs.columns)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
