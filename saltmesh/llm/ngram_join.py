@@ -8,8 +8,11 @@ is kept: a query that has too few shingles in the union can't link to any member
 are compared by exact intersection sizes.
 
 Blocks are compared within themselves first; then one document of each component crosses to the leading block of a
-shared band (bridges); then every document whose band holds other components visits their blocks. Components are taken
-after each step, so a group of thousands of near copies costs its size and not the square of it.
+shared band (bridges). What is left are documents in bands with several components. Their shingles are counted, and a
+document visits the blocks where its rarest shingles stand among the rarest of a member of a larger component: of two
+linked documents, as many of the rarest as their size leaves room to differ, and one, must have one in common. A passage
+that many documents share thus brings no visits. Components are taken after each step, so a group of thousands of near
+copies costs its size and not the square of it.
 
 Defined results: null or empty text, or one without words, has n_shingles 0 and its own id as component. Fewer than n
 words are one shingle. Rows of the same doc_id are one row each with the same component if their texts link. Extra
@@ -32,7 +35,7 @@ from .shared import free_shuffles, slices, stored, table
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 40, 4
 #: Documents of a block, and visitors that one task compares with it.
-BLOCK = 256
+BLOCK = 128
 #: Candidates up to which their ids are broadcast to the documents (16 bytes each); beyond it the documents are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -204,6 +207,25 @@ def _labelled(ids: DataFrame, labels: DataFrame | None) -> DataFrame:
     return ids.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
+def _visits_by_rare_tokens(docs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """(rep, component, block) for docs (rep, block, component): whom each document has to be compared with, once for each pair, from the smaller component to the larger."""
+    docs = stored(docs, "unsettled")
+    size = docs.groupBy("component").agg(F.count("*").alias("members"))
+    docs = stored(docs.join(size, "component").select("rep", "block", F.struct("members", "component").alias("own")), "unsettled")
+    held = tokens.select("rep", "tokens").join(docs, "rep")
+    entries = held.select("rep", "block", "own", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    often = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    shared = entries.join(often, "token").groupBy("rep", "block", "own", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("list"))
+    # Shingles of one document alone come first in the order and need no rows.
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("list"))
+    first = F.slice("list", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))
+    prefix = stored(shared.select("rep", "block", "own", F.explode(first).alias("t")).select("rep", "block", "own", "t.token"), "rare-tokens")
+    free_shuffles(docs.sparkSession)
+    seats = prefix.groupBy("token", "block").agg(F.max("own").alias("top"))
+    met = prefix.withColumnRenamed("block", "_from").join(seats, "token").where("block <> _from and top > own")
+    return met.select("rep", F.col("own.component").alias("component"), "block").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the smallest doc_id that links reach."""
     spark = docs.sparkSession
@@ -249,10 +271,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             at = placed.join(lead, "key").groupBy("key", "component", "lead").agg(F.min("rep").alias("rep"))
             visits = at.select("rep", "component", F.col("lead").alias("block")).distinct()
         else:
-            # Every document goes to each block where its key stands for another component.
-            at = placed.join(mixed.select("key"), "key")
-            seats = at.select("key", "block", F.col("component").alias("there")).distinct()
-            visits = at.select("key", "rep", "component").join(seats, "key").where("component <> there").select("rep", "component", "block").distinct()
+            visits = _visits_by_rare_tokens(placed.join(mixed.select("key"), "key").select("rep", "block", "component").distinct(), tokens, percent)
         visits = stored(visits.join(blocks.withColumnRenamed("block", "_home"), "rep").where("block <> _home").drop("_home"), "visits")
         if visits.isEmpty():
             continue
