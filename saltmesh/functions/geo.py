@@ -111,7 +111,7 @@ def grid_id(lat: Column, lon: Column) -> Column:
 
 
 def triangle_wkt(points: list[tuple[Column, Column]]) -> Column:
-    pair = lambda p: F.concat_ws(" ", F.format_number(p[0], "0.000000"), F.format_number(p[1], "0.000000"))
+    pair = lambda p: F.format_string("%.6f %.6f", p[0], p[1])
     return F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *(pair(p) for p in [*points, points[0]])), F.lit("))"))
 
 

@@ -48,9 +48,9 @@ def _(fx):
     return spatial.grid_index(fx.points).select("cy", "cx", "n_points", faces, "centroid_lat", "centroid_lon")
 
 
-@query("jn_24_cell_members", f"WITH {CELLS} SELECT c.cy, c.cx, p.face, {r6('p.lat')} AS lat FROM cells c JOIN fx_points p ON CAST(floor(p.lat * 100) AS BIGINT) = c.cy AND CAST(floor(p.lon * 100) AS BIGINT) = c.cx WHERE c.n > 1")
+@query("jn_24_cell_members", f"WITH {CELLS} SELECT c.cy, c.cx, p.face, {r6('p.lat')} AS lat FROM cells c JOIN fx_points p ON CAST(floor(p.lat * 100) AS BIGINT) = c.cy AND CAST(floor(p.lon * 100) AS BIGINT) = c.cx")
 def _(fx):
-    cells = spatial.grid_index(fx.points).where("n_points > 1")
+    cells = spatial.grid_index(fx.points)
     return cells.select("cy", "cx", F.explode("points").alias("p")).select("cy", "cx", "p.face", "p.lat")
 
 
@@ -77,7 +77,7 @@ def _(fx):
     return spatial.in_rectangle(spatial.grid_index(fx.points), 59.2, 59.4, -152.6, -152.3, 0.052).select("cy", "cx")
 
 
-SEGMENTS = "seg AS (SELECT s_suppkey AS sid, 591e-1 + (s_suppkey % 7) * 1e-1 AS lat1, -1529e-1 + (s_suppkey % 5) * 1e-1 AS lon1, 593e-1 + (s_suppkey % 5) * 1e-1 AS lat2, -1527e-1 + (s_suppkey % 3) * 1e-1 AS lon2 FROM supplier WHERE s_suppkey < 40)"
+SEGMENTS = "seg AS (SELECT s_suppkey AS sid, 591e-1 + (s_suppkey % 7) * 1e-1 + s_suppkey * 137e-5 AS lat1, -1529e-1 + (s_suppkey % 5) * 1e-1 AS lon1, 593e-1 + (s_suppkey % 5) * 1e-1 AS lat2, -1527e-1 + (s_suppkey % 3) * 1e-1 + s_suppkey * 171e-5 AS lon2 FROM supplier WHERE s_suppkey < 40)"
 ALONG = f"""{CELLS}, {SEGMENTS}, t AS (SELECT s.*, c.cy, c.cx, (c.cx + 5e-1) / 100 AS x, (c.cy + 5e-1) / 100 AS y FROM seg s CROSS JOIN cells c),
     u AS (SELECT *, least(greatest(((x - lon1) * (lon2 - lon1) + (y - lat1) * (lat2 - lat1)) / ((lon2 - lon1) ** 2 + (lat2 - lat1) ** 2), 0e0), 1e0) AS w FROM t),
     v AS (SELECT sid, cy, cx, sqrt((x - lon1 - w * (lon2 - lon1)) ** 2 + (y - lat1 - w * (lat2 - lat1)) ** 2) AS off, sqrt((w * (lon2 - lon1)) ** 2 + (w * (lat2 - lat1)) ** 2) AS along FROM u)"""
@@ -85,7 +85,7 @@ ALONG = f"""{CELLS}, {SEGMENTS}, t AS (SELECT s.*, c.cy, c.cx, (c.cx + 5e-1) / 1
 
 def segments(fx):
     k = F.col("s_suppkey")
-    return fx.table("supplier").where(k < 40).select(k.alias("sid"), (59.1 + (k % 7) * 0.1).alias("lat1"), (-152.9 + (k % 5) * 0.1).alias("lon1"), (59.3 + (k % 5) * 0.1).alias("lat2"), (-152.7 + (k % 3) * 0.1).alias("lon2"))
+    return fx.table("supplier").where(k < 40).select(k.alias("sid"), (59.1 + (k % 7) * 0.1 + k * 0.00137).alias("lat1"), (-152.9 + (k % 5) * 0.1).alias("lon1"), (59.3 + (k % 5) * 0.1).alias("lat2"), (-152.7 + (k % 3) * 0.1 + k * 0.00171).alias("lon2"))
 
 
 @query("jn_11_along_line", f"WITH {ALONG} SELECT sid, cy, cx, {r6('off')} AS off, {r6('along')} AS along FROM v WHERE off <= 213e-4")
@@ -93,7 +93,7 @@ def _(fx):
     return spatial.along_segments(spatial.grid_index(fx.points), segments(fx), 0.0213).select("sid", "cy", "cx", "off", "along")
 
 
-@query("top_2_closest_on_line", f"WITH {ALONG}, n AS (SELECT * FROM v WHERE off <= 213e-4 QUALIFY row_number() OVER (PARTITION BY sid ORDER BY off, cy, cx) <= 4) SELECT sid, cy, cx, {r6('along')} AS along FROM n")
+@query("top_2_closest_on_line", f"WITH {ALONG}, n AS (SELECT * FROM v WHERE off <= 213e-4 QUALIFY row_number() OVER (PARTITION BY sid ORDER BY round(off, 6), cy, cx) <= 4) SELECT sid, cy, cx, {r6('along')} AS along FROM n")
 def _(fx):
     return spatial.along_segments(spatial.grid_index(fx.points), segments(fx), 0.0213, 4).select("sid", "cy", "cx", "along").orderBy("sid", "along")
 
@@ -162,9 +162,10 @@ def _(fx):
     return flags(fx).select("qid", spatial.jurisdiction(F.col("state"), F.col("ts"), F.col("eez"), F.col("cz")).alias("jurisdiction"))
 
 
-@query("flt_37_overlapping_states", f"WITH {INSIDE} SELECT qid, count(*) AS n FROM ins WHERE layer = 'state' GROUP BY qid HAVING count(*) > 1")
+@query("flt_37_overlapping_states", f"WITH {INSIDE} SELECT qid, count(*) AS n FROM ins GROUP BY qid HAVING count(*) > 1")
 def _(fx):
-    p = polygons(fx)
+    """Here every polygon counts as a state."""
+    p = polygons(fx).withColumn("layer", F.lit("state"))
     return spatial.overlapping_states(spatial.containing(located_points(fx), p.select("pid", "ring")), p.select("pid", "layer"))
 
 
@@ -236,7 +237,7 @@ def _(fx):
     edges = summary.boundary_edges(fx.face).withColumn("location", F.lit("site"))
     at = spatial.ring_of_edges(edges).join(fx.node, "node")
     listed = F.array_sort(F.collect_list(F.struct("pos", "lon_node", "lat_node")))
-    text = F.transform(listed, lambda p: F.concat_ws(" ", F.format_number(p["lon_node"], "0.000000"), F.format_number(p["lat_node"], "0.000000")))
+    text = F.transform(listed, lambda p: F.format_string("%.6f %.6f", p["lon_node"], p["lat_node"]))
     out = at.groupBy("location", "ring").agg(text.alias("t"), F.min("lon_node").alias("lon_min"), F.max("lon_node").alias("lon_max"), F.min("lat_node").alias("lat_min"), F.max("lat_node").alias("lat_max"))
     return out.select("location", "ring", F.concat(F.lit("POLYGON (("), F.array_join(F.concat("t", F.slice("t", 1, 1)), ", "), F.lit("))")).alias("wkt"), "lon_min", "lon_max", "lat_min", "lat_max")
 
