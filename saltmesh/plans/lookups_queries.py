@@ -77,7 +77,7 @@ def _(fx):
     return spatial.in_rectangle(spatial.grid_index(fx.points), 59.2, 59.4, -152.6, -152.3, 0.052).select("cy", "cx")
 
 
-SEGMENTS = "seg AS (SELECT s_suppkey AS sid, 591e-1 + (s_suppkey % 7) * 1e-1 + s_suppkey * 137e-5 AS lat1, -1529e-1 + (s_suppkey % 5) * 1e-1 AS lon1, 593e-1 + (s_suppkey % 5) * 1e-1 AS lat2, -1527e-1 + (s_suppkey % 3) * 1e-1 + s_suppkey * 171e-5 AS lon2 FROM supplier WHERE s_suppkey < 40)"
+SEGMENTS = "seg AS (SELECT s_suppkey AS sid, 591e-1 + (s_suppkey % 7) * 1e-1 + (s_suppkey + 1) * 137e-5 AS lat1, -1529e-1 + (s_suppkey % 5) * 1e-1 AS lon1, 593e-1 + (s_suppkey % 5) * 1e-1 AS lat2, -1527e-1 + (s_suppkey % 3) * 1e-1 + (s_suppkey + 1) * 171e-5 AS lon2 FROM supplier WHERE s_suppkey < 40)"
 ALONG = f"""{CELLS}, {SEGMENTS}, t AS (SELECT s.*, c.cy, c.cx, (c.cx + 5e-1) / 100 AS x, (c.cy + 5e-1) / 100 AS y FROM seg s CROSS JOIN cells c),
     u AS (SELECT *, least(greatest(((x - lon1) * (lon2 - lon1) + (y - lat1) * (lat2 - lat1)) / ((lon2 - lon1) ** 2 + (lat2 - lat1) ** 2), 0e0), 1e0) AS w FROM t),
     v AS (SELECT sid, cy, cx, sqrt((x - lon1 - w * (lon2 - lon1)) ** 2 + (y - lat1 - w * (lat2 - lat1)) ** 2) AS off, sqrt((w * (lon2 - lon1)) ** 2 + (w * (lat2 - lat1)) ** 2) AS along FROM u)"""
@@ -85,7 +85,7 @@ ALONG = f"""{CELLS}, {SEGMENTS}, t AS (SELECT s.*, c.cy, c.cx, (c.cx + 5e-1) / 1
 
 def segments(fx):
     k = F.col("s_suppkey")
-    return fx.table("supplier").where(k < 40).select(k.alias("sid"), (59.1 + (k % 7) * 0.1 + k * 0.00137).alias("lat1"), (-152.9 + (k % 5) * 0.1).alias("lon1"), (59.3 + (k % 5) * 0.1).alias("lat2"), (-152.7 + (k % 3) * 0.1 + k * 0.00171).alias("lon2"))
+    return fx.table("supplier").where(k < 40).select(k.alias("sid"), (59.1 + (k % 7) * 0.1 + (k + 1) * 0.00137).alias("lat1"), (-152.9 + (k % 5) * 0.1).alias("lon1"), (59.3 + (k % 5) * 0.1).alias("lat2"), (-152.7 + (k % 3) * 0.1 + (k + 1) * 0.00171).alias("lon2"))
 
 
 @query("jn_11_along_line", f"WITH {ALONG} SELECT sid, cy, cx, {r6('off')} AS off, {r6('along')} AS along FROM v WHERE off <= 213e-4")
