@@ -141,7 +141,8 @@ class LanguageCrf:
             on = np.flatnonzero(real[:, t])
             if not len(on):
                 break
-            new = (transfer[on] @ step) * e[on, t, None, :]
+            moved = transfer[on] @ step if t else np.where((k[on] == 0)[:, None, None], transfer[on], transfer[on] @ step)
+            new = moved * e[on, t, None, :]
             transfer[on] = new / new.sum(axis=(1, 2), keepdims=True)
         flat = np.ones(n_labels)
         before = np.tile(flat, (len(text), 1))
@@ -158,7 +159,9 @@ class LanguageCrf:
         forward = np.empty_like(e)
         message = before
         for t in range(segment):
-            new = (message @ step) * e[:, t]
+            # The first word of a text has no word before it.
+            moved = message @ step if t else np.where((k == 0)[:, None], message, message @ step)
+            new = moved * e[:, t]
             new /= new.sum(axis=1, keepdims=True)
             message = np.where(real[:, t, None], new, message)
             forward[:, t] = message
@@ -182,8 +185,10 @@ class LanguageCrf:
     def predict(self, texts: list[str]) -> list[tuple[str, float, int]]:
         """Language, score and number of label changes of each text."""
         out = []
+        if not self.labels:
+            return [(UNDETERMINED, 0.0, 0)] * len(texts)
         for p in self.label_words(texts):
-            if not len(p) or not self.labels:
+            if not len(p):
                 out.append((UNDETERMINED, 0.0, 0))
                 continue
             mean = p.mean(axis=0)
@@ -202,8 +207,9 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> LanguageCrf:
     truth = np.array([labels.index(x) for x in langs])[text]
     values, counts = np.unique(w.hashes, return_counts=True)
     lexicon = values[counts >= 3]
-    number, owner = features(w.letters, w.start, w.end, w.hashes, lexicon)
-    first = np.searchsorted(owner, np.arange(len(w.start) + 1))
+    _, some, same = np.unique(w.hashes, return_index=True, return_inverse=True)
+    number, owner = features(w.letters, w.start[some], w.end[some], w.hashes[some], lexicon)
+    first = np.searchsorted(owner, np.arange(len(some) + 1))
     rng = np.random.default_rng(seed)
     ends = np.cumsum(w.per_text)
     usable = np.flatnonzero(w.per_text > 0)
@@ -223,7 +229,8 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> LanguageCrf:
     model = LanguageCrf(labels, lexicon, weights, moves)
     for epoch in range(EPOCHS):
         for at in np.array_split(rng.permutation(SEQUENCES), SEQUENCES // BATCH):
-            words = chains[at].ravel()
+            gold = truth[chains[at].ravel()]
+            words = same[chains[at].ravel()]
             count = first[words + 1] - first[words]
             row = np.repeat(np.arange(len(words)), count)
             feats = number[np.repeat(first[words] - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())]
@@ -231,7 +238,6 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> LanguageCrf:
             for k in range(n):
                 score[:, k] = np.bincount(row, weights[feats, k], len(words))
             p, pairs = model._expected(score.reshape(len(at), SEQUENCE_WORDS, n))
-            gold = truth[words]
             p = p.reshape(-1, n)
             p[np.arange(len(words)), gold] -= 1
             grad = np.zeros_like(weights)
@@ -279,11 +285,11 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageCrf:
     """Fitted on at most TRAIN_DOCS documents of each language, and on at most TRAIN_WORDS words from a drawn place of each."""
-    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
+    rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    drawn = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= TRAIN_DOCS)
-    ids = F.broadcast(drawn.select(F.col("id").alias("_id")))
-    sample = rows.join(ids, F.col(id_col) == F.col("_id")).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    drawn = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= TRAIN_DOCS)
+    sample = rows.join(F.broadcast(drawn.select("id").distinct()), "id")
     words = F.split("text", r"\s+")
     at = (F.pmod(F.xxhash64("id"), F.greatest(F.size(words) - TRAIN_WORDS, F.lit(0)) + 1) + 1).cast("int")
     sample = sample.select("id", "lang", F.concat_ws(" ", F.slice(words, at, TRAIN_WORDS)).alias("text")).toPandas().sort_values(["id", "lang", "text"])
@@ -292,18 +298,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def label_documents(docs: DataFrame, model: LanguageCrf, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(doc_id, lang_pred, score, switches) and the columns named in keep; switches counts label changes between neighbouring words."""
-    kept = [F.col(c).alias(f"x_{k}") for k, c in enumerate(keep or [])]
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"), *kept)
+    carried = [f"x_{k}" for k in range(len(keep or []))]
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"), *(F.col(c).alias(x) for c, x in zip(keep or [], carried, strict=True) if c != text_col))
+    # The text crosses to Python once, also where it is to be kept.
+    order = ["_text" if c == text_col else x for c, x in zip(keep or [], carried, strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [x for part in slices(batch.column(1).to_pylist()) for x in model.predict(part)]
+            found = [x for part in slices(batch.column("_text").to_pylist()) for x in model.predict(part)]
             cols = list(zip(*found, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), *batch.columns[2:]], names)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), *(batch.column(c) for c in order)], names)
 
-    names = ["doc_id", "lang_pred", "score", "switches", *(f"x_{k}" for k in range(len(kept)))]
+    names = ["doc_id", "lang_pred", "score", "switches", *carried]
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = "doc_id long, lang_pred string, score double, switches long" + "".join(f", x_{k} {types[f'x_{k}']}" for k in range(len(kept)))
+    schema = "doc_id long, lang_pred string, score double, switches long" + "".join(f", {x} {types[c]}" for x, c in zip(carried, order, strict=True))
     return rows.mapInArrow(run, schema)
 
 

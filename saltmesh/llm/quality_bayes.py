@@ -141,7 +141,8 @@ def fit(x: np.ndarray, y: np.ndarray) -> ShapeClassifier:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> ShapeClassifier:
     drawn = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y")).orderBy(F.xxhash64("_id"), "_id", "_y").limit(TRAIN_ROWS)
-    sample = docs.join(F.broadcast(drawn), F.col(id_col) == F.col("_id")).select(F.col("_id").alias("_id"), F.col(text_col).alias("text"), F.col("_y").alias("y"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    sample = texts.join(F.broadcast(drawn), "_id").select("text", "_id", F.col("_y").alias("y"))
     rows = _features(sample, ["_id", "y"]).toPandas().sort_values(["x__id", "x_y"])
     x = np.stack(rows["f"].to_numpy()) if len(rows) else np.zeros((0, len(NAMES)))
     return fit(x, rows["x_y"].to_numpy().astype(float))
@@ -166,15 +167,17 @@ def evidence(docs: DataFrame, model: ShapeClassifier, carry: list[str] | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = [model.probability(shape_features(part)) for part in slices(batch.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:4], pa.array(np.concatenate([np.empty(0), *p])), *batch.columns[4:]], names)
+            p = [model.probability(shape_features(part)) for part in slices(batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), pa.array(np.concatenate([np.empty(0), *p])), *(batch.column(c) for c in order)], names)
 
     carried = [f"x_{k}" for k in range(len(carry or []))]
+    # The text crosses to Python once, also where it is carried.
+    order = ["text" if c == "text" else x for c, x in zip(carry or [], carried, strict=True)]
     names = ["doc_id", "host", "path", "p_document", *carried]
     path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"), path.alias("path"), *(F.col(c).alias(x) for c, x in zip(carry or [], carried, strict=True)))
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"), path.alias("path"), *(F.col(c).alias(x) for c, x in zip(carry or [], carried, strict=True) if c != "text"))
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.mapInArrow(run, "doc_id long, host string, path string, p_document double" + "".join(f", {x} {types[x]}" for x in carried))
+    return rows.mapInArrow(run, "doc_id long, host string, path string, p_document double" + "".join(f", {x} {types[c]}" for x, c in zip(carried, order, strict=True)))
 
 
 def _strength(sites: DataFrame, parent: str) -> float:

@@ -10,7 +10,16 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of an Arrow batch between Spark and a Python task: texts are long, so rows alone would not bound it.
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +41,7 @@ def new_folder(spark: SparkSession, what: str) -> str:
 def stored(df: DataFrame, what: str) -> DataFrame:
     """df written to the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = new_folder(spark, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -46,7 +56,7 @@ def free_shuffles(spark: SparkSession) -> None:
 
 
 #: Characters of text that a Python task cuts into words at once.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 400_000
 
 
 def slices(texts: list[str | None], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
