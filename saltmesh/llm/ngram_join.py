@@ -293,12 +293,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs without those that link to a document of a smaller id; of rows equal in id and text one stays."""
     found = stored(near_duplicates(docs), "near-duplicates")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     twice = not found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").isEmpty()
     if found.where("doc_id <> component_id").count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text") if twice else kept
+    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text") if twice else kept
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
