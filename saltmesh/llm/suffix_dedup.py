@@ -80,17 +80,26 @@ def _arrow(names: str, columns: list, kinds: dict) -> pa.RecordBatch:
 
 
 def find_stretches(docs: DataFrame, length: int) -> DataFrame:
-    """docs (row, text) to (kmer, content, row, start, windows, ahead)."""
+    """docs (row, text) to (kmer, content, row, start, windows, ahead, times).
+
+    Stretches that a slice of texts holds several times are known to be repeated there and then: the first of them
+    stands for all (times is their number), the others have times 0 and need no shuffle to be found out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, done = batch.column(0).to_numpy(), 0
             for part in slices(batch.column(1).to_pylist()):
                 text, start, count, ahead, kmer, content = stretches([t.encode() for t in part], length)
-                yield _arrow("kmer content row start windows ahead", [kmer, content, rows[done + text], start, count.astype(np.int32), ahead.astype(np.int32)], {"windows": pa.int32(), "ahead": pa.int32()})
+                times = np.zeros(len(kmer), np.int32)
+                if len(kmer):
+                    order = np.lexsort((content, kmer))
+                    head = np.flatnonzero(np.r_[True, (kmer[order][1:] != kmer[order][:-1]) | (content[order][1:] != content[order][:-1])])
+                    times[order[head]] = np.diff(np.r_[head, len(order)])
+                yield _arrow("kmer content row start windows ahead times", [kmer, content, rows[done + text], start, count.astype(np.int32), ahead.astype(np.int32), times], {"windows": pa.int32(), "ahead": pa.int32(), "times": pa.int32()})
                 done += len(part)
 
-    return docs.mapInArrow(run, "kmer long, content long, row long, start long, windows int, ahead int")
+    return docs.mapInArrow(run, "kmer long, content long, row long, start long, windows int, ahead int, times int")
 
 
 def cut_stretches(docs: DataFrame, length: int) -> DataFrame:
@@ -313,14 +322,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER) -> D
     """(row, start, windows) for docs (row, text): runs of windows that also start elsewhere."""
     spark = docs.sparkSession
     found = stored(find_stretches(docs, length), "stretches")
-    often = stored(found.groupBy("kmer").agg(F.count("*").alias("n")).where("n > 1").select("kmer"), "anchors")
+    known = found.where("times <> 1").select("row", "start", "windows")
+    firsts = found.where("times > 0")
+    often = stored(firsts.groupBy("kmer").agg(F.sum("times").alias("n")).where("n > 1").select("kmer"), "anchors")
     free_shuffles(spark)
-    found = stored(found.join(often, "kmer"), "stretches-shared")
+    found = stored(firsts.join(often, "kmer"), "stretches-shared")
     free_shuffles(spark)
-    kinds = found.groupBy("kmer", "content").agg(F.count("*").alias("n"), F.first(F.struct("row", "start", "windows", "ahead")).alias("at"))
+    kinds = found.groupBy("kmer", "content").agg(F.sum("times").alias("n"), F.first(F.struct("row", "start", "windows", "ahead")).alias("at"))
     kinds = stored(kinds.select("kmer", "content", (F.col("n") > 1).alias("counted"), "at.*"), "kinds")
-    whole = found.join(stored(kinds.where("counted").select("kmer", "content"), "whole-kinds"), ["kmer", "content"]).select("row", "start", "windows")
-    whole = stored(whole, "whole")
+    whole = found.where("times = 1").join(stored(kinds.where("counted").select("kmer", "content"), "whole-kinds"), ["kmer", "content"]).select("row", "start", "windows")
+    whole = stored(whole.unionByName(known), "whole")
     free_shuffles(spark)
     per_anchor = stored(kinds.groupBy("kmer").agg(F.count("*").alias("kinds")).where("kinds > 1"), "mixed-anchors")
     asked = kinds.join(per_anchor, "kmer").withColumn("hot", F.col("kinds") > HOT)
