@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -24,14 +25,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import slices, stored, table
+from .shared import keep_only, slices, stored, table
 
 CAPACITY = 2048
 #: Pieces that one task packs at once.
 PIECES_AT_ONCE = 20_000
 ROUNDS = 4
-#: Distinct words kept between batches of a task.
-WORDS_KEPT = 1_000_000
+#: Distinct words that a worker keeps, and those that stay when there are more: the first seen, which are the frequent ones.
+WORDS_KEPT, WORDS_LEFT = 700_000, 450_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -58,7 +59,7 @@ class WordTokenizer:
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
         if len(self.cache) > WORDS_KEPT:
-            self.cache = {"": b""}
+            self.cache = dict(islice(self.cache.items(), WORDS_LEFT))
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         self.learn(set().union(*cut).difference(self.cache))
         get = self.cache.__getitem__
@@ -80,6 +81,7 @@ _tokenizers: dict[str, WordTokenizer] = {}
 
 def tokenizer(path: str) -> WordTokenizer:
     """One for each Python worker."""
+    keep_only(_tokenizers)
     if path not in _tokenizers:
         import os
 

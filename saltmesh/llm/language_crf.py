@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bytehash import Prefix, mix
-from .shared import slices, table
+from .shared import keep_only, slices, table
 
 TRAIN_DOCS, TRAIN_WORDS = 250, 400
 SEQUENCES, SEQUENCE_WORDS, EPOCHS, BATCH = 2_400, 48, 6, 200
@@ -304,6 +304,7 @@ def label_documents(docs: DataFrame, model: LanguageCrf, id_col: str = "doc_id",
     order = ["_text" if c == text_col else x for c, x in zip(keep or [], carried, strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             found = [x for part in slices(batch.column("_text").to_pylist()) for x in model.predict(part)]
             cols = list(zip(*found, strict=True)) or [()] * 3

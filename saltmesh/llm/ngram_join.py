@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .bytehash import Prefix, mix
 from .components import components
-from .shared import free_shuffles, slices, stored, table
+from .shared import free_shuffles, keep_only, slices, stored, table
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 40, 4
@@ -87,6 +87,7 @@ def signatures(docs: DataFrame, n: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, keys): set_a and set_b name the set, keys has the band keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             size, a, b, keys = [], [], [], []
             for part in slices(batch.column(1).to_pylist()):

@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -25,14 +26,16 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import slices, table
+from .shared import keep_only, slices, table
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
 #: Symbols from here on are characters that no piece holds.
 STRANGE = 1 << 20
-#: Distinct words encoded at once, and kept between batches of a task.
-WORDS_AT_ONCE, WORDS_KEPT = 100_000, 400_000
+#: Distinct words encoded at once.
+WORDS_AT_ONCE = 100_000
+#: Distinct words that a worker keeps, and those that stay when there are more: the first seen, which are the frequent ones.
+WORDS_KEPT, WORDS_LEFT = 250_000, 125_000
 
 
 class PieceModel:
@@ -206,7 +209,7 @@ class PieceModel:
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[str, int, str]]:
         """For each text, its ids in decimal with the end id, their number, and the text that they decode to."""
         if len(self.cache) > WORDS_KEPT:
-            self.cache.clear()
+            self.cache = dict(islice(self.cache.items(), WORDS_LEFT))
         cut = [self.words(t) if t else [] for t in texts]
         new = set().union(*cut).difference(self.cache)
         self.learn(list(new))
@@ -253,6 +256,7 @@ _models: dict[str, PieceModel] = {}
 
 def model(path: str) -> PieceModel:
     """One model for each Python worker."""
+    keep_only(_models)
     if path not in _models:
         _models[path] = PieceModel(path)
     return _models[path]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytehash import Prefix
-from .shared import slices, stored, table
+from .shared import keep_only, slices, stored, table
 
 TRAIN_ROWS, BINS, ROUNDS = 4_000, 8, 400
 #: Log-odds that a site can add or take are held to this, so that a site alone rejects no clear document.
@@ -166,6 +166,7 @@ def evidence(docs: DataFrame, model: ShapeClassifier, carry: list[str] | None =
     """(doc_id, host, path, p_document), and the columns named in carry as x_0, x_1 and so on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             p = [model.probability(shape_features(part)) for part in slices(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), pa.array(np.concatenate([np.empty(0), *p])), *(batch.column(c) for c in order)], names)

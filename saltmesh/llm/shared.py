@@ -71,3 +71,14 @@ def slices(texts: list[str | None], chars: int = SLICE_CHARS) -> Iterator[list[s
             part, size = [], 0
     if part:
         yield part
+
+
+_held: list[dict] = []
+
+
+def keep_only(caches: dict | None = None) -> None:
+    """Empties what tasks of other operators left in this Python worker, which Spark uses again, and notes the caches of this one."""
+    for other in _held:
+        if other is not caches:
+            other.clear()
+    _held[:] = [] if caches is None else [caches]
