@@ -1,11 +1,12 @@
 """License scan by a positional rare-token index.
 
 Every template is a short word sequence with a mandatory key phrase. The index maps a template word to its postings
-(template, position). A document looks up its licence words from the highest IDF down, and each posting votes for the
-place where the template would have to start (word position less template position). Places with enough votes are kept
-if the template's key phrase stands there word by word. IDF is counted over all documents.
+(template, position). Of each template a document looks up the rarest word of the key phrase, and each posting names
+the place where the template would have to start (word position less template position). As the key phrase must stand
+there word by word, no place is missed. A place's share of the template's IDF weight is counted from all template words
+that agree there. IDF is counted over all documents.
 
-The base phrases are templates of their own whose rarest word is always looked up, so that no place of them is missed.
+The base phrases are templates of their own that are all key phrase.
 
 Defined results: null or empty text gives n_words 0, no labels, null first_word/last_word and score 0. Rows that repeat
 are scanned each on their own. An empty table gives an empty result. Extra columns are ignored. A document of any
@@ -41,8 +42,6 @@ TEMPLATES = [
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
 ]
 
-#: A file's licence words that are looked up besides the base phrases' anchors, rarest first.
-LOOKUPS = 12
 #: Share of a template's IDF weight that must agree at a place.
 ENOUGH = 0.6
 
@@ -84,49 +83,45 @@ def document_frequency(docs: DataFrame, text_col: str = "text") -> dict[bytes, i
 
 
 class RareTokenIndex:
-    """Postings of template words, with IDF weights of the corpus."""
+    """Postings of the templates' rarest key words, with IDF weights of the corpus."""
 
     def __init__(self, df: dict[bytes, int]):
         n = max(df.get(b"", 0), 1)
         self.templates = _all_templates()
         self.vocab = vocabulary()
         self.idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1e-3 for w in self.vocab}
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t, (_, words, _, _) in enumerate(self.templates):
-            for pos, w in enumerate(words):
-                self.postings[w].append((t, pos))
         self.weight = [sum(self.idf[w] for w in words) for _, words, _, _ in self.templates]
-        #: The rarest word of each base phrase, with ties by spelling.
-        self.anchor = [max(words, key=lambda w: (self.idf[w], w)) if base else None for _, words, _, base in self.templates]
-        self.always = frozenset(a for a in self.anchor if a)
         self.key_at = [next(i for i in range(len(words)) if words[i : i + len(key)] == key) for _, words, key, _ in self.templates]
-        #: Without one of a template's key words there is no place for it.
-        self.rare_keys = frozenset(max(key, key=lambda w: (self.idf[w], w)) for _, _, key, _ in self.templates)
+        #: Under the rarest word of each key phrase, with ties by spelling: without it there is no place for the template.
+        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for t, (_, _, key, _) in enumerate(self.templates):
+            anchor = max(key, key=lambda w: (self.idf[w], w))
+            self.postings[anchor].append((t, self.key_at[t] + key.index(anchor)))
+
+    def share(self, t: int, words: list[bytes], start: int) -> float:
+        """Share of a template's IDF weight that agrees with the words from start on; start may lie before the text."""
+        template = self.templates[t][1]
+        return sum(self.idf[w] for i, w in enumerate(template, start) if 0 <= i < len(words) and words[i] == w) / self.weight[t]
 
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)
-        present = self.vocab.intersection(words)
         places: list[int] = []
         base_labels, labels, score = set(), set(), 0.0
-        if present & self.rare_keys:
-            looked = set(sorted(present, key=lambda w: (-self.idf[w], w))[:LOOKUPS]) | (present & self.always)
-            votes: dict[tuple[int, int], float] = defaultdict(float)
+        if not self.postings.keys().isdisjoint(words):
             for i, w in enumerate(words):
-                if w in looked:
-                    for t, pos in self.postings[w]:
-                        votes[t, i - pos] += self.idf[w]
-            for (t, start), got in votes.items():
-                label, template, key, base = self.templates[t]
-                at = start + self.key_at[t]
-                if at < 0 or words[at : at + len(key)] != key:
-                    continue
-                if base:
-                    places.append(start)
-                    base_labels.add(label)
-                    score = 1.0
-                elif (share := got / self.weight[t]) >= ENOUGH:
-                    labels.add(label)
-                    score = max(score, min(1.0, share))
+                for t, pos in self.postings.get(w, ()):
+                    start = i - pos
+                    label, _, key, base = self.templates[t]
+                    at = start + self.key_at[t]
+                    if at < 0 or words[at : at + len(key)] != key:
+                        continue
+                    if base:
+                        places.append(start)
+                        base_labels.add(label)
+                        score = 1.0
+                    elif (share := self.share(t, words, start)) >= ENOUGH:
+                        labels.add(label)
+                        score = max(score, min(1.0, share))
         return (
             len(words), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(base_labels)), ",".join(sorted(labels | base_labels)), score,

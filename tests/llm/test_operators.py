@@ -84,6 +84,35 @@ def test_license_scan(docs, none, rows):
     assert license_scan.scan_licenses(none).count() == 0
 
 
+def test_license_scan_of_several_licences(spark):
+    """A file with many rare licence words keeps every label: the shares are those of all template words."""
+    texts = {label: template for label, template, _ in license_scan.TEMPLATES}
+    joined = ". ".join(texts[x] for x in ("bsd", "apache-2.0", "mit"))
+    everything = " -- ".join([*texts.values(), *license_scan.BASE])
+    common = ["licensed under the license version 2 0 apache mit released"] * 60 + ["plain words"] * 200
+    docs = spark.createDataFrame(list(enumerate([joined, everything, "apache license version 2 of use", *common])), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(docs).collect()}
+    assert got[0]["labels"] == "apache-2.0,bsd,mit" and got[0]["score"] == 1.0
+    assert got[1]["labels"] == ",".join(sorted([*texts, *license_scan.BASE.values()]))
+
+    index = license_scan.RareTokenIndex(license_scan.document_frequency(docs))
+    rng = random.Random(4)
+    for _ in range(300):
+        w = license_scan.words_of(" ".join(" ".join(x for x in rng.choice(list(texts.values())).split() if rng.random() < 0.9) for _ in range(4)))
+        labels, score = set(), 0.0
+        for label, template, key in license_scan.TEMPLATES:
+            t, k = template.encode().split(), key.encode().split()
+            at = next(i for i in range(len(t)) if t[i : i + len(k)] == k)
+            for start in range(-len(t), len(w)):
+                share = sum(index.idf[x] for i, x in enumerate(t) if 0 <= start + i < len(w) and w[start + i] == x) / sum(index.idf[x] for x in t)
+                if start + at >= 0 and w[start + at : start + at + len(k)] == k and share >= license_scan.ENOUGH:
+                    labels.add(label)
+                    score = max(score, share)
+        found = index.scan(b" ".join(w).decode())
+        assert set(found[5].split(",")) - {""} - set(license_scan.BASE.values()) == labels
+        assert found[6] == 1.0 if found[4] else abs(found[6] - score) < 1e-12
+
+
 def test_piece_bpe(docs, none, rows):
     import public_tokenizers
     import sentencepiece
