@@ -2,38 +2,99 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
 
-#: Cells around its own in which a point looks for the nearest.
-RING = 3
+#: Sides of the lookup cells in hundredths of a degree, by level: each divides the circle, and the last is the whole earth.
+SIDES = (1, 4, 20, 100, 500, 3000, 18000, 36000)
+#: From this level on the points of a cell are dealt over so many parts.
+COARSE, PARTS = 4, 16
 
 
 def with_cell(points: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     return points.withColumn("cy", geo.cell(F.col(lat))).withColumn("cx", geo.cell(F.col(lon)))
 
 
-def candidates(queries: DataFrame, points: DataFrame, ring: int = RING) -> DataFrame:
-    """Pairs of query (qid, lat, lon) and point (face, lat, lon) in cells at most ring apart. East-west rings widen with latitude, so the ring covers the same distance both ways."""
-    wide = F.ceil(ring / F.greatest(F.cos(F.radians("qlat")), F.lit(0.05))).cast("int")
-    q = with_cell(queries.select("qid", F.col("lat").alias("qlat"), F.col("lon").alias("qlon")), "qlat", "qlon")
-    q = q.withColumn("cy", F.explode(F.sequence(F.col("cy") - ring, F.col("cy") + ring)))
-    q = q.withColumn("cx", F.explode(F.sequence(F.col("cx") - wide, F.col("cx") + wide)))
-    return q.join(with_cell(points), ["cy", "cx"]).withColumn("km", geo.haversine_km(F.col("qlat"), F.col("qlon"), F.col("lat"), F.col("lon")))
+def _hundredths(degrees: Column) -> Column:
+    return F.floor(degrees * 100)
+
+
+def _at_levels(points: DataFrame) -> DataFrame:
+    """Each point once a level, with its cell (level, cy, cx) and part."""
+    y, x = _hundredths(F.col("lat") + 90), _hundredths(F.pmod(F.col("lon"), F.lit(360.0))) % 36000
+    part = F.pmod(F.xxhash64("face"), F.lit(PARTS)).cast("int")
+    cells = [F.struct(F.lit(k).alias("level"), F.floor(y / side).alias("cy"), F.floor(x / side).alias("cx"), (part if k >= COARSE else F.lit(0)).alias("part")) for k, side in enumerate(SIDES)]
+    return points.select("face", "lat", "lon", F.explode(F.array(*cells)).alias("c")).select("face", "lat", "lon", "c.*")
+
+
+def _side() -> Column:
+    return F.element_at(F.array(*map(F.lit, SIDES)), F.col("level") + 1)
+
+
+def _boxed(q: DataFrame, dy: Column, dx: Column) -> DataFrame:
+    """Queries with a level, once for each of its cells that their box of qlat +- dy, qlon +- dx meets; longitudes wrap."""
+    side = _side()
+    n, lon = F.floor(36000 / side), F.pmod(F.col("qlon"), F.lit(360.0))
+    row = lambda y: F.floor(_hundredths(F.greatest(y + 90, F.lit(0.0))) / side)
+    column = lambda x: F.floor(_hundredths(x) / side)
+    x1, x2 = column(lon - dx), column(lon + dx)
+    columns = F.when(x2 - x1 + 1 >= n, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.transform(F.sequence(x1, x2), lambda v: F.pmod(v, n)))
+    return q.withColumn("cy", F.explode(F.sequence(row(F.col("qlat") - dy), row(F.col("qlat") + dy)))).withColumn("cx", F.explode(columns))
+
+
+def _near_pairs(queries: DataFrame, points: DataFrame, k: int, name: str, distance: Column, reach: Callable[[Column], tuple[Column, Column]]) -> DataFrame:
+    """Pairs of query (qid, lat, lon) and point (face, lat, lon), among them the k nearest of every query, however far.
+
+    Of each query the finest level is taken at which its cell and those around hold k points (or the last, which holds all). The k-th
+    distance there bounds the k-th distance at all, and the cells within that bound are looked up, at a level at which they are few."""
+    key = ["qid", "qlat", "qlon"]
+    q = queries.select("qid", F.col("lat").alias("qlat"), F.col("lon").alias("qlon")).where("qlat is not null and qlon is not null")
+    cells = _at_levels(points.where("lat is not null and lon is not null"))
+    last = len(SIDES) - 1
+
+    def pairs(boxed: DataFrame) -> DataFrame:
+        part = F.explode(F.when(F.col("level") >= COARSE, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0))))
+        return boxed.withColumn("part", part).join(cells, ["level", "cy", "cx", "part"]).withColumn(name, distance)
+
+    around = _boxed(q.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(last)))), _side() / 100, _side() / 100)
+    held = around.join(cells.groupBy("level", "cy", "cx").agg(F.count("*").alias("n")), ["level", "cy", "cx"]).groupBy(*key, "level").agg(F.sum("n").alias("n"))
+    start = held.where((F.col("n") >= k) | (F.col("level") == last)).groupBy(*key).agg(F.min("level").alias("level"))
+    found = pairs(_boxed(start, _side() / 100, _side() / 100))
+    if k > 1:
+        found = found.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(name))).where(F.col("_n") <= k)
+    bound = found.groupBy(*key).agg((F.max if k > 1 else F.min)(name).alias("_bound")).withColumn("_bound", F.col("_bound") * (1 + 1e-9) + 1e-9)
+    dy, dx = reach(F.col("_bound"))
+    few = F.least(*(F.when((dy * 200 <= 6 * side) & (dx * 200 <= 6 * side), n).otherwise(last) for n, side in enumerate(SIDES)))
+    return pairs(_boxed(bound.withColumn("level", few), dy, dx)).where(F.col(name) <= F.col("_bound"))
+
+
+def _reach_km(km: Column) -> tuple[Column, Column]:
+    """Degrees of latitude and longitude that a circle about (qlat, qlon) covers; one that holds a pole covers all longitudes."""
+    r = F.least(km / geo.RADIUS_KM, F.lit(math.pi))
+    over = F.abs(F.radians("qlat")) + r >= math.pi / 2 - 1e-9
+    east = F.asin(F.least(F.sin(r) / F.cos(F.radians("qlat")), F.lit(1.0)))
+    return F.degrees(r) + 1e-9, F.when(over, 180.0).otherwise(F.degrees(east)) + 1e-9
 
 
-def nearest(queries: DataFrame, points: DataFrame, ring: int = RING) -> DataFrame:
-    """(qid, face, km) of the nearest point within the ring, ties to the smaller face; partial minima before the shuffle."""
-    best = candidates(queries, points, ring).groupBy("qid").agg(F.min(F.struct("km", "face")).alias("best"))
+def nearest(queries: DataFrame, points: DataFrame) -> DataFrame:
+    """(qid, face, km) of the nearest point of every query, ties to the smaller face; partial minima before the shuffle."""
+    pairs = _near_pairs(queries, points, 1, "km", geo.haversine_km(F.col("qlat"), F.col("qlon"), F.col("lat"), F.col("lon")), _reach_km)
+    best = pairs.groupBy("qid").agg(F.min(F.struct("km", "face")).alias("best"))
     return best.select("qid", "best.face", "best.km")
 
 
-def nearest_k(queries: DataFrame, points: DataFrame, k: int, ring: int = RING) -> DataFrame:
-    """The k nearest by planar distance in degrees, within the ring."""
-    pairs = candidates(queries, points, ring).withColumn("deg", F.sqrt((F.col("lat") - F.col("qlat")) ** 2 + (F.col("lon") - F.col("qlon")) ** 2))
+def nearest_k(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """The k nearest (or all, if there are fewer points) by planar distance in degrees, the short way around the earth."""
+    east = F.col("lon") - F.col("qlon")
+    east = F.when(F.abs(east) <= 180, east).otherwise(geo.wrapped(east))
+    deg = F.sqrt((F.col("lat") - F.col("qlat")) ** 2 + east**2)
+    pairs = _near_pairs(queries, points, k, "deg", deg, lambda d: (d, d))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("deg", "face")))
     return ranked.where(F.col("rank") <= k).select("qid", "rank", "face", "deg")
 

@@ -10,7 +10,7 @@ from ..operators import derive, spatial, summary
 from .flow_queries import CORNERS
 
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, sin(radians(p.lat - q.lat) / 2) ** 2 + cos(radians(q.lat)) * cos(radians(p.lat)) * sin(radians(p.lon - q.lon) / 2) ** 2)))"
-# Queries near a point: the ring of cells always holds one at these densities.
+# Queries near a point; FAR below has all of fx_query.
 NEAR = "q AS (SELECT face AS qid, lat + 3e-3 AS lat, lon - 2e-3 AS lon FROM fx_points WHERE face % 10 = 3)"
 
 
@@ -34,6 +34,25 @@ def _(fx):
     return spatial.nearest_k(queries, fx.points, 3).where("deg <= 25e-3")
 
 
+# Every place of fx_query, however far from the points.
+FAR = f"d AS (SELECT q.qid, p.face, {KM} AS km FROM fx_query q CROSS JOIN fx_points p), n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY qid ORDER BY km, face) = 1)"
+
+
+@query("jn_8_nearest_point_any", f"WITH {FAR} SELECT qid, face, {r6('km')} AS km FROM n")
+def _(fx):
+    return spatial.nearest(fx.query, fx.points)
+
+
+@query("flt_31_distance_limit_any", f"WITH {FAR} SELECT qid, km * 1000 <= 300 AS ok FROM n")
+def _(fx):
+    return spatial.within_limit(spatial.nearest(fx.query, fx.points), 300.0).select("qid", "ok")
+
+
+@query("jn_9_nearest_k_any", f"WITH d AS (SELECT q.qid, p.face, sqrt((p.lat - q.lat) ** 2 + (p.lon - q.lon) ** 2) AS deg FROM fx_query q CROSS JOIN fx_points p), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY deg, face) AS INT) AS rank FROM d) SELECT qid, rank, face, {r6('deg')} AS deg FROM r WHERE rank <= 3")
+def _(fx):
+    return spatial.nearest_k(fx.query, fx.points, 3)
+
+
 @query("top_1_closest_faces", f"SELECT face, {r6('sqrt((lat - 595e-1) ** 2 + (lon + 1525e-1) ** 2)')} AS deg FROM fx_points ORDER BY sqrt((lat - 595e-1) ** 2 + (lon + 1525e-1) ** 2), face LIMIT 10")
 def _(fx):
     return spatial.closest_faces(fx.points, 59.5, -152.5, 10).select("face", "deg")

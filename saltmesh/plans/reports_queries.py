@@ -13,7 +13,6 @@ from ..sources import tables
 from ..streaming import running_summary
 from . import steps
 from .flow_queries import CORNERS, columns
-from .lookups_queries import near_queries
 
 
 def located_faces(fx):
@@ -251,4 +250,4 @@ def _(fx):
     from .records_queries import versions
 
     v = versions(fx).withColumn("location", F.concat(F.lit("site"), F.col("location").cast("string")))
-    return steps.lookup(near_queries(fx), fx.points, v, "site3", 2000.0).select("qid", "face", "km", "latest", "path")
+    return steps.lookup(fx.query, fx.points, v, "site3", 2000.0).select("qid", "face", "km", "latest", "path")

@@ -145,6 +145,28 @@ def test_nearest_is_brute_force(spark):
         assert abs(d[got[q]] - min(d.values())) < 1e-5
 
 
+def test_nearest_however_far(spark):
+    """Queries far from all points, over the dateline and by the poles, against all pairs."""
+    rng = random.Random(5)
+    points = [(k, 59 + rng.random(), -152 + rng.random()) for k in range(40)] + [(40, 10.0, 179.999), (41, 10.02, -179.9), (42, 89.9, 10.0), (43, -30.0, 20.0), (44, -89.5, 0.0)]
+    queries = [(k, rng.uniform(-90, 90), rng.uniform(-180, 180)) for k in range(40)] + [(40, 10.0, -179.999), (41, 89.95, -170.0), (42, 10.0, 179.95), (43, 59.5, -151.2), (44, 90.0, 0.0), (45, -89.9, 179.0)]
+    p, q = spark.createDataFrame(points, "face long, lat double, lon double"), spark.createDataFrame(queries, "qid long, lat double, lon double")
+
+    def km(a, b):
+        (y1, x1), (y2, x2) = (map(math.radians, v) for v in (a, b))
+        return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, math.sin((y2 - y1) / 2) ** 2 + math.cos(y1) * math.cos(y2) * math.sin((x2 - x1) / 2) ** 2)))
+
+    def deg(a, b):
+        east = abs(a[1] - b[1])
+        return math.hypot(a[0] - b[0], min(east, 360 - east))
+
+    got = {r["qid"]: r["km"] for r in spatial.nearest(q, p).collect()}
+    assert got == {k: pytest.approx(min(km((y, x), (b, a)) for _, b, a in points), abs=1e-6) for k, y, x in queries}
+    several = spatial.nearest_k(q, p, 3).groupBy("qid").agg(F.array_sort(F.collect_list("deg")).alias("deg")).collect()
+    assert {r["qid"]: r["deg"] for r in several} == {k: pytest.approx(sorted(deg((y, x), (b, a)) for _, b, a in points)[:3], abs=1e-9) for k, y, x in queries}
+    assert spatial.nearest_k(q, p, 50).count() == len(queries) * len(points)
+
+
 def test_convex_hull_and_ring(spark):
     square = [(0, x, y) for x in range(4) for y in range(4)]
     hull = spatial.convex_hull(spark.createDataFrame([(k, float(x), float(y)) for k, x, y in square], "k long, lon double, lat double"), "k").orderBy("pos").collect()
