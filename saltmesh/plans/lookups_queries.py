@@ -122,6 +122,36 @@ def _(fx):
     return spatial.along_segments(spatial.grid_index(fx.points), segments(fx), 0.0213).select("cy", "cx").distinct()
 
 
+# A line of every supplier; their lengths and places repeat with the key and are bounded.
+ALL_LINES = ALONG.replace("(s_suppkey + 1)", "(s_suppkey % 41 + 1)").replace(" WHERE s_suppkey < 40", "")
+
+
+def all_segments(fx):
+    k = F.col("s_suppkey")
+    return fx.table("supplier").select(k.alias("sid"), (59.1 + (k % 7) * 0.1 + (k % 41 + 1) * 0.00137).alias("lat1"), (-152.9 + (k % 5) * 0.1).alias("lon1"), (59.3 + (k % 5) * 0.1).alias("lat2"), (-152.7 + (k % 3) * 0.1 + (k % 41 + 1) * 0.00171).alias("lon2"))
+
+
+@query("jn_11_along_line_all", f"WITH {ALL_LINES} SELECT sid, cy, cx, {r6('off')} AS off, {r6('along')} AS along FROM v WHERE off <= 213e-4")
+def _(fx):
+    return spatial.along_segments(spatial.grid_index(fx.points), all_segments(fx), 0.0213).select("sid", "cy", "cx", "off", "along")
+
+
+@query("top_2_closest_on_line_all", f"WITH {ALL_LINES}, n AS (SELECT * FROM v WHERE off <= 213e-4 QUALIFY row_number() OVER (PARTITION BY sid ORDER BY round(off, 6), cy, cx) <= 4) SELECT sid, cy, cx, {r6('along')} AS along FROM n")
+def _(fx):
+    return spatial.along_segments(spatial.grid_index(fx.points), all_segments(fx), 0.0213, 4).select("sid", "cy", "cx", "along")
+
+
+@query("set_6_distinct_cells_all", f"WITH {ALL_LINES} SELECT DISTINCT cy, cx FROM v WHERE off <= 213e-4")
+def _(fx):
+    return spatial.along_segments(spatial.grid_index(fx.points), all_segments(fx), 0.0213).select("cy", "cx").distinct()
+
+
+@query("jn_21_point_series_all", f"WITH q AS (SELECT DISTINCT s_suppkey % 50 AS face FROM supplier) SELECT v.face, v.t, v.sigma_layer, {r6('v.u')} AS u FROM fx_velocity v JOIN q ON q.face = v.face")
+def _(fx):
+    faces = fx.table("supplier").select((F.col("s_suppkey") % 50).alias("face")).distinct()
+    return fx.velocity.join(faces, "face").select("face", "t", "sigma_layer", "u")
+
+
 @query("jn_21_point_series", f"WITH q AS (SELECT DISTINCT s_suppkey % 50 AS face FROM supplier) SELECT v.face, v.t, v.sigma_layer, {r6('v.u')} AS u FROM fx_velocity v JOIN q ON q.face = v.face WHERE v.t < 10")
 def _(fx):
     faces = fx.table("supplier").select((F.col("s_suppkey") % 50).alias("face")).distinct()

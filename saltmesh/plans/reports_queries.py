@@ -181,6 +181,15 @@ def _(fx):
     return spatial.trimmed_at_shore(rows, "line", times=2.0).groupBy("line").agg(F.count("*").alias("n"))
 
 
+@query("win_7_trimmed_transect_all", "WITH s AS (SELECT s_suppkey // 20 AS line, (s_suppkey % 20) * 1e-1 + CASE WHEN s_suppkey % 20 >= 9 + s_suppkey // 20 % 7 THEN 50e0 ELSE 0e0 END AS along FROM supplier), g AS (SELECT *, along - lag(along) OVER (PARTITION BY line ORDER BY along) AS gap FROM s), f AS (SELECT *, coalesce(gap > avg(gap) OVER (PARTITION BY line) + 2 * stddev_pop(gap) OVER (PARTITION BY line), false) AS far FROM g), p AS (SELECT *, bool_or(far) OVER (PARTITION BY line ORDER BY along) AS past FROM f) SELECT line, count(*) AS n, (round(max(along), 6) + 0e0) AS last FROM p WHERE NOT past GROUP BY line")
+def _(fx):
+    """Lines of 20 suppliers each, with a jump after 9 to 15 of them."""
+    k = F.col("s_suppkey")
+    line, pos = F.floor(k / 20), k % 20
+    rows = fx.table("supplier").select(line.alias("line"), (pos * 0.1 + F.when(pos >= 9 + line % 7, 50.0).otherwise(0.0)).alias("along"))
+    return spatial.trimmed_at_shore(rows, "line", times=2.0).groupBy("line").agg(F.count("*").alias("n"), F.max("along").alias("last"))
+
+
 @query("win_8_track_distance", f"WITH s AS (SELECT face % 20 AS track, face, lat - lag(lat) OVER (PARTITION BY face % 20 ORDER BY face) AS step FROM fx_points) SELECT track, face, {r6('sum(coalesce(abs(step), 0)) OVER (PARTITION BY track ORDER BY face)')} AS distance FROM s")
 def _(fx):
     from pyspark.sql import Window

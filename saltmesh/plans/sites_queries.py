@@ -192,10 +192,9 @@ def _(fx):
     return long.groupBy("region", "variable").agg(F.count("value").alias("n"), F.max("value").alias("max"))
 
 
-@query("api_13_export_year", "WITH line AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM fx_velocity), f AS (SELECT DISTINCT face FROM fx_velocity WHERE face < 5) SELECT f.face, l.t, (round(coalesce(v.u, -999e0), 6) + 0e0) AS u FROM line l CROSS JOIN f LEFT JOIN fx_velocity v ON v.face = f.face AND v.t = l.t AND v.sigma_layer = 0 AND v.t % 17 <> 3")
-def _(fx):
-    rows = fx.velocity.where("face < 5 and sigma_layer = 0 and t % 17 <> 3").select("face", "time", "u")
-    faces = fx.velocity.where("face < 5").select("face").distinct()
+def exported_year(fx, velocity):
+    rows = velocity.where("sigma_layer = 0 and t % 17 <> 3").select("face", "time", "u")
+    faces = velocity.select("face").distinct()
     ends = fx.velocity.agg(F.min("time").alias("start"), F.max("time").alias("end"))
     expected = faces.crossJoin(F.broadcast(time_checks.timeline(ends, "1 HOUR")))
     out = time_checks.padded(rows, expected, ["face", "time"], ["u"])
@@ -203,6 +202,16 @@ def _(fx):
     return out.select("face", t.cast("long").alias("t"), "u")
 
 
+@query("api_13_export_year", "WITH line AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM fx_velocity), f AS (SELECT DISTINCT face FROM fx_velocity WHERE face < 5) SELECT f.face, l.t, (round(coalesce(v.u, -999e0), 6) + 0e0) AS u FROM line l CROSS JOIN f LEFT JOIN fx_velocity v ON v.face = f.face AND v.t = l.t AND v.sigma_layer = 0 AND v.t % 17 <> 3")
+def _(fx):
+    return exported_year(fx, fx.velocity.where("face < 5"))
+
+
+@query("api_13_export_year_all", "WITH line AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM fx_velocity), f AS (SELECT DISTINCT face FROM fx_velocity) SELECT f.face, l.t, (round(coalesce(v.u, -999e0), 6) + 0e0) AS u FROM line l CROSS JOIN f LEFT JOIN fx_velocity v ON v.face = f.face AND v.t = l.t AND v.sigma_layer = 0 AND v.t % 17 <> 3")
+def _(fx):
+    return exported_year(fx, fx.velocity)
+
+
 @query("api_17_jurisdiction", f"WITH {FLAGS} SELECT CASE WHEN state THEN 'State waters' WHEN ts THEN 'Territorial sea' WHEN cz THEN 'Contiguous zone' WHEN eez THEN 'Exclusive economic zone' ELSE 'Outside' END AS jurisdiction, count(*) AS n FROM fl GROUP BY 1")
 def _(fx):
     from ..operators.spatial import jurisdiction

@@ -129,6 +129,15 @@ def _(fx):
     return tc.padded(rows, _expected(fx), ["time"], ["zeta_center"]).select("time", "zeta_center")
 
 
+@query("jn_6_padded_year_all", f"WITH {LINE}, z AS (SELECT face, time, zeta_center FROM fx_zeta_center WHERE t % 11 <> 4) SELECT f.face, l.time, {r6('coalesce(z.zeta_center, -999e0)')} AS zeta_center FROM line l CROSS JOIN fx_face f LEFT JOIN z ON z.time = l.time AND z.face = f.face")
+def _(fx):
+    from ..operators import derive
+
+    rows = derive.surface_at_faces(fx.zeta, fx.face).where("t % 11 <> 4").select("face", "time", "zeta_center")
+    expected = fx.face.select("face").crossJoin(F.broadcast(_expected(fx)))
+    return tc.padded(rows, expected, ["face", "time"], ["zeta_center"]).select("face", "time", "zeta_center")
+
+
 @query("flt_27_expected_timeline", f"WITH {LINE}, {AXIS} SELECT l.time, 'missing' AS side FROM line l WHERE l.time NOT IN (SELECT time FROM axis) UNION ALL SELECT time, 'extra' FROM axis WHERE time NOT IN (SELECT time FROM line)")
 def _(fx):
     return tc.unmatched(_expected(fx), axis(fx), ["time"])

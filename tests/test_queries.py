@@ -40,6 +40,25 @@ def test_same_rows(name, spark, duck, sf_dir):
     assert rows(catalog.QUERIES[name](spark, sf_dir).toPandas()) == rows(duck.execute(catalog.SQL[name]).df())
 
 
+# Whole jobs, with the column and number of keys that they hold at sf0.01: no prefix of suppliers, steps or faces.
+WHOLE = {
+    "jn_11_along_line_all": ("sid", 100), "top_2_closest_on_line_all": ("sid", 100), "set_6_distinct_cells_all": (None, None), "jn_21_point_series_all": ("t", 300),
+    "win_7_trimmed_transect_all": ("line", 5), "api_13_export_year_all": ("face", 50), "jn_6_padded_year_all": ("face", 50),
+}
+
+
+@pytest.mark.parametrize("name", sorted(WHOLE))
+def test_whole_jobs(name, spark):
+    larger = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{larger}/{t}.parquet'")
+    got = catalog.QUERIES[name](spark, larger).toPandas()
+    assert rows(got) == rows(con.execute(catalog.SQL[name]).df())
+    key, n = WHOLE[name]
+    assert key is None or got[key].nunique() == n
+
+
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL)))
 def test_runs(name, spark, sf_dir):
     assert catalog.QUERIES[name](spark, sf_dir).count() > 0
