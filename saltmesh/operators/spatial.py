@@ -15,6 +15,8 @@ from ..functions import geo
 SIDES = (1, 4, 20, 100, 500, 3000, 18000, 36000)
 #: From this level on the points of a cell are dealt over so many parts.
 COARSE, PARTS = 4, 16
+#: Finest level of coast segments, which are longer than points.
+SHORE = 2
 
 
 def with_cell(points: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -183,22 +185,56 @@ def overlapping_states(inside: DataFrame, layers: DataFrame) -> DataFrame:
     return inside.join(layers.where("layer = 'state'"), "pid").groupBy("qid").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def nearest_shore(points: DataFrame, coast: DataFrame, rings: tuple[int, ...] = (1, 5, 20), cell_degrees: float = 0.1, snap_km: float = 2.0) -> DataFrame:
-    """(qid, km, shore_lat, shore_lon): nearest place on coast segments (x1, y1, x2, y2) found in widening rings of cells; a point keeps to the first ring whose find is surely nearest. Distances are on the sphere, snapped to 0 below snap_km."""
-    c = lambda x: F.floor(x / cell_degrees).cast("long")
-    seg = coast.withColumn("cx", F.explode(F.sequence(c(F.least("x1", "x2")), c(F.greatest("x1", "x2"))))).withColumn("cy", F.explode(F.sequence(c(F.least("y1", "y2")), c(F.greatest("y1", "y2")))))
-    left, found = points, None
-    for n, ring in enumerate(rings):
-        q = left.withColumn("cx", F.explode(F.sequence(c(F.col("lon")) - ring, c(F.col("lon")) + ring))).withColumn("cy", F.explode(F.sequence(c(F.col("lat")) - ring, c(F.col("lat")) + ring)))
-        k = F.cos(F.radians("lat"))
-        d, qx, qy = geo.segment_distance(F.col("lon") * k, F.col("lat"), F.col("x1") * k, F.col("y1"), F.col("x2") * k, F.col("y2"))
-        hit = q.join(seg, ["cx", "cy"]).withColumns({"d": d, "sx": qx / k, "sy": qy, "k": k})
-        best = hit.groupBy("qid", "lat", "lon", "k").agg(F.min(F.struct("d", "sy", "sx")).alias("b"))
-        sure = F.lit(True) if n == len(rings) - 1 else F.col("b.d") <= ring * cell_degrees * F.col("k")
-        best = best.where(sure).select("qid", geo.haversine_km(F.col("lat"), F.col("lon"), F.col("b.sy"), F.col("b.sx")).alias("km"), F.col("b.sy").alias("shore_lat"), F.col("b.sx").alias("shore_lon"))
-        found = best if found is None else found.unionByName(best)
-        left = points.join(found.select("qid"), "qid", "left_anti")
-    return found.withColumn("km", F.when(F.col("km") < snap_km, 0.0).otherwise(F.col("km")))
+def _shore_hits(q: DataFrame, seg: DataFrame) -> DataFrame:
+    """Nearest place (d, sy, sx) on the segments that share a cell with each query, by planar distance with longitudes shrunk at its latitude, the short way around the earth."""
+    k = F.cos(F.radians("lat"))
+    turn = F.round((F.col("x1") - F.col("lon")) / 360) * 360
+    # A segment over the dateline goes the short way; the one that is nearer on either side of it is the same segment a turn on.
+    x2 = F.col("x1") + F.when(F.abs(F.col("x2") - F.col("x1")) > 180, geo.wrapped(F.col("x2") - F.col("x1"))).otherwise(F.col("x2") - F.col("x1"))
+    best = None
+    for more in (-360, 0, 360):
+        d, qx, qy = geo.segment_distance(F.col("lon") * k, F.col("lat"), (F.col("x1") - turn + more) * k, F.col("y1"), (x2 - turn + more) * k, F.col("y2"))
+        one = F.struct(d.alias("d"), qy.alias("sy"), (qx / k + turn - more).alias("sx"))
+        best = one if best is None else F.least(best, one)
+    return q.join(seg, ["level", "cy", "cx", "part"]).groupBy("qid", "lat", "lon").agg(F.min(best).alias("b"))
+
+
+def nearest_shore(points: DataFrame, coast: DataFrame, snap_km: float = 2.0) -> DataFrame:
+    """(qid, km, shore_lat, shore_lon): nearest place on coast segments (x1, y1, x2, y2) to every point, however far; nulls if there is no coast. Distances are on the sphere, snapped to 0 below snap_km.
+
+    Of each point the finest level is taken at which its cell and those around hold some coast. The distance there bounds the nearest, and
+    the cells within that bound (wider east-west by 1 / cos(lat)) are looked up, at a level at which they are few."""
+    last = len(SIDES) - 1
+    q = points.select("qid", "lat", "lon").where("lat is not null and lon is not null")
+    at = lambda side, x: F.floor(_hundredths(x) / side)
+    # Columns of cells are numbered on from the west end of each segment, and taken modulo the circle.
+    west = F.when(F.abs(F.col("x2") - F.col("x1")) > 180, F.greatest("x1", "x2")).otherwise(F.least("x1", "x2"))
+    wide = F.abs(F.when(F.abs(F.col("x2") - F.col("x1")) > 180, geo.wrapped(F.col("x2") - F.col("x1"))).otherwise(F.col("x2") - F.col("x1")))
+    start = F.pmod(west, F.lit(360.0))
+    part = F.pmod(F.xxhash64("x1", "y1", "x2", "y2"), F.lit(PARTS)).cast("int")
+    box = _side()
+    seg = coast.where("x1 is not null and y1 is not null and x2 is not null and y2 is not null").select("x1", "y1", "x2", "y2", F.explode(F.sequence(F.lit(SHORE), F.lit(last))).alias("level"))
+    columns = F.transform(F.sequence(at(box, start), at(box, start + wide)), lambda v: F.pmod(v, F.floor(36000 / box)))
+    seg = seg.withColumn("part", F.when(F.col("level") >= COARSE, part).otherwise(0))
+    seg = seg.withColumn("cy", F.explode(F.sequence(at(box, F.least("y1", "y2") + 90), at(box, F.greatest("y1", "y2") + 90)))).withColumn("cx", F.explode(columns))
+
+    def parted(boxed: DataFrame) -> DataFrame:
+        return boxed.withColumn("part", F.explode(F.when(F.col("level") >= COARSE, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))))
+
+    def boxed(rows: DataFrame, dy: Column, dx: Column) -> DataFrame:
+        return _boxed(rows.withColumns({"qlat": F.col("lat"), "qlon": F.col("lon")}), dy, dx).drop("qlat", "qlon")
+
+    every = q.withColumn("level", F.explode(F.sequence(F.lit(SHORE), F.lit(last))))
+    held = boxed(every, box / 100, box / 100).join(seg.select("level", "cy", "cx").distinct(), ["level", "cy", "cx"])
+    first = _shore_hits(parted(boxed(held.groupBy("qid", "lat", "lon").agg(F.min("level").alias("level")), box / 100, box / 100)), seg)
+    bound = first.select("qid", "lat", "lon", (F.col("b.d") * (1 + 1e-9) + 1e-9).alias("_bound"))
+    dy, dx = F.least(F.col("_bound"), F.lit(180.0)), F.least(F.col("_bound") / F.greatest(F.cos(F.radians("lat")), F.lit(1e-9)), F.lit(180.0))
+    few = F.least(*(F.when((dy * 200 <= 6 * side) & (dx * 200 <= 6 * side), n).otherwise(last) for n, side in enumerate(SIDES) if n >= SHORE))
+    best = _shore_hits(parted(boxed(bound.withColumn("level", few), dy, dx)), seg)
+    km = geo.haversine_km(F.col("lat"), F.col("lon"), F.col("b.sy"), F.col("b.sx"))
+    sx = F.when(F.abs(F.col("b.sx")) <= 180, F.col("b.sx")).otherwise(geo.wrapped(F.col("b.sx")))
+    found = best.select("qid", F.when(km < snap_km, 0.0).otherwise(km).alias("km"), F.col("b.sy").alias("shore_lat"), sx.alias("shore_lon"))
+    return points.select("qid").join(found, "qid", "left")
 
 
 def located(points: DataFrame, faces: DataFrame, cell_degrees: float = 0.02) -> DataFrame:

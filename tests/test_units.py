@@ -134,6 +134,30 @@ def test_nearest_shore(spark):
         assert abs(got[k]["km"] - best * 111.195) < 0.2
 
 
+def test_nearest_shore_however_far(spark):
+    """Points of all oceans and a coast over the dateline; no point is lost, nor is a nearer shore outside a ring."""
+    coast = [(-152.0, 59.0, -151.5, 59.2), (179.8, 51.0, -179.7, 51.4), (170.0, -44.0, 171.0, -43.0), (-5.0, 70.0, 5.0, 70.5)]
+    rng = random.Random(6)
+    points = [(k, rng.uniform(-75, 80), rng.uniform(-180, 180)) for k in range(60)] + [(60, 60.0, -148.0), (61, 62.5, -151.5), (62, 51.2, -179.0), (63, 51.2, 179.0)]
+    p = spark.createDataFrame(points, "qid long, lat double, lon double")
+    shore = spark.createDataFrame(coast, "x1 double, y1 double, x2 double, y2 double")
+    got = {r["qid"]: r for r in spatial.nearest_shore(p, shore, snap_km=0.0).collect()}
+    assert len(got) == len(points)
+    for q, lat, lon in points:
+        c, best, d = math.cos(math.radians(lat)), math.inf, math.inf
+        for x1, y1, x2, y2 in coast:
+            x2 += 360 if x2 - x1 < -180 else 0
+            for turn in (-720, -360, 0, 360):
+                ax, bx, px = (x1 + turn) * c, (x2 + turn) * c, lon * c
+                t = max(0, min(1, ((px - ax) * (bx - ax) + (lat - y1) * (y2 - y1)) / ((bx - ax) ** 2 + (y2 - y1) ** 2)))
+                best = min(best, math.hypot(px - ax - t * (bx - ax), lat - y1 - t * (y2 - y1)))
+        r = got[q]
+        d = math.hypot((abs(r["shore_lon"] - lon) if abs(r["shore_lon"] - lon) <= 180 else 360 - abs(r["shore_lon"] - lon)) * c, r["shore_lat"] - lat)
+        assert abs(d - best) < 1e-6 and -180 <= r["shore_lon"] <= 180 and r["km"] > 0
+    none = spatial.nearest_shore(p, shore.limit(0)).collect()
+    assert len(none) == len(points) and all(r["km"] is None and r["shore_lat"] is None for r in none)
+
+
 def test_nearest_is_brute_force(spark):
     rng = random.Random(3)
     points = [(k, 59 + rng.random() / 10, -152 + rng.random() / 10) for k in range(300)]
