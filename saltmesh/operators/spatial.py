@@ -297,16 +297,16 @@ def convex_hull(points: DataFrame, key: str) -> DataFrame:
 
 
 def hotspots(cells: DataFrame, spacing_m: float, top: int, least_share: float = 0.3) -> DataFrame:
-    """Greedy choice of cells (face, lat, lon, power): by falling power, each spacing_m away from those chosen. Only cells that are the maximum of their own grid cell can be next; if too few are found the spacing shrinks by a fifth, down to least_share. At most top rows are ever on the driver."""
-    own = Window.partitionBy("cy", "cx").orderBy(F.desc("power"), "face")
-    peaks = with_cell(cells).withColumn("_n", F.row_number().over(own)).where("_n = 1").select("face", "lat", "lon", "power")
+    """Greedy choice of cells (face, lat, lon, power): by falling power, each spacing_m away from those chosen, each time from all cells that are left; if too few are found the spacing shrinks by a fifth, down to least_share. At most top rows are ever on the driver."""
+    faces = cells.select("face", "lat", "lon", "power").where("power is not null")
     chosen: list = []
     spacing = spacing_m
     while len(chosen) < top and spacing >= least_share * spacing_m:
-        left = peaks
+        left = faces
         for c in chosen:
             left = left.where((geo.haversine_km(F.col("lat"), F.col("lon"), F.lit(c["lat"]), F.lit(c["lon"])) * 1000 >= spacing) & (F.col("face") != c["face"]))
-        best = left.orderBy(F.desc("power"), "face").limit(1).collect()
+        # Strongest first, ties to the smaller face.
+        best = left.agg(F.max_by(F.struct("face", "lat", "lon", "power"), F.struct("power", -F.col("face"))).alias("b")).where("b is not null").select("b.*").collect()
         if best:
             chosen.append(best[0])
         else:
@@ -315,6 +315,21 @@ def hotspots(cells: DataFrame, spacing_m: float, top: int, least_share: float =
     return spark.createDataFrame([(k + 1, c["face"], c["lat"], c["lon"], c["power"]) for k, c in enumerate(chosen)], "rank int, face long, lat double, lon double, power double")
 
 
+def hotspot_areas(chosen: DataFrame, cells: DataFrame, area_m2: float) -> DataFrame:
+    """chosen (of hotspots) with the square search area about each: its bounds, and number, total and mean power of the cells in it. The few chosen mark the grid cells of their squares, which join cells by equality."""
+    half = math.sqrt(area_m2) / 2 / (math.pi * geo.RADIUS_KM * 1000 / 180)
+    east = F.least(half / F.greatest(F.cos(F.radians("at_lat")), F.lit(1e-9)), F.lit(180.0))
+    at = chosen.select("rank", F.col("face").alias("at_face"), F.col("lat").alias("at_lat"), F.col("lon").alias("at_lon"), F.col("power").alias("at_power"))
+    at = at.withColumns({"lat_min": F.col("at_lat") - half, "lat_max": F.col("at_lat") + half, "lon_min": F.col("at_lon") - east, "lon_max": F.col("at_lon") + east})
+    # Over the dateline the square is also looked for a turn on.
+    marks = at.withColumn("turn", F.explode(F.array(*map(F.lit, (-360.0, 0.0, 360.0))))).where("lon_min + turn <= 180 and lon_max + turn >= -180")
+    marks = marks.withColumn("cy", F.explode(F.sequence(geo.cell(F.col("lat_min")), geo.cell(F.col("lat_max"))))).withColumn("cx", F.explode(F.sequence(geo.cell(F.col("lon_min") + F.col("turn")), geo.cell(F.col("lon_max") + F.col("turn")))))
+    inside = F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & (F.col("lon") - F.col("turn")).between(F.col("lon_min"), F.col("lon_max"))
+    held = marks.join(with_cell(cells.select("lat", "lon", "power")), ["cy", "cx"]).where(inside).groupBy("rank").agg(F.count("*").alias("n"), F.sum("power").alias("total"), F.avg("power").alias("mean"))
+    out = at.withColumnsRenamed({"at_face": "face", "at_lat": "lat", "at_lon": "lon", "at_power": "power"})
+    return out.join(held, "rank", "left")
+
+
 def trimmed_at_shore(transect: DataFrame, key: str, times: float = 5.0) -> DataFrame:
     """Rows of each transect before its first step that is over the mean step by so many deviations."""
     w = Window.partitionBy(key).orderBy("along")

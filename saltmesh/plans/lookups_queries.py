@@ -301,4 +301,5 @@ def _(fx):
     power = derive.with_flow(fx.velocity).groupBy("face").agg(F.avg("power_density").alias("power"))
     c = derive.with_corner_coordinates(fx.face, fx.node)
     at = c.select("face", ((F.col("lat_1") + F.col("lat_2") + F.col("lat_3")) / 3).alias("lat"), ((F.col("lon_1") + F.col("lon_2") + F.col("lon_3")) / 3).alias("lon"))
-    return spatial.hotspots(at.join(power, "face"), 1500.0, 5)
+    cells = at.join(power, "face")
+    return spatial.hotspot_areas(spatial.hotspots(cells, 1500.0, 5), cells, 1e6)
