@@ -1,22 +1,28 @@
 """Best-fit packing with certified bin counts.
 
-Documents become pieces of at most CAPACITY tokens (only longer documents are cut). Pieces are dealt over partitions of
-bounded size; each partition packs its pieces best-fit decreasing and computes a lower bound of its bin count from dual
-feasible functions (sizes over half the capacity are rounded up, sizes below a threshold are dropped, and rounding
-functions). A partition whose count meets its bound is certified and final. A partition with a gap keeps its full bins
-and gives the pieces of the bins with room to a pool; the pool is dealt anew, so that such partitions exchange
-documents, and is packed again, until all partitions are certified, the pool stops shrinking or ROUNDS are over.
+Documents become pieces of at most CAPACITY tokens (only longer documents are cut). Pieces are dealt over at least two
+partitions of bounded size; each packs its pieces best-fit decreasing and computes a lower bound of its bin count from
+dual feasible functions (sizes over half the capacity are rounded up, sizes below a threshold are dropped, and rounding
+functions). A partition whose count meets its bound is certified and keeps its bins. A partition with a gap keeps its
+full bins and gives the pieces of the bins with room to a pool; the pool is dealt anew, so that such partitions exchange
+documents, and is packed again. When no partition has a gap, the bins with room of all partitions are pooled and packed
+in the same way, as each may have one too many. The same bound over all pieces certifies the total: rounds end when the
+total meets it, when the pool no longer shrinks, or after ROUNDS. `certified` says whether the total met the bound.
 
 Defined results: null or empty text has only the final id 0, a piece of length 1. Repeated rows are packed each on their
-own. An empty table gives an empty result; extra columns are ignored.
+own; rows that are equal in every column are still dealt apart. Of pieces of equal size the one that comes first in its
+partition is placed first. Texts of any length are cut whole; a word of any length is tokenised, but none over
+KEPT_CHARS is kept. An empty table gives an empty result; extra columns of documents are ignored, those of pieces are
+carried, and where one has the name of a column that `pack` adds, the added one takes its place.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -30,50 +36,77 @@ from .shared import keep_only, slices, stored, table
 CAPACITY = 2048
 #: Pieces that one task packs at once.
 PIECES_AT_ONCE = 20_000
-ROUNDS = 4
-#: Distinct words that a worker keeps, and those that stay when there are more: the first seen, which are the frequent ones.
-WORDS_KEPT, WORDS_LEFT = 700_000, 450_000
+ROUNDS = 8
+#: Distinct words in each of the two generations that a worker keeps (about 200 bytes each), and the longest one kept.
+WORDS_KEPT, KEPT_CHARS = 250_000, 40
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
+# What the tokenizer file has to say for words to be tokenised on their own, and plain words by their stems.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+WORD_END = "</w>"
+
+#: What makes a text or word other than plain: characters beyond ASCII and the letters of Latin-1, and the start of an added token.
+_ODD = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]|<\|")
+#: The words of the tokenizer in a plain text in lower case.
+_WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+
+
+#: The characters under which the model lists bytes: those of Latin-1 that can be seen as they are, the others from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_SHOWN = {b: 256 + k for k, b in enumerate(_HIDDEN)}
+
 
 class WordTokenizer:
-    """Token ids of texts; a word between spaces is tokenised once, as no token reaches across white space."""
+    """Token ids of texts. Each word between spaces is tokenised once, as no token reaches across white space."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def learn(self, words: set[str]) -> None:
-        cache, parts = self.cache, {w: _stem(w) for w in words}
-        stems = list({s for s, _ in parts.values()}.union(".,").difference(cache))
-        for k in range(0, len(stems), 20_000):
-            some = stems[k : k + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                cache[w] = array("I", e.ids).tobytes()
-        for w, (stem, tail) in parts.items():
-            cache[w] = cache[stem] + cache[tail]
+        with open(path, encoding="utf-8") as f:
+            given = json.load(f)
+        split = (given["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        self.by_word = (given["normalizer"] or {}).get("normalizers") == NORMALIZERS and split.get("pattern") == {"Regex": WORD_PATTERN}
+        self.by_word &= given["model"].get("end_of_word_suffix") == WORD_END and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in given["added_tokens"])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def words(self, text: str) -> list[str]:
+        """The words of the tokenizer; of a text that is not plain, odd words between spaces stay whole behind a space."""
+        if not _ODD.search(text):
+            return _WORDS.findall(text.lower())
+        out: list[str] = []
+        for w in filter(None, text.replace("\n", " ").split(" ")):
+            out += [f" {w}"] if _ODD.search(w) else _WORDS.findall(w.lower())
+        return out
+
+    def learn(self, word: str) -> bytes:
+        """Ids of a word: of a plain one by the model's own merges, past the steps that only cut texts into words."""
+        if word[0] == " ":
+            ids = self.tokenizer.encode(word[1:], add_special_tokens=False).ids
+        else:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
+            ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return array("I", ids).tobytes()
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        if len(self.cache) > WORDS_KEPT:
-            self.cache = dict(islice(self.cache.items(), WORDS_LEFT))
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*cut).difference(self.cache))
-        get = self.cache.__getitem__
+        if not self.by_word:
+            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                yield array("I", e.ids).tobytes()
+            return
+        cut = [self.words(t) for t in texts]
+        young, old = self.young, self.old
+        new = {w: old[w] if w in old else self.learn(w) for w in set().union(*cut).difference(young)}
+        long = {w: new.pop(w) for w in [w for w in new if len(w) > KEPT_CHARS]}
+        young.update(new)
+        get = (young | long if long else young).__getitem__
         for words in cut:
             yield b"".join(map(get, words))
-
-
-def _stem(word: str) -> tuple[str, str]:
-    """A word without a last full stop or comma after a letter, which is a token of its own; ASCII in lower case."""
-    if word[-1:] in (".", ",") and word[-2:-1].isalpha() and len(word[-2].lower()) == 1:
-        word, tail = word[:-1], word[-1]
-    else:
-        tail = ""
-    return word.lower() if word.isascii() else word, tail
+        if len(young) > WORDS_KEPT:
+            self.old, self.young = young, {}
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -135,12 +168,12 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets, np.array(loads, np.int64)
 
 
-def lower_bound(sizes: np.ndarray, capacity: int) -> int:
-    """Bins that any packing needs: the best bound of two families of dual feasible functions over the size histogram."""
+def lower_bound(sizes: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
+    """Bins that any packing needs: the best bound of two families of dual feasible functions over the size histogram (sizes, each counts times)."""
     if not len(sizes):
         return 0
-    size, n = np.unique(sizes, return_counts=True)
-    best = -(-int(sizes.sum()) // capacity)
+    size, n = np.unique(sizes, return_counts=True) if counts is None else (sizes, counts)
+    best = -(-int((size * n).sum()) // capacity)
     # Family 1: sizes over capacity - k count as full bins, sizes under k as nothing.
     for k in {0, *size[2 * size <= capacity].tolist()}:
         value = np.where(size > capacity - k, capacity, np.where(size < k, 0, size))
@@ -153,47 +186,75 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
     return best
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS, at_once: int = PIECES_AT_ONCE) -> DataFrame:
-    """pieces (any columns, with length from 1 to capacity) with sequence_id, offset and certified (the bound was met where it was packed)."""
-    fields = pieces.schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", sequence_id long, offset long, certified boolean, open boolean"
+ADDED = ("sequence_id", "offset", "certified")
 
-    def pack_one(last: bool, turn: int):
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS, at_once: int = PIECES_AT_ONCE) -> DataFrame:
+    """pieces (any columns, with length from 1 to capacity) with sequence_id, offset and certified (the bins of all pieces are as few as their bound)."""
+    carried = [c for c in pieces.columns if c not in ADDED]
+    # Own names inside, so that no carried column can clash.
+    table = stored(pieces.select(F.col("length").cast("long").alias("size"), *(F.col(f"`{c}`").alias(f"x_{k}") for k, c in enumerate(carried))), "unpacked")
+    fields = table.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema) + ", bin long, place long, full boolean, tight boolean"
+    histogram = sorted((r["size"], r["count"]) for r in table.groupBy("size").count().collect())  # at most capacity rows
+    bound = lower_bound(np.array([s for s, _ in histogram], np.int64), capacity, np.array([c for _, c in histogram], np.int64))
+
+    def pack_one(turn: int):
         def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-            part = part.drop(columns="_deal")
-            sizes = part["length"].to_numpy()
+            sizes = part["size"].to_numpy()
             bins, offsets, loads = best_fit_decreasing(sizes, capacity)
-            certified = len(loads) == lower_bound(sizes, capacity)
-            roomy = loads[bins] < capacity
-            return part.assign(sequence_id=(turn << 56) + (int(key[0]) << 28) + bins, offset=offsets, certified=certified, open=roomy & (not certified) & (not last))
+            tight = len(loads) == lower_bound(sizes, capacity)
+            return part.drop(columns="deal").assign(bin=(turn << 56) + (int(key[0]) << 28) + bins, place=offsets, full=loads[bins] == capacity, tight=tight)
 
         return run
 
-    pool, done = pieces, []
-    spark = pieces.sparkSession
-    size = None
+    pool, n = table, sum(c for _, c in histogram)
+    done: list[DataFrame] = []
+    waiting: list[DataFrame] = []  # bins with room of certified partitions
+    bins = {"done": 0, "waiting": 0}
+    pooled_all = None
+    certified = False
     for turn in range(rounds):
-        n = pool.count()
-        parts = max(1, -(-n // at_once))
-        last = turn == rounds - 1 or parts == 1 or (size is not None and n > 0.9 * size)
-        size = n
-        # Another seed in each round: partitions with gaps exchange their pieces.
-        dealt = pool.withColumn("_deal", F.pmod(F.xxhash64(F.lit(turn), "doc_id", "piece"), F.lit(parts)))
-        packed = stored(dealt.groupBy("_deal").applyInPandas(pack_one(last, turn), schema), f"packed-{turn}")
-        done.append(packed.where("not open").drop("open"))
-        if last:
+        parts = max(1 if turn else 2, -(-n // at_once))
+        # Stored rows are numbered alike whenever they are read again; another seed in each round lets partitions exchange pieces.
+        dealt = pool.withColumn("deal", F.pmod(F.xxhash64(F.lit(turn), F.monotonically_increasing_id()), F.lit(parts)))
+        packed = stored(dealt.groupBy("deal").applyInPandas(pack_one(turn), schema), f"packed-{turn}")
+        seen = {(r["full"], r["tight"]): (r["bins"], r["n"]) for r in packed.groupBy("full", "tight").agg(F.count(F.when(F.col("place") == 0, 1)).alias("bins"), F.count("*").alias("n")).collect()}
+        of = lambda full, tight, k: seen.get((full, tight), (0, 0))[k]
+        certified = sum(b for b, _ in seen.values()) + sum(bins.values()) == bound
+        gap = of(False, False, 1)
+        if certified or turn == rounds - 1:
+            done.append(packed)
             break
-        pool = packed.where("open").select(*fields.names)
-        if pool.isEmpty():
+        full = packed.where("full")
+        if gap and parts > 1 and gap < 0.9 * n:
+            done.append(full)
+            waiting.append(packed.where("not full and tight"))
+            bins["done"] += of(True, True, 0) + of(True, False, 0)
+            bins["waiting"] += of(False, True, 0)
+            pool, n = packed.where("not full and not tight").select(*fields), gap
+            continue
+        rest = [*waiting, packed.where("not full")]
+        pool = rest[0]
+        for r in rest[1:]:
+            pool = pool.unionByName(r)
+        n_rest = pool.count()
+        if (parts == 1 and not waiting) or (pooled_all is not None and n_rest > 0.9 * pooled_all):
+            done.append(packed)
             break
+        done.append(full)
+        bins = {"done": bins["done"] + of(True, True, 0) + of(True, False, 0), "waiting": 0}
+        pool, n, pooled_all, waiting = pool.select(*fields), n_rest, n_rest, []
+    done += waiting
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out
+    names = [F.col(f"x_{k}").alias(c) for k, c in enumerate(carried)]
+    return out.select(*names, F.col("bin").alias("sequence_id"), F.col("place").alias("offset"), F.lit(certified).alias("certified"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    return pack(stored(token_pieces(docs, path, capacity), "pieces"), capacity)
+    return pack(token_pieces(docs, path, capacity), capacity)
 
 
 def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

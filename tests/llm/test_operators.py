@@ -170,10 +170,41 @@ def test_best_fit(docs, none, rows):
             assert offset == end
             end += length
         assert end <= capacity
-    assert -(-total // capacity) <= len(bins) <= -(-total // capacity) + 2
+    sizes = np.array([r["length"] for r in found])
+    assert len(bins) == best_fit.lower_bound(sizes, capacity) >= -(-total // capacity)
+    assert all(r["certified"] for r in found)
     assert best_fit.pack_documents(none, path).count() == 0
 
 
+def test_word_tokenizer():
+    """Ids of the library, also of added tokens in any case, odd letters, contractions and words that fall out of the cache."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), best_fit.WordTokenizer(path)
+    assert own.by_word
+    rng = random.Random(2)
+    texts = ["<|ENDOFTEXT|> a", "<|EndOfText|>", "x<|STARTOFTEXT|>y.", "<|startoftext|>x", "a<|endoftext|>.", "<|endoftext|", "Straße ſ ẞ İ K Å", "ΑΣ Σας", "don't it's WE'LL 'S a'd", "a\tb\xa0c\x1cd", "½ ²x 12", "é ́a", "", " \n\n ", "x" * 300]
+    texts += ["".join(rng.choice("aAbé ÉßÀ×.,!'<|>\t\n\r\xa0ſİΣς1²日😀́x") for _ in range(rng.randint(1, 30))) for _ in range(2000)]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for _ in range(2):
+        assert list(own.ids(texts)) == want
+        own.old, own.young = own.young, {}
+
+
+def test_best_fit_exchange(spark):
+    """Pieces of all partitions with room are packed again until the total meets its bound; equal rows are dealt apart; clashing names."""
+    rng = random.Random(8)
+    sizes = [rng.randint(1, 60) for _ in range(900)] + [7] * 300
+    pieces = spark.createDataFrame([(None, 0, s, 1, 2, 3, 4, 5) for s in sizes], "doc_id long, piece int, length long, deal int, size int, offset int, open int, x_0 int")
+    out = best_fit.pack(pieces, 100, at_once=100)
+    assert sorted(out.columns) == sorted([*pieces.columns, "sequence_id", "certified"])
+    found = out.collect()
+    assert sorted(r["length"] for r in found) == sorted(sizes) and all(r["certified"] and r["deal"] == 1 and r["size"] == 2 for r in found)
+    assert len({r["sequence_id"] for r in found}) == -(-sum(sizes) // 100) == best_fit.lower_bound(np.array(sizes), 100)
+
+
 def test_best_fit_rounds(spark):
     """Partitions with gaps exchange pieces; nothing is lost, and no more bins come out than without."""
     rng = random.Random(4)
