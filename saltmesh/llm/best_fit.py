@@ -7,7 +7,8 @@ functions). A partition whose count meets its bound is certified and keeps its b
 full bins and gives the pieces of the bins with room to a pool; the pool is dealt anew, so that such partitions exchange
 documents, and is packed again. When no partition has a gap, the bins with room of all partitions are pooled and packed
 in the same way, as each may have one too many. The same bound over all pieces certifies the total: rounds end when the
-total meets it, when the pool no longer shrinks, or after ROUNDS. `certified` says whether the total met the bound.
+total meets it, when the pool no longer shrinks, or after ROUNDS. Where the pool comes down to one partition that still
+has a gap, it exchanges up to EXCHANGES times with full bins of the others. `certified` says whether the total met the bound.
 
 Defined results: null or empty text has only the final id 0, a piece of length 1. Repeated rows are packed each on their
 own; rows that are equal in every column are still dealt apart. Of pieces of equal size the one that comes first in its
@@ -22,10 +23,10 @@ import json
 import re
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ from .shared import keep_only, slices, stored, table
 CAPACITY = 2048
 #: Pieces that one task packs at once.
 PIECES_AT_ONCE = 20_000
-ROUNDS = 8
+ROUNDS, EXCHANGES = 6, 3
 #: Distinct words in each of the two generations that a worker keeps (about 200 bytes each), and the longest one kept.
 WORDS_KEPT, KEPT_CHARS = 250_000, 40
 
@@ -186,6 +187,13 @@ def lower_bound(sizes: np.ndarray, capacity: int, counts: np.ndarray | None = No
     return best
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 ADDED = ("sequence_id", "offset", "certified")
 
 
@@ -200,55 +208,68 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS, at_o
     bound = lower_bound(np.array([s for s, _ in histogram], np.int64), capacity, np.array([c for _, c in histogram], np.int64))
 
     def pack_one(turn: int):
-        def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        def run(key: tuple, part: pa.Table) -> pa.Table:
             sizes = part["size"].to_numpy()
             bins, offsets, loads = best_fit_decreasing(sizes, capacity)
             tight = len(loads) == lower_bound(sizes, capacity)
-            return part.drop(columns="deal").assign(bin=(turn << 56) + (int(key[0]) << 28) + bins, place=offsets, full=loads[bins] == capacity, tight=tight)
+            found = [(turn << 56) + (key[0].as_py() << 28) + bins, offsets, loads[bins] == capacity, np.full(len(sizes), tight)]
+            return pa.table([*part.select(fields).columns, *map(pa.array, found)], [*fields, "bin", "place", "full", "tight"])
 
         return run
 
-    pool, n = table, sum(c for _, c in histogram)
+    def packed_in(pool: DataFrame, parts: int, turn: int) -> tuple[DataFrame, dict]:
+        """The pool packed in so many partitions, and its bins and pieces by (full, tight)."""
+        # Stored rows are numbered alike whenever they are read again; another seed in each round lets partitions exchange pieces.
+        dealt = pool.select(*fields).withColumn("deal", F.pmod(F.xxhash64(F.lit(turn), F.monotonically_increasing_id()), F.lit(parts)))
+        packed = stored(dealt.groupBy("deal").applyInArrow(pack_one(turn), schema), f"packed-{turn}")
+        groups = packed.groupBy("full", "tight").agg(F.count(F.when(F.col("place") == 0, 1)).alias("bins"), F.count("*").alias("n"))
+        return packed, Counter({(r["full"], r["tight"], of): r[of] for r in groups.collect() for of in ("bins", "n")})
+
+    def bins_of(seen: dict, full: tuple = (True, False)) -> int:
+        return sum(v for (f, _, of), v in seen.items() if of == "bins" and f in full)
+
+    pool, n, total = table, sum(c for _, c in histogram), sum(c for _, c in histogram)
     done: list[DataFrame] = []
     waiting: list[DataFrame] = []  # bins with room of certified partitions
-    bins = {"done": 0, "waiting": 0}
-    pooled_all = None
-    certified = False
+    n_done = n_waiting = 0
+    pooled = None
     for turn in range(rounds):
         parts = max(1 if turn else 2, -(-n // at_once))
-        # Stored rows are numbered alike whenever they are read again; another seed in each round lets partitions exchange pieces.
-        dealt = pool.withColumn("deal", F.pmod(F.xxhash64(F.lit(turn), F.monotonically_increasing_id()), F.lit(parts)))
-        packed = stored(dealt.groupBy("deal").applyInPandas(pack_one(turn), schema), f"packed-{turn}")
-        seen = {(r["full"], r["tight"]): (r["bins"], r["n"]) for r in packed.groupBy("full", "tight").agg(F.count(F.when(F.col("place") == 0, 1)).alias("bins"), F.count("*").alias("n")).collect()}
-        of = lambda full, tight, k: seen.get((full, tight), (0, 0))[k]
-        certified = sum(b for b, _ in seen.values()) + sum(bins.values()) == bound
-        gap = of(False, False, 1)
-        if certified or turn == rounds - 1:
-            done.append(packed)
+        packed, seen = packed_in(pool, parts, turn)
+        bins = n_done + n_waiting + bins_of(seen)
+        gap = seen[False, False, "n"]
+        rest = gap + seen[False, True, "n"]
+        if bins == bound or (parts == 1 and not waiting):
             break
-        full = packed.where("full")
+        n_done += bins_of(seen, (True,))
+        done.append(packed.where("full"))
         if gap and parts > 1 and gap < 0.9 * n:
-            done.append(full)
             waiting.append(packed.where("not full and tight"))
-            bins["done"] += of(True, True, 0) + of(True, False, 0)
-            bins["waiting"] += of(False, True, 0)
-            pool, n = packed.where("not full and not tight").select(*fields), gap
-            continue
-        rest = [*waiting, packed.where("not full")]
-        pool = rest[0]
-        for r in rest[1:]:
-            pool = pool.unionByName(r)
-        n_rest = pool.count()
-        if (parts == 1 and not waiting) or (pooled_all is not None and n_rest > 0.9 * pooled_all):
-            done.append(packed)
-            break
-        done.append(full)
-        bins = {"done": bins["done"] + of(True, True, 0) + of(True, False, 0), "waiting": 0}
-        pool, n, pooled_all, waiting = pool.select(*fields), n_rest, n_rest, []
-    done += waiting
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
+            n_waiting += seen[False, True, "bins"]
+            pool, n = packed.where("not full and not tight"), gap
+        else:
+            open_bins = _union([*waiting, packed.where("not full")])
+            n = open_bins.count() if waiting else rest
+            pool, waiting, n_waiting = open_bins, [], 0
+            if turn == rounds - 1 or (pooled is not None and n > 0.9 * pooled):
+                packed = pool
+                break
+            pooled = n
+    else:
+        packed = pool
+    if bins != bound and parts == 1 and not waiting:
+        # The last partition has a gap: it exchanges with full bins of the others, as many as it can hold.
+        for again in range(rounds, rounds + EXCHANGES):
+            chosen = F.pmod(F.xxhash64("bin", F.lit(again)), F.lit(max(1, -(-total // at_once)))) == 0
+            mixed = _union([packed, *(d.where(chosen) for d in done)])
+            tried, seen = packed_in(mixed, 1, again)
+            fewer = mixed.where("place = 0").count() - bins_of(seen)
+            if fewer > 0:
+                done, packed, bins = [d.where(~chosen) for d in done], tried, bins - fewer
+            if bins == bound:
+                break
+    certified = bins == bound
+    out = _union([*done, *waiting, packed])
     names = [F.col(f"x_{k}").alias(c) for k, c in enumerate(carried)]
     return out.select(*names, F.col("bin").alias("sequence_id"), F.col("place").alias("offset"), F.lit(certified).alias("certified"))
 

@@ -6,17 +6,23 @@ import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Powers that a worker keeps; longer buffers have theirs computed each time.
+KEPT = 1 << 20
+_powers: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i < n."""
-    if len(_powers[0]) < n:
-        for k, b in enumerate((BASE, _INVERSE)):
-            step = np.full(max(n, 2 * len(_powers[k])), b, np.uint64)
-            step[0] = 1
-            _powers[k] = np.multiply.accumulate(step)
-    return _powers[0][:n], _powers[1][:n]
+    if n <= KEPT and _powers:
+        return _powers[0][:n], _powers[1][:n]
+    made = []
+    for b in (BASE, _INVERSE):
+        step = np.full(max(n, KEPT), b, np.uint64)
+        step[0] = 1
+        made.append(np.multiply.accumulate(step))
+    if n <= KEPT:
+        _powers[:] = made
+    return made[0][:n], made[1][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -34,8 +33,8 @@ NONE = np.int32(2**31 - 1)
 STRANGE = 1 << 20
 #: Distinct words encoded at once.
 WORDS_AT_ONCE = 100_000
-#: Distinct words that a worker keeps, and those that stay when there are more: the first seen, which are the frequent ones.
-WORDS_KEPT, WORDS_LEFT = 250_000, 125_000
+#: Distinct words in each of the two generations that a worker keeps (about 350 bytes each), and the longest one kept.
+WORDS_KEPT, KEPT_CHARS = 125_000, 40
 
 
 class PieceModel:
@@ -74,7 +73,8 @@ class PieceModel:
         self.pairs, self.merged = np.array(pairs, np.int64)[order], np.array(merged, np.int32)[order]
         scores = np.array([sp.get_score(int(i)) for i in self.merged])
         self.rank = np.unique(-scores, return_inverse=True)[1].astype(np.int32)
-        self.cache: dict[str, tuple[str, int, str]] = {}
+        self.young: dict[str, tuple[str, int, str]] = {}
+        self.old: dict[str, tuple[str, int, str]] = {}
 
     def look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NONE: no piece) and merged piece of each pair."""
@@ -164,8 +164,9 @@ class PieceModel:
                 out += [self.byte_id[b] for b in (chr(s - STRANGE) if s >= STRANGE else self.char_of[s]).encode()]
         return out
 
-    def learn(self, words: list[str]) -> None:
-        """Puts words into the cache: ids in decimal, their number, and their text again."""
+    def learn(self, words: list[str]) -> dict[str, tuple[str, int, str]]:
+        """For each word its ids in decimal, their number, and their text again."""
+        known: dict[str, tuple[str, int, str]] = {}
         for k in range(0, len(words), WORDS_AT_ONCE):
             part = words[k : k + WORDS_AT_ONCE]
             sym, size = self.merge([SPACE + w for w in part])
@@ -176,11 +177,12 @@ class PieceModel:
             for w, end, odd in zip(part, ends.tolist(), strange.tolist(), strict=True):
                 if odd:
                     ids = self.ids_of(sym[start:end])
-                    self.cache[w] = (" ".join(map(str, ids)), len(ids), self.text(ids))
+                    known[w] = (" ".join(map(str, ids)), len(ids), self.text(ids))
                 else:
                     own = symbols[start:end]
-                    self.cache[w] = (" ".join([text_of[s] for s in own]), end - start, "".join([pieces[s] for s in own]))
+                    known[w] = (" ".join([text_of[s] for s in own]), end - start, "".join([pieces[s] for s in own]))
                 start = end
+        return known
 
     def text(self, ids: list[int]) -> str:
         """Pieces in order, runs of byte pieces read as UTF-8 (each invalid byte as U+FFFD), still escaped."""
@@ -208,16 +210,20 @@ class PieceModel:
 
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[str, int, str]]:
         """For each text, its ids in decimal with the end id, their number, and the text that they decode to."""
-        if len(self.cache) > WORDS_KEPT:
-            self.cache = dict(islice(self.cache.items(), WORDS_LEFT))
         cut = [self.words(t) if t else [] for t in texts]
-        new = set().union(*cut).difference(self.cache)
-        self.learn(list(new))
-        found = self.cache
+        young, old = self.young, self.old
+        asked = set().union(*cut).difference(young)
+        new = self.learn([w for w in asked if w not in old])
+        young.update((w, old[w]) for w in asked if w in old)
+        long = {w: new.pop(w) for w in [w for w in new if len(w) > KEPT_CHARS]}
+        young.update(new)
+        found = young | long if long else young
         for words in cut:
             parts = [found[w] for w in words]
             ids = " ".join([p[0] for p in parts])
             yield f"{ids} {self.end}".lstrip(), sum([p[1] for p in parts]) + 1, _unescape("".join([p[2] for p in parts]))
+        if len(young) > WORDS_KEPT:
+            self.old, self.young = young, {}
 
     def encode(self, text: str) -> list[int]:
         return list(map(int, next(self.encode_batch([text]))[0].split()))

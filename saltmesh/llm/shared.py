@@ -7,6 +7,7 @@ import uuid
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,10 +44,42 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     bounded_batches(spark)
     path = new_folder(spark, what)
+    _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_made: list[str] = []
+
+
+def tables_made() -> int:
+    """How many tables `stored` has written so far."""
+    return len(_made)
+
+
+def last_made() -> str:
+    return _made[-1]
+
+
+def drop_tables(spark: SparkSession, since: int, keep: tuple[str, ...] = ()) -> None:
+    """Deletes the tables that `stored` wrote since then. Only for tables that nothing reads any more."""
+    for path in _made[since:]:
+        if path not in keep:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _made[since:] = [p for p in _made[since:] if p in keep]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores put in front until df has no column of them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner delete shuffle files of plans that are no longer referenced."""
     import gc
@@ -79,6 +112,7 @@ _held: list[dict] = []
 def keep_only(caches: dict | None = None) -> None:
     """Empties what tasks of other operators left in this Python worker, which Spark uses again, and notes the caches of this one."""
     for other in _held:
-        if other is not caches:
+        if other is not caches and other:
             other.clear()
+            pa.default_memory_pool().release_unused()
     _held[:] = [] if caches is None else [caches]

@@ -196,7 +196,7 @@ def test_word_tokenizer():
 def test_best_fit_exchange(spark):
     """Pieces of all partitions with room are packed again until the total meets its bound; equal rows are dealt apart; clashing names."""
     rng = random.Random(8)
-    sizes = [rng.randint(1, 60) for _ in range(900)] + [7] * 300
+    sizes = [rng.randint(1, 60) for _ in range(300)] + [rng.randint(1, 8) for _ in range(600)] + [7] * 300
     pieces = spark.createDataFrame([(None, 0, s, 1, 2, 3, 4, 5) for s in sizes], "doc_id long, piece int, length long, deal int, size int, offset int, open int, x_0 int")
     out = best_fit.pack(pieces, 100, at_once=100)
     assert sorted(out.columns) == sorted([*pieces.columns, "sequence_id", "certified"])
