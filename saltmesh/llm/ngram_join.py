@@ -1,22 +1,25 @@
 """Near duplicates by an exact Jaccard join of word n-grams over a token-group matrix.
 
-A document is the set of its distinct n-word shingles (64-bit hashes). Equal sets are one representative. Documents of
-which some band of minima agrees are candidates; ROWS minima to a band and BANDS bands leave a pair at the threshold
-unseen with a probability under 1e-9. Candidates are partitioned into groups of similar documents: each joins the
-leader that shares most bands with it, and groups are cut into blocks of bounded size. For each block its token union
-is kept: a query that has too few shingles in the union can't link to any member, and the block stays shut; open blocks
-are compared by exact intersection sizes.
-
-Blocks are compared within themselves first; then one document of each component crosses to the leading block of a
-shared band (bridges). What is left are documents in bands with several components. Their shingles are counted, and a
-document visits the blocks where its rarest shingles stand among the rarest of a member of a larger component: of two
-linked documents, as many of the rarest as their size leaves room to differ, and one, must have one in common. A passage
-that many documents share thus brings no visits. Components are taken after each step, so a group of thousands of near
-copies costs its size and not the square of it.
+A document is the set of its distinct n-word shingles (64-bit hashes). Equal sets are one node. In any order of the
+tokens that all sets share, the first tokens that two linked sets have in common stand among the first tokens of both:
+the first `few` of them within `head` places. So each set's head in the order of the hashes is its row of keys, and a
+set that shares fewer than `least` keys with others links to nothing. What is left is exact: no link is lost.
+
+Sets with enough shared keys are partitioned into groups of similar documents: each joins the leader that most of its keys
+have, and groups are cut into blocks of bounded size. For each block its token union is kept, with who has which token: a
+query with too few tokens in the union can't link to any member, and the block stays shut; open blocks are compared by
+exact intersection sizes.
+
+Blocks are compared within themselves first; then one document of each component crosses to the block of a leader of
+its keys (bridges). Left are documents that still share enough keys with other components. All their tokens are counted, and a
+document opens the blocks in whose column of the matrix one of its rarest tokens stands (rarest among those documents): of
+two linked documents, as many of the rarest as their size leaves room to differ, and one, must have one in common. A
+passage that many documents share thus brings no visits. Components are taken after each step, so a group of thousands of
+near copies costs its size and not the square of it.
 
 Defined results: null or empty text, or one without words, has n_shingles 0 and its own id as component. Fewer than n
-words are one shingle. Rows of the same doc_id are one row each with the same component if their texts link. Extra
-columns are ignored; an empty table gives an empty result.
+words are one shingle. Rows that repeat an id are rows of their own: they have one component only if their texts link. Extra
+columns are ignored, whatever their names; rows without an id link to nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,23 +28,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytehash import Prefix, mix
 from .components import components
-from .shared import free_shuffles, keep_only, slices, stored, table
+from .shared import free_shuffles, fresh, keep_only, slices, stored, table
 
 WORDS, PERCENT = 5, 80
-BANDS, ROWS = 40, 4
-#: Documents of a block, and visitors that one task compares with it.
+#: Documents of a block, and visitors that are compared with it at once.
 BLOCK = 128
-#: Candidates up to which their ids are broadcast to the documents (16 bytes each); beyond it the documents are shuffled.
+#: Rows of ids and numbers up to which they are broadcast to the documents (40 bytes each); beyond it the documents are shuffled.
 BROADCAST_ROWS = 200_000
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
-_FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-_BAND_SALT = mix(np.arange(1001, 1001 + BANDS, dtype=np.uint64))
 
 
 def shingle_sets(texts: list[str], n: int = WORDS) -> Iterator[np.ndarray]:
@@ -72,48 +72,60 @@ def shingle_sets(texts: list[str], n: int = WORDS) -> Iterator[np.ndarray]:
             yield np.empty(0, np.uint64)
 
 
-def band_keys(s: np.ndarray) -> np.ndarray:
-    """BANDS keys, each of ROWS minima under multiplication by odd factors."""
-    low = np.full(len(_FACTORS), np.uint64(2**64 - 1))
-    for k in range(0, len(s), 256):
-        np.minimum(low, (s[k : k + 256, None] * _FACTORS).min(axis=0), out=low)
-    key = _BAND_SALT.copy()
-    for r in range(ROWS):
-        key = mix(key + low[r::ROWS])
-    return key
+def need(n, percent: int):
+    """Tokens of n that a partner has to share at the least: of the union, so of each side. For numbers and columns."""
+    return F.ceil(n * percent / 100) if isinstance(n, Column) else -(-n * percent // 100)
 
 
-def signatures(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, keys): set_a and set_b name the set, keys has the band keys."""
+def few(n, percent: int):
+    """How many of the first common tokens the head of a set of n tokens surely holds."""
+    if isinstance(n, Column):
+        return F.least(need(n, percent), F.floor((n - need(n, percent)) / 2) + 1)
+    return min(need(n, percent), (n - need(n, percent)) // 2 + 1)
+
+
+def head(n: int, percent: int) -> int:
+    """Places among which the first `few` common tokens stand: a set may lack n - need of its tokens before them."""
+    return n - need(n, percent) + few(n, percent)
+
+
+def least(n: Column, percent: int) -> Column:
+    """Keys that a set of n tokens shares with any partner; partners may be as small as need(n)."""
+    return few(need(n, percent), percent)
+
+
+def signatures(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """docs (doc_id, text) to (doc_id, text_key, n_shingles, set_a, set_b, keys): set_a and set_b name the set, keys are the least of its hashes, text_key tells rows of one id apart."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_only()
         for batch in batches:
             size, a, b, keys = [], [], [], []
-            for part in slices(batch.column(1).to_pylist()):
+            for part in slices(batch.column(2).to_pylist()):
                 for s in shingle_sets(part, n):
                     size.append(len(s))
                     a.append(np.int64(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                     b.append(np.int64(mix(s + np.uint64(77)).sum(dtype=np.uint64).astype(np.int64)))
-                    keys.append(band_keys(s).astype(np.int64) if len(s) else np.empty(0, np.int64))
+                    keys.append(s[: head(len(s), percent)].astype(np.int64) if len(s) else np.empty(0, np.int64))
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *keys])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), lists], ["doc_id", "n_shingles", "set_a", "set_b", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), lists], ["doc_id", "text_key", "n_shingles", "set_a", "set_b", "keys"])
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(sign, "doc_id long, text_key long, n_shingles long, set_a long, set_b long, keys array<long>")
 
 
 def token_sets(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """(rep, text, block) to (rep, block, tokens)."""
+    """(node, block, text) to (node, block, tokens)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.sort(s.astype(np.int64)) for part in slices(batch.column(1).to_pylist()) for s in shingle_sets(part, n)]
+            sets = [np.sort(s.astype(np.int64)) for part in slices(batch.column(2).to_pylist()) for s in shingle_sets(part, n)]
             offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], ["rep", "block", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["node", "block", "tokens"])
 
-    return docs.select("rep", "text", "block").mapInArrow(cut, "rep long, block long, tokens array<long>")
+    return docs.select("node", "block", "text").mapInArrow(cut, "node long, block long, tokens array<long>")
 
 
 class TokenBlock:
@@ -143,7 +155,7 @@ class TokenBlock:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows (block, slot, kind, rep, component, tokens), which come sorted, of one block and slot at a time."""
+    """Rows (block, slot, kind, node, component, tokens), which come sorted, of one block and slot at a time."""
     held: list[tuple] = []
     for batch in batches:
         lists = batch.column(5)
@@ -194,113 +206,140 @@ def compare(rows: DataFrame, percent: int, within: bool) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     placed = rows.repartition(_tasks(rows.sparkSession), "block", "slot").sortWithinPartitions("block", "slot", "kind")
-    return placed.select("block", "slot", "kind", "rep", "component", "tokens").mapInArrow(run, "a long, b long")
+    return placed.select("block", "slot", "kind", "node", "component", "tokens").mapInArrow(run, "a long, b long")
 
 
 def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _labelled(ids: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """ids with rep: component from labels, else rep itself."""
+def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """nodes with their component from labels, else themselves."""
     if labels is None:
-        return ids.withColumn("component", F.col("rep"))
-    return ids.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        return nodes.withColumn("component", F.col("node"))
+    return nodes.join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _visits_by_rare_tokens(docs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """(rep, component, block) for docs (rep, block, component): whom each document has to be compared with, once for each pair, from the smaller component to the larger."""
+def _opened_by_rare_tokens(docs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """(node, component, block) for docs (node, block, component): the blocks that each document opens, once for each pair, from the smaller component to the larger."""
     docs = stored(docs, "unsettled")
     size = docs.groupBy("component").agg(F.count("*").alias("members"))
-    docs = stored(docs.join(size, "component").select("rep", "block", F.struct("members", "component").alias("own")), "unsettled")
-    held = tokens.select("rep", "tokens").join(docs, "rep")
-    entries = held.select("rep", "block", "own", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    docs = stored(docs.join(size, "component").select("node", "block", F.struct("members", "component").alias("own")), "unsettled")
+    held = tokens.select("node", "tokens").join(docs.select("node"), "node")
+    entries = held.select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     often = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    shared = entries.join(often, "token").groupBy("rep", "block", "own", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("list"))
-    # Shingles of one document alone come first in the order and need no rows.
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("list"))
+    shared = entries.join(often, "token").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("list"))
+    # Tokens of one document alone come first in the order and need no rows.
+    length = F.col("n") - need(F.col("n"), percent) + 1 - (F.col("n") - F.size("list"))
     first = F.slice("list", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))
-    prefix = stored(shared.select("rep", "block", "own", F.explode(first).alias("t")).select("rep", "block", "own", "t.token"), "rare-tokens")
+    rare = shared.select("node", F.explode(first).alias("t")).select("node", "t.token").join(docs, "node")
+    rare = stored(rare, "rare-tokens")
     free_shuffles(docs.sparkSession)
-    seats = prefix.groupBy("token", "block").agg(F.max("own").alias("top"))
-    met = prefix.withColumnRenamed("block", "_from").join(seats, "token").where("block <> _from and top > own")
-    return met.select("rep", F.col("own.component").alias("component"), "block").distinct()
+    columns = rare.groupBy("token", "block").agg(F.max("own").alias("top"))
+    met = rare.withColumnRenamed("block", "_from").join(columns, "token").where("block <> _from and top > own")
+    return met.select("node", F.col("own.component").alias("component"), "block").distinct()
+
+
+def _nodes(signed: DataFrame) -> DataFrame:
+    """(node, rep, text_key, set_a, set_b, n_shingles, keys) of each set: rep is its smallest doc_id. The node is that id too, or a number of its own where an id stands for several texts that are each the first of their sets."""
+    named = signed.where("n_shingles > 0 and doc_id is not null")
+    sets = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("keys").alias("keys"))
+    sets = stored(sets.select("set_a", "set_b", "n_shingles", F.col("least.doc_id").alias("rep"), "least.text_key", "keys"), "sets")
+    several = stored(sets.groupBy("rep").agg(F.count("*").alias("k")).where("k > 1").select("rep", F.lit(True).alias("several")), "repeated-ids")
+    if several.isEmpty():
+        return sets.withColumn("node", F.col("rep"))
+    return sets.join(several, "rep", "left").withColumn("node", F.when(F.col("several"), F.xxhash64("rep", "set_a", "set_b")).otherwise(F.col("rep"))).drop("several")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): component_id is the smallest doc_id that links reach."""
+    """(doc_id, text_key, n_shingles, component_id): component_id is the smallest doc_id that links reach, text_key the xxhash64 of the text."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = stored(signatures(docs, n), "signed")
-    named = signed.where("n_shingles > 0 and doc_id is not null")
-    reps = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
-    reps = stored(reps, "reps")
+    signed = stored(signatures(docs, n, percent), "signed")
+    nodes = stored(_nodes(signed), "nodes")
     free_shuffles(spark)
-    entries = reps.select("rep", F.explode("keys").alias("key"))
+    entries = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     shared_keys = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     entries = stored(entries.join(shared_keys, "key"), "entries")
     free_shuffles(spark)
+    ready = entries.groupBy("node", "n").agg(F.count("*").alias("shared"), F.sum("c").alias("w")).where(F.col("shared") >= least(F.col("n"), percent))
+    entries = stored(entries.select("node", "key").join(ready.select("node", "n", "w"), "node"), "ready")
 
     # Groups: the leader of a key is the document that shares most keys with others; a document joins its most frequent leader.
-    weight = entries.groupBy("rep").agg(F.sum("c").alias("w"))
-    leaders = entries.join(weight, "rep").groupBy("key").agg(F.max_by("rep", F.struct("w", -F.col("rep"))).alias("leader"))
-    leaders = stored(leaders, "leaders")
-    votes = entries.join(leaders, "key").groupBy("rep", "leader").agg(F.count("*").alias("v"))
-    group = votes.groupBy("rep").agg(F.max_by("leader", F.struct("v", -F.col("leader"))).alias("grp"))
+    leaders = entries.groupBy("key").agg(F.max_by("node", F.struct("w", -F.col("node"))).alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c")
+    votes = stored(entries.select("node", "n", "key").join(leaders, "key").groupBy("node", "n", "leader").agg(F.count("*").alias("v")), "votes")
+    group = votes.groupBy("node").agg(F.max_by("leader", F.struct("v", -F.col("leader"))).alias("grp"))
     group = stored(group, "groups")
     parts = group.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
-    blocks = stored(group.join(parts, "grp").select("rep", F.xxhash64("grp", F.pmod(F.xxhash64("rep"), "parts")).alias("block")), "blocks")
-    wanted = blocks.withColumnRenamed("rep", "_rep")
+    blocks = stored(group.join(parts, "grp").select("node", F.xxhash64("grp", F.pmod(F.xxhash64("node"), "parts")).alias("block")), "blocks")
+    free_shuffles(spark)
+    wanted = blocks.join(nodes.select("node", "rep", "text_key"), "node")
     if blocks.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    chosen = docs.join(wanted, F.col("doc_id") == F.col("_rep")).select(F.col("_rep").alias("rep"), "text", "block")
+    chosen = docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("text_key"), "text").join(wanted, ["rep", "text_key"])
+    # Rows that repeat an id and a text are one.
+    chosen = chosen.groupBy("node", "block").agg(F.first("text").alias("text"))
     tokens = stored(token_sets(chosen, n), "tokens")
     free_shuffles(spark)
 
-    slot0 = F.lit(0).alias("slot")
-    links = stored(compare(_labelled(tokens, None).select("block", slot0, F.lit(0).alias("kind"), "rep", "component", "tokens"), percent, within=True), "within")
+    own = _labelled(tokens, None).select("block", F.lit(0).alias("slot"), F.lit(0).alias("kind"), "node", "component", "tokens")
+    links = stored(compare(own, percent, within=True), "within")
     free_shuffles(spark)
 
-    where = entries.select("key", "rep").join(blocks, "rep")
     for step in ("bridges", "rest"):
         labels = components(links)
-        placed = stored(_labelled(where, labels), "placed")
-        mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         if step == "bridges":
-            # One document of each component and key goes to the block of the key's leader.
-            lead = mixed.select("key").join(leaders, "key").join(blocks.select(F.col("rep").alias("leader"), F.col("block").alias("lead")), "leader")
-            at = placed.join(lead, "key").groupBy("key", "component", "lead").agg(F.min("rep").alias("rep"))
-            visits = at.select("rep", "component", F.col("lead").alias("block")).distinct()
+            # One document of each component, the most similar one, goes to the block of a leader.
+            asked = votes.where(F.col("v") >= least(F.col("n"), percent)).select("node", "leader", "v")
+            lead = _labelled(blocks, labels).select(F.col("node").alias("leader"), "block", F.col("component").alias("theirs"))
+            at = _labelled(asked, labels).join(lead, "leader").where("component <> theirs")
+            visits = at.groupBy("component", "leader", "block").agg(F.max_by("node", F.struct("v", -F.col("node"))).alias("node"))
+            visits = visits.select("node", "component", "block").distinct()
         else:
-            visits = _visits_by_rare_tokens(placed.join(mixed.select("key"), "key").select("rep", "block", "component").distinct(), tokens, percent)
-        visits = stored(visits.join(blocks.withColumnRenamed("block", "_home"), "rep").where("block <> _home").drop("_home"), "visits")
+            placed = stored(_labelled(entries.select("key", "node", "n"), labels), "placed")
+            mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+            left = placed.join(mixed.select("key"), "key").groupBy("node", "n", "component").agg(F.count("*").alias("shared"))
+            left = left.where(F.col("shared") >= least(F.col("n"), percent)).select("node", "component").join(blocks, "node")
+            visits = _opened_by_rare_tokens(left, tokens, percent)
+        visits = stored(visits.join(blocks.withColumnRenamed("block", "_home"), "node").where("block <> _home").drop("_home"), "visits")
         if visits.isEmpty():
             continue
         slots = visits.groupBy("block").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("slots"))
-        went = visits.join(slots, "block").withColumn("slot", F.pmod(F.xxhash64("rep"), "slots").cast("int"))
-        visitors = went.join(tokens.select("rep", "tokens"), "rep").select("block", "slot", F.lit(1).alias("kind"), "rep", "component", "tokens")
+        went = visits.join(slots, "block").withColumn("slot", F.pmod(F.xxhash64("node"), "slots").cast("int"))
+        visitors = went.join(tokens.select("node", "tokens"), "node").select("block", "slot", F.lit(1).alias("kind"), "node", "component", "tokens")
         members = _labelled(tokens.join(slots, "block"), labels).withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-        members = members.select("block", "slot", F.lit(0).alias("kind"), "rep", "component", "tokens")
+        members = members.select("block", "slot", F.lit(0).alias("kind"), "node", "component", "tokens")
         more = stored(compare(members.unionByName(visitors), percent, within=False), step)
         links = links.unionByName(more)
         free_shuffles(spark)
-    labels = components(links).withColumnRenamed("id", "rep")
-    found = reps.select("set_a", "set_b", "n_shingles", "rep").join(labels, "rep", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    found = stored(found, "components")
+    labels = nodes.select("node", "rep", "set_a", "set_b", "n_shingles").join(components(links).withColumnRenamed("id", "node"), "node")
+    least_id = labels.groupBy("component").agg(F.min("rep").alias("component_id"))
+    linked = labels.join(least_id, "component").select("set_a", "set_b", "n_shingles", "component_id")
+    alone = nodes.join(labels.select("node"), "node", "left_anti").select("set_a", "set_b", "n_shingles", F.col("rep").alias("component_id"))
+    found = stored(linked.unionByName(alone), "components")
     joined = signed.drop("keys").join(found, ["set_a", "set_b", "n_shingles"], "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return joined.select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs without those that link to a document of a smaller id; of rows equal in id and text one stays."""
-    found = stored(near_duplicates(docs), "near-duplicates")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    twice = not found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").isEmpty()
-    if found.where("doc_id <> component_id").count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    return kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text") if twice else kept
+    """The rows of docs without those that link to a document of a smaller id; of rows equal in id and text one stays. Rows without an id stay."""
+    found = stored(near_duplicates(docs), "near-duplicates").where("doc_id is not null")
+    gone = found.where("doc_id <> component_id").select("doc_id", "text_key").distinct()
+    twice = found.where("doc_id = component_id").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_key")
+    number, key = fresh(docs, "__doc", "__text")
+    named = docs.withColumns({number: F.col("doc_id").cast("long"), key: F.xxhash64(F.col("text").cast("string"))})
+    gone, twice = stored(gone, "gone"), stored(twice, "twice")
+
+    def among(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        keys = keys.select(F.col("doc_id").alias(number), F.col("text_key").alias(key))
+        return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, [number, key], how)
+
+    kept = among(gone, "left_anti", named)
+    if not twice.isEmpty():
+        once = among(twice, "left_semi", kept).dropDuplicates(["doc_id", "text"])
+        kept = among(twice, "left_anti", kept).unionByName(once)
+    return kept.select(*docs.columns)
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")

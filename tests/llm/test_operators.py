@@ -388,6 +388,37 @@ def test_one_of_each(docs, rows):
     assert set(ids) == want and len(ids) == len(want)
 
 
+def test_one_of_each_of_repeated_ids(spark):
+    """An id that several texts have: each text links on its own, and only rows of linked texts go."""
+    rng = random.Random(6)
+    a, b, c = (words(rng, 40, [f"w{k}" for k in range(500)]) for _ in range(3))
+    rows = [(3, a), (7, a), (7, b), (7, c), (5, c), (9, b), (8, "x y"), (8, "x y"), (8, None), (None, a), (None, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, 1, 2, "k") for i, t in rows], "doc_id long, text string, __doc int, component_id int, text_key string")
+    found = Counter((r["doc_id"], r["n_shingles"] > 0, r["component_id"]) for r in ngram_join.near_duplicates(docs).collect())
+    want = [(3, True, 3), (7, True, 3), (7, True, 7), (7, True, 5), (5, True, 5), (9, True, 7), (8, True, 8), (8, True, 8), (8, False, 8), (None, True, None), (None, False, None), (4, False, 4)]
+    assert found == Counter(want)
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    want = [(3, a), (7, b), (5, c), (8, "x y"), (8, None), (None, a), (None, None), (4, "")]
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want)
+
+
+def test_heads_hold_every_link():
+    """Of any two linked sets, enough of the first common tokens stand in both heads."""
+    rng = np.random.default_rng(1)
+    for percent in (80, 50, 95):
+        for _ in range(400):
+            n = int(rng.integers(1, 60))
+            a = rng.choice(2000, n, replace=False)
+            b = np.unique(np.r_[rng.choice(a, int(rng.integers(0, n + 1)), replace=False), rng.choice(2000, int(rng.integers(0, 12)), replace=False)])
+            shared = len(np.intersect1d(a, b))
+            if 100 * shared >= percent * len(np.union1d(a, b)):
+                x, y = (np.sort(s)[: ngram_join.head(len(s), percent)] for s in (a, b))
+                both = len(np.intersect1d(x, y))
+                for size in (len(a), len(b)):
+                    assert both >= ngram_join.few(ngram_join.need(size, percent), percent) >= 1
+
+
 def brute_removal(rows, length=200):
     raw = [(r[1] or "").encode() for r in rows]
     seen = Counter(b[k : k + length] for b in raw for k in range(len(b) - length + 1))
