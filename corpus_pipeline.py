@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; all but the last return the
 columns of `documents`. Rows with null or empty text are rejected by the first stage; columns may hold nulls, and rows
-may repeat. An empty table passes through as an empty table. What a stage does in other cases is said in its operator.
+may repeat. A document of which `repeated_passages` leaves nothing stays with empty text and is packed as its end id
+alone. An empty table passes through as an empty table. What a stage does in other cases is said in its operator.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from saltmesh.llm import best_fit, language_crf, ngram_join, quality_bayes, suffix_dedup
-from saltmesh.llm.shared import stored, table
+from saltmesh.llm.shared import drop_tables, last_made, stored, table, tables_made
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, since = table(spark, sf_dir, "documents"), tables_made()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        # What the stage and the one before it wrote is read no more.
+        drop_tables(spark, since, keep=(last_made(),))
     return docs

@@ -8,19 +8,23 @@ distances, so only suffixes at anchors need sorting. Neighbouring windows with o
 2. Stretches whose anchor bytes also stand in other stretches may share a part of their windows. Each task sorts its
    suffixes (from the anchor to the end of the stretch), front-codes the run, and deals it by splitters; a task merges
    the runs of its range by a loser tree that knows common prefixes with the last winner and never compares them again.
-   The common prefix with both neighbours bounds which windows can be repeated; those are compared by hash.
+   The common prefix with both neighbours bounds which windows can be repeated; those are compared by hash. There are
+   at most SPLITTERS splitters; beyond that each range is dealt further by its anchor bytes, so that a range stays small
+   however many suffixes there are.
 3. Anchor bytes with over HOT distinct stretches are dealt window by window instead, with counts combined before the
    shuffle, so that no range holds an unbounded group.
 
 Defined results: null or empty text has n_bytes 0, nothing removed and the hash of no bytes. Texts under LENGTH bytes
-stay whole. Equal texts of LENGTH bytes or more are removed whole, repeated rows too. Matches never cross documents.
-Extra columns are ignored; an empty table gives an empty result.
+stay whole. Equal texts of LENGTH bytes or more are removed whole, repeated rows too; the work grows in proportion to
+such rows. Matches never cross documents. Texts over SEGMENT bytes are searched in overlapping segments, and removed from
+whole. Extra columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +38,11 @@ from .shared import free_shuffles, slices, stored, table
 LENGTH, KMER = 200, 32
 #: Distinct stretches of one anchor over which its windows are dealt one by one.
 HOT = 2_000
-#: Suffixes of a range, ranges at most, and suffixes drawn for each splitter.
-RANGE, MAX_RANGES, DRAWN = 20_000, 10_000, 8
-#: Bits of the place in a buffer; the bits above hold the hash that orders anchors.
+#: Suffixes of a range, splitters at most, and suffixes drawn for each splitter.
+RANGE, SPLITTERS, DRAWN = 20_000, 10_000, 8
+#: Bytes of a text that are searched at once.
+SEGMENT = 1 << 20
+#: Bits of the place in a buffer, which is some segments long at most; the bits above hold the hash that orders anchors.
 PLACE_BITS = 28
 
 
@@ -75,12 +81,27 @@ def stretches(raw: list[bytes], length: int = LENGTH, kmer: int = KMER) -> tuple
     return text, first - begin[text], count, anchor - first, khash[anchor].astype(np.int64), content.astype(np.int64)
 
 
+def segments(raw: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """(number of the text, place, bytes) in lists of about SEGMENT bytes: each window of the texts stands in one segment."""
+    part: list[tuple[int, int, bytes]] = []
+    size = 0
+    for k, data in enumerate(raw):
+        for at in range(0, max(1, len(data) - length + 1), SEGMENT):
+            part.append((k, at, data[at : at + SEGMENT + length - 1]))
+            size += len(part[-1][2])
+            if size >= SEGMENT:
+                yield part
+                part, size = [], 0
+    if part:
+        yield part
+
+
 def _arrow(names: str, columns: list, kinds: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.int64())) for n, c in zip(names.split(), columns, strict=True)], names.split())
 
 
 def find_stretches(docs: DataFrame, length: int) -> DataFrame:
-    """docs (row, text) to (kmer, content, row, start, windows, ahead, times).
+    """docs (doc, row, text) to (kmer, content, doc, row, start, windows, ahead, times).
 
     Stretches that a slice of texts holds several times are known to be repeated there and then: the first of them
     stands for all (times is their number), the others have times 0 and need no shuffle to be found out.
@@ -88,33 +109,37 @@ def find_stretches(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, done = batch.column(0).to_numpy(), 0
-            for part in slices(batch.column(1).to_pylist()):
-                text, start, count, ahead, kmer, content = stretches([t.encode() for t in part], length)
-                times = np.zeros(len(kmer), np.int32)
-                if len(kmer):
-                    order = np.lexsort((content, kmer))
-                    head = np.flatnonzero(np.r_[True, (kmer[order][1:] != kmer[order][:-1]) | (content[order][1:] != content[order][:-1])])
-                    times[order[head]] = np.diff(np.r_[head, len(order)])
-                yield _arrow("kmer content row start windows ahead times", [kmer, content, rows[done + text], start, count.astype(np.int32), ahead.astype(np.int32), times], {"windows": pa.int32(), "ahead": pa.int32(), "times": pa.int32()})
+            docs_, rows, done = batch.column(0).to_numpy(), batch.column(1).to_numpy(), 0
+            for part in slices(batch.column(2).to_pylist()):
+                for some in segments([t.encode() for t in part], length):
+                    piece, start, count, ahead, kmer, content = stretches([data for _, _, data in some], length)
+                    text = done + np.array([k for k, _, _ in some], np.int64)[piece]
+                    start = start + np.array([at for _, at, _ in some], np.int64)[piece]
+                    times = np.zeros(len(kmer), np.int32)
+                    if len(kmer):
+                        order = np.lexsort((content, kmer))
+                        head = np.flatnonzero(np.r_[True, (kmer[order][1:] != kmer[order][:-1]) | (content[order][1:] != content[order][:-1])])
+                        times[order[head]] = np.diff(np.r_[head, len(order)])
+                    columns = [kmer, content, docs_[text], rows[text], start, count.astype(np.int32), ahead.astype(np.int32), times]
+                    yield _arrow("kmer content doc row start windows ahead times", columns, {"windows": pa.int32(), "ahead": pa.int32(), "times": pa.int32()})
                 done += len(part)
 
-    return docs.mapInArrow(run, "kmer long, content long, row long, start long, windows int, ahead int, times int")
+    return docs.select("doc", "row", "text").mapInArrow(run, "kmer long, content long, doc long, row long, start long, windows int, ahead int, times int")
 
 
 def cut_stretches(docs: DataFrame, length: int) -> DataFrame:
-    """docs (row, text, asked) to the bytes of the asked stretches: (kmer, row, start, ahead, counted, hot, bytes)."""
+    """docs (doc, row, text, asked) to the bytes of the asked stretches: (kmer, doc, row, start, ahead, counted, hot, bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for row, text, asked in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for doc, row, text, asked in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 data = text.encode()
-                out += [(a["kmer"], row, a["start"], a["ahead"], a["counted"], a["hot"], data[a["start"] : a["start"] + a["windows"] - 1 + length]) for a in asked]
+                out += [(a["kmer"], doc, row, a["start"], a["ahead"], a["counted"], a["hot"], data[a["start"] : a["start"] + a["windows"] - 1 + length]) for a in asked]
             if out:
-                yield _arrow("kmer row start ahead counted hot bytes", list(zip(*out, strict=True)), {"ahead": pa.int32(), "counted": pa.bool_(), "hot": pa.bool_(), "bytes": pa.binary()})
+                yield _arrow("kmer doc row start ahead counted hot bytes", list(zip(*out, strict=True)), {"ahead": pa.int32(), "counted": pa.bool_(), "hot": pa.bool_(), "bytes": pa.binary()})
 
-    return docs.select("row", "text", "asked").mapInArrow(run, "kmer long, row long, start long, ahead int, counted boolean, hot boolean, bytes binary")
+    return docs.select("doc", "row", "text", "asked").mapInArrow(run, "kmer long, doc long, row long, start long, ahead int, counted boolean, hot boolean, bytes binary")
 
 
 def common(a: bytes, b: bytes, known: int) -> int:
@@ -198,8 +223,8 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes]]]) -> Iterator[tuple[int, i
             node //= 2
 
 
-def sorted_runs(cut: DataFrame, splitters: list[bytes], kmer: int) -> DataFrame:
-    """A front-coded run for each task and range: (range, suffixes, and beside them row, start, ahead, counted and the bytes before the anchor)."""
+def sorted_runs(cut: DataFrame, splitters: list[bytes], parts: int, kmer: int) -> DataFrame:
+    """A front-coded run for each task and range: (range, suffixes, and beside them doc, row, start, ahead, counted and the bytes before the anchor)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: list[tuple] = []
@@ -208,34 +233,34 @@ def sorted_runs(cut: DataFrame, splitters: list[bytes], kmer: int) -> DataFrame:
             items.sort(key=lambda x: x[0])
             by: dict[int, list[tuple]] = {}
             for x in items:
-                by.setdefault(bisect.bisect_right(splitters, x[0][:kmer]), []).append(x)
+                by.setdefault(bisect.bisect_right(splitters, x[0][:kmer]) * parts + (zlib.crc32(x[0][:kmer]) % parts), []).append(x)
             items.clear()
             cols = [list(by), [front_code([x[0] for x in v]) for v in by.values()]]
-            cols += [[[x[k] for x in v] for v in by.values()] for k in range(1, 6)]
-            kinds = {"range": pa.int32(), "suffixes": pa.binary(), "row": pa.list_(pa.int64()), "start": pa.list_(pa.int64()), "ahead": pa.list_(pa.int32()), "counted": pa.list_(pa.bool_()), "before": pa.list_(pa.binary())}
-            return _arrow("range suffixes row start ahead counted before", cols, kinds)
+            cols += [[[x[k] for x in v] for v in by.values()] for k in range(1, 7)]
+            kinds = {"suffixes": pa.binary(), "doc": pa.list_(pa.int64()), "row": pa.list_(pa.int64()), "start": pa.list_(pa.int64()), "ahead": pa.list_(pa.int32()), "counted": pa.list_(pa.bool_()), "before": pa.list_(pa.binary())}
+            return _arrow("range suffixes doc row start ahead counted before", cols, kinds)
 
         for batch in batches:
-            for row, start, ahead, counted, data in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                items.append((data[ahead:], row, start, ahead, counted, data[:ahead]))
+            for doc, row, start, ahead, counted, data in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                items.append((data[ahead:], doc, row, start, ahead, counted, data[:ahead]))
             if len(items) >= 100_000:
                 yield flush()
         if items:
             yield flush()
 
-    schema = "range int, suffixes binary, row array<long>, start array<long>, ahead array<int>, counted array<boolean>, before array<binary>"
-    return cut.select("row", "start", "ahead", "counted", "bytes").mapInArrow(run, schema)
+    schema = "range long, suffixes binary, doc array<long>, row array<long>, start array<long>, ahead array<int>, counted array<boolean>, before array<binary>"
+    return cut.select("doc", "row", "start", "ahead", "counted", "bytes").mapInArrow(run, schema)
 
 
 def merge_ranges(runs: DataFrame, length: int, kmer: int) -> DataFrame:
-    """(row, start, windows) of repeated windows, from the merged runs of each range."""
+    """(doc, row, start, windows) of repeated windows, from the merged runs of each range."""
 
-    def spans(block: list[tuple]) -> Iterator[tuple[int, int, int]]:
-        """block: (suffix, common prefix with the one before, with the one after, row, start, ahead, counted, before)."""
-        data = np.frombuffer(b"".join(x[7] + x[0] for x in block), np.uint8)
-        size = np.array([len(x[7]) + len(x[0]) for x in block], np.int64)
+    def spans(block: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
+        """block: (suffix, common prefix with the one before, with the one after, doc, row, start, ahead, counted, before)."""
+        data = np.frombuffer(b"".join(x[8] + x[0] for x in block), np.uint8)
+        size = np.array([len(x[8]) + len(x[0]) for x in block], np.int64)
         begin = np.cumsum(size) - size
-        ahead = np.array([x[5] for x in block], np.int64)
+        ahead = np.array([x[6] for x in block], np.int64)
         reach = np.array([max(x[1], x[2]) for x in block], np.int64)
         # A window that starts w bytes into its stretch needs length - (ahead - w) bytes of the suffix.
         last = np.minimum(size - length, reach - length + ahead)
@@ -257,10 +282,10 @@ def merge_ranges(runs: DataFrame, length: int, kmer: int) -> DataFrame:
         head = np.flatnonzero(np.r_[True, (on[1:] != on[:-1] + 1) | (item[on[1:]] != item[on[:-1]])])
         for i, k, count in zip(item[on[head]].tolist(), w[on[head]].tolist(), np.diff(np.r_[head, len(on)]).tolist(), strict=True):
             x = block[i]
-            if not x[6]:  # stretches that occur twice are repeated anyway
-                yield x[3], x[4] + k, count
+            if not x[7]:  # stretches that occur twice are repeated anyway
+                yield x[3], x[4], x[5] + k, count
 
-    def merged(rows: list[dict]) -> Iterator[tuple[int, int, int]]:
+    def merged(rows: list[dict]) -> Iterator[tuple[int, int, int, int]]:
         at = [0] * len(rows)
         block: list[tuple] = []
         for r, share, suffix in merge_runs([front_decode(x["suffixes"]) for x in rows]):
@@ -271,7 +296,7 @@ def merge_ranges(runs: DataFrame, length: int, kmer: int) -> DataFrame:
                 block[-1] = (*block[-1][:2], share, *block[-1][3:])
             x, k = rows[r], at[r]
             at[r] += 1
-            block.append((suffix, share if block else 0, 0, x["row"][k], x["start"][k], x["ahead"][k], x["counted"][k], x["before"][k]))
+            block.append((suffix, share if block else 0, 0, x["doc"][k], x["row"][k], x["start"][k], x["ahead"][k], x["counted"][k], x["before"][k]))
         if block:
             yield from spans(block)
 
@@ -287,19 +312,19 @@ def merge_ranges(runs: DataFrame, length: int, kmer: int) -> DataFrame:
             yield out(held)
 
     def out(rows: list[dict]) -> pa.RecordBatch:
-        found = list(zip(*merged(rows), strict=True)) or [()] * 3
-        return _arrow("row start windows", found, {"windows": pa.int32()})
+        found = list(zip(*merged(rows), strict=True)) or [()] * 4
+        return _arrow("doc row start windows", found, {"windows": pa.int32()})
 
     tasks = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return runs.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(run, "row long, start long, windows int")
+    return runs.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(run, "doc long, row long, start long, windows int")
 
 
 def hot_windows(cut: DataFrame, length: int) -> DataFrame:
-    """(row, start, windows 1) of repeated windows of hot anchors: windows as rows, counted with partial sums."""
+    """(doc, row, start, windows 1) of repeated windows of hot anchors: windows as rows, counted with partial sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column(4).to_pylist()
+            raw = batch.column(5).to_pylist()
             if not raw:
                 continue
             size = np.array([len(r) for r in raw], np.int64)
@@ -307,47 +332,48 @@ def hot_windows(cut: DataFrame, length: int) -> DataFrame:
             item = np.repeat(np.arange(len(raw)), n)
             w = np.arange(len(item)) - np.repeat(np.cumsum(n) - n, n)
             at = begin[item] + w
-            ahead = batch.column(3).to_numpy().astype(np.int64)
+            ahead = batch.column(4).to_numpy().astype(np.int64)
             prefix = Prefix(data)
             key = mix(prefix.hash(at, at + length) + (ahead[item] - w).astype(np.uint64)).astype(np.int64)
-            yield _arrow("kmer key row start counted", [batch.column(0).to_numpy()[item], key, batch.column(1).to_numpy()[item], batch.column(2).to_numpy()[item] + w, batch.column(5).to_numpy(zero_copy_only=False)[item]], {"counted": pa.bool_()})
+            own = [batch.column(k).to_numpy(zero_copy_only=False)[item] for k in (0, 1, 2, 3, 6)]
+            yield _arrow("kmer key doc row start counted", [own[0], key, own[1], own[2], own[3] + w, own[4]], {"counted": pa.bool_()})
 
-    rows = cut.select("kmer", "row", "start", "ahead", "bytes", "counted").mapInArrow(run, "kmer long, key long, row long, start long, counted boolean")
+    rows = cut.select("kmer", "doc", "row", "start", "ahead", "bytes", "counted").mapInArrow(run, "kmer long, key long, doc long, row long, start long, counted boolean")
     rows = stored(rows, "hot-windows")
     twice = stored(rows.groupBy("kmer", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "hot-keys")
-    return rows.where("not counted").join(twice, ["kmer", "key"]).select("row", "start", F.lit(1).alias("windows"))
+    return rows.where("not counted").join(twice, ["kmer", "key"]).select("doc", "row", "start", F.lit(1).alias("windows"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER) -> DataFrame:
-    """(row, start, windows) for docs (row, text): runs of windows that also start elsewhere."""
+    """(doc, row, start, windows) for docs (doc, row, text): runs of windows that also start elsewhere."""
     spark = docs.sparkSession
     found = stored(find_stretches(docs, length), "stretches")
-    known = found.where("times <> 1").select("row", "start", "windows")
+    known = found.where("times <> 1").select("doc", "row", "start", "windows")
     firsts = found.where("times > 0")
     often = stored(firsts.groupBy("kmer").agg(F.sum("times").alias("n")).where("n > 1").select("kmer"), "anchors")
     free_shuffles(spark)
     found = stored(firsts.join(often, "kmer"), "stretches-shared")
     free_shuffles(spark)
-    kinds = found.groupBy("kmer", "content").agg(F.sum("times").alias("n"), F.first(F.struct("row", "start", "windows", "ahead")).alias("at"))
+    kinds = found.groupBy("kmer", "content").agg(F.sum("times").alias("n"), F.first(F.struct("doc", "row", "start", "windows", "ahead")).alias("at"))
     kinds = stored(kinds.select("kmer", "content", (F.col("n") > 1).alias("counted"), "at.*"), "kinds")
-    whole = found.where("times = 1").join(stored(kinds.where("counted").select("kmer", "content"), "whole-kinds"), ["kmer", "content"]).select("row", "start", "windows")
+    whole = found.where("times = 1").join(stored(kinds.where("counted").select("kmer", "content"), "whole-kinds"), ["kmer", "content"]).select("doc", "row", "start", "windows")
     whole = stored(whole.unionByName(known), "whole")
     free_shuffles(spark)
     per_anchor = stored(kinds.groupBy("kmer").agg(F.count("*").alias("kinds")).where("kinds > 1"), "mixed-anchors")
     asked = kinds.join(per_anchor, "kmer").withColumn("hot", F.col("kinds") > HOT)
-    asked = asked.groupBy("row").agg(F.collect_list(F.struct("kmer", "start", "windows", "ahead", "counted", "hot")).alias("asked"))
-    cut = stored(cut_stretches(docs.join(asked, "row"), length), "cut")
+    asked = asked.groupBy("doc", "row").agg(F.collect_list(F.struct("kmer", "start", "windows", "ahead", "counted", "hot")).alias("asked"))
+    cut = stored(cut_stretches(docs.join(asked, ["doc", "row"]), length), "cut")
     free_shuffles(spark)
     cold = cut.where("not hot")
     n = cold.count()
     spans = [whole]
     if n:
-        ranges = max(1, min(MAX_RANGES, -(-n // RANGE)))
+        ranges = max(1, min(SPLITTERS, -(-n // RANGE)))
         prefix = F.substring(F.col("bytes"), F.col("ahead") + 1, F.lit(kmer))
         share = min(1.0, DRAWN * ranges / n * 4)
         drawn = sorted(bytes(r[0]) for r in cold.where(F.pmod(F.xxhash64("row", "start"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(prefix).collect()) if ranges > 1 else []
         splitters = sorted({drawn[len(drawn) * k // ranges] for k in range(1, ranges)}) if drawn else []
-        runs = stored(sorted_runs(cold, splitters, kmer), "runs")
+        runs = stored(sorted_runs(cold, splitters, -(-n // (ranges * RANGE)), kmer), "runs")
         spans.append(stored(merge_ranges(runs, length, kmer), "merged"))
         free_shuffles(spark)
     hot = cut.where("hot")
@@ -378,9 +404,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     kept_cols = [F.col(c).alias(f"x_{k}") for k, c in enumerate(extra or [])]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *kept_cols)
-    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(rows.select("row", "text"), length)
-    per_row = spans.groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+    # Rows that are equal in both are one row to all that follows; they have the same spans, which are gathered once.
+    rows = rows.withColumns({"doc": F.coalesce("doc_id", F.lit(-1)), "row": F.xxhash64("text")})
+    spans = repeated_spans(rows.select("doc", "row", "text"), length).distinct()
+    per_row = spans.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,7 +425,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string()), *others], names)
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *(f"x_{k}" for k in range(len(extra or [])))]
-    joined = rows.join(per_row, "row", "left").select("doc_id", "text", "spans", *(f"x_{k}" for k in range(len(extra or []))))
+    joined = rows.join(per_row, ["doc", "row"], "left").select("doc_id", "text", "spans", *(f"x_{k}" for k in range(len(extra or []))))
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string" + "".join(f", x_{k} {types[f'x_{k}']}" for k in range(len(extra or [])))
     return joined.mapInArrow(cut, schema).withColumnsRenamed({f"x_{k}": c for k, c in enumerate(extra or [])})

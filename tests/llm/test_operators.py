@@ -453,6 +453,26 @@ def test_suffix_dedup_many_ranges(docs, rows, monkeypatch):
     assert by_row(found, rows, "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(map(repr, brute_removal(rows)))
 
 
+def test_suffix_dedup_segments(docs, rows, monkeypatch):
+    """Texts longer than a segment, and more ranges than splitters."""
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 150)
+    monkeypatch.setattr(suffix_dedup, "RANGE", 2)
+    monkeypatch.setattr(suffix_dedup, "SPLITTERS", 3)
+    found = suffix_dedup.remove_repeats(docs)
+    assert by_row(found, rows, "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(map(repr, brute_removal(rows)))
+
+
+def test_suffix_dedup_equal_rows(spark):
+    """The work is in proportion to rows that are equal in id and text."""
+    rng = random.Random(5)
+    text, other = words(rng, 500), words(rng, 80)
+    rows = [(1, text, "en", "s", 1)] * 3000 + [(2, text[:900] + other, "en", "s", 1), (None, text, "en", "s", 1)]
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, DOCUMENTS).repartition(4))
+    got = Counter((r["doc_id"], r["n_removed"], r["n_spans"]) for r in found.collect())
+    size = len(text.encode())
+    assert got[1, size, 1] == 3000 and got[None, size, 1] == 1 and sum(got.values()) == len(rows)
+
+
 def test_merge_runs():
     rng = random.Random(5)
     for k in (1, 2, 3, 7):
