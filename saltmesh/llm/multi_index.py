@@ -4,6 +4,11 @@ Each half of a vector is quantised to its own codebook; an entry lies in the cel
 orders the centroids of each half, walks pairs (i, j) by summed nearness with a heap until the cells passed hold enough
 entries, and reranks those entries by the exact inner product in double precision.
 
+How many are enough is measured: some vectors of the fitting sample are searched among all of it, and the share of the
+entries within which the walk meets the wanted part of their true neighbours (RECALL) holds for every query. Where
+vectors cluster the share is small; where they are noise it is large, as no cell then tells much about its entries. The
+rule is the same at every size.
+
 Equal vectors are one entry with their smallest ids: as ties go to the smaller id, k + 1 ids of an entry are all that
 any query can return. Entries are dealt by first centroid; a centroid with many entries or many queries is split into
 blocks, so that a group of a third of all rows is never in one task. Codebooks are fitted on at most SAMPLE vectors;
@@ -11,7 +16,7 @@ every row is indexed.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or have another than the most common
 length take no part, nor do null ids. Rows that repeat an id and its vector count once. Queries with fewer than k
-candidates return all of them. Empty tables give empty results; extra columns are ignored.
+candidates return all of them; every query passes cells of more than k entries. Empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,10 +33,9 @@ from pyspark.sql import functions as F
 from .shared import stored, table
 
 #: Vectors on which the codebooks are fitted, and centroids of a half.
-SAMPLE, CENTROIDS = 20_000, 128
-#: Entries that a query reranks: a share of all, and at least so many. The share holds recall over 0.9 on embeddings
-#: that are mostly noise, at any size; where vectors cluster, a far smaller one will do.
-RERANK_SHARE, RERANK_LEAST = 0.36, 4_000
+SAMPLE, CENTROIDS = 20_000, 256
+#: Part of the true neighbours that the walk should meet, and vectors of the sample on which that is measured.
+RECALL, MEASURED = 0.94, 256
 #: Entries and queries that one task compares at once.
 BLOCK_ENTRIES, BLOCK_QUERIES = 4_000, 2_000
 
@@ -91,7 +95,7 @@ def walk(near_a: np.ndarray, near_b: np.ndarray, counts: np.ndarray, enough: int
 class MultiIndex:
     """Codebooks, cell table and entry counts. The counts are CENTROIDS squared numbers, whatever the corpus."""
 
-    def __init__(self, rows: DataFrame, k: int, centroids: int = CENTROIDS, sample: int = SAMPLE):
+    def __init__(self, rows: DataFrame, k: int, centroids: int = CENTROIDS, sample: int = SAMPLE, recall: float = RECALL):
         self.k = k
         entries = stored(entries_of(rows, k), "entries")
         drawn = entries.select("v").orderBy(F.xxhash64("v")).limit(sample).toPandas()["v"]
@@ -105,6 +109,21 @@ class MultiIndex:
         self.counts = np.zeros((len(self.codebooks[0]), len(self.codebooks[1])), np.int64)
         for r in self.entries.groupBy("i", "j").count().collect():
             self.counts[r["i"], r["j"]] = r["count"]
+        self.share = self._measured_share(x, recall)
+
+    def _measured_share(self, x: np.ndarray, recall: float) -> float:
+        """The share of the sample within which the walks of some of its vectors meet so much of their true neighbours: those of the same rank, as a share, as k is among all entries."""
+        (first, second), half = self.codebooks, self.half
+        i, j = _nearest(x[:, :half], first), _nearest(x[:, half:], second)
+        k = max(1, round(self.k * min(1.0, len(x) / self.counts.sum())))
+        passed: list[np.ndarray] = []
+        for n in range(min(MEASURED, len(x))):
+            score = x @ x[n]
+            score[n] = -np.inf
+            near = (first @ x[n, :half])[i] + (second @ x[n, half:])[j]
+            top = np.argpartition(-score, min(k, len(x) - 1))[:k]
+            passed.append(np.searchsorted(np.sort(-near), -near[top], side="right"))
+        return float(np.quantile(np.concatenate(passed), recall)) / len(x)
 
     def _assigned(self, entries: DataFrame) -> DataFrame:
         (first, second), half = self.codebooks, self.half
@@ -117,14 +136,14 @@ class MultiIndex:
 
         return entries.mapInArrow(assign, "v array<double>, id long, ids array<long>, i int, j int")
 
-    def search(self, queries: DataFrame, rerank_share: float = RERANK_SHARE, rerank_least: int = RERANK_LEAST) -> DataFrame:
-        """(query_id, rank, vec_id, score) for queries (id, v): the k nearest found of every id but the query's own."""
+    def search(self, queries: DataFrame, share: float | None = None) -> DataFrame:
+        """(query_id, rank, vec_id, score) for queries (id, v): the k nearest found of every id but the query's own. share of the entries is reranked, if it is given."""
         spark, k = queries.sparkSession, self.k
         out = "query_id long, rank int, vec_id long, score double"
         if self.empty:
             return spark.createDataFrame([], out)
         (first, second), half, counts = self.codebooks, self.half, self.counts.tolist()
-        rerank = max(rerank_least, int(rerank_share * self.counts.sum()))
+        rerank = max(k + 1, int(np.ceil((self.share if share is None else share) * self.counts.sum())))
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
