@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .bytehash import Prefix, mix
 from .components import components
-from .shared import free_shuffles, fresh, keep_only, slices, stored, table
+from .shared import drop_tables, free_shuffles, fresh, keep_only, last_made, slices, stored, table, tables_made
 
 WORDS, PERCENT = 5, 80
 #: Documents of a block, and visitors that are compared with it at once.
@@ -255,15 +255,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, text_key, n_shingles, component_id): component_id is the smallest doc_id that links reach, text_key the xxhash64 of the text."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    since = tables_made()
     signed = stored(signatures(docs, n, percent), "signed")
+    needed = [last_made()]
     nodes = stored(_nodes(signed), "nodes")
+    needed.append(last_made())
+    drop_tables(spark, since, needed)
     free_shuffles(spark)
-    entries = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    entries = nodes.select("node", F.explode("keys").alias("key"))
     shared_keys = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     entries = stored(entries.join(shared_keys, "key"), "entries")
     free_shuffles(spark)
-    ready = entries.groupBy("node", "n").agg(F.count("*").alias("shared"), F.sum("c").alias("w")).where(F.col("shared") >= least(F.col("n"), percent))
+    sizes = nodes.select("node", F.col("n_shingles").alias("n"))
+    ready = entries.groupBy("node").agg(F.count("*").alias("shared"), F.sum("c").alias("w")).join(sizes, "node").where(F.col("shared") >= least(F.col("n"), percent))
     entries = stored(entries.select("node", "key").join(ready.select("node", "n", "w"), "node"), "ready")
+    needed.append(last_made())
+    drop_tables(spark, since, needed)
+    free_shuffles(spark)
 
     # Groups: the leader of a key is the document that shares most keys with others; a document joins its most frequent leader.
     leaders = entries.groupBy("key").agg(F.max_by("node", F.struct("w", -F.col("node"))).alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c")
@@ -323,7 +331,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs without those that link to a document of a smaller id; of rows equal in id and text one stays. Rows without an id stay."""
+    since = tables_made()
     found = stored(near_duplicates(docs), "near-duplicates").where("doc_id is not null")
+    drop_tables(docs.sparkSession, since, [last_made()])
+    free_shuffles(docs.sparkSession)
     gone = found.where("doc_id <> component_id").select("doc_id", "text_key").distinct()
     twice = found.where("doc_id = component_id").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_key")
     number, key = fresh(docs, "__doc", "__text")

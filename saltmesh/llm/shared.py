@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +61,7 @@ def last_made() -> str:
     return _made[-1]
 
 
-def drop_tables(spark: SparkSession, since: int, keep: tuple[str, ...] = ()) -> None:
+def drop_tables(spark: SparkSession, since: int, keep: Sequence[str] = ()) -> None:
     """Deletes the tables that `stored` wrote since then. Only for tables that nothing reads any more."""
     for path in _made[since:]:
         if path not in keep:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytehash import Prefix, mix
-from .shared import free_shuffles, slices, stored, table
+from .shared import drop_tables, free_shuffles, last_made, slices, stored, table, tables_made
 
 LENGTH, KMER = 200, 32
 #: Distinct stretches of one anchor over which its windows are dealt one by one.
@@ -346,7 +346,7 @@ def hot_windows(cut: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER) -> DataFrame:
     """(doc, row, start, windows) for docs (doc, row, text): runs of windows that also start elsewhere."""
-    spark = docs.sparkSession
+    spark, since = docs.sparkSession, tables_made()
     found = stored(find_stretches(docs, length), "stretches")
     known = found.where("times <> 1").select("doc", "row", "start", "windows")
     firsts = found.where("times > 0")
@@ -358,11 +358,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER) -> D
     kinds = stored(kinds.select("kmer", "content", (F.col("n") > 1).alias("counted"), "at.*"), "kinds")
     whole = found.where("times = 1").join(stored(kinds.where("counted").select("kmer", "content"), "whole-kinds"), ["kmer", "content"]).select("doc", "row", "start", "windows")
     whole = stored(whole.unionByName(known), "whole")
+    needed = [last_made()]
     free_shuffles(spark)
     per_anchor = stored(kinds.groupBy("kmer").agg(F.count("*").alias("kinds")).where("kinds > 1"), "mixed-anchors")
     asked = kinds.join(per_anchor, "kmer").withColumn("hot", F.col("kinds") > HOT)
     asked = asked.groupBy("doc", "row").agg(F.collect_list(F.struct("kmer", "start", "windows", "ahead", "counted", "hot")).alias("asked"))
     cut = stored(cut_stretches(docs.join(asked, ["doc", "row"]), length), "cut")
+    needed.append(last_made())
+    drop_tables(spark, since, needed)
     free_shuffles(spark)
     cold = cut.where("not hot")
     n = cold.count()
@@ -375,6 +378,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER) -> D
         splitters = sorted({drawn[len(drawn) * k // ranges] for k in range(1, ranges)}) if drawn else []
         runs = stored(sorted_runs(cold, splitters, -(-n // (ranges * RANGE)), kmer), "runs")
         spans.append(stored(merge_ranges(runs, length, kmer), "merged"))
+        needed.append(last_made())
+        drop_tables(spark, since, needed)
         free_shuffles(spark)
     hot = cut.where("hot")
     if not hot.isEmpty():
