@@ -63,6 +63,19 @@ def mean_direction(angle: Column, circular: bool = True) -> Column:
     return F.pmod(F.degrees(F.atan2(F.avg(F.sin(a)), F.avg(F.cos(a)))), F.lit(360.0))
 
 
+def _bases(level: np.ndarray) -> np.ndarray:
+    """For each value the least value since the last higher one (or the start), itself included, in one pass with a stack."""
+    out = level.copy()
+    stack: list[tuple[float, float]] = []
+    for k, x in enumerate(level.tolist()):
+        low = x
+        while stack and stack[-1][0] <= x:
+            low = min(low, stack.pop()[1])
+        out[k] = low
+        stack.append((x, low))
+    return out
+
+
 def find_peaks(x: np.ndarray, prominence: float = PROMINENCE) -> np.ndarray:
     """Places of local maxima (the middle of a plateau, never an end) that stand out by prominence at least."""
     n = len(x)
@@ -72,81 +85,129 @@ def find_peaks(x: np.ndarray, prominence: float = PROMINENCE) -> np.ndarray:
     tail = np.r_[head[1:] - 1, n - 1]
     level = x[head]
     top = np.flatnonzero((level[1:-1] > level[:-2]) & (level[1:-1] > level[2:])) + 1
-    out = []
-    for k in top.tolist():
-        height = level[k]
-        left = level[:k]
-        higher = np.flatnonzero(left > height)
-        left_base = left[higher[-1] + 1 if len(higher) else 0 :].min()
-        right = level[k + 1 :]
-        higher = np.flatnonzero(right > height)
-        right_base = right[: higher[0] if len(higher) else len(right)].min()
-        if height - max(left_base, right_base) >= prominence:
-            out.append((head[k] + tail[k]) // 2)
-    return np.array(out, np.int64)
-
-
-def peaks(surface: DataFrame, prominence: float = PROMINENCE) -> DataFrame:
-    """surface (face, t, time, zeta_center) to its high and low tides (face, t, time, level, is_high). A group is one face's year, some 17,000 rows."""
+    base = np.maximum(_bases(level), _bases(level[::-1])[::-1])[top]
+    top = top[level[top] - base >= prominence]
+    return (head[top] + tail[top]) // 2
+
+
+PEAKS = (
+    "face long, t long, time timestamp_ntz, level double, is_high boolean, is_peak boolean, next_high timestamp_ntz, low double, low_time timestamp_ntz, "
+    "mean_level double, mean_left double, top double, bottom double"
+)
+
+
+def peaks(surface: DataFrame, prominence: float = PROMINENCE, share: float = 0.2) -> DataFrame:
+    """surface (face, t, time, zeta_center) to its high and low tides, see PEAKS, in one pass over each face. A group is one face's year, some 17,000 rows.
+
+    A high tide has the time of the next one and the lowest low tide between. A face without peaks on either side also
+    gets its highest and lowest share of levels, with is_peak false. mean_level is the face's mean, mean_left what is
+    left of the mean after it is taken off, top and bottom are the extremes.
+    """
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("t")
         z = part["zeta_center"].to_numpy()
-        found = []
-        for sign, high in ((1, True), (-1, False)):
-            at = find_peaks(sign * z, prominence)
-            found.append(part.iloc[at][["face", "t", "time"]].assign(level=z[at], is_high=high))
-        return pd.concat(found)
-
-    return surface.select("face", "t", "time", "zeta_center").groupBy("face").applyInPandas(run, "face long, t long, time timestamp_ntz, level double, is_high boolean")
-
-
-def tidal_levels(peak_rows: DataFrame, surface: DataFrame, share: float = 0.2) -> DataFrame:
-    """Highest, mean and lowest high and low water of each face, both ranges and the offset of the mean level. A face without peaks takes the top and bottom share of its levels."""
-    high, low = F.when(F.col("is_high"), F.col("level")), F.when(~F.col("is_high"), F.col("level"))
-    stats = peak_rows.groupBy("face").agg(
-        F.max(high).alias("max_high"), F.min(high).alias("min_high"), F.avg(high).alias("mean_high"), F.max(low).alias("max_low"), F.avg(low).alias("mean_low"), F.min(low).alias("min_low"),
-    )
-    whole = surface.groupBy("face").agg(F.max("zeta_center").alias("top"), F.min("zeta_center").alias("bottom"), F.avg("zeta_center").alias("msl_offset"), F.count("*").alias("n"))
-    bare = whole.join(peak_rows.select("face", "is_high").distinct(), "face", "left")
-    need = bare.groupBy("face").agg((~F.coalesce(F.bool_or("is_high"), F.lit(False))).alias("no_high"), (~F.coalesce(F.bool_or(~F.col("is_high")), F.lit(False))).alias("no_low")).where("no_high or no_low")
-    ranked = surface.join(need, "face").withColumns({
-        "up": F.row_number().over(Window.partitionBy("face").orderBy(F.desc("zeta_center"), "t")),
-        "down": F.row_number().over(Window.partitionBy("face").orderBy("zeta_center", "t")),
-        "k": F.floor(F.count("*").over(Window.partitionBy("face")) * share),
-    })
-    z = F.col("zeta_center")
-    top, bottom = F.when(F.col("up") <= F.col("k"), z), F.when(F.col("down") <= F.col("k"), z)
-    spare = ranked.groupBy("face").agg(F.max(top).alias("s1"), F.min(top).alias("s2"), F.avg(top).alias("s3"), F.max(bottom).alias("s4"), F.avg(bottom).alias("s5"), F.min(bottom).alias("s6"))
-    out = whole.join(stats, "face", "left").join(spare, "face", "left")
-    names = ["max_high", "min_high", "mean_high", "max_low", "mean_low", "min_low"]
-    out = out.withColumns({c: F.coalesce(c, f"s{k + 1}") for k, c in enumerate(names)})
-    return out.select("face", *names, (F.col("max_high") - F.col("min_low")).alias("range_peaks"), (F.col("top") - F.col("bottom")).alias("range_extremes"), "msl_offset")
+        high, low = find_peaks(z, prominence), find_peaks(-z, prominence)
+        rows = part[["face", "t", "time"]]
+
+        def shown(at: np.ndarray, is_high: bool, is_peak: bool) -> pd.DataFrame:
+            return rows.iloc[at].assign(level=z[at], is_high=is_high, is_peak=is_peak)
+
+        found = [shown(low, False, True)]
+        cycles = shown(high, True, True)
+        following = np.r_[high[1:], -1] if len(high) else high
+        between = [low[(low > a) & (low < b)] for a, b in zip(high, following, strict=True)] if len(low) else [low] * len(high)
+        least = [b[np.argmin(z[b])] if len(b) else -1 for b in between]
+        times = part["time"].to_numpy()
+        cycles["next_high"] = [times[b] if b >= 0 else pd.NaT for b in following]
+        cycles["low"] = [z[k] if k >= 0 else None for k in least]
+        cycles["low_time"] = [times[k] if k >= 0 else pd.NaT for k in least]
+        found.append(cycles)
+        if not len(high) or not len(low):
+            k = max(1, int(len(z) * share))
+            order = np.argsort(z, kind="stable")
+            found += [shown(order[-k:], True, False), shown(order[:k], False, False)]
+        out = pd.concat([f for f in found if len(f)]).assign(mean_level=z.mean(), mean_left=(z - z.mean()).mean(), top=z.max(), bottom=z.min())
+        out = out.reindex(columns=[c.split()[0] for c in PEAKS.split(", ")])
+        return out.assign(next_high=pd.to_datetime(out["next_high"]), low=out["low"].astype(float), low_time=pd.to_datetime(out["low_time"]))
+
+    return surface.select("face", "t", "time", "zeta_center").where("zeta_center is not null").groupBy("face").applyInPandas(run, PEAKS)
+
+
+LEVELS = ("max_high", "min_high", "mean_high", "max_low", "mean_low", "min_low")
+KINDS = {"Twice Daily Tides": (10, 14), "Once Daily Tides": (20, 26)}
+
+
+def _level_columns() -> dict[str, Column]:
+    """Aggregates of PEAKS by face: levels over the mean, from peaks if there are some on both sides, else from the shares of all levels."""
+    spare = F.max((~F.col("is_peak")).cast("int")) == 1
+    over = F.col("level") - F.col("mean_level")
+    out = {}
+    for name in LEVELS:
+        how = {"max": F.max, "min": F.min, "mean": F.avg}[name.split("_")[0]]
+        side = F.col("is_high") if name.endswith("high") else ~F.col("is_high")
+        out[name] = F.when(spare, how(F.when(side & ~F.col("is_peak"), over))).otherwise(how(F.when(side & F.col("is_peak"), over)))
+    out["method"] = F.when(spare, "top_share").otherwise("peaks")
+    return out | {"msl_offset": F.first("mean_level"), "mean_water": F.first("mean_left"), "range_extremes": F.first("top") - F.first("bottom")}
+
+
+def _period_columns() -> dict[str, Column]:
+    """Aggregates of PEAKS by face: the accepted times between high tides, and the ranges of all cycles with a low tide."""
+    hours = (F.unix_micros(F.col("next_high").cast("timestamp")) - F.unix_micros(F.col("time").cast("timestamp"))) / 3.6e9
+    accepted = F.when(F.expr("false"), hours)
+    for low, high in KINDS.values():
+        accepted = accepted.when((hours > low) & (hours < high), hours)
+    spread = F.col("level") - F.col("low")
+    return {
+        "n_periods": F.count(accepted), "mean_period": F.avg(accepted), "min_period": F.min(accepted), "max_period": F.max(accepted),
+        "n_cycles": F.count("low"), "mean_range": F.avg(spread), "min_range": F.min(spread), "max_range": F.max(spread),
+    }
+
+
+def _finished(report: DataFrame, levels: bool, periods: bool) -> DataFrame:
+    names = ["face"]
+    if levels:
+        report = report.withColumn("range_peaks", F.col("max_high") - F.col("min_low"))
+        names += [*LEVELS, "range_peaks", "range_extremes", "msl_offset", "mean_water", "method"]
+    if periods:
+        known = F.col("n_periods") > 0
+        kind = F.lit("Unknown")
+        for name, (low, high) in KINDS.items():
+            kind = F.when(known & (F.col("mean_period") > low) & (F.col("mean_period") < high), name).otherwise(kind)
+        report = report.withColumn("type", F.when(known & (kind == "Unknown"), "Mixed Pattern Tides").otherwise(kind))
+        shown = ["mean_period", "min_period", "max_period", "mean_range", "min_range", "max_range"]
+        report = report.withColumns({c: F.when(known, F.coalesce(c, F.lit(0.0))).otherwise(0.0) for c in shown})
+        names += ["n_periods", "n_cycles", *shown, "type"]
+    return report.select(*names)
+
+
+def _by_face(peak_rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return peak_rows.groupBy("face").agg(*(c.alias(n) for n, c in columns.items()))
+
+
+def tidal_levels(peak_rows: DataFrame) -> DataFrame:
+    """Highest, mean and lowest high and low water of each face over its mean level, both ranges, the offset of the mean level and the method. Without peaks on both sides, both come from the top and bottom share of the levels."""
+    return _finished(_by_face(peak_rows, _level_columns()), True, False)
 
 
 def level_warnings(levels: DataFrame, tolerance: float = 0.2) -> DataFrame:
     """levels with an array of what is odd about them."""
-    rules = [(F.col("range_peaks") < 0.1, "range under 0.1 m"), (F.col("range_peaks") > 15, "range over 15 m"), (F.col("mean_high") <= F.col("mean_low"), "mean high water not over mean low water"), (F.abs("msl_offset") > tolerance, "mean sea level off")]
+    rules = [(F.col("range_peaks") < 0.1, "range under 0.1 m"), (F.col("range_peaks") > 15, "range over 15 m"), (F.col("mean_high") <= F.col("mean_low"), "mean high water not over mean low water"), (F.abs("mean_water") > tolerance, "mean sea level off")]
     return levels.withColumn("warnings", F.array_compact(F.array(*(F.when(c, F.lit(w)) for c, w in rules))))
 
 
 def tidal_cycles(peak_rows: DataFrame) -> DataFrame:
-    """From each high water to the next of its face: period in hours, the lowest low water between and the range; kind by the accepted periods."""
-    w = Window.partitionBy("face").orderBy("t")
-    rows = peak_rows.withColumn("cycle", F.sum(F.col("is_high").cast("int")).over(w)).where("cycle > 0")
-    cycles = rows.groupBy("face", "cycle").agg(
-        F.max(F.when(F.col("is_high"), F.col("t"))).alias("t"), F.max(F.when(F.col("is_high"), F.col("level"))).alias("high"), F.min(F.when(~F.col("is_high"), F.col("level"))).alias("low"),
-    )
-    cycles = cycles.withColumn("period_hours", (F.lead("t").over(w) - F.col("t")).cast("double"))
-    kind = F.when(F.col("period_hours").between(10, 14), "semidiurnal").when(F.col("period_hours").between(20, 26), "diurnal")
-    return cycles.where("period_hours is not null and low is not null").withColumn("range", F.col("high") - F.col("low")).withColumn("kind", kind)
-
-
-def tidal_periods(cycles: DataFrame) -> DataFrame:
-    """Accepted cycles of each face: number, mean, shortest and longest period, ranges, and the more frequent kind."""
-    kept = cycles.where("kind is not null")
-    out = kept.groupBy("face").agg(
-        F.count("*").alias("n_cycles"), F.avg("period_hours").alias("mean_period"), F.min("period_hours").alias("min_period"), F.max("period_hours").alias("max_period"),
-        F.avg("range").alias("mean_range"), F.max("range").alias("max_range"), F.min("range").alias("min_range"), F.avg((F.col("kind") == "semidiurnal").cast("double")).alias("_semi"),
-    )
-    return out.withColumn("type", F.when(F.col("_semi") >= 0.5, "semidiurnal").otherwise("diurnal")).drop("_semi")
+    """High tides with the lowest low tide before the next one: range, and hours until the next one."""
+    hours = (F.unix_micros(F.col("next_high").cast("timestamp")) - F.unix_micros(F.col("time").cast("timestamp"))) / 3.6e9
+    rows = peak_rows.where("is_peak and is_high and low is not null")
+    return rows.select("face", "t", "time", F.col("level").alias("high"), "low", "low_time", (F.col("level") - F.col("low")).alias("range"), hours.alias("period_hours"))
+
+
+def tidal_periods(peak_rows: DataFrame) -> DataFrame:
+    """Of each face: number, mean, shortest and longest of the times between high tides within KINDS (bounds left out), in hours; number and ranges of all cycles with a low tide; the kind of the mean period. Without an accepted period all are 0, the kind unknown."""
+    return _finished(_by_face(peak_rows, _period_columns()), False, True)
+
+
+def surface_report(peak_rows: DataFrame) -> DataFrame:
+    """Levels and periods of each face, from one pass over its peaks."""
+    return _finished(_by_face(peak_rows, _level_columns() | _period_columns()), True, True)

@@ -38,10 +38,8 @@ def yearly(layers: DataFrame, surface: DataFrame) -> DataFrame:
     phases = tides.tide_phase(surface, ["face"]).select("face", "t", "phase").where("phase is not null")
     modes = tides.direction_modes(layers.where("sigma_layer = 0").join(phases, ["face", "t"]), ["face", "phase"])
     both = modes.groupBy("face").agg(*(F.max(F.when(F.col("phase") == p, F.col("direction"))).alias(f"{p}_direction") for p in ("flood", "ebb")))
-    found = tides.peaks(surface)
-    levels, periods = tides.tidal_levels(found, surface), tides.tidal_periods(tides.tidal_cycles(found))
-    out = flow.join(power, "face").join(both, "face", "left").join(levels, "face", "left")
-    return out.join(periods.select("face", "mean_period", "type"), "face", "left")
+    report = tides.surface_report(tides.peaks(surface))
+    return flow.join(power, "face").join(both, "face", "left").join(report.drop("n_periods", "n_cycles"), "face", "left")
 
 
 def atlas(layers: DataFrame, faces: DataFrame, nodes: DataFrame, n_layers: int) -> DataFrame:

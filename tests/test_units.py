@@ -59,16 +59,34 @@ def test_find_peaks(x, prominence):
 
 
 def test_tidal_report(spark):
-    rows = [(f, t, datetime(2005, 1, 1) + timedelta(hours=t), math.cos(2 * math.pi * t / 12) * (1 + f)) for f in (0, 1) for t in range(60)]
-    rows += [(2, t, datetime(2005, 1, 1) + timedelta(hours=t), t / 100) for t in range(60)]
+    """Half-hourly steps, a datum offset, a face without peaks, one with highs alone, and intervals that are not accepted."""
+
+    def at(t, hours=1.0):
+        return datetime(2005, 1, 1) + timedelta(hours=t * hours)
+
+    rows = [(f, t, at(t), math.cos(2 * math.pi * t / 12) * (1 + f)) for f in (0, 1) for t in range(60)]
+    rows += [(2, t, at(t), t / 100) for t in range(60)]
+    rows += [(3, t, at(t, 0.5), 5 + math.cos(2 * math.pi * t / 24)) for t in range(120)]
+    rows += [(4, t, at(t), 1.0 if t == 20 else 0.001 * abs(t - 20)) for t in range(40)]
+    rows += [(5, t, at(t), {6: 1.0, 18: 1.2, 42: 1.1, 58: 1.0}.get(t, 0.5 + 0.01 * (t % 2 == 0) - (0.3 if t in (12, 30) else 0))) for t in range(64)]
+    rows += [(6, t, at(t, 0.5), None if t == 3 else math.cos(2 * math.pi * t / 49)) for t in range(200)]
     surface = spark.createDataFrame(rows, "face long, t long, time timestamp_ntz, zeta_center double")
     found = tides.peaks(surface)
     assert [r["t"] for r in found.where("face = 0 and is_high").orderBy("t").collect()] == [12, 24, 36, 48]
-    levels = {r["face"]: r for r in tides.tidal_levels(found, surface).collect()}
-    assert abs(levels[1]["max_high"] - 2) < 1e-9 and abs(levels[1]["range_peaks"] - 4) < 1e-9
-    assert abs(levels[2]["max_high"] - 0.59) < 1e-9 and abs(levels[2]["max_low"] - 0.11) < 1e-9  # no peaks: top and bottom fifth
-    periods = {r["face"]: r for r in tides.tidal_periods(tides.tidal_cycles(found)).collect()}
-    assert periods[0]["mean_period"] == 12 and periods[0]["type"] == "semidiurnal" and periods[0]["n_cycles"] == 3
+    both = {r["face"]: r for r in tides.surface_report(found).collect()}
+    assert {r["face"]: r.asDict() for r in tides.tidal_levels(found).collect()} == {f: {k: v for k, v in r.asDict().items() if k in tides.tidal_levels(found).columns} for f, r in both.items()}
+    assert abs(both[1]["max_high"] - 2) < 1e-9 and abs(both[1]["range_peaks"] - 4) < 1e-9
+    mean = sum(t / 100 for t in range(60)) / 60  # no peaks: top and bottom fifth, over the mean
+    assert both[2]["method"] == "top_share" and abs(both[2]["max_high"] - (0.59 - mean)) < 1e-9 and abs(both[2]["max_low"] - (0.11 - mean)) < 1e-9
+    assert both[2]["type"] == "Unknown" and both[2]["mean_period"] == 0
+    assert abs(both[3]["max_high"] - 1) < 1e-9 and abs(both[3]["msl_offset"] - 5) < 1e-9 and both[3]["mean_period"] == 12 and both[3]["type"] == "Twice Daily Tides"
+    assert both[4]["method"] == "top_share" and both[4]["n_periods"] == 0 and both[4]["n_cycles"] == 0  # one high, no low: both sides from the shares
+    assert both[0]["type"] == "Twice Daily Tides" and both[0]["n_periods"] == 3 and both[0]["mean_period"] == 12
+    # Intervals of 12, 24 and 16 hours: two are accepted, their mean of 18 is neither kind; two have a low tide between.
+    assert both[5]["n_periods"] == 2 and both[5]["mean_period"] == 18 and both[5]["type"] == "Mixed Pattern Tides"
+    assert both[6]["type"] == "Once Daily Tides" and abs(both[6]["mean_period"] - 24.5) < 1e-9
+    odd = {r["face"]: r["warnings"] for r in tides.level_warnings(tides.tidal_levels(found)).collect()}
+    assert odd[3] == []  # the datum's offset is no fault
 
 
 def test_ellipsoid_and_utm(spark):
