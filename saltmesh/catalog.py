@@ -40,9 +40,5 @@ def r6(expression: str) -> str:
 
 def load() -> None:
     """Registers all queries."""
-    for name in ("flow", "summaries", "tides", "time_checks", "lookups", "geometry", "records", "reports", "sites"):
-        try:
-            importlib.import_module(f"saltmesh.plans.{name}_queries")
-        except ModuleNotFoundError as e:
-            if e.name != f"saltmesh.plans.{name}_queries":
-                raise
+    for name in ("flow", "summaries", "tides", "time_checks", "lookups", "records", "reports", "sites"):
+        importlib.import_module(f"saltmesh.plans.{name}_queries")
