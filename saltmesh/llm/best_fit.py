@@ -39,7 +39,7 @@ CAPACITY = 2048
 PIECES_AT_ONCE = 20_000
 ROUNDS, EXCHANGES = 6, 3
 #: Distinct words in each of the two generations that a worker keeps (about 200 bytes each), and the longest one kept.
-WORDS_KEPT, KEPT_CHARS = 250_000, 40
+WORDS_KEPT, KEPT_CHARS = 150_000, 40
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

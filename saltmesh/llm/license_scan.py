@@ -4,7 +4,7 @@ Every template is a short word sequence with a mandatory key phrase. The index m
 (template, position). Of each template a document looks up the rarest word of the key phrase, and each posting names
 the place where the template would have to start (word position less template position). As the key phrase must stand
 there word by word, no place is missed. A place's share of the template's IDF weight is counted from all template words
-that agree there. IDF is counted over all documents.
+that agree there. A label is given if one of its templates is found; what else a file holds makes no difference. IDF is counted over all documents.
 
 The base phrases are templates of their own that are all key phrase.
 
@@ -28,8 +28,26 @@ from .shared import table
 # The base phrases of the contract.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Fixed values: (label, template, key phrase). A template's words may be missing in a file, its key phrase not.
+# Templates, as (label, words, key phrase): notices that files carry, sentences of the licences themselves, and SPDX tags. A
+# template's words may be missing in a file, its key phrase not. A licence has as many templates as it has notices.
+SPDX = {
+    "apache-2.0": "apache 2 0", "bsd": "bsd", "cc-by-nc-4.0": "cc by nc 4 0", "cc-by-sa-4.0": "cc by sa 4 0", "cc0": "cc0 1 0", "gpl-2.0": "gpl 2 0", "gpl-3.0": "gpl 3 0",
+    "lgpl": "lgpl", "agpl": "agpl", "mit": "mit", "mpl-2.0": "mpl 2 0", "isc": "isc", "zlib": "zlib", "bsl-1.0": "bsl 1 0", "unlicense": "unlicense",
+}
 TEMPLATES = [
+    *((label, f"spdx license identifier {tag}", f"spdx license identifier {tag}") for label, tag in SPDX.items()),
+    ("agpl", "under the terms of the gnu affero general public license as published by the free software foundation", "gnu affero general public license"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", "apache org licenses license 2 0"),
+    ("apache-2.0", "apache license version 2 0 january 2004 http www apache org licenses terms and conditions for use reproduction and distribution", "apache license version 2 0 january 2004"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "redistributions of source code must retain the above copyright"),
+    ("bsl-1.0", "distributed under the boost software license version 1 0", "boost software license version 1"),
+    ("gpl-2.0", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", "free software foundation either version 2 of the license"),
+    ("gpl-3.0", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "free software foundation either version 3 of the license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "for any purpose with or without fee is hereby granted"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", "to any person obtaining a copy of this software and associated documentation files"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file", "subject to the terms of the mozilla public license v 2 0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software released into the public domain"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", "granted to anyone to use this software for any purpose including commercial applications"),
     ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source"),
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc"),

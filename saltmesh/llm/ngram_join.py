@@ -352,5 +352,18 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+#: Every pair of documents that share a shingle, and components by reach.
+OP9_SQL = f"""
+WITH RECURSIVE cut AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+    shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WORDS} THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i:i + {WORDS - 1}], ' ') for i in range(1, len(w) - {WORDS - 2})] END) AS g FROM cut),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= {PERCENT} * (x.n + y.n - c)),
+    ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT DISTINCT a AS doc_id, a AS root FROM ways UNION SELECT w.b, r.root FROM reach r JOIN ways w ON w.a = r.doc_id WHERE r.root < w.b)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(m.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id) m USING (doc_id)"""
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")

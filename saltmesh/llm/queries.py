@@ -11,11 +11,11 @@ from .language_crf import op2_language_crf
 from .license_scan import op4_license_scan
 from .media_columns import op7_media_columns
 from .multi_index import op3_multi_index
-from .ngram_join import op9_ngram_join
+from .ngram_join import OP9_SQL, op9_ngram_join
 from .piece_bpe import op8_piece_bpe
 from .quality_bayes import op5_quality_bayes
 from .suffix_dedup import op10_suffix_dedup
-from .warc import op1_warc
+from .warc import OP1_SQL, op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -33,4 +33,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op9_ngram_join": OP9_SQL}

@@ -33,13 +33,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytehash import Prefix, mix
-from .shared import drop_tables, free_shuffles, last_made, slices, stored, table, tables_made
+from .shared import drop_tables, free_shuffles, keep_only, last_made, slices, stored, table, tables_made
 
 LENGTH, KMER = 200, 32
 #: Distinct stretches of one anchor over which its windows are dealt one by one.
 HOT = 2_000
 #: Suffixes of a range, splitters at most, and suffixes drawn for each splitter.
 RANGE, SPLITTERS, DRAWN = 20_000, 10_000, 8
+#: Suffixes that a task sorts at once (about 500 bytes each).
+RUN = 30_000
 #: Bytes of a text that are searched at once.
 SEGMENT = 1 << 20
 #: Bits of the place in a buffer, which is some segments long at most; the bits above hold the hash that orders anchors.
@@ -108,6 +110,7 @@ def find_stretches(docs: DataFrame, length: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             docs_, rows, done = batch.column(0).to_numpy(), batch.column(1).to_numpy(), 0
             for part in slices(batch.column(2).to_pylist()):
@@ -243,7 +246,7 @@ def sorted_runs(cut: DataFrame, splitters: list[bytes], parts: int, kmer: int) -
         for batch in batches:
             for doc, row, start, ahead, counted, data in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 items.append((data[ahead:], doc, row, start, ahead, counted, data[:ahead]))
-            if len(items) >= 100_000:
+            if len(items) >= RUN:
                 yield flush()
         if items:
             yield flush()

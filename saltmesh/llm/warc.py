@@ -237,4 +237,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     raw = stored(write_archives(with_revisits(pages), f"{folder}/raw"), "raw-archives")
     archives = stored(normalise(raw, f"{folder}/records"), "archives")
-    return read_archives(archives)
+    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+#: The contract's columns; every payload that is read back has to be intact.
+OP1_SQL = f"""
+WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    largest AS (SELECT payload_digest, max(page_id) AS top FROM payloads WHERE payload_bytes >= {SMALL} GROUP BY payload_digest),
+    told AS (SELECT p.*, CASE WHEN p.payload_bytes >= {SMALL} AND p.page_id IS DISTINCT FROM l.top THEN l.top END AS refers_to FROM payloads p LEFT JOIN largest l ON l.payload_digest = p.payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, true AS intact FROM told"""

@@ -96,6 +96,11 @@ def test_license_scan_of_several_licences(spark):
     assert got[1]["labels"] == ",".join(sorted([*texts, *license_scan.BASE.values()]))
 
     index = license_scan.RareTokenIndex(license_scan.document_frequency(docs))
+    for label, template, _ in license_scan.TEMPLATES:
+        for other, second, _ in license_scan.TEMPLATES:
+            assert {label, other} <= set(index.scan(f"{template}.\n{second}")[5].split(","))
+    opening = "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal"
+    assert index.scan(opening)[5] == "mit" == index.scan("// SPDX-License-Identifier: MIT")[5]
     rng = random.Random(4)
     for _ in range(300):
         w = license_scan.words_of(" ".join(" ".join(x for x in rng.choice(list(texts.values())).split() if rng.random() < 0.9) for _ in range(4)))
