@@ -118,7 +118,7 @@ def density_histogram(rows: DataFrame, key: str, value: str, bins: int = 50) ->
     """(key, bin, density) between each key's extremes: two passes, each with partial sums."""
     limits = rows.groupBy(key).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("total"))
     width = (F.col("high") - F.col("low")) / bins
-    out = rows.join(F.broadcast(limits), key).withColumn("bin", F.least(F.floor((F.col(value) - F.col("low")) / width), F.lit(bins - 1)).cast("long"))
+    out = rows.join(limits, key).withColumn("bin", F.least(F.floor((F.col(value) - F.col("low")) / width), F.lit(bins - 1)).cast("long"))
     return out.groupBy(key, "bin").agg((F.count("*") / F.first(F.col("total") * width)).alias("density"))
 
 
