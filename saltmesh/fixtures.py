@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 VIEWS: dict[str, str] = {
+    # Strips of 36 nodes and 50 triangles, as many as there are orders for; the series below lie on the first one.
     "fx_node": """
-        SELECT n + 1 AS node, CAST(-152 AS DOUBLE) + (n % 6) * 1e-2 AS lon_node, CAST(59 AS DOUBLE) + (n div 6) * 1e-2 AS lat_node
-        FROM (SELECT DISTINCT o_orderkey AS n FROM orders WHERE o_orderkey < 36) a""",
+        SELECT n + 1 AS node, CAST(-152 AS DOUBLE) + ((n % 36) % 6) * 1e-2 + ((n div 36) % 500) * 7e-2 AS lon_node,
+               CAST(59 AS DOUBLE) + ((n % 36) div 6) * 1e-2 + (((n div 36) div 500) % 400) * 7e-2 AS lat_node
+        FROM (SELECT DISTINCT o_orderkey AS n FROM orders) a""",
     "fx_face": """
         SELECT face, CASE WHEN up = 0 THEN b0 ELSE b0 + 1 END AS n1, CASE WHEN up = 0 THEN b0 + 1 ELSE b0 + 7 END AS n2, b0 + 6 AS n3,
                CAST(20 + (face * 7) % 13 AS DOUBLE) AS h_center
-        FROM (SELECT f AS face, f % 2 AS up, ((f div 2) div 5) * 6 + (f div 2) % 5 + 1 AS b0
-              FROM (SELECT DISTINCT o_orderkey AS f FROM orders WHERE o_orderkey < 50) a) b""",
+        FROM (SELECT f AS face, f % 2 AS up, (f div 50) * 36 + (((f % 50) div 2) div 5) * 6 + ((f % 50) div 2) % 5 + 1 AS b0
+              FROM (SELECT DISTINCT o_orderkey AS f FROM orders) a) b""",
     "fx_sigma": "SELECT r_regionkey AS sigma_layer, -(r_regionkey + 5e-1) / 4e0 AS sigma FROM region WHERE r_regionkey < 4",
     "fx_velocity": """
         SELECT o.o_orderkey % 50 AS face, (o.o_orderkey div 50) AS t,

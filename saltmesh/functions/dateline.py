@@ -36,3 +36,17 @@ def split_at_dateline(ring: Column, gap: float = 0.001) -> Column:
     back = F.transform(clipped(full, 180 + gap / 2, west=False), lambda p: F.struct((p["lon"] - 360).alias("lon"), p["lat"].alias("lat")))
     over = (F.array_max(lons) > 180) & (F.array_min(lons) < 180)
     return F.when(over, F.array(clipped(full, 180 - gap / 2, west=True), back)).otherwise(F.array(ring))
+
+
+def crosses(line: Column) -> Column:
+    """Whether a line of (lon, lat) steps over the dateline: two following longitudes over 180 degrees apart."""
+    later = F.slice(line, 2, F.greatest(F.size(line) - 1, F.lit(0)))
+    steps = F.zip_with(F.slice(line, 1, F.size(later)), later, lambda p, q: F.abs(q["lon"] - p["lon"]) > 180)
+    return F.coalesce(F.exists(steps, lambda s: s), F.lit(False))
+
+
+def band(line: Column, padding: float = 2.0) -> Column:
+    """The ring around the earth between the least and greatest latitude of a line, padded: how a line over the dateline is closed."""
+    lats = F.transform(line, lambda p: p["lat"])
+    low, high = F.array_min(lats) - padding, F.array_max(lats) + padding
+    return F.array(*(F.struct(F.lit(x).alias("lon"), y.alias("lat")) for x, y in ((-180.0, low), (180.0, low), (180.0, high), (-180.0, high))))

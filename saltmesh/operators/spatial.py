@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import geo
+from ..functions import dateline, geo
 
 #: Sides of the lookup cells in hundredths of a degree, by level: each divides the circle, and the last is the whole earth.
 SIDES = (1, 4, 20, 100, 500, 3000, 18000, 36000)
@@ -296,6 +296,33 @@ def convex_hull(points: DataFrame, key: str) -> DataFrame:
     return points.select(key, "lon", "lat").groupBy(key).applyInPandas(hull, f"{key} {kind}, pos int, lon double, lat double")
 
 
+def closed_lines(lines: DataFrame) -> DataFrame:
+    """Boundary lines (pid, line array<struct<lon,lat>>) as (pid, crosses, ring): the padded band of latitudes for a line over the dateline, the convex hull of any other. Null and empty lines have a null ring."""
+    rows = lines.select("pid", "line", dateline.crosses(F.col("line")).alias("crosses"))
+    over = rows.where("crosses").select("pid", "crosses", dateline.band(F.col("line")).alias("ring"))
+    rest = rows.where("not crosses")
+    hull = convex_hull(rest.select("pid", F.explode("line").alias("p")).select("pid", "p.lon", "p.lat"), "pid")
+    ring = hull.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("pos", "lon", "lat"))).alias("r"))
+    ring = ring.select("pid", F.transform("r", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("ring"))
+    return over.unionByName(rest.select("pid", "crosses").join(ring, "pid", "left"))
+
+
+def repaired_boundaries(features: DataFrame, region: str) -> DataFrame:
+    """features (pid, region, line, closed) with the lines of the regions whose name holds a word closed to polygons: closed says whether line is a ring afterwards. Rings, and lines of other regions, stay."""
+    broken = ~F.coalesce(F.col("closed"), F.lit(False)) & F.coalesce(F.col("region").contains(region), F.lit(False))
+    mended = closed_lines(features.where(broken).select("pid", "line")).select("pid", "ring")
+    out = features.where(broken).drop("line", "closed").join(mended, "pid").withColumnRenamed("ring", "line").withColumn("closed", F.col("line").isNotNull())
+    return features.where(~broken).unionByName(out)
+
+
+def island_jurisdictions(points: DataFrame, boundaries: DataFrame, states: DataFrame, region: str) -> DataFrame:
+    """points (qid, lat, lon) with the flags and names of the states (pid, ring, name) and of the boundaries (pid, region, line, closed, layer, name) that hold them; territorial seas and economic zones of the region are closed first. Keys of states and boundaries must differ."""
+    repair = F.col("layer").isin("ts", "eez")
+    fixed = repaired_boundaries(boundaries.where(repair), region).unionByName(boundaries.where(~repair)).where("closed")
+    rings = fixed.select("pid", F.col("line").alias("ring"), "layer", "name").unionByName(states.select("pid", "ring", F.lit("state").alias("layer"), "name"))
+    return jurisdiction_flags(points, containing(points, rings.select("pid", "ring")), rings.select("pid", "layer", "name"))
+
+
 def hotspots(cells: DataFrame, spacing_m: float, top: int, least_share: float = 0.3) -> DataFrame:
     """Greedy choice of cells (face, lat, lon, power): by falling power, each spacing_m away from those chosen, each time from all cells that are left; if too few are found the spacing shrinks by a fifth, down to least_share. At most top rows are ever on the driver."""
     faces = cells.select("face", "lat", "lon", "power").where("power is not null")

@@ -10,45 +10,21 @@ from ..operators import derive, spatial, summary
 from .flow_queries import CORNERS
 
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, sin(radians(p.lat - q.lat) / 2) ** 2 + cos(radians(q.lat)) * cos(radians(p.lat)) * sin(radians(p.lon - q.lon) / 2) ** 2)))"
-# Queries near a point; FAR below has all of fx_query.
-NEAR = "q AS (SELECT face AS qid, lat + 3e-3 AS lat, lon - 2e-3 AS lon FROM fx_points WHERE face % 10 = 3)"
-
-
-def near_queries(fx):
-    return fx.points.where("face % 10 = 3").select(F.col("face").alias("qid"), (F.col("lat") + 3e-3).alias("lat"), (F.col("lon") - 2e-3).alias("lon"))
-
-
-@query("jn_8_nearest_point", f"WITH {NEAR}, d AS (SELECT q.qid, p.face, {KM} AS km FROM q CROSS JOIN fx_points p) SELECT qid, face, {r6('km')} AS km FROM d QUALIFY row_number() OVER (PARTITION BY qid ORDER BY km, face) = 1")
-def _(fx):
-    return spatial.nearest(near_queries(fx), fx.points)
-
-
-@query("flt_31_distance_limit", f"WITH {NEAR}, d AS (SELECT q.qid, p.face, {KM} AS km FROM q CROSS JOIN fx_points p), n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY qid ORDER BY km, face) = 1) SELECT qid, km * 1000 <= 300 AS ok FROM n")
-def _(fx):
-    return spatial.within_limit(spatial.nearest(near_queries(fx), fx.points), 300.0).select("qid", "ok")
-
-
-@query("jn_9_nearest_k", f"WITH q AS (SELECT face AS qid, lat, lon FROM fx_points WHERE face % 10 = 3), d AS (SELECT q.qid, p.face, sqrt((p.lat - q.lat) ** 2 + (p.lon - q.lon) ** 2) AS deg FROM q JOIN fx_points p ON abs(p.lat - q.lat) <= 9e-2 AND abs(p.lon - q.lon) <= 9e-2), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY deg, face) AS INT) AS rank FROM d) SELECT qid, rank, face, {r6('deg')} AS deg FROM r WHERE rank <= 3 AND deg <= 25e-3")
-def _(fx):
-    queries = fx.points.where("face % 10 = 3").select(F.col("face").alias("qid"), "lat", "lon")
-    return spatial.nearest_k(queries, fx.points, 3).where("deg <= 25e-3")
-
-
 # Every place of fx_query, however far from the points.
 FAR = f"d AS (SELECT q.qid, p.face, {KM} AS km FROM fx_query q CROSS JOIN fx_points p), n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY qid ORDER BY km, face) = 1)"
 
 
-@query("jn_8_nearest_point_any", f"WITH {FAR} SELECT qid, face, {r6('km')} AS km FROM n")
+@query("jn_8_nearest_point", f"WITH {FAR} SELECT qid, face, {r6('km')} AS km FROM n")
 def _(fx):
     return spatial.nearest(fx.query, fx.points)
 
 
-@query("flt_31_distance_limit_any", f"WITH {FAR} SELECT qid, km * 1000 <= 300 AS ok FROM n")
+@query("flt_31_distance_limit", f"WITH {FAR} SELECT qid, km * 1000 <= 300 AS ok FROM n")
 def _(fx):
     return spatial.within_limit(spatial.nearest(fx.query, fx.points), 300.0).select("qid", "ok")
 
 
-@query("jn_9_nearest_k_any", f"WITH d AS (SELECT q.qid, p.face, sqrt((p.lat - q.lat) ** 2 + (p.lon - q.lon) ** 2) AS deg FROM fx_query q CROSS JOIN fx_points p), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY deg, face) AS INT) AS rank FROM d) SELECT qid, rank, face, {r6('deg')} AS deg FROM r WHERE rank <= 3")
+@query("jn_9_nearest_k", f"WITH d AS (SELECT q.qid, p.face, sqrt((p.lat - q.lat) ** 2 + (p.lon - q.lon) ** 2) AS deg FROM fx_query q CROSS JOIN fx_points p), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY deg, face) AS INT) AS rank FROM d) SELECT qid, rank, face, {r6('deg')} AS deg FROM r WHERE rank <= 3")
 def _(fx):
     return spatial.nearest_k(fx.query, fx.points, 3)
 
@@ -96,7 +72,8 @@ def _(fx):
     return spatial.in_rectangle(spatial.grid_index(fx.points), 59.2, 59.4, -152.6, -152.3, 0.052).select("cy", "cx")
 
 
-SEGMENTS = "seg AS (SELECT s_suppkey AS sid, 591e-1 + (s_suppkey % 7) * 1e-1 + (s_suppkey + 1) * 137e-5 AS lat1, -1529e-1 + (s_suppkey % 5) * 1e-1 AS lon1, 593e-1 + (s_suppkey % 5) * 1e-1 AS lat2, -1527e-1 + (s_suppkey % 3) * 1e-1 + (s_suppkey + 1) * 171e-5 AS lon2 FROM supplier WHERE s_suppkey < 40)"
+# A line of every supplier; their lengths and places repeat with the key and are bounded.
+SEGMENTS = "seg AS (SELECT s_suppkey AS sid, 591e-1 + (s_suppkey % 7) * 1e-1 + (s_suppkey % 41 + 1) * 137e-5 AS lat1, -1529e-1 + (s_suppkey % 5) * 1e-1 AS lon1, 593e-1 + (s_suppkey % 5) * 1e-1 AS lat2, -1527e-1 + (s_suppkey % 3) * 1e-1 + (s_suppkey % 41 + 1) * 171e-5 AS lon2 FROM supplier)"
 ALONG = f"""{CELLS}, {SEGMENTS}, t AS (SELECT s.*, c.cy, c.cx, (c.cx + 5e-1) / 100 AS x, (c.cy + 5e-1) / 100 AS y FROM seg s CROSS JOIN cells c),
     u AS (SELECT *, least(greatest(((x - lon1) * (lon2 - lon1) + (y - lat1) * (lat2 - lat1)) / ((lon2 - lon1) ** 2 + (lat2 - lat1) ** 2), 0e0), 1e0) AS w FROM t),
     v AS (SELECT sid, cy, cx, sqrt((x - lon1 - w * (lon2 - lon1)) ** 2 + (y - lat1 - w * (lat2 - lat1)) ** 2) AS off, sqrt((w * (lon2 - lon1)) ** 2 + (w * (lat2 - lat1)) ** 2) AS along FROM u)"""
@@ -104,7 +81,7 @@ ALONG = f"""{CELLS}, {SEGMENTS}, t AS (SELECT s.*, c.cy, c.cx, (c.cx + 5e-1) / 1
 
 def segments(fx):
     k = F.col("s_suppkey")
-    return fx.table("supplier").where(k < 40).select(k.alias("sid"), (59.1 + (k % 7) * 0.1 + (k + 1) * 0.00137).alias("lat1"), (-152.9 + (k % 5) * 0.1).alias("lon1"), (59.3 + (k % 5) * 0.1).alias("lat2"), (-152.7 + (k % 3) * 0.1 + (k + 1) * 0.00171).alias("lon2"))
+    return fx.table("supplier").select(k.alias("sid"), (59.1 + (k % 7) * 0.1 + (k % 41 + 1) * 0.00137).alias("lat1"), (-152.9 + (k % 5) * 0.1).alias("lon1"), (59.3 + (k % 5) * 0.1).alias("lat2"), (-152.7 + (k % 3) * 0.1 + (k % 41 + 1) * 0.00171).alias("lon2"))
 
 
 @query("jn_11_along_line", f"WITH {ALONG} SELECT sid, cy, cx, {r6('off')} AS off, {r6('along')} AS along FROM v WHERE off <= 213e-4")
@@ -114,7 +91,7 @@ def _(fx):
 
 @query("top_2_closest_on_line", f"WITH {ALONG}, n AS (SELECT * FROM v WHERE off <= 213e-4 QUALIFY row_number() OVER (PARTITION BY sid ORDER BY round(off, 6), cy, cx) <= 4) SELECT sid, cy, cx, {r6('along')} AS along FROM n")
 def _(fx):
-    return spatial.along_segments(spatial.grid_index(fx.points), segments(fx), 0.0213, 4).select("sid", "cy", "cx", "along").orderBy("sid", "along")
+    return spatial.along_segments(spatial.grid_index(fx.points), segments(fx), 0.0213, 4).select("sid", "cy", "cx", "along")
 
 
 @query("set_6_distinct_cells", f"WITH {ALONG} SELECT DISTINCT cy, cx FROM v WHERE off <= 213e-4")
@@ -122,42 +99,12 @@ def _(fx):
     return spatial.along_segments(spatial.grid_index(fx.points), segments(fx), 0.0213).select("cy", "cx").distinct()
 
 
-# A line of every supplier; their lengths and places repeat with the key and are bounded.
-ALL_LINES = ALONG.replace("(s_suppkey + 1)", "(s_suppkey % 41 + 1)").replace(" WHERE s_suppkey < 40", "")
-
-
-def all_segments(fx):
-    k = F.col("s_suppkey")
-    return fx.table("supplier").select(k.alias("sid"), (59.1 + (k % 7) * 0.1 + (k % 41 + 1) * 0.00137).alias("lat1"), (-152.9 + (k % 5) * 0.1).alias("lon1"), (59.3 + (k % 5) * 0.1).alias("lat2"), (-152.7 + (k % 3) * 0.1 + (k % 41 + 1) * 0.00171).alias("lon2"))
-
-
-@query("jn_11_along_line_all", f"WITH {ALL_LINES} SELECT sid, cy, cx, {r6('off')} AS off, {r6('along')} AS along FROM v WHERE off <= 213e-4")
-def _(fx):
-    return spatial.along_segments(spatial.grid_index(fx.points), all_segments(fx), 0.0213).select("sid", "cy", "cx", "off", "along")
-
-
-@query("top_2_closest_on_line_all", f"WITH {ALL_LINES}, n AS (SELECT * FROM v WHERE off <= 213e-4 QUALIFY row_number() OVER (PARTITION BY sid ORDER BY round(off, 6), cy, cx) <= 4) SELECT sid, cy, cx, {r6('along')} AS along FROM n")
-def _(fx):
-    return spatial.along_segments(spatial.grid_index(fx.points), all_segments(fx), 0.0213, 4).select("sid", "cy", "cx", "along")
-
-
-@query("set_6_distinct_cells_all", f"WITH {ALL_LINES} SELECT DISTINCT cy, cx FROM v WHERE off <= 213e-4")
-def _(fx):
-    return spatial.along_segments(spatial.grid_index(fx.points), all_segments(fx), 0.0213).select("cy", "cx").distinct()
-
-
-@query("jn_21_point_series_all", f"WITH q AS (SELECT DISTINCT s_suppkey % 50 AS face FROM supplier) SELECT v.face, v.t, v.sigma_layer, {r6('v.u')} AS u FROM fx_velocity v JOIN q ON q.face = v.face")
+@query("jn_21_point_series", f"WITH q AS (SELECT DISTINCT s_suppkey % 50 AS face FROM supplier) SELECT v.face, v.t, v.sigma_layer, {r6('v.u')} AS u FROM fx_velocity v JOIN q ON q.face = v.face")
 def _(fx):
     faces = fx.table("supplier").select((F.col("s_suppkey") % 50).alias("face")).distinct()
     return fx.velocity.join(faces, "face").select("face", "t", "sigma_layer", "u")
 
 
-@query("jn_21_point_series", f"WITH q AS (SELECT DISTINCT s_suppkey % 50 AS face FROM supplier) SELECT v.face, v.t, v.sigma_layer, {r6('v.u')} AS u FROM fx_velocity v JOIN q ON q.face = v.face WHERE v.t < 10")
-def _(fx):
-    faces = fx.table("supplier").select((F.col("s_suppkey") % 50).alias("face")).distinct()
-    return fx.velocity.where("t < 10").join(faces, "face").select("face", "t", "sigma_layer", "u")
-
-
 @query("src_4_face_subset", f"SELECT face, t, sigma_layer, {r6('u')} AS u, {r6('v')} AS v FROM fx_velocity WHERE face IN (3, 17, 41)")
 def _(fx):
     return fx.velocity.where(F.col("face").isin(3, 17, 41)).select("face", "t", "sigma_layer", "u", "v")
@@ -211,6 +158,50 @@ def _(fx):
     return flags(fx).select("qid", spatial.jurisdiction(F.col("state"), F.col("ts"), F.col("eez"), F.col("cz")).alias("jurisdiction"))
 
 
+def boundary_lines(keys, k):
+    """Arcs of six places, five in fifteen of them over the dateline; every third is of another region, every fourth is closed."""
+    x = lambda j: 160.0 + k % 30 + 2.0 * j
+    line = F.array(*(F.struct(F.when(x(j) >= 180, x(j) - 360).otherwise(x(j)).alias("lon"), (61.3 + (k % 5) * 0.3 + j * j * 0.1).alias("lat")) for j in range(6)))
+    region = F.when(k % 3 == 2, "Hawaii").when(k % 3 == 1, "Alaska, Bering Sea").otherwise("Alaska")
+    return keys.select((k + 1000).alias("pid"), region.alias("region"), line.alias("line"), (k % 4 == 3).alias("closed"))
+
+
+LINES = """ln AS (SELECT {k} + 1000 AS pid, CASE {k} % 3 WHEN 2 THEN 'Hawaii' WHEN 1 THEN 'Alaska, Bering Sea' ELSE 'Alaska' END AS region, {k} % 4 = 3 AS closed, {k} % 30 BETWEEN 10 AND 19 AS crosses, 160e0 + {k} % 30 AS x, 613e-1 + ({k} % 5) * 3e-1 AS y FROM {table})"""
+LINES_BY_SUPPLIER = LINES.format(k="s_suppkey", table="supplier")
+LAT_ENDS = f"{r6('CASE WHEN band THEN y - 2 ELSE y END')} AS lat_min, {r6('CASE WHEN band THEN y + 45e-1 ELSE y + 25e-1 END')} AS lat_max"
+
+
+def ends(ring):
+    lats = F.transform(ring, lambda p: p["lat"])
+    return F.size(ring).cast("long").alias("n"), F.array_min(lats).alias("lat_min"), F.array_max(lats).alias("lat_max")
+
+
+@query("scl_12_closed_lines", f"WITH {LINES_BY_SUPPLIER}, b AS (SELECT *, crosses AS band FROM ln) SELECT pid, crosses, CAST(CASE WHEN band THEN 4 ELSE 6 END AS BIGINT) AS n, {LAT_ENDS} FROM b")
+def _(fx):
+    return spatial.closed_lines(boundary_lines(fx.table("supplier"), F.col("s_suppkey"))).select("pid", "crosses", *ends(F.col("ring")))
+
+
+@query("scl_13_repaired_boundaries", f"WITH {LINES_BY_SUPPLIER}, b AS (SELECT *, crosses AND NOT closed AND region LIKE '%Alaska%' AS band FROM ln) SELECT pid, region, closed OR region LIKE '%Alaska%' AS closed, CAST(CASE WHEN band THEN 4 ELSE 6 END AS BIGINT) AS n, {LAT_ENDS} FROM b")
+def _(fx):
+    return spatial.repaired_boundaries(boundary_lines(fx.table("supplier"), F.col("s_suppkey")), "Alaska").select("pid", "region", "closed", *ends(F.col("line")))
+
+
+@query("api_18_island_jurisdictions", f"""WITH {FLAGS}, {LINES.format(k="n_nationkey", table="nation")},
+    z AS (SELECT y - 2 AS low, pid % 5 = 1 AS ts FROM ln WHERE crosses AND NOT closed AND region LIKE '%Alaska%' AND pid % 5 < 4),
+    g AS (SELECT fl.qid, fl.state, (SELECT count(*) FROM z WHERE ts AND z.low < p.lat) > 0 AS ts, (SELECT count(*) FROM z WHERE NOT ts AND z.low < p.lat) > 0 AS eez FROM fl JOIN fx_points p ON p.face = fl.qid)
+    SELECT qid, CASE WHEN state THEN 'State waters' WHEN ts THEN 'Territorial sea' WHEN eez THEN 'Exclusive economic zone' ELSE 'Outside' END AS jurisdiction FROM g""")
+def _(fx):
+    """Zones that are bounded by lines over the dateline; every fifth is of another kind and is not closed."""
+    from ..operators import sites
+
+    k = F.col("n_nationkey")
+    layer = F.when(F.col("pid") % 5 == 1, "ts").when(F.col("pid") % 5 == 4, "cz").otherwise("eez")
+    zones = boundary_lines(fx.table("nation"), k).where("not closed").withColumns({"layer": layer, "name": F.col("region")})
+    states = polygons(fx).where("layer = 'state'")
+    held = spatial.island_jurisdictions(located_points(fx), zones, states, "Alaska")
+    return held.select("qid", sites.island_jurisdiction(F.col("state"), F.col("ts"), F.col("eez")).alias("jurisdiction"))
+
+
 @query("flt_37_overlapping_states", f"WITH {INSIDE} SELECT qid, count(*) AS n FROM ins GROUP BY qid HAVING count(*) > 1")
 def _(fx):
     """Here every polygon counts as a state."""
@@ -275,15 +266,20 @@ def _(fx):
     return c.where(~inside).select("face")
 
 
+def boundary_by_site(fx):
+    """The strips of 36 nodes are sites of their own."""
+    return summary.boundary_edges(fx.face).withColumn("location", F.concat(F.lit("site"), F.floor((F.col("a") - 1) / 36).cast("string")))
+
+
 @query("udf_3_boundary_ring")
 def _(fx):
-    edges = summary.boundary_edges(fx.face).withColumn("location", F.lit("site"))
+    edges = boundary_by_site(fx)
     return spatial.ring_of_edges(edges)
 
 
 @query("udf_4_boundary_polygon")
 def _(fx):
-    edges = summary.boundary_edges(fx.face).withColumn("location", F.lit("site"))
+    edges = boundary_by_site(fx)
     at = spatial.ring_of_edges(edges).join(fx.node, "node")
     listed = F.array_sort(F.collect_list(F.struct("pos", "lon_node", "lat_node")))
     text = F.transform(listed, lambda p: F.format_string("%.6f %.6f", p["lon_node"], p["lat_node"]))

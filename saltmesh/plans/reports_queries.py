@@ -173,15 +173,24 @@ def _(fx):
     return steps.transect(located_faces(fx), 59.001, -152.0, 60.0, 10.0).select("face", "into", "out_of", "along")
 
 
-@query("win_7_trimmed_transect", "SELECT s_suppkey % 10 AS line, count(*) AS n FROM supplier WHERE s_suppkey // 10 < 9 OR (SELECT count(*) FROM supplier) < 100 GROUP BY 1")
+# The line's own frame: the way along it, and to its side, of each corner in km.
+WAYS = f"""{CORNERS}, fr AS (SELECT face, {", ".join(f"(lon_{k} + 151977e-3) * (pi() * 6371e0 / 180 * cos(radians(590233e-4))) AS x{k}, (lat_{k} - 590233e-4) * (pi() * 6371e0 / 180) AS y{k}" for k in (1, 2, 3))} FROM crn),
+    ln AS (SELECT face, {", ".join(f"x{k} * sin(radians(30e0)) + y{k} * cos(radians(30e0)) AS a{k}, x{k} * cos(radians(30e0)) - y{k} * sin(radians(30e0)) AS s{k}" for k in (1, 2, 3))} FROM fr),
+    mt AS (SELECT face, {", ".join(f"CASE WHEN (s{a} > 0) <> (s{b} > 0) THEN a{a} + (a{b} - a{a}) * s{a} / (s{a} - s{b}) END AS m{k}" for k, (a, b) in enumerate(((1, 2), (2, 3), (3, 1))))} FROM ln),
+    al AS (SELECT face, least(m0, m1, m2) AS i, greatest(m0, m1, m2) AS o, (least(m0, m1, m2) + greatest(m0, m1, m2)) / 2 AS along FROM mt),
+    ng AS (SELECT *, along >= 0 AS ahead, abs(along) - lag(abs(along)) OVER (PARTITION BY along >= 0 ORDER BY abs(along)) AS gap FROM al WHERE abs(along) <= 10),
+    fa AS (SELECT *, coalesce(gap > avg(gap) OVER (PARTITION BY ahead) + 5 * stddev_pop(gap) OVER (PARTITION BY ahead), false) AS far FROM ng),
+    ps AS (SELECT *, bool_or(far) OVER (PARTITION BY ahead ORDER BY abs(along)) AS past FROM fa),
+    ed AS (SELECT face, i, o, along, lag(along) OVER (ORDER BY along) AS b, lead(along) OVER (ORDER BY along) AS a FROM ps WHERE NOT past)"""
+
+
+@query("api_14_transect_both_ways", f"""WITH {WAYS}, l AS (SELECT face, sigma_layer, avg(speed) AS speed FROM fx_layer GROUP BY face, sigma_layer)
+    SELECT ed.face, {r6('along')} AS along, {r6('i')} AS "into", {r6('o')} AS out_of, {r6('coalesce((b + along) / 2, along - (a - along) / 2)')} AS left_edge, {r6('coalesce((along + a) / 2, along + (along - b) / 2)')} AS right_edge, l.sigma_layer, {r6('l.speed')} AS speed FROM ed LEFT JOIN l ON l.face = ed.face""")
 def _(fx):
-    """Lines of even steps; those with a tenth row have a jump before it."""
-    k = F.floor(F.col("s_suppkey") / 10)
-    rows = fx.table("supplier").where("s_suppkey < 100").select((F.col("s_suppkey") % 10).alias("line"), (k * 0.1 + F.when(k >= 9, 50.0).otherwise(0.0)).alias("along"))
-    return spatial.trimmed_at_shore(rows, "line", times=2.0).groupBy("line").agg(F.count("*").alias("n"))
+    return steps.transect_both_ways(located_faces(fx), derive.with_flow(fx.velocity), 59.0233, -151.977, 30.0, 10.0).select("face", "along", "into", "out_of", "left_edge", "right_edge", "sigma_layer", "speed")
 
 
-@query("win_7_trimmed_transect_all", "WITH s AS (SELECT s_suppkey // 20 AS line, (s_suppkey % 20) * 1e-1 + CASE WHEN s_suppkey % 20 >= 9 + s_suppkey // 20 % 7 THEN 50e0 ELSE 0e0 END AS along FROM supplier), g AS (SELECT *, along - lag(along) OVER (PARTITION BY line ORDER BY along) AS gap FROM s), f AS (SELECT *, coalesce(gap > avg(gap) OVER (PARTITION BY line) + 2 * stddev_pop(gap) OVER (PARTITION BY line), false) AS far FROM g), p AS (SELECT *, bool_or(far) OVER (PARTITION BY line ORDER BY along) AS past FROM f) SELECT line, count(*) AS n, (round(max(along), 6) + 0e0) AS last FROM p WHERE NOT past GROUP BY line")
+@query("win_7_trimmed_transect", "WITH s AS (SELECT s_suppkey // 20 AS line, (s_suppkey % 20) * 1e-1 + CASE WHEN s_suppkey % 20 >= 9 + s_suppkey // 20 % 7 THEN 50e0 ELSE 0e0 END AS along FROM supplier), g AS (SELECT *, along - lag(along) OVER (PARTITION BY line ORDER BY along) AS gap FROM s), f AS (SELECT *, coalesce(gap > avg(gap) OVER (PARTITION BY line) + 2 * stddev_pop(gap) OVER (PARTITION BY line), false) AS far FROM g), p AS (SELECT *, bool_or(far) OVER (PARTITION BY line ORDER BY along) AS past FROM f) SELECT line, count(*) AS n, (round(max(along), 6) + 0e0) AS last FROM p WHERE NOT past GROUP BY line")
 def _(fx):
     """Lines of 20 suppliers each, with a jump after 9 to 15 of them."""
     k = F.col("s_suppkey")

@@ -202,12 +202,7 @@ def exported_year(fx, velocity):
     return out.select("face", t.cast("long").alias("t"), "u")
 
 
-@query("api_13_export_year", "WITH line AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM fx_velocity), f AS (SELECT DISTINCT face FROM fx_velocity WHERE face < 5) SELECT f.face, l.t, (round(coalesce(v.u, -999e0), 6) + 0e0) AS u FROM line l CROSS JOIN f LEFT JOIN fx_velocity v ON v.face = f.face AND v.t = l.t AND v.sigma_layer = 0 AND v.t % 17 <> 3")
-def _(fx):
-    return exported_year(fx, fx.velocity.where("face < 5"))
-
-
-@query("api_13_export_year_all", "WITH line AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM fx_velocity), f AS (SELECT DISTINCT face FROM fx_velocity) SELECT f.face, l.t, (round(coalesce(v.u, -999e0), 6) + 0e0) AS u FROM line l CROSS JOIN f LEFT JOIN fx_velocity v ON v.face = f.face AND v.t = l.t AND v.sigma_layer = 0 AND v.t % 17 <> 3")
+@query("api_13_export_year", "WITH line AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM fx_velocity), f AS (SELECT DISTINCT face FROM fx_velocity) SELECT f.face, l.t, (round(coalesce(v.u, -999e0), 6) + 0e0) AS u FROM line l CROSS JOIN f LEFT JOIN fx_velocity v ON v.face = f.face AND v.t = l.t AND v.sigma_layer = 0 AND v.t % 17 <> 3")
 def _(fx):
     return exported_year(fx, fx.velocity)
 

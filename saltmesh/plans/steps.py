@@ -87,3 +87,14 @@ def transect(faces: DataFrame, lat: float, lon: float, bearing: float, km: float
     out = faces.withColumn("into", F.least(*meets)).withColumn("out_of", F.greatest(*meets)).where(F.col("into").isNotNull())
     out = out.withColumn("along", (F.col("into") + F.col("out_of")) / 2).where(F.col("along").between(0, km))
     return spatial.trimmed_at_shore(out.withColumn("line", F.lit(0)), "line").drop("line")
+
+
+def transect_both_ways(faces: DataFrame, layers: DataFrame, lat: float, lon: float, bearing: float, km: float) -> DataFrame:
+    """The section through a place: faces crossed ahead (positive ways) and behind it (negative ones), each up to its shore, with the mean speed of each layer and the edges of their cells along the line."""
+    ahead = transect(faces, lat, lon, bearing, km)
+    back = transect(faces, lat, lon, bearing + 180, km).where("along > 0")
+    back = back.withColumns({"along": -F.col("along"), "into": -F.col("out_of"), "out_of": -F.col("into")})
+    columns = ["face", "along", "into", "out_of"]
+    both = spatial.cell_edges(ahead.select(columns).unionByName(back.select(columns)).withColumn("line", F.lit(0)), ["line"], "along").drop("line")
+    means = layers.groupBy("face", "sigma_layer").agg(F.avg("speed").alias("speed"))
+    return both.join(means, "face", "left")

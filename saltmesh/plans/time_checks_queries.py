@@ -121,20 +121,12 @@ def _expected(fx):
     return tc.timeline(ends, "1 HOUR")
 
 
-@query("jn_6_padded_year", f"WITH {LINE}, z AS (SELECT time, zeta_center FROM fx_zeta_center WHERE face = 7 AND t % 11 <> 4) SELECT l.time, {r6('coalesce(z.zeta_center, -999e0)')} AS zeta_center FROM line l LEFT JOIN z ON z.time = l.time")
-def _(fx):
-    from ..operators import derive
-
-    rows = derive.surface_at_faces(fx.zeta, fx.face).where("face = 7 and t % 11 <> 4").select("time", "zeta_center")
-    return tc.padded(rows, _expected(fx), ["time"], ["zeta_center"]).select("time", "zeta_center")
-
-
-@query("jn_6_padded_year_all", f"WITH {LINE}, z AS (SELECT face, time, zeta_center FROM fx_zeta_center WHERE t % 11 <> 4) SELECT f.face, l.time, {r6('coalesce(z.zeta_center, -999e0)')} AS zeta_center FROM line l CROSS JOIN fx_face f LEFT JOIN z ON z.time = l.time AND z.face = f.face")
+@query("jn_6_padded_year", f"WITH {LINE}, z AS (SELECT face, time, zeta_center FROM fx_zeta_center WHERE t % 11 <> 4) SELECT f.face, l.time, {r6('coalesce(z.zeta_center, -999e0)')} AS zeta_center FROM line l CROSS JOIN (SELECT DISTINCT face FROM z) f LEFT JOIN z ON z.time = l.time AND z.face = f.face")
 def _(fx):
     from ..operators import derive
 
     rows = derive.surface_at_faces(fx.zeta, fx.face).where("t % 11 <> 4").select("face", "time", "zeta_center")
-    expected = fx.face.select("face").crossJoin(F.broadcast(_expected(fx)))
+    expected = rows.select("face").distinct().crossJoin(F.broadcast(_expected(fx)))
     return tc.padded(rows, expected, ["face", "time"], ["zeta_center"]).select("face", "time", "zeta_center")
 
 

@@ -42,8 +42,8 @@ def test_same_rows(name, spark, duck, sf_dir):
 
 # Whole jobs, with the column and number of keys that they hold at sf0.01: no prefix of suppliers, steps or faces.
 WHOLE = {
-    "jn_11_along_line_all": ("sid", 100), "top_2_closest_on_line_all": ("sid", 100), "set_6_distinct_cells_all": (None, None), "jn_21_point_series_all": ("t", 300),
-    "win_7_trimmed_transect_all": ("line", 5), "api_13_export_year_all": ("face", 50), "jn_6_padded_year_all": ("face", 50),
+    "jn_11_along_line": ("sid", 100), "top_2_closest_on_line": ("sid", 100), "set_6_distinct_cells": (None, None), "jn_21_point_series": ("t", 300),
+    "win_7_trimmed_transect": ("line", 5), "api_13_export_year": ("face", 50), "jn_6_padded_year": ("face", 50),
 }
 
 

@@ -218,6 +218,36 @@ def test_convex_hull_and_ring(spark):
     assert ring == [(0, 1), (0, 2), (0, 3), (1, 7), (1, 8), (1, 9)]
 
 
+def test_closed_lines(spark):
+    arc = [(0.0, 0.0), (2.0, 0.5), (1.0, 0.2), (4.0, 0.0)]
+    over = [(178.0, 50.0), (-179.0, 52.0), (-178.0, 51.0)]
+    rows = [(1, arc), (2, over), (3, []), (4, None), (5, [(1.0, 1.0)])]
+    lines = spark.createDataFrame(rows, "pid long, line array<struct<lon:double,lat:double>>")
+    got = {r["pid"]: (r["crosses"], r["ring"] and [tuple(p) for p in r["ring"]]) for r in spatial.closed_lines(lines).collect()}
+    assert got[1] == (False, [(0.0, 0.0), (4.0, 0.0), (2.0, 0.5)])
+    assert got[2] == (True, [(-180.0, 48.0), (180.0, 48.0), (180.0, 54.0), (-180.0, 54.0)])
+    assert got[3] == got[4] == (False, None) and got[5] == (False, [(1.0, 1.0)])
+    feature = lines.where("pid in (1, 2)").selectExpr("pid", "case when pid = 1 then null else 'Alaska' end as region", "line", "false as closed")
+    mended = {r["pid"]: (r["closed"], len(r["line"])) for r in spatial.repaired_boundaries(feature, "Alaska").collect()}
+    assert mended == {1: (False, 4), 2: (True, 4)}
+
+
+def test_transect_both_ways(spark):
+    """A row of squares of two triangles, 0.01 degrees wide, crossed from its middle to both ends."""
+    from saltmesh.plans import steps
+
+    rows = []
+    for k in range(10):
+        x = k * 0.01
+        rows += [(2 * k, x, 0.0, x + 0.01, 0.0, x, 0.01), (2 * k + 1, x + 0.01, 0.0, x + 0.01, 0.01, x, 0.01)]
+    faces = spark.createDataFrame(rows, "face long, lon_1 double, lat_1 double, lon_2 double, lat_2 double, lon_3 double, lat_3 double")
+    layers = spark.createDataFrame([(f, s, float(f)) for f in range(20) for s in (0, 1)], "face long, sigma_layer int, speed double")
+    got = steps.transect_both_ways(faces, layers, 0.003, 0.0501, 90.0, 100.0).orderBy("along").collect()
+    assert [r["face"] for r in got][::2] == list(range(20)) and len(got) == 40
+    assert all(r["left_edge"] <= r["along"] <= r["right_edge"] and r["into"] <= r["along"] <= r["out_of"] for r in got)
+    assert got[0]["along"] < 0 < got[-1]["along"]
+
+
 def test_hotspots_keep_their_distance(spark):
     cells = spark.createDataFrame([(k, 59 + k * 0.01, -152.0, float(10 - k)) for k in range(10)], "face long, lat double, lon double, power double")
     got = [r["face"] for r in spatial.hotspots(cells, 3000.0, 3).orderBy("rank").collect()]
