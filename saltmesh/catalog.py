@@ -40,5 +40,5 @@ def r6(expression: str) -> str:
 
 def load() -> None:
     """Registers all queries."""
-    for name in ("flow", "summaries", "tides", "time_checks", "lookups", "records", "reports", "sites"):
+    for name in ("flow", "summaries", "tides", "time_checks", "lookups", "records", "reports", "sites", "tables"):
         importlib.import_module(f"saltmesh.plans.{name}_queries")

@@ -96,7 +96,7 @@ def region_statistics(rows: DataFrame, region: str, value: str) -> DataFrame:
 def region_comparison(rows: DataFrame, region: str, value: str, shown_max: float) -> DataFrame:
     """Per region and for all of them (region null), and what share of values the shown range keeps."""
     kept = 100 * F.avg(F.when(F.col(value) <= shown_max, 1).otherwise(0))
-    return rows.rollup(region).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("max"), F.percentile(value, F.lit(0.99)).alias("p99"), kept.alias("kept_percent"))
+    return rows.rollup(region).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("max"), F.percentile(value, F.lit(0.99)).alias("p99"), F.percentile(value, F.lit(0.999)).alias("p999"), kept.alias("kept_percent"))
 
 
 def histogram(rows: DataFrame, value: str, low: float, high: float, bins: int, keys: list[str]) -> DataFrame:

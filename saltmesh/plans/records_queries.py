@@ -290,12 +290,15 @@ def _(fx):
 
 @query("agg_20_grid_resolution", f"""WITH {CORNERS}, e AS (SELECT face, unnest([[lat_1, lon_1, lat_2, lon_2], [lat_2, lon_2, lat_3, lon_3], [lat_3, lon_3, lat_1, lon_1]]) AS s FROM crn),
     r AS (SELECT face, avg(2 * 6371000e0 * asin(sqrt(sin(radians(s[3] - s[1]) / 2) ** 2 + cos(radians(s[1])) * cos(radians(s[3])) * sin(radians(s[4] - s[2]) / 2) ** 2))) AS m FROM e GROUP BY face)
-    SELECT (round(min(m), 3) + 0e0) AS min, (round(max(m), 3) + 0e0) AS max, (round(avg(m), 3) + 0e0) AS mean, (round(median(m), 3) + 0e0) AS median, (round(quantile_cont(m, 5e-2), 3) + 0e0) AS p5 FROM r""")
+    SELECT (round(min(m), 3) + 0e0) AS min, (round(max(m), 3) + 0e0) AS max, (round(avg(m), 3) + 0e0) AS mean, (round(median(m), 3) + 0e0) AS median, (round(stddev_pop(m), 3) + 0e0) AS std,
+    (round(quantile_cont(m, 5e-2), 3) + 0e0) AS p5, (round(quantile_cont(m, 25e-2), 3) + 0e0) AS p25, (round(quantile_cont(m, 75e-2), 3) + 0e0) AS p75, (round(quantile_cont(m, 95e-2), 3) + 0e0) AS p95 FROM r""")
 def _(fx):
     c = derive.with_corner_coordinates(fx.face, fx.node)
     sides = [geo.haversine_km(F.col(f"lat_{a}"), F.col(f"lon_{a}"), F.col(f"lat_{b}"), F.col(f"lon_{b}")) * 1000 for a, b in ((1, 2), (2, 3), (3, 1))]
     m = c.select("face", ((sides[0] + sides[1] + sides[2]) / 3).alias("m"))
-    return m.agg(*(F.round(x, 3).alias(n) for n, x in (("min", F.min("m")), ("max", F.max("m")), ("mean", F.avg("m")), ("median", F.median("m")), ("p5", F.percentile("m", F.lit(0.05))))))
+    found = {"min": F.min("m"), "max": F.max("m"), "mean": F.avg("m"), "median": F.median("m"), "std": F.stddev_pop("m")}
+    found |= {f"p{k}": F.percentile("m", F.lit(k / 100)) for k in (5, 25, 75, 95)}
+    return m.agg(*(F.round(x, 3).alias(n) for n, x in found.items()))
 
 
 @query("scl_3_wrapped_longitude", f"SELECT face, {r6('CASE WHEN (lon * 3 + 180) % 360 < 0 THEN (lon * 3 + 180) % 360 + 360 ELSE (lon * 3 + 180) % 360 END - 180')} AS lon FROM fx_points")

@@ -12,7 +12,7 @@ from . import steps
 from .flow_queries import columns
 from .lookups_queries import FLAGS, INSIDE, flags, located_points, polygons
 from .records_queries import PRODUCT, products
-from .time_checks_queries import AXIS, axis
+from .time_checks_queries import AXIS, axis, steps_sql
 
 
 @query("src_7_one_face_series", f"SELECT t, sigma_layer, {r6('u')} AS u FROM fx_velocity WHERE face = 17")
@@ -162,14 +162,20 @@ def _(fx):
     return derive.with_flow(fx.velocity).where("sigma_layer = 0").select("face", "t", "speed").orderBy(F.desc("speed"), "face", "t").limit(25)
 
 
-@query("api_1_verified", f"WITH {AXIS}, st AS (SELECT *, epoch_us(time) / 1e6 - lag(epoch_us(time)) OVER (PARTITION BY file ORDER BY pos) / 1e6 AS step FROM axis) SELECT 'order' AS check, count(*) AS n FROM st WHERE step <= 0 HAVING count(*) > 0 UNION ALL SELECT 'duplicate', count(*) FROM (SELECT time FROM axis GROUP BY time HAVING count(*) > 1) d HAVING count(*) > 0")
+@query("api_1_verified", f"""WITH {AXIS}, {steps_sql('axis', 'file', 'time', 'pos')}, by_time AS (SELECT file, epoch_us(time) / 1e6 - lag(epoch_us(time)) OVER (PARTITION BY file ORDER BY time) / 1e6 AS step FROM axis),
+    a AS (SELECT file, avg(step) AS m, min(step) AS lo, max(step) AS hi FROM st WHERE step IS NOT NULL GROUP BY file), b AS (SELECT file, min(step) AS lo, max(step) AS hi FROM by_time WHERE step IS NOT NULL GROUP BY file),
+    e AS (SELECT file, min(time) AS f, max(time) AS l, TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(file * 25 AS INT)) AS s, TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(file * 25 + 24 AS INT)) AS u FROM axis GROUP BY file),
+    v AS (SELECT 'order' AS "check", CAST(file AS VARCHAR) AS key FROM st WHERE step <= 0 UNION ALL SELECT 'duplicate', CAST(time AS VARCHAR) FROM axis GROUP BY time HAVING count(*) > 1
+    UNION ALL SELECT 'step', CAST(file AS VARCHAR) FROM a WHERE abs(m - 3600) > 1e-3 OR abs(lo - 3600) > 1e-3 OR abs(hi - 3600) > 1e-3
+    UNION ALL SELECT 'incomplete', CAST(e.file AS VARCHAR) FROM e LEFT JOIN b ON b.file = e.file WHERE b.file IS NULL OR f > s OR l < u OR lo <> 3600 OR hi <> 3600)
+    SELECT "check", key, count(*) AS n FROM v GROUP BY ALL""")
 def _(fx):
+    """Every violation of all four checks."""
     rows = axis(fx)
     start = F.lit("2005-01-01 00:00:00").cast("timestamp_ntz")
     at = lambda h: (start + F.make_dt_interval(hours=h.cast("int"))).cast("timestamp_ntz")
     spec = rows.select("file").distinct().select("file", at(F.col("file") * 25).alias("start"), at(F.col("file") * 25 + 24).alias("end"), F.lit(3600.0).alias("step"))
-    found = steps.verified(rows, spec, 3600.0)
-    return found.where("check in ('order', 'duplicate')").groupBy("check").agg(F.count("*").alias("n"))
+    return steps.verified(rows, spec, 3600.0).groupBy("check", "key").agg(F.count("*").alias("n"))
 
 
 @query("api_2_standardised", "SELECT face, count(*) AS n, min(t) AS first_t FROM fx_velocity WHERE time >= TIMESTAMP '2005-01-01 06:00:00' GROUP BY face")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, names
+from ..operators.time_checks import InvalidData, assert_valid
 
 VELOCITY = "location string, t long, time timestamp_ntz, sigma_layer long, face long, u double, v double"
 
@@ -33,14 +34,57 @@ def inventory(spark: SparkSession, folder: str, suffix: str = "*.parquet") -> Da
     return files.select("path", relative.alias("relative_path"), F.col("length").alias("n_bytes"), names.extension(F.col("path")).alias("extension"), F.col("modificationTime").alias("modified"))
 
 
+def numbered(rows: DataFrame, keys: list[str], index: str = "position") -> DataFrame:
+    """rows with their place (from 0) in the order of keys. Each range of a range sort is counted by itself, so no task holds the list.
+    The sorted ranges are written once: a range sort that ran again could draw other bounds."""
+    spark, folder = rows.sparkSession, scratch(rows.sparkSession, "numbered")
+    ranged = rows.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
+    ranged.withColumn("_pos", F.row_number().over(Window.partitionBy("_part").orderBy(*keys))).write.parquet(folder)
+    kept = spark.read.parquet(folder)
+    sizes = kept.groupBy("_part").agg(F.count("*").alias("n"))
+    before = sizes.select("_part", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return kept.join(F.broadcast(before), "_part").withColumn(index, F.col("_before") + F.col("_pos") - 1).drop("_part", "_pos", "_before")
+
+
 def ledger(files: DataFrame) -> DataFrame:
-    """An inventory with a running index in order of paths, all pending. The index is counted per partition of a range sort, so no task holds the list."""
-    ordered = files.select("relative_path", "n_bytes").repartitionByRange("relative_path").sortWithinPartitions("relative_path")
-    numbered = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_pos", F.row_number().over(Window.partitionBy("_part").orderBy("relative_path")))
-    sizes = numbered.groupBy("_part").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    out = numbered.join(F.broadcast(before), "_part").withColumn("file_index", F.col("offset") + F.col("_pos") - 1)
-    return out.select("file_index", "relative_path", "n_bytes", F.lit("pending").alias("upload_status"))
+    """An inventory with a running index in order of paths, all pending."""
+    rows = numbered(files.select("relative_path", "n_bytes"), ["relative_path"], "file_index")
+    return rows.select("file_index", "relative_path", "n_bytes", F.lit("pending").alias("upload_status"))
+
+
+#: What a precalculated table has to hold for each face.
+PRECALCULATED = ("latitude_center", "longitude_center", "timezone_offset", "distance_to_shore", "jurisdiction", "mean_navd88_offset")
+
+
+def precalculated_breaks(table: DataFrame, faces: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """(face, problem) where a precalculated table and the centres of a mesh (face, lat, lon) don't agree: a face that one
+    side alone has, or that is there twice, and coordinates further apart than the tolerance allows."""
+    mine = table.groupBy("face").agg(F.count("*").alias("_n"), *(F.min(c).alias(c) for c in PRECALCULATED[:2]))
+    both = mine.join(faces.select("face", "lat", "lon", F.lit(True).alias("_mesh")), "face", "full")
+    off = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)) > 1e-8 + tolerance * F.abs(F.col(b)), F.lit(True))
+    problem = (
+        F.when(F.col("_n").isNull(), "not precalculated").when(F.col("_mesh").isNull(), "not in the mesh").when(F.col("_n") > 1, "repeated")
+        .when(off("lat", PRECALCULATED[0]), "latitude").when(off("lon", PRECALCULATED[1]), "longitude")
+    )
+    return both.select("face", problem.alias("problem")).where("problem is not null")
+
+
+def read_precalculated(spark: SparkSession, path: str, faces: DataFrame) -> DataFrame:
+    """A precalculated table that holds what it has to; raises if a column is missing or a face doesn't agree with the mesh."""
+    table = spark.read.parquet(path)
+    if missing := [c for c in ("face", *PRECALCULATED) if c not in table.columns]:
+        raise InvalidData(f"columns missing: {', '.join(missing)}")
+    assert_valid(precalculated_breaks(table, faces))
+    return table
+
+
+def append_missing(rows: DataFrame, folder: str, keys: list[str]) -> None:
+    """Adds those partitions of rows (by keys) that the folder does not hold yet; to do it again adds nothing."""
+    spark = rows.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        rows = only_new(rows, spark.read.parquet(folder), keys)
+    rows.repartition(*keys).sortWithinPartitions(*keys, "time").write.mode("append").partitionBy(*keys).parquet(folder)
 
 
 def write_periods(rows: DataFrame, folder: str, period: Column, keys: list[str]) -> None:

@@ -310,6 +310,39 @@ def test_ledger_index_is_dense(spark, tmp_path):
     assert [r["relative_path"] for r in rows] == sorted(r["relative_path"] for r in rows)
 
 
+def test_numbered_over_many_ranges(spark):
+    """Ranges that are not joined to one: the places are those of the sorted list."""
+    keys = [(k * 7919) % 100_003 for k in range(20_000)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = tables.numbered(spark.createDataFrame([(k, "x") for k in keys], "k long, x string").repartition(9), ["k"])
+        got = {r["k"]: r["position"] for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert got == {k: n for n, k in enumerate(sorted(keys))}
+
+
+def test_read_precalculated(spark, tmp_path):
+    faces = spark.createDataFrame([(1, 59.0, -152.0), (2, 60.0, -151.0)], "face long, lat double, lon double")
+    whole = faces.select("face", F.col("lat").alias("latitude_center"), F.col("lon").alias("longitude_center"), F.lit(-9).alias("timezone_offset"), F.lit(1.0).alias("distance_to_shore"), F.lit("").alias("jurisdiction"), F.lit(0.0).alias("mean_navd88_offset"))
+    whole.write.parquet(f"{tmp_path}/good")
+    assert tables.read_precalculated(spark, f"{tmp_path}/good", faces).count() == 2
+    whole.drop("jurisdiction").write.parquet(f"{tmp_path}/bare")
+    with pytest.raises(time_checks.InvalidData, match="jurisdiction"):
+        tables.read_precalculated(spark, f"{tmp_path}/bare", faces)
+    whole.withColumn("latitude_center", F.col("latitude_center") + 0.1).write.parquet(f"{tmp_path}/off")
+    with pytest.raises(time_checks.InvalidData, match="latitude"):
+        tables.read_precalculated(spark, f"{tmp_path}/off", faces)
+
+
+def test_append_missing_adds_nothing_twice(spark, tmp_path):
+    rows = spark.range(40).select(F.col("id").alias("time"), (F.col("id") % 4).alias("day"))
+    for part in (rows.where("day < 2"), rows, rows):
+        tables.append_missing(part, f"{tmp_path}/grown", ["day"])
+    assert sorted(r["time"] for r in spark.read.parquet(f"{tmp_path}/grown").collect()) == list(range(40))
+
+
 def test_running_summary_takes_new_files_once(spark, tmp_path):
     schema = "face long, x double"
     args = (spark, f"{tmp_path}/in", schema, f"{tmp_path}/state", f"{tmp_path}/check", "x")
