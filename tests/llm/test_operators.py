@@ -1,6 +1,7 @@
 """Each operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, against plain restatements."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -583,5 +584,75 @@ def test_site_posteriors_shrink(spark):
     assert p["bad"]["p_path"] < p["tiny"]["p_path"] < whole < p["big"]["p_path"]
 
 
+def plain_posteriors(scored, most_shift, keep):
+    """Sites by loops over the documents (doc_id, host, path, p_document), in the order given: (p_host, p_path, p, keep)."""
+    mean = lambda x: sum(x) / len(x)
+    whole = mean([r[3] for r in scored])
+    of_host, of_path = {}, {}
+    for _, host, path, p in scored:
+        of_host.setdefault(host, []).append(p)
+        of_path.setdefault((host, path), []).append(p)
+
+    def strength(groups, parent_of):
+        sizes = [len(x) for x in groups.values()]
+        n, free = sum(sizes), sum(sizes) - len(sizes)
+        if len(sizes) < 2 or not free:
+            return 10.0
+        within = sum((v - mean(x)) ** 2 for x in groups.values() for v in x) / free
+        apart = n - sum(s * s for s in sizes) / n
+        between = (sum(len(x) * (mean(x) - parent_of(k)) ** 2 for k, x in groups.items()) - (len(sizes) - 1) * within) / apart
+        return min(max(within / between, 1.0), 1e6) if between > 1e-9 else 1e6
+
+    k = strength(of_host, lambda _: whole)
+    p_host = {h: (sum(x) + k * whole) / (len(x) + k) for h, x in of_host.items()}
+    k = strength(of_path, lambda key: p_host[key[0]])
+    p_path = {key: (sum(x) + k * p_host[key[0]]) / (len(x) + k) for key, x in of_path.items()}
+    logit = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    out = []
+    for _, host, path, p in scored:
+        shift = min(max(logit(p_path[host, path]) - logit(whole), -most_shift), most_shift)
+        final = 1 / (1 + math.exp(-(logit(p) + shift))) if p > 0 else 0.0
+        out.append((p_host[host], p_path[host, path], final, final >= keep))
+    return out
+
+
+def test_quality_bayes_against_plain_posteriors(spark):
+    """Every document of a whole table: hot and sparse sites, hosts of one path and of several, repeated rows."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(3_000):
+        host = "hot" if k % 3 == 0 else f"h{int(rng.integers(40))}" if k % 50 else f"rare{k}"
+        good = 0.9 if host == "hot" else (sum(host.encode()) % 10) / 10
+        rows.append((k if k % 100 else 0, host, f"{host}/{k % 2}", float(np.clip(rng.normal(good, 0.2), 0, 1)), k))
+    scored = spark.createDataFrame(rows, "doc_id long, host string, path string, p_document double, row int")
+    got = {r["row"]: r for r in quality_bayes._with_posterior(scored, *quality_bayes.site_posteriors(scored)).collect()}
+    wanted = plain_posteriors([r[:4] for r in rows], quality_bayes.MOST_SHIFT, quality_bayes.KEEP)
+    assert len(got) == len(rows)
+    for r, w in zip(rows, wanted, strict=True):
+        found = got[r[4]]
+        assert np.allclose([found["p_host"], found["p_path"], found["p"]], w[:3], rtol=1e-7, atol=1e-9)
+        assert found["keep"] == w[3]
+
+
+def test_shape_features_against_plain_counts():
+    """The features of odd texts by loops over their words and lines."""
+    texts = ["", "a", "The cat. The cat!", "x\n\nx\ny z y z", "ÄÖ £ -- ((a)) 12 12 12", " \t lead\n", "UP up, 3.5 <b>", "one\n" * 7]
+    got = quality_bayes.shape_features(texts)
+    share = lambda raw, members: sum(b in members for b in raw) / max(len(raw), 1)
+    for text, row in zip(texts, got, strict=True):
+        raw = text.encode()
+        words = re.findall(rb"[^\x00-\x20]+", raw)
+        lines = [x for x in raw.split(b"\n") if x]
+        many, n = max(len(words), 1), len(words)
+        top = max((words.count(w) for w in words), default=0)
+        twice = sum(a == b for a, b in zip(sorted(lines), sorted(lines)[1:], strict=False))
+        plain = [
+            math.log1p(n), sum(map(len, words)) / many, share(raw, quality_bayes.UPPER), share(raw, quality_bayes.DIGIT), share(raw, quality_bayes.SYMBOL), share(raw, quality_bayes.STOP),
+            sum(words[k] == words[k - 1] for k in range(1, n)) / many, sum(words[k] == words[k - 2] for k in range(2, n)) / many, len(set(words)) / many, top / many,
+            twice / max(len(lines), 1), sum(len(w) <= 2 for w in words) / many, n / max(len(lines), 1), sum(sum(b in quality_bayes.SYMBOL for b in w) >= 2 for w in words) / many,
+        ]
+        assert np.allclose(row, plain), (text, [x for x in zip(quality_bayes.NAMES, row, plain, strict=True) if abs(x[1] - x[2]) > 1e-9])
+
+
 def test_every_operator_is_registered():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
