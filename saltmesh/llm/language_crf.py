@@ -30,6 +30,8 @@ from .bytehash import Prefix, mix
 from .shared import keep_only, slices, table
 
 TRAIN_DOCS, TRAIN_WORDS = 250, 400
+#: Slots of a language in the draw of its training documents: of each, at most TRAIN_DOCS go on.
+DRAW_SLOTS = 64
 SEQUENCES, SEQUENCE_WORDS, EPOCHS, BATCH = 2_400, 48, 6, 200
 BUCKETS = 1 << 16
 SEGMENT = 128
@@ -284,15 +286,21 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageCrf:
-    """Fitted on at most TRAIN_DOCS documents of each language, and on at most TRAIN_WORDS words from a drawn place of each."""
+    """Fitted on at most TRAIN_DOCS documents of each language, and on at most TRAIN_WORDS words from a drawn place of each. Rows of equal id, text and language are one document, so ids may repeat without limit.
+
+    The draw takes the first of each slot of a language before it takes the first of the language: no task orders a whole language."""
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    drawn = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= TRAIN_DOCS)
-    sample = rows.join(F.broadcast(drawn.select("id").distinct()), "id")
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    drawn = rows.groupBy("id", "h", "lang").agg(F.pmod(F.xxhash64("id", "h"), F.lit(DRAW_SLOTS)).alias("slot"))
+    for keys in (["lang", "slot"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("id"), "id", "h")
+        drawn = drawn.withColumn("n", F.row_number().over(order)).where(F.col("n") <= TRAIN_DOCS)
+    sample = rows.join(F.broadcast(drawn.select("id", "h", "lang")), ["id", "h", "lang"])
     words = F.split("text", r"\s+")
     at = (F.pmod(F.xxhash64("id"), F.greatest(F.size(words) - TRAIN_WORDS, F.lit(0)) + 1) + 1).cast("int")
-    sample = sample.select("id", "lang", F.concat_ws(" ", F.slice(words, at, TRAIN_WORDS)).alias("text")).toPandas().sort_values(["id", "lang", "text"])
+    sample = sample.select("id", "h", "lang", F.concat_ws(" ", F.slice(words, at, TRAIN_WORDS)).alias("text")).groupBy("id", "h", "lang").agg(F.min("text").alias("text"))
+    sample = sample.toPandas().sort_values(["id", "lang", "text"])
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 
 

@@ -143,7 +143,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     drawn = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y")).orderBy(F.xxhash64("_id"), "_id", "_y").limit(TRAIN_ROWS)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(drawn), "_id").select("text", "_id", F.col("_y").alias("y"))
-    rows = _features(sample, ["_id", "y"]).toPandas().sort_values(["x__id", "x_y"])
+    # Ids may repeat without limit, in either table: the bound holds for rows.
+    found = _features(sample, ["_id", "y"]).distinct().orderBy(F.xxhash64("x__id"), "x__id", "x_y", "f").limit(TRAIN_ROWS)
+    rows = found.toPandas().sort_values(["x__id", "x_y"], kind="stable")
     x = np.stack(rows["f"].to_numpy()) if len(rows) else np.zeros((0, len(NAMES)))
     return fit(x, rows["x_y"].to_numpy().astype(float))
 

@@ -408,9 +408,14 @@ def covered(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, extra: list[str] | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, and the columns named in extra); kept is the remaining bytes as text, without characters that lost a byte."""
-    spark = docs.sparkSession
+    found = _removed(docs, id_col, text_col, length, extra or [])
+    return found.withColumnsRenamed({f"x_{k}": c for k, c in enumerate(extra or [])})
+
+
+def _removed(docs: DataFrame, id_col: str, text_col: str, length: int, extra: list[str]) -> DataFrame:
+    """As `remove_repeats`, with the extra columns as x_0, x_1, and so on, whatever their names."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    kept_cols = [F.col(c).alias(f"x_{k}") for k, c in enumerate(extra or [])]
+    kept_cols = [F.col(c).alias(f"x_{k}") for k, c in enumerate(extra)]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *kept_cols)
     # Rows that are equal in both are one row to all that follows; they have the same spans, which are gathered once.
     rows = rows.withColumns({"doc": F.coalesce("doc_id", F.lit(-1)), "row": F.xxhash64("text")})
@@ -429,21 +434,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 runs.append(len(gone))
                 sha.append(hashlib.sha256(left).hexdigest())
                 kept.append(left.decode(errors="ignore"))
-            others = [batch.column(f"x_{k}") for k in range(len(extra or []))]
+            others = [batch.column(f"x_{k}") for k in range(len(extra))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string()), *others], names)
 
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *(f"x_{k}" for k in range(len(extra or [])))]
-    joined = rows.join(per_row, ["doc", "row"], "left").select("doc_id", "text", "spans", *(f"x_{k}" for k in range(len(extra or []))))
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *(f"x_{k}" for k in range(len(extra)))]
+    joined = rows.join(per_row, ["doc", "row"], "left").select("doc_id", "text", "spans", *(f"x_{k}" for k in range(len(extra))))
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string" + "".join(f", x_{k} {types[f'x_{k}']}" for k in range(len(extra or [])))
-    return joined.mapInArrow(cut, schema).withColumnsRenamed({f"x_{k}": c for k, c in enumerate(extra or [])})
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string" + "".join(f", x_{k} {types[f'x_{k}']}" for k in range(len(extra)))
+    return joined.mapInArrow(cut, schema)
 
 
 def thinned_documents(docs: DataFrame) -> DataFrame:
     """docs with repeated bytes removed from text, and n_chars of what is left; other columns stay."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    out = remove_repeats(docs, extra=others).withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("long"))
-    return out.select(*docs.columns)
+    own = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")} | {c: F.col(f"x_{k}") for k, c in enumerate(others)}
+    return _removed(docs, "doc_id", "text", LENGTH, others).select(*(own[c].alias(c) for c in docs.columns))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

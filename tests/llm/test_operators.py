@@ -15,7 +15,7 @@ from saltmesh.llm import best_fit, language_crf, license_scan, media_columns, mu
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use inside.
-CLASHING_NAMES = ("row", "block", "key", "rep", "p", "score", "digest", "payload", "spans", "x_0", "host", "path", "keep", "labels", "component", "tokens", "_id", "_n", "id", "html")
+CLASHING_NAMES = ("row", "block", "key", "rep", "p", "score", "digest", "payload", "spans", "x_0", "host", "path", "keep", "labels", "component", "tokens", "_id", "_n", "id", "html", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256", "runs", "n_hit", "w", "at", "draws", "output", "v")
 
 
 def clashing(df):
@@ -507,6 +507,19 @@ def test_thinned_documents(docs, rows):
     assert out.where("n_chars <> length(text)").count() == 0
 
 
+def test_training_samples_of_one_id(spark, monkeypatch):
+    """The documented bounds hold for rows, not for ids."""
+    texts = [f"wort{k} das ist ein satz {k}" + " mehr" * (k % 300) for k in range(3000)]
+    same = spark.createDataFrame([(1, t, "de", "s0", 5) for t in texts] + [(1, texts[0], "de", "s0", 5)] * 500, DOCUMENTS)
+    seen = []
+    monkeypatch.setattr(language_crf, "fit", lambda t, y: seen.append(len(t)))
+    language_crf.train(same)
+    monkeypatch.setattr(quality_bayes, "TRAIN_ROWS", 100)
+    monkeypatch.setattr(quality_bayes, "fit", lambda x, y: seen.append(len(x)))
+    quality_bayes.train(same, spark.createDataFrame([(1, 1, 0)], LABELS))
+    assert seen == [language_crf.TRAIN_DOCS, 100]
+
+
 def test_language_crf(docs, none, rows):
     model = language_crf.train(docs)
     found = language_crf.label_documents(docs, model)
@@ -655,4 +668,4 @@ def test_shape_features_against_plain_counts():
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))

@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from pyspark.sql import functions as F
-from test_operators import DOCUMENTS, LABELS, brute_components, brute_removal, corpus
+from test_operators import DOCUMENTS, LABELS, brute_components, brute_removal, clashing, corpus
 
 
 def stages(spark, sf_dir):
@@ -16,16 +16,16 @@ def stages(spark, sf_dir):
 
 def test_stages(spark, tmp_path):
     rows = corpus()
-    spark.createDataFrame(rows, DOCUMENTS).repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    clashing(spark.createDataFrame(rows, DOCUMENTS)).repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(k, int(k % 7 > 0), 0) for k in range(60)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
     docs, quality, language, single, thinned, packed = stages(spark, str(tmp_path))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_duplicates", "repeated_passages", "packing"]
     for step in (quality, language, single, thinned):
         assert step.columns == docs.columns
     assert docs.count() >= quality.count() >= language.count() > single.count() == thinned.count() > 0
-    before = [tuple(r) for r in language.collect()]
+    before = [tuple(r)[:5] for r in language.collect()]
     assert sorted(r["doc_id"] for r in single.where("doc_id is not null").collect()) == sorted({d for d, _, c in brute_components(before) if d is not None and d == c})
-    kept = [tuple(r) for r in single.collect()]
+    kept = [tuple(r)[:5] for r in single.collect()]
     removed = {r[0]: r[2] for r in brute_removal(kept)}
     after = {r["doc_id"]: r["text"] for r in thinned.collect()}
     for r in kept:
