@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dateline, geo
+from .cover import containing
+from .rings import convex_hull
 
 #: Sides of the lookup cells in hundredths of a degree, by level: each divides the circle, and the last is the whole earth.
 SIDES = (1, 4, 20, 100, 500, 3000, 18000, 36000)
@@ -149,25 +150,6 @@ def along_segments(cells: DataFrame, segments: DataFrame, most: float, max_point
     return ranked.where(F.col("_n") <= max_points).drop("_n")
 
 
-def polygon_edges(polygons: DataFrame) -> DataFrame:
-    """polygons (pid, ring array<struct<lon,lat>>) to (pid, x1, y1, x2, y2)."""
-    r = F.col("ring")
-    ends = F.zip_with(r, F.concat(F.slice(r, 2, F.size(r) - 1), F.slice(r, 1, 1)), lambda a, b: F.struct(a["lon"].alias("x1"), a["lat"].alias("y1"), b["lon"].alias("x2"), b["lat"].alias("y2")))
-    return polygons.select("pid", F.explode(ends).alias("e")).select("pid", "e.*")
-
-
-def containing(points: DataFrame, polygons: DataFrame, cell_degrees: float = 0.1) -> DataFrame:
-    """(qid, pid) of points (qid, lat, lon) in polygons, by the parity of edges to the east. Points join the edges of their row of cells and the polygons whose box holds them."""
-    row = lambda y: F.floor(y / cell_degrees).cast("long")
-    boxes = polygons.select("pid", F.transform("ring", lambda p: p["lon"]).alias("x"), F.transform("ring", lambda p: p["lat"]).alias("y"))
-    boxes = boxes.select("pid", F.array_min("x").alias("bx1"), F.array_max("x").alias("bx2"), F.array_min("y").alias("by1"), F.array_max("y").alias("by2"))
-    edges = polygon_edges(polygons).where("y1 <> y2").join(boxes, "pid")
-    edges = edges.withColumn("row", F.explode(F.sequence(row(F.least("y1", "y2")), row(F.greatest("y1", "y2")))))
-    crosses = ((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (F.col("lon") < (F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
-    pairs = points.withColumn("row", row(F.col("lat"))).join(edges, "row").where(F.col("lat").between(F.col("by1"), F.col("by2")) & F.col("lon").between(F.col("bx1"), F.col("bx2")))
-    return pairs.groupBy("qid", "pid").agg(F.sum(crosses.cast("int")).alias("n")).where("n % 2 = 1").select("qid", "pid")
-
-
 def jurisdiction_flags(points: DataFrame, inside: DataFrame, layers: DataFrame) -> DataFrame:
     """points with flags of the layers (pid, layer, name) that hold them, and the names in order."""
     hit = inside.join(layers, "pid")
@@ -249,53 +231,6 @@ def located(points: DataFrame, faces: DataFrame, cell_degrees: float = 0.02) ->
     return hit.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n", "cx", "cy")
 
 
-def ring_of_edges(edges: DataFrame, key: str = "location") -> DataFrame:
-    """Boundary edges (key, a, b) walked to rings: (key, ring, pos, node). A boundary is about the root of its mesh."""
-
-    def walk(part: pd.DataFrame) -> pd.DataFrame:
-        near: dict[int, list[int]] = {}
-        for a, b in zip(part["a"], part["b"], strict=True):
-            near.setdefault(a, []).append(b)
-            near.setdefault(b, []).append(a)
-        rows, ring = [], 0
-        for start in sorted(near):
-            if not near[start]:
-                continue
-            node, pos = start, 0
-            while near[node]:
-                rows.append((part[key].iloc[0], ring, pos, node))
-                following = min(near[node])
-                near[node].remove(following)
-                near[following].remove(node)
-                node, pos = following, pos + 1
-            ring += 1
-        return pd.DataFrame(rows, columns=[key, "ring", "pos", "node"])
-
-    kind = dict(edges.dtypes)[key]
-    return edges.groupBy(key).applyInPandas(walk, f"{key} {kind}, ring int, pos int, node long")
-
-
-def convex_hull(points: DataFrame, key: str) -> DataFrame:
-    """(key, pos, lon, lat) of the hull, counter-clockwise, of small sets such as one boundary line."""
-
-    def hull(part: pd.DataFrame) -> pd.DataFrame:
-        pts = sorted(set(zip(part["lon"], part["lat"], strict=True)))
-        turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
-        sides = []
-        for line in (pts, pts[::-1]):
-            side: list[tuple] = []
-            for p in line:
-                while len(side) > 1 and turn(side[-2], side[-1], p) <= 0:
-                    side.pop()
-                side.append(p)
-            sides.append(side[:-1] if len(side) > 1 else side)
-        out = sides[0] + (sides[1] if len(pts) > 1 else [])
-        return pd.DataFrame([(part[key].iloc[0], i, x, y) for i, (x, y) in enumerate(out)], columns=[key, "pos", "lon", "lat"])
-
-    kind = dict(points.dtypes)[key]
-    return points.select(key, "lon", "lat").groupBy(key).applyInPandas(hull, f"{key} {kind}, pos int, lon double, lat double")
-
-
 def closed_lines(lines: DataFrame) -> DataFrame:
     """Boundary lines (pid, line array<struct<lon,lat>>) as (pid, crosses, ring): the padded band of latitudes for a line over the dateline, the convex hull of any other. Null and empty lines have a null ring."""
     rows = lines.select("pid", "line", dateline.crosses(F.col("line")).alias("crosses"))
@@ -323,40 +258,6 @@ def island_jurisdictions(points: DataFrame, boundaries: DataFrame, states: DataF
     return jurisdiction_flags(points, containing(points, rings.select("pid", "ring")), rings.select("pid", "layer", "name"))
 
 
-def hotspots(cells: DataFrame, spacing_m: float, top: int, least_share: float = 0.3) -> DataFrame:
-    """Greedy choice of cells (face, lat, lon, power): by falling power, each spacing_m away from those chosen, each time from all cells that are left; if too few are found the spacing shrinks by a fifth, down to least_share. At most top rows are ever on the driver."""
-    faces = cells.select("face", "lat", "lon", "power").where("power is not null")
-    chosen: list = []
-    spacing = spacing_m
-    while len(chosen) < top and spacing >= least_share * spacing_m:
-        left = faces
-        for c in chosen:
-            left = left.where((geo.haversine_km(F.col("lat"), F.col("lon"), F.lit(c["lat"]), F.lit(c["lon"])) * 1000 >= spacing) & (F.col("face") != c["face"]))
-        # Strongest first, ties to the smaller face.
-        best = left.agg(F.max_by(F.struct("face", "lat", "lon", "power"), F.struct("power", -F.col("face"))).alias("b")).where("b is not null").select("b.*").collect()
-        if best:
-            chosen.append(best[0])
-        else:
-            spacing *= 0.8
-    spark = cells.sparkSession
-    return spark.createDataFrame([(k + 1, c["face"], c["lat"], c["lon"], c["power"]) for k, c in enumerate(chosen)], "rank int, face long, lat double, lon double, power double")
-
-
-def hotspot_areas(chosen: DataFrame, cells: DataFrame, area_m2: float) -> DataFrame:
-    """chosen (of hotspots) with the square search area about each: its bounds, and number, total and mean power of the cells in it. The few chosen mark the grid cells of their squares, which join cells by equality."""
-    half = math.sqrt(area_m2) / 2 / (math.pi * geo.RADIUS_KM * 1000 / 180)
-    east = F.least(half / F.greatest(F.cos(F.radians("at_lat")), F.lit(1e-9)), F.lit(180.0))
-    at = chosen.select("rank", F.col("face").alias("at_face"), F.col("lat").alias("at_lat"), F.col("lon").alias("at_lon"), F.col("power").alias("at_power"))
-    at = at.withColumns({"lat_min": F.col("at_lat") - half, "lat_max": F.col("at_lat") + half, "lon_min": F.col("at_lon") - east, "lon_max": F.col("at_lon") + east})
-    # Over the dateline the square is also looked for a turn on.
-    marks = at.withColumn("turn", F.explode(F.array(*map(F.lit, (-360.0, 0.0, 360.0))))).where("lon_min + turn <= 180 and lon_max + turn >= -180")
-    marks = marks.withColumn("cy", F.explode(F.sequence(geo.cell(F.col("lat_min")), geo.cell(F.col("lat_max"))))).withColumn("cx", F.explode(F.sequence(geo.cell(F.col("lon_min") + F.col("turn")), geo.cell(F.col("lon_max") + F.col("turn")))))
-    inside = F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & (F.col("lon") - F.col("turn")).between(F.col("lon_min"), F.col("lon_max"))
-    held = marks.join(with_cell(cells.select("lat", "lon", "power")), ["cy", "cx"]).where(inside).groupBy("rank").agg(F.count("*").alias("n"), F.sum("power").alias("total"), F.avg("power").alias("mean"))
-    out = at.withColumnsRenamed({"at_face": "face", "at_lat": "lat", "at_lon": "lon", "at_power": "power"})
-    return out.join(held, "rank", "left")
-
-
 def trimmed_at_shore(transect: DataFrame, key: str, times: float = 5.0) -> DataFrame:
     """Rows of each transect before its first step that is over the mean step by so many deviations."""
     w = Window.partitionBy(key).orderBy("along")

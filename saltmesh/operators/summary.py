@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .selection import percentiles
+
 
 def period_month(time: Column) -> Column:
     return F.date_trunc("month", time).cast("timestamp_ntz")
@@ -85,18 +87,19 @@ def boundary_edges(faces: DataFrame) -> DataFrame:
 
 
 def region_statistics(rows: DataFrame, region: str, value: str) -> DataFrame:
-    """Count, extremes, mean, deviation and high percentiles per region."""
-    shares = (0.95, 0.99, 0.9999)
-    out = rows.groupBy(region).agg(
-        F.count(value).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.percentile(value, F.array(*map(F.lit, shares))).alias("_q"),
-    )
-    return out.select(region, "n", "min", "max", "mean", "std", F.col("_q")[0].alias("p95"), F.col("_q")[1].alias("p99"), F.col("_q")[2].alias("p9999"))
+    """Count, extremes, mean, deviation and high percentiles per region, by selection: a region may hold any number of rows."""
+    others = {"n": F.count(value), "min": F.min(value), "max": F.max(value), "mean": F.avg(value), "std": F.stddev_pop(value)}
+    out = percentiles(rows, [region], value, [0.95, 0.99, 0.9999], others)
+    return out.select(region, *others, F.col("q")[0].alias("p95"), F.col("q")[1].alias("p99"), F.col("q")[2].alias("p9999"))
 
 
 def region_comparison(rows: DataFrame, region: str, value: str, shown_max: float) -> DataFrame:
     """Per region and for all of them (region null), and what share of values the shown range keeps."""
     kept = 100 * F.avg(F.when(F.col(value) <= shown_max, 1).otherwise(0))
-    return rows.rollup(region).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("max"), F.percentile(value, F.lit(0.99)).alias("p99"), F.percentile(value, F.lit(0.999)).alias("p999"), kept.alias("kept_percent"))
+    others = {"n": F.count(value), "mean": F.avg(value), "max": F.max(value), "kept_percent": kept}
+    each = percentiles(rows, [region], value, [0.99, 0.999], others)
+    whole = percentiles(rows, [], value, [0.99, 0.999], others).withColumn(region, F.lit(None).cast(rows.schema[region].dataType))
+    return each.unionByName(whole).select(region, "n", "mean", "max", F.col("q")[0].alias("p99"), F.col("q")[1].alias("p999"), "kept_percent")
 
 
 def histogram(rows: DataFrame, value: str, low: float, high: float, bins: int, keys: list[str]) -> DataFrame:
@@ -122,10 +125,11 @@ def density_histogram(rows: DataFrame, key: str, value: str, bins: int = 50) ->
     return out.groupBy(key, "bin").agg((F.count("*") / F.first(F.col("total") * width)).alias("density"))
 
 
-def basic_statistics(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    q = F.percentile(value, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    out = rows.groupBy(*keys).agg(F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), q.alias("_q"))
-    return out.select(*keys, "min", "max", "mean", "std", F.col("_q")[0].alias("median"), F.col("_q")[1].alias("p95"), F.col("_q")[2].alias("p99"))
+def basic_statistics(rows: DataFrame, value: str, keys: list[str], shares: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Extremes, mean, deviation and percentiles (median for a half) of groups of any size."""
+    others = {"min": F.min(value), "max": F.max(value), "mean": F.avg(value), "std": F.stddev_pop(value)}
+    out = percentiles(rows, keys, value, list(shares), others)
+    return out.select(*keys, *others, *(F.col("q")[k].alias("median" if q == 0.5 else f"p{round(q * 100)}") for k, q in enumerate(shares)))
 
 
 def value_counts(rows: DataFrame, value: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import query, r6
 from ..functions import geo
-from ..operators import derive, spatial, summary
+from ..operators import derive, hotspots, profiles, rings, spatial, summary
 from .flow_queries import CORNERS
 
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, sin(radians(p.lat - q.lat) / 2) ** 2 + cos(radians(q.lat)) * cos(radians(p.lat)) * sin(radians(p.lon - q.lon) / 2) ** 2)))"
@@ -243,17 +243,49 @@ def _(fx):
     return spatial.located(samples(fx), derive.with_corner_coordinates(fx.face, fx.node)).select("qid", "face", "w1", "w2", "w3")
 
 
-@query("jn_16_interpolated_value", f"WITH {BARY} SELECT qid, {r6('w1 * n1 + w2 * n2 + w3 * n3')} AS value FROM b")
+# A line of every supplier over the first strip of the mesh; both ends of some are outside of all centres.
+LINES_OVER = "lin AS (SELECT s_suppkey AS line, 59e0 + (s_suppkey % 9) * 6e-3 AS lat1, -152e0 + (s_suppkey % 4) * 3e-3 AS lon1, 59e0 + (s_suppkey % 7) * 7e-3 AS lat2, -1519e-1 - 5e-2 - (s_suppkey % 5) * 2e-3 AS lon2 FROM supplier)"
+DUAL = f"""{LINES_OVER}, {CORNERS}, cen AS (SELECT face, n1, n2, n3, h_center, (lat_1 + lat_2 + lat_3) / 3 AS lat, (lon_1 + lon_2 + lon_3) / 3 AS lon FROM crn),
+    inc AS (SELECT n1 AS node, n2 AS o1, n3 AS o2, face, lat, lon FROM cen UNION ALL SELECT n2, n1, n3, face, lat, lon FROM cen UNION ALL SELECT n3, n1, n2, face, lat, lon FROM cen),
+    oth AS (SELECT node, count(DISTINCT o) AS n FROM (SELECT node, o1 AS o FROM inc UNION ALL SELECT node, o2 FROM inc) x GROUP BY node),
+    fan AS (SELECT i.node, list({{'face': i.face, 'lat': i.lat, 'lon': i.lon}} ORDER BY atan2(i.lat - d.lat_node, i.lon - d.lon_node)) AS f, list(i.face ORDER BY atan2(i.lat - d.lat_node, i.lon - d.lon_node)) AS ids, min(i.face) AS low FROM inc i JOIN fx_node d ON d.node = i.node JOIN oth o ON o.node = i.node GROUP BY i.node, o.n HAVING count(*) = o.n AND count(*) >= 3),
+    tur AS (SELECT node, list_concat(f[list_position(ids, low):], f[1:list_position(ids, low) - 1]) AS f FROM fan),
+    tri AS (SELECT node * 1000 + k AS tid, f[1] AS a, f[k] AS b, f[k + 1] AS c FROM (SELECT node, f, unnest(range(2, len(f))) AS k FROM tur) x),
+    smp AS (SELECT line, i, lat1 + i / 19e0 * (lat2 - lat1) AS lat, lon1 + i / 19e0 * (lon2 - lon1) AS lon FROM lin CROSS JOIN (SELECT unnest(range(20)) AS i) s),
+    trk AS (SELECT *, sum(step) OVER (PARTITION BY line ORDER BY i) AS km FROM (SELECT line, i, lat, lon, coalesce(2 * 6371e0 * asin(sqrt(sin(radians(lat - lag(lat) OVER w) / 2) ** 2 + cos(radians(lag(lat) OVER w)) * cos(radians(lat)) * sin(radians(lon - lag(lon) OVER w) / 2) ** 2)), 0) AS step FROM smp WINDOW w AS (PARTITION BY line ORDER BY i)) x),
+    bar AS (SELECT s.line, s.i, t.*, ((b.lat - c.lat) * (s.lon - c.lon) + (c.lon - b.lon) * (s.lat - c.lat)) / ((b.lat - c.lat) * (a.lon - c.lon) + (c.lon - b.lon) * (a.lat - c.lat)) AS w1, ((c.lat - a.lat) * (s.lon - c.lon) + (a.lon - c.lon) * (s.lat - c.lat)) / ((b.lat - c.lat) * (a.lon - c.lon) + (c.lon - b.lon) * (a.lat - c.lat)) AS w2 FROM smp s CROSS JOIN tri t WHERE t.a.lat < 5906e-2 AND t.a.lon < -1519e-1),
+    hit AS (SELECT *, 1 - w1 - w2 AS w3 FROM bar WHERE w1 >= -1e-10 AND w2 >= -1e-10 AND 1 - w1 - w2 >= -1e-10 QUALIFY row_number() OVER (PARTITION BY line, i ORDER BY tid) = 1),
+    pnt AS (SELECT line, i, a.face AS face, w1 AS w FROM hit UNION ALL SELECT line, i, b.face, w2 FROM hit UNION ALL SELECT line, i, c.face, w3 FROM hit)"""
+
+
+def dual_mesh(fx):
+    c = derive.with_corner_coordinates(fx.face, fx.node)
+    centre = lambda x: ((F.col(f"{x}_1") + F.col(f"{x}_2") + F.col(f"{x}_3")) / 3).alias(x)
+    return profiles.dual_triangles(c.select("face", "n1", "n2", "n3", centre("lat"), centre("lon")), fx.node)
+
+
+def lines_over(fx):
+    k = F.col("s_suppkey")
+    return fx.table("supplier").select(k.alias("line"), (59.0 + (k % 9) * 0.006).alias("lat1"), (-152.0 + (k % 4) * 0.003).alias("lon1"), (59.0 + (k % 7) * 0.007).alias("lat2"), (-151.9 - 0.05 - (k % 5) * 0.002).alias("lon2"))
+
+
+@query("jn_16_interpolated_value", f"""WITH {DUAL}, spd AS (SELECT face, avg(speed) AS v FROM fx_layer GROUP BY face), val AS (SELECT p.line, p.i, sum(p.w * f.h_center) AS depth, CASE WHEN count(s.v) = 3 THEN sum(p.w * s.v) END AS speed FROM pnt p JOIN fx_face f ON f.face = p.face LEFT JOIN spd s ON s.face = p.face GROUP BY 1, 2)
+    SELECT t.line, CAST(t.i AS INT) AS i, {r6('t.lat')} AS lat, {r6('t.lon')} AS lon, {r6('t.km')} AS km, {r6('v.depth')} AS depth, {r6('v.speed')} AS speed FROM trk t LEFT JOIN val v ON v.line = t.line AND v.i = t.i""")
 def _(fx):
-    at = spatial.located(samples(fx), derive.with_corner_coordinates(fx.face, fx.node))
-    return at.select("qid", (F.col("w1") * F.col("n1") + F.col("w2") * F.col("n2") + F.col("w3") * F.col("n3")).alias("value"))
+    """Depth and mean speed along lines, between the centres of faces."""
+    speed = derive.with_flow(fx.velocity).groupBy("face").agg(F.avg("speed").alias("speed"))
+    values = fx.face.select("face", F.col("h_center").alias("depth")).join(speed, "face", "left")
+    return profiles.profile(lines_over(fx), 20, dual_mesh(fx), values, ["depth", "speed"])
 
 
-@query("jn_18_cross_section", f"WITH {BARY} SELECT b.qid, CAST(l.d AS INT) AS depth_level, {r6('v.speed')} AS speed FROM b CROSS JOIN (SELECT unnest(range(10)) AS d) l JOIN fx_layer v ON v.face = b.face AND v.t = 0 AND v.sigma_layer = l.d * 4 // 10")
+@query("jn_18_cross_section", f"""WITH {DUAL}, bot AS (SELECT p.line, p.i, sum(p.w * f.h_center) AS depth FROM pnt p JOIN fx_face f ON f.face = p.face GROUP BY 1, 2), low AS (SELECT line, max(depth) AS deepest FROM bot GROUP BY line),
+    lvl AS (SELECT t.line, t.i, t.km, d.d, least(d.d * 4 // 10, 3) AS layer, b.depth, low.deepest FROM trk t LEFT JOIN low ON low.line = t.line CROSS JOIN (SELECT unnest(range(10)) AS d) d LEFT JOIN bot b ON b.line = t.line AND b.i = t.i),
+    val AS (SELECT p.line, p.i, v.sigma_layer AS layer, CASE WHEN count(*) = 3 THEN sum(p.w * v.speed) END AS speed FROM pnt p JOIN fx_layer v ON v.face = p.face AND v.t = 0 GROUP BY 1, 2, 3)
+    SELECT l.line, CAST(l.i AS INT) AS i, {r6('l.km')} AS km, CAST(l.d AS INT) AS depth_level, {r6('l.deepest * l.d / 9')} AS level_depth, CAST(l.layer AS BIGINT) AS sigma_layer, {r6('l.depth')} AS depth, {r6('v.speed')} AS speed FROM lvl l LEFT JOIN val v ON v.line = l.line AND v.i = l.i AND v.layer = l.layer""")
 def _(fx):
-    at = spatial.located(samples(fx), derive.with_corner_coordinates(fx.face, fx.node)).select("qid", "face")
-    levels = at.withColumn("depth_level", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("sigma_layer", F.floor(F.col("depth_level") * 4 / 10))
-    return levels.join(derive.with_flow(fx.velocity).where("t = 0"), ["face", "sigma_layer"]).select("qid", "depth_level", "speed")
+    depths = fx.face.select("face", F.col("h_center").alias("depth"))
+    layers = derive.with_flow(fx.velocity).where("t = 0").select("face", "sigma_layer", "speed")
+    return profiles.cross_section(lines_over(fx), 20, 10, 4, dual_mesh(fx), depths, layers, "depth", "speed")
 
 
 @query("flt_14_centres_in_faces", f"WITH {CORNERS} SELECT face FROM crn WHERE face % 7 = 3")
@@ -273,23 +305,18 @@ def boundary_by_site(fx):
 
 @query("udf_3_boundary_ring")
 def _(fx):
-    edges = boundary_by_site(fx)
-    return spatial.ring_of_edges(edges)
+    return rings.ring_of_edges(boundary_by_site(fx))
 
 
 @query("udf_4_boundary_polygon")
 def _(fx):
-    edges = boundary_by_site(fx)
-    at = spatial.ring_of_edges(edges).join(fx.node, "node")
-    listed = F.array_sort(F.collect_list(F.struct("pos", "lon_node", "lat_node")))
-    text = F.transform(listed, lambda p: F.format_string("%.6f %.6f", p["lon_node"], p["lat_node"]))
-    out = at.groupBy("location", "ring").agg(text.alias("t"), F.min("lon_node").alias("lon_min"), F.max("lon_node").alias("lon_max"), F.min("lat_node").alias("lat_min"), F.max("lat_node").alias("lat_max"))
-    return out.select("location", "ring", F.concat(F.lit("POLYGON (("), F.array_join(F.concat("t", F.slice("t", 1, 1)), ", "), F.lit("))")).alias("wkt"), "lon_min", "lon_max", "lat_min", "lat_max")
+    at = rings.ring_of_edges(boundary_by_site(fx)).join(fx.node, "node")
+    return rings.outline(at, ["location", "ring"], F.col("lon_node"), F.col("lat_node"))
 
 
 @query("udf_6_convex_hull")
 def _(fx):
-    return spatial.convex_hull(fx.points.withColumn("grp", F.col("face") % 20), "grp")
+    return rings.convex_hull(fx.points.withColumn("grp", F.col("face") % 20), "grp")
 
 
 @query("top_3_hotspots")
@@ -297,5 +324,4 @@ def _(fx):
     power = derive.with_flow(fx.velocity).groupBy("face").agg(F.avg("power_density").alias("power"))
     c = derive.with_corner_coordinates(fx.face, fx.node)
     at = c.select("face", ((F.col("lat_1") + F.col("lat_2") + F.col("lat_3")) / 3).alias("lat"), ((F.col("lon_1") + F.col("lon_2") + F.col("lon_3")) / 3).alias("lon"))
-    cells = at.join(power, "face")
-    return spatial.hotspot_areas(spatial.hotspots(cells, 1500.0, 5), cells, 1e6)
+    return hotspots.hotspots(at.join(power, "face"), 1500.0, 5, 4e6)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import query, r6
 from ..functions import geo, names
-from ..operators import derive, records
+from ..operators import derive, records, summary
 from .flow_queries import CORNERS
 
 # Attributes of files: eleven keys, of which some files have another value or none.
@@ -296,9 +296,8 @@ def _(fx):
     c = derive.with_corner_coordinates(fx.face, fx.node)
     sides = [geo.haversine_km(F.col(f"lat_{a}"), F.col(f"lon_{a}"), F.col(f"lat_{b}"), F.col(f"lon_{b}")) * 1000 for a, b in ((1, 2), (2, 3), (3, 1))]
     m = c.select("face", ((sides[0] + sides[1] + sides[2]) / 3).alias("m"))
-    found = {"min": F.min("m"), "max": F.max("m"), "mean": F.avg("m"), "median": F.median("m"), "std": F.stddev_pop("m")}
-    found |= {f"p{k}": F.percentile("m", F.lit(k / 100)) for k in (5, 25, 75, 95)}
-    return m.agg(*(F.round(x, 3).alias(n) for n, x in found.items()))
+    found = summary.basic_statistics(m, "m", [], (0.05, 0.25, 0.5, 0.75, 0.95))
+    return found.select(*(F.round(c, 3).alias(c) for c in found.columns))
 
 
 @query("scl_3_wrapped_longitude", f"SELECT face, {r6('CASE WHEN (lon * 3 + 180) % 360 < 0 THEN (lon * 3 + 180) % 360 + 360 ELSE (lon * 3 + 180) % 360 END - 180')} AS lon FROM fx_points")

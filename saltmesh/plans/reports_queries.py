@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from ..catalog import query, r6
 from ..functions import dateline, geo
-from ..operators import derive, spatial, summary
+from ..operators import derive, manifest, spatial, summary
 from ..sources import tables
 from ..streaming import running_summary
 from . import steps
 from .flow_queries import CORNERS, columns
+from .records_queries import PATH
 
 
 def located_faces(fx):
@@ -258,9 +259,24 @@ def _(fx):
     return steps.atlas(derive.with_flow(fx.velocity), fx.face, fx.node, 4).select("face_id", "mean", "ratio", "speed_sigma_level_0", "lon_3")
 
 
-@query("api_10_manifest", "SELECT CAST(floor(lat * 100) AS BIGINT) AS cy, CAST(floor(lon * 100) AS BIGINT) AS cx, count(*) AS n_points, min(face) AS first_face FROM fx_points GROUP BY 1, 2")
+MANIFEST = f"""p AS (SELECT 'site' || CAST(face % 3 AS VARCHAR) AS location, * FROM fx_points),
+    q AS (SELECT v.manifest_version, CAST(floor(lat * 100) AS BIGINT) AS cy, CAST(floor(lon * 100) AS BIGINT) AS cx, location, face, lat, lon FROM p JOIN (VALUES ('1.0.0'), ('1.0.1')) v(manifest_version) ON manifest_version = '1.0.1' OR NOT (face % 7 = 3 AND lat < 593e-1)),
+    w AS (SELECT cy, cx, bool_or(face % 7 = 3 AND lat < 593e-1) AS changed FROM q GROUP BY 1, 2)"""
+
+
+@query("api_10_manifest", f"""WITH {MANIFEST} SELECT q.manifest_version, q.cy, q.cx, CASE WHEN w.changed AND q.manifest_version = '1.0.1' THEN '1.0.1' ELSE '1.0.0' END AS written, CAST(count(*) OVER (PARTITION BY q.manifest_version, q.cy, q.cx) AS BIGINT) AS n_points, q.face,
+    q.location || '/v2.1.0/' || {PATH} || '/' || q.location || '.tidal.face=' || CAST(q.face AS VARCHAR) || '.lat=' || printf('%.7f', q.lat) || '.lon=' || printf('%.7f', q.lon) || '-1h.parquet' AS path FROM q JOIN w ON w.cy = q.cy AND w.cx = q.cx""")
 def _(fx):
-    return steps.manifest(fx.points, "cook", "tidal", "1h").select("cy", "cx", "n_points", F.col("points")[0]["face"].alias("first_face"))
+    """Built before and after points were added in the south; both versions are read back, with the points and paths of every cell."""
+    folder = tables.scratch(fx.spark, "manifest")
+    points = fx.points.withColumn("location", F.concat(F.lit("site"), (F.col("face") % 3).cast("string")))
+    out = None
+    for rows in (points.where("not (face % 7 = 3 and lat < 59.3)"), points):
+        version = manifest.build(rows, folder, "tidal", "1h", "2.1.0", "2025-06-01")
+        cells = manifest.cells(fx.spark, folder, version).select("cy", "cx", "n_points")
+        own = manifest.details(fx.spark, folder, version).join(cells, ["cy", "cx"]).select(F.lit(version).alias("manifest_version"), "cy", "cx", "written", "n_points", "face", "path")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 @query("api_19_point_lookup")

@@ -53,13 +53,6 @@ def atlas(layers: DataFrame, faces: DataFrame, nodes: DataFrame, n_layers: int)
     return out.withColumn("face_id", derive.face_id(F.col("face"))).withColumn("outline", wkt)
 
 
-def manifest(points: DataFrame, location: str, dataset: str, period: str) -> DataFrame:
-    """Cells with their points, each with the path of its series."""
-    file = names.point_file(F.lit(location), F.lit(dataset), F.col("face"), F.col("lat"), F.col("lon"), F.lit(period))
-    placed = spatial.with_cell(points).withColumn("path", F.concat_ws("/", F.lit(location), geo.partition_path(F.col("lat"), F.col("lon")), file))
-    return placed.groupBy("cy", "cx").agg(F.count("*").alias("n_points"), F.array_sort(F.collect_list(F.struct("face", "path"))).alias("points"))
-
-
 def lookup(queries: DataFrame, points: DataFrame, versions: DataFrame, location: str, metres: float) -> DataFrame:
     """Nearest point of each query within a limit, with the path of its series in the latest version."""
     found = spatial.within_limit(spatial.nearest(queries, points), metres).where("ok").drop("ok")

@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, names
 from ..operators.time_checks import InvalidData, assert_valid
+from .scratch import exists, scratch
 
 VELOCITY = "location string, t long, time timestamp_ntz, sigma_layer long, face long, u double, v double"
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new folder in the one that driver and executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
 def read_declared(spark: SparkSession, paths: list[str], schema: str, exclude: str | None = None) -> DataFrame:
     """Parquet files with a declared schema, without those whose path matches exclude."""
     rows = spark.read.schema(schema).parquet(*paths)
@@ -81,8 +73,7 @@ def read_precalculated(spark: SparkSession, path: str, faces: DataFrame) -> Data
 def append_missing(rows: DataFrame, folder: str, keys: list[str]) -> None:
     """Adds those partitions of rows (by keys) that the folder does not hold yet; to do it again adds nothing."""
     spark = rows.sparkSession
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+    if exists(spark, folder):
         rows = only_new(rows, spark.read.parquet(folder), keys)
     rows.repartition(*keys).sortWithinPartitions(*keys, "time").write.mode("append").partitionBy(*keys).parquet(folder)
 

@@ -209,15 +209,6 @@ def test_nearest_however_far(spark):
     assert spatial.nearest_k(q, p, 50).count() == len(queries) * len(points)
 
 
-def test_convex_hull_and_ring(spark):
-    square = [(0, x, y) for x in range(4) for y in range(4)]
-    hull = spatial.convex_hull(spark.createDataFrame([(k, float(x), float(y)) for k, x, y in square], "k long, lon double, lat double"), "k").orderBy("pos").collect()
-    assert [(r["lon"], r["lat"]) for r in hull] == [(0, 0), (3, 0), (3, 3), (0, 3)]
-    edges = spark.createDataFrame([("s", 1, 2), ("s", 2, 3), ("s", 1, 3), ("s", 7, 8), ("s", 8, 9), ("s", 7, 9)], "location string, a long, b long")
-    ring = [(r["ring"], r["node"]) for r in spatial.ring_of_edges(edges).orderBy("ring", "pos").collect()]
-    assert ring == [(0, 1), (0, 2), (0, 3), (1, 7), (1, 8), (1, 9)]
-
-
 def test_closed_lines(spark):
     arc = [(0.0, 0.0), (2.0, 0.5), (1.0, 0.2), (4.0, 0.0)]
     over = [(178.0, 50.0), (-179.0, 52.0), (-178.0, 51.0)]
@@ -248,38 +239,6 @@ def test_transect_both_ways(spark):
     assert got[0]["along"] < 0 < got[-1]["along"]
 
 
-def test_hotspots_keep_their_distance(spark):
-    cells = spark.createDataFrame([(k, 59 + k * 0.01, -152.0, float(10 - k)) for k in range(10)], "face long, lat double, lon double, power double")
-    got = [r["face"] for r in spatial.hotspots(cells, 3000.0, 3).orderBy("rank").collect()]
-    assert got == [0, 3, 6]
-
-
-def test_hotspots_are_the_greedy_ones(spark):
-    """Against the plain loop over all cells; several lie in one grid cell, with its peak blocked."""
-    rng = random.Random(8)
-    cells = [(k, 59 + rng.random() * 0.03, -152 + rng.random() * 0.03, rng.random() * 10) for k in range(60)]
-
-    def metres(a, b):
-        y1, x1, y2, x2 = map(math.radians, (a[1], a[2], b[1], b[2]))
-        return 2 * 6371000 * math.asin(math.sqrt(math.sin((y2 - y1) / 2) ** 2 + math.cos(y1) * math.cos(y2) * math.sin((x2 - x1) / 2) ** 2))
-
-    df = spark.createDataFrame(cells, "face long, lat double, lon double, power double")
-    for spacing, top in ((300.0, 8), (1500.0, 6)):
-        want, now = [], spacing
-        while len(want) < top and now >= 0.3 * spacing:
-            left = [c for c in cells if c not in want and all(metres(c, w) >= now for w in want)]
-            if left:
-                want.append(max(left, key=lambda c: (c[3], -c[0])))
-            else:
-                now *= 0.8
-        chosen = spatial.hotspots(df, spacing, top)
-        assert [r["face"] for r in chosen.orderBy("rank").collect()] == [c[0] for c in want]
-    for r in spatial.hotspot_areas(chosen, df, 1e6).collect():
-        held = [c[3] for c in cells if r["lat_min"] <= c[1] <= r["lat_max"] and r["lon_min"] <= c[2] <= r["lon_max"]]
-        assert r["n"] == len(held) > 1 and abs(r["total"] - sum(held)) < 1e-9 and abs(r["mean"] - sum(held) / len(held)) < 1e-9
-        assert abs((r["lat_max"] - r["lat_min"]) * 111194.93 - 1000) < 1
-
-
 def test_point_file_names(spark):
     r = one(spark, **names.parse_point_file(F.lit("cook_inlet.wave_2.face=00000012.lat=59.1234567.lon=-152.7654321-1h.parquet")))
     assert (r["location"], r["dataset"], r["face"], r["lat"], r["lon"], r["period"]) == ("cook_inlet", "wave_2", 12, 59.1234567, -152.7654321, "1h")
