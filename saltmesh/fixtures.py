@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 VIEWS: dict[str, str] = {
-    # Strips of 36 nodes and 50 triangles, as many as there are orders for; the series below lie on the first one.
+    # Strips of 36 nodes and 50 triangles, as many as there are orders for. The series below have 300 hours, and a strip for every 15,000 orders.
     "fx_node": """
         SELECT n + 1 AS node, CAST(-152 AS DOUBLE) + ((n % 36) % 6) * 1e-2 + ((n div 36) % 500) * 7e-2 AS lon_node,
                CAST(59 AS DOUBLE) + ((n % 36) div 6) * 1e-2 + (((n div 36) div 500) % 400) * 7e-2 AS lat_node
@@ -21,17 +21,16 @@ VIEWS: dict[str, str] = {
               FROM (SELECT DISTINCT o_orderkey AS f FROM orders) a) b""",
     "fx_sigma": "SELECT r_regionkey AS sigma_layer, -(r_regionkey + 5e-1) / 4e0 AS sigma FROM region WHERE r_regionkey < 4",
     "fx_velocity": """
-        SELECT o.o_orderkey % 50 AS face, (o.o_orderkey div 50) AS t,
-               (TIMESTAMP_NTZ '2005-01-01 00:00:00' + make_dt_interval(0, CAST((o.o_orderkey div 50) AS INT))) AS time,
+        SELECT o.o_orderkey % 50 + (o.o_orderkey div 15000) * 50 AS face, (o.o_orderkey div 50) % 300 AS t,
+               (TIMESTAMP_NTZ '2005-01-01 00:00:00' + make_dt_interval(0, CAST((o.o_orderkey div 50) % 300 AS INT))) AS time,
                s.r_regionkey AS sigma_layer,
                ((CAST(ROUND(o.o_totalprice * 100) AS BIGINT) * (s.r_regionkey + 3)) % 4001 - 2000) / 1e3 AS u,
                ((CAST(ROUND(o.o_totalprice * 100) AS BIGINT) * (s.r_regionkey + 7)) % 4003 - 2001) / 1e3 AS v
         FROM orders o CROSS JOIN (SELECT r_regionkey FROM region WHERE r_regionkey < 4) s""",
     "fx_zeta": """
-        SELECT t.t, (TIMESTAMP_NTZ '2005-01-01 00:00:00' + make_dt_interval(0, CAST(t.t AS INT))) AS time, n.node,
-               (1e0 + (n.node % 5) * 1e-1) * (ABS((t.t + n.node % 3) % 12 - 6) - 3) / 3e0 + ((t.t * 7) % 24) / 2.4e2 AS zeta
-        FROM (SELECT DISTINCT (o_orderkey div 50) AS t FROM orders) t
-        CROSS JOIN (SELECT DISTINCT o_orderkey + 1 AS node FROM orders WHERE o_orderkey < 36) n""",
+        SELECT n.t, (TIMESTAMP_NTZ '2005-01-01 00:00:00' + make_dt_interval(0, CAST(n.t AS INT))) AS time, n.node,
+               (1e0 + (n.node % 5) * 1e-1) * (ABS((n.t + n.node % 3) % 12 - 6) - 3) / 3e0 + ((n.t * 7) % 24) / 2.4e2 AS zeta
+        FROM (SELECT (o_orderkey div 50) % 300 AS t, (o_orderkey div 15000) * 36 + o_orderkey % 50 + 1 AS node FROM orders WHERE o_orderkey % 50 < 36) n""",
     "fx_points": """
         SELECT c_custkey AS face, CAST(59 AS DOUBLE) + ((c_custkey * 7919) % 100003) * 1e-5 AS lat,
                CAST(-152 AS DOUBLE) - ((c_custkey * 104729) % 99991) * 1e-5 AS lon

@@ -2,110 +2,19 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dateline, geo
 from .cover import containing
 from .rings import convex_hull
-
-#: Sides of the lookup cells in hundredths of a degree, by level: each divides the circle, and the last is the whole earth.
-SIDES = (1, 4, 20, 100, 500, 3000, 18000, 36000)
-#: From this level on the points of a cell are dealt over so many parts.
-COARSE, PARTS = 4, 16
-#: Finest level of coast segments, which are longer than points.
-SHORE = 2
+from .tiles import lines_cells
 
 
 def with_cell(points: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     return points.withColumn("cy", geo.cell(F.col(lat))).withColumn("cx", geo.cell(F.col(lon)))
 
 
-def _hundredths(degrees: Column) -> Column:
-    return F.floor(degrees * 100)
-
-
-def _at_levels(points: DataFrame) -> DataFrame:
-    """Each point once a level, with its cell (level, cy, cx) and part."""
-    y, x = _hundredths(F.col("lat") + 90), _hundredths(F.pmod(F.col("lon"), F.lit(360.0))) % 36000
-    part = F.pmod(F.xxhash64("face"), F.lit(PARTS)).cast("int")
-    cells = [F.struct(F.lit(k).alias("level"), F.floor(y / side).alias("cy"), F.floor(x / side).alias("cx"), (part if k >= COARSE else F.lit(0)).alias("part")) for k, side in enumerate(SIDES)]
-    return points.select("face", "lat", "lon", F.explode(F.array(*cells)).alias("c")).select("face", "lat", "lon", "c.*")
-
-
-def _side() -> Column:
-    return F.element_at(F.array(*map(F.lit, SIDES)), F.col("level") + 1)
-
-
-def _boxed(q: DataFrame, dy: Column, dx: Column) -> DataFrame:
-    """Queries with a level, once for each of its cells that their box of qlat +- dy, qlon +- dx meets; longitudes wrap."""
-    side = _side()
-    n, lon = F.floor(36000 / side), F.pmod(F.col("qlon"), F.lit(360.0))
-    row = lambda y: F.floor(_hundredths(F.greatest(y + 90, F.lit(0.0))) / side)
-    column = lambda x: F.floor(_hundredths(x) / side)
-    x1, x2 = column(lon - dx), column(lon + dx)
-    columns = F.when(x2 - x1 + 1 >= n, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.transform(F.sequence(x1, x2), lambda v: F.pmod(v, n)))
-    return q.withColumn("cy", F.explode(F.sequence(row(F.col("qlat") - dy), row(F.col("qlat") + dy)))).withColumn("cx", F.explode(columns))
-
-
-def _near_pairs(queries: DataFrame, points: DataFrame, k: int, name: str, distance: Column, reach: Callable[[Column], tuple[Column, Column]]) -> DataFrame:
-    """Pairs of query (qid, lat, lon) and point (face, lat, lon), among them the k nearest of every query, however far.
-
-    Of each query the finest level is taken at which its cell and those around hold k points (or the last, which holds all). The k-th
-    distance there bounds the k-th distance at all, and the cells within that bound are looked up, at a level at which they are few."""
-    key = ["qid", "qlat", "qlon"]
-    q = queries.select("qid", F.col("lat").alias("qlat"), F.col("lon").alias("qlon")).where("qlat is not null and qlon is not null")
-    cells = _at_levels(points.where("lat is not null and lon is not null"))
-    last = len(SIDES) - 1
-
-    def pairs(boxed: DataFrame) -> DataFrame:
-        part = F.explode(F.when(F.col("level") >= COARSE, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0))))
-        return boxed.withColumn("part", part).join(cells, ["level", "cy", "cx", "part"]).withColumn(name, distance)
-
-    around = _boxed(q.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(last)))), _side() / 100, _side() / 100)
-    held = around.join(cells.groupBy("level", "cy", "cx").agg(F.count("*").alias("n")), ["level", "cy", "cx"]).groupBy(*key, "level").agg(F.sum("n").alias("n"))
-    start = held.where((F.col("n") >= k) | (F.col("level") == last)).groupBy(*key).agg(F.min("level").alias("level"))
-    found = pairs(_boxed(start, _side() / 100, _side() / 100))
-    if k > 1:
-        found = found.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(name))).where(F.col("_n") <= k)
-    bound = found.groupBy(*key).agg((F.max if k > 1 else F.min)(name).alias("_bound")).withColumn("_bound", F.col("_bound") * (1 + 1e-9) + 1e-9)
-    dy, dx = reach(F.col("_bound"))
-    few = F.least(*(F.when((dy * 200 <= 6 * side) & (dx * 200 <= 6 * side), n).otherwise(last) for n, side in enumerate(SIDES)))
-    return pairs(_boxed(bound.withColumn("level", few), dy, dx)).where(F.col(name) <= F.col("_bound"))
-
-
-def _reach_km(km: Column) -> tuple[Column, Column]:
-    """Degrees of latitude and longitude that a circle about (qlat, qlon) covers; one that holds a pole covers all longitudes."""
-    r = F.least(km / geo.RADIUS_KM, F.lit(math.pi))
-    over = F.abs(F.radians("qlat")) + r >= math.pi / 2 - 1e-9
-    east = F.asin(F.least(F.sin(r) / F.cos(F.radians("qlat")), F.lit(1.0)))
-    return F.degrees(r) + 1e-9, F.when(over, 180.0).otherwise(F.degrees(east)) + 1e-9
-
-
-def nearest(queries: DataFrame, points: DataFrame) -> DataFrame:
-    """(qid, face, km) of the nearest point of every query, ties to the smaller face; partial minima before the shuffle."""
-    pairs = _near_pairs(queries, points, 1, "km", geo.haversine_km(F.col("qlat"), F.col("qlon"), F.col("lat"), F.col("lon")), _reach_km)
-    best = pairs.groupBy("qid").agg(F.min(F.struct("km", "face")).alias("best"))
-    return best.select("qid", "best.face", "best.km")
-
-
-def nearest_k(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """The k nearest (or all, if there are fewer points) by planar distance in degrees, the short way around the earth."""
-    east = F.col("lon") - F.col("qlon")
-    east = F.when(F.abs(east) <= 180, east).otherwise(geo.wrapped(east))
-    deg = F.sqrt((F.col("lat") - F.col("qlat")) ** 2 + east**2)
-    pairs = _near_pairs(queries, points, k, "deg", deg, lambda d: (d, d))
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("deg", "face")))
-    return ranked.where(F.col("rank") <= k).select("qid", "rank", "face", "deg")
-
-
-def within_limit(found: DataFrame, metres: float) -> DataFrame:
-    return found.withColumn("ok", F.col("km") * 1000 <= metres)
-
-
 def closest_faces(points: DataFrame, lat: float, lon: float, n: int) -> DataFrame:
     """n closest to one place: a top-k, no sort of the table."""
     d = F.sqrt((F.col("lat") - lat) ** 2 + (F.col("lon") - lon) ** 2)
@@ -137,13 +46,9 @@ def in_rectangle(cells: DataFrame, lat_min: float, lat_max: float, lon_min: floa
 
 
 def along_segments(cells: DataFrame, segments: DataFrame, most: float, max_points: int | None = None) -> DataFrame:
-    """Cells at most so many degrees from segments (sid, lat1, lon1, lat2, lon2), with the way along; of each segment the max_points closest, if given. Segments mark the cells of their boxes, which join cells by equality."""
-    per = geo.PER_DEGREE
-    reach = int(most * per) + 1
-    span = lambda a, b: F.sequence(F.floor(F.least(a, b) * per).cast("long") - reach, F.floor(F.greatest(a, b) * per).cast("long") + reach)
-    s = segments.withColumn("cy", F.explode(span(F.col("lat1"), F.col("lat2")))).withColumn("cx", F.explode(span(F.col("lon1"), F.col("lon2"))))
+    """Cells at most so many degrees from segments (sid, lat1, lon1, lat2, lon2), with the way along; of each segment the max_points closest, if given. Segments mark the cells along them, which join cells by equality."""
     d, qx, qy = geo.segment_distance(F.col("centroid_lon"), F.col("centroid_lat"), F.col("lon1"), F.col("lat1"), F.col("lon2"), F.col("lat2"))
-    out = s.join(cells, ["cy", "cx"]).withColumn("off", d).withColumn("along", F.sqrt((qx - F.col("lon1")) ** 2 + (qy - F.col("lat1")) ** 2)).where(F.col("off") <= most)
+    out = lines_cells(segments, most).join(cells, ["cy", "cx"]).withColumn("off", d).withColumn("along", F.sqrt((qx - F.col("lon1")) ** 2 + (qy - F.col("lat1")) ** 2)).where(F.col("off") <= most)
     if max_points is None:
         return out
     ranked = out.withColumn("_n", F.row_number().over(Window.partitionBy("sid").orderBy("off", "cy", "cx")))
@@ -167,58 +72,6 @@ def overlapping_states(inside: DataFrame, layers: DataFrame) -> DataFrame:
     return inside.join(layers.where("layer = 'state'"), "pid").groupBy("qid").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def _shore_hits(q: DataFrame, seg: DataFrame) -> DataFrame:
-    """Nearest place (d, sy, sx) on the segments that share a cell with each query, by planar distance with longitudes shrunk at its latitude, the short way around the earth."""
-    k = F.cos(F.radians("lat"))
-    turn = F.round((F.col("x1") - F.col("lon")) / 360) * 360
-    # A segment over the dateline goes the short way; the one that is nearer on either side of it is the same segment a turn on.
-    x2 = F.col("x1") + F.when(F.abs(F.col("x2") - F.col("x1")) > 180, geo.wrapped(F.col("x2") - F.col("x1"))).otherwise(F.col("x2") - F.col("x1"))
-    best = None
-    for more in (-360, 0, 360):
-        d, qx, qy = geo.segment_distance(F.col("lon") * k, F.col("lat"), (F.col("x1") - turn + more) * k, F.col("y1"), (x2 - turn + more) * k, F.col("y2"))
-        one = F.struct(d.alias("d"), qy.alias("sy"), (qx / k + turn - more).alias("sx"))
-        best = one if best is None else F.least(best, one)
-    return q.join(seg, ["level", "cy", "cx", "part"]).groupBy("qid", "lat", "lon").agg(F.min(best).alias("b"))
-
-
-def nearest_shore(points: DataFrame, coast: DataFrame, snap_km: float = 2.0) -> DataFrame:
-    """(qid, km, shore_lat, shore_lon): nearest place on coast segments (x1, y1, x2, y2) to every point, however far; nulls if there is no coast. Distances are on the sphere, snapped to 0 below snap_km.
-
-    Of each point the finest level is taken at which its cell and those around hold some coast. The distance there bounds the nearest, and
-    the cells within that bound (wider east-west by 1 / cos(lat)) are looked up, at a level at which they are few."""
-    last = len(SIDES) - 1
-    q = points.select("qid", "lat", "lon").where("lat is not null and lon is not null")
-    at = lambda side, x: F.floor(_hundredths(x) / side)
-    # Columns of cells are numbered on from the west end of each segment, and taken modulo the circle.
-    west = F.when(F.abs(F.col("x2") - F.col("x1")) > 180, F.greatest("x1", "x2")).otherwise(F.least("x1", "x2"))
-    wide = F.abs(F.when(F.abs(F.col("x2") - F.col("x1")) > 180, geo.wrapped(F.col("x2") - F.col("x1"))).otherwise(F.col("x2") - F.col("x1")))
-    start = F.pmod(west, F.lit(360.0))
-    part = F.pmod(F.xxhash64("x1", "y1", "x2", "y2"), F.lit(PARTS)).cast("int")
-    box = _side()
-    seg = coast.where("x1 is not null and y1 is not null and x2 is not null and y2 is not null").select("x1", "y1", "x2", "y2", F.explode(F.sequence(F.lit(SHORE), F.lit(last))).alias("level"))
-    columns = F.transform(F.sequence(at(box, start), at(box, start + wide)), lambda v: F.pmod(v, F.floor(36000 / box)))
-    seg = seg.withColumn("part", F.when(F.col("level") >= COARSE, part).otherwise(0))
-    seg = seg.withColumn("cy", F.explode(F.sequence(at(box, F.least("y1", "y2") + 90), at(box, F.greatest("y1", "y2") + 90)))).withColumn("cx", F.explode(columns))
-
-    def parted(boxed: DataFrame) -> DataFrame:
-        return boxed.withColumn("part", F.explode(F.when(F.col("level") >= COARSE, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))))
-
-    def boxed(rows: DataFrame, dy: Column, dx: Column) -> DataFrame:
-        return _boxed(rows.withColumns({"qlat": F.col("lat"), "qlon": F.col("lon")}), dy, dx).drop("qlat", "qlon")
-
-    every = q.withColumn("level", F.explode(F.sequence(F.lit(SHORE), F.lit(last))))
-    held = boxed(every, box / 100, box / 100).join(seg.select("level", "cy", "cx").distinct(), ["level", "cy", "cx"])
-    first = _shore_hits(parted(boxed(held.groupBy("qid", "lat", "lon").agg(F.min("level").alias("level")), box / 100, box / 100)), seg)
-    bound = first.select("qid", "lat", "lon", (F.col("b.d") * (1 + 1e-9) + 1e-9).alias("_bound"))
-    dy, dx = F.least(F.col("_bound"), F.lit(180.0)), F.least(F.col("_bound") / F.greatest(F.cos(F.radians("lat")), F.lit(1e-9)), F.lit(180.0))
-    few = F.least(*(F.when((dy * 200 <= 6 * side) & (dx * 200 <= 6 * side), n).otherwise(last) for n, side in enumerate(SIDES) if n >= SHORE))
-    best = _shore_hits(parted(boxed(bound.withColumn("level", few), dy, dx)), seg)
-    km = geo.haversine_km(F.col("lat"), F.col("lon"), F.col("b.sy"), F.col("b.sx"))
-    sx = F.when(F.abs(F.col("b.sx")) <= 180, F.col("b.sx")).otherwise(geo.wrapped(F.col("b.sx")))
-    found = best.select("qid", F.when(km < snap_km, 0.0).otherwise(km).alias("km"), F.col("b.sy").alias("shore_lat"), sx.alias("shore_lon"))
-    return points.select("qid").join(found, "qid", "left")
-
-
 def located(points: DataFrame, faces: DataFrame, cell_degrees: float = 0.02) -> DataFrame:
     """points (qid, lat, lon) with the face (corner columns lon_k, lat_k) that holds each, and barycentric weights w1..w3; of faces that share the place, the smallest."""
     c = lambda x: F.floor(x / cell_degrees).cast("long")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import query, r6
 from ..functions import geo
-from ..operators import derive, hotspots, profiles, rings, spatial, summary
+from ..operators import derive, hotspots, profiles, rings, spatial, summary, tiles
 from .flow_queries import CORNERS
 
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, sin(radians(p.lat - q.lat) / 2) ** 2 + cos(radians(q.lat)) * cos(radians(p.lat)) * sin(radians(p.lon - q.lon) / 2) ** 2)))"
@@ -16,17 +16,17 @@ FAR = f"d AS (SELECT q.qid, p.face, {KM} AS km FROM fx_query q CROSS JOIN fx_poi
 
 @query("jn_8_nearest_point", f"WITH {FAR} SELECT qid, face, {r6('km')} AS km FROM n")
 def _(fx):
-    return spatial.nearest(fx.query, fx.points)
+    return tiles.nearest(fx.query, fx.points)
 
 
 @query("flt_31_distance_limit", f"WITH {FAR} SELECT qid, km * 1000 <= 300 AS ok FROM n")
 def _(fx):
-    return spatial.within_limit(spatial.nearest(fx.query, fx.points), 300.0).select("qid", "ok")
+    return tiles.within_limit(tiles.nearest(fx.query, fx.points), 300.0).select("qid", "ok")
 
 
 @query("jn_9_nearest_k", f"WITH d AS (SELECT q.qid, p.face, sqrt((p.lat - q.lat) ** 2 + (p.lon - q.lon) ** 2) AS deg FROM fx_query q CROSS JOIN fx_points p), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY deg, face) AS INT) AS rank FROM d) SELECT qid, rank, face, {r6('deg')} AS deg FROM r WHERE rank <= 3")
 def _(fx):
-    return spatial.nearest_k(fx.query, fx.points, 3)
+    return tiles.nearest_k(fx.query, fx.points, 3)
 
 
 @query("top_1_closest_faces", f"SELECT face, {r6('sqrt((lat - 595e-1) ** 2 + (lon + 1525e-1) ** 2)')} AS deg FROM fx_points ORDER BY sqrt((lat - 595e-1) ** 2 + (lon + 1525e-1) ** 2), face LIMIT 10")
@@ -216,15 +216,22 @@ def _(fx):
     return hit.groupBy("qid").agg(F.array_join(F.array_sort(F.collect_list("name")), ",").alias("domains"))
 
 
-@query("jn_14_nearest_shore")
-def _(fx):
-    """The shore runs through every fiftieth point in order; the tests compare with brute force."""
-    from pyspark.sql import Window
+COAST = """seg AS (SELECT a.lon AS x1, a.lat AS y1, b.lon AS x2, b.lat AS y2 FROM fx_points a JOIN fx_points b ON b.face = a.face + 50 WHERE a.face % 50 = 0),
+    sp AS (SELECT {place}, s.*, cos(radians(p.lat)) AS k, ((p.lon - x1) * cos(radians(p.lat)) * (x2 - x1) * cos(radians(p.lat)) + (p.lat - y1) * (y2 - y1)) / ((x2 - x1) ** 2 * cos(radians(p.lat)) ** 2 + (y2 - y1) ** 2) AS w FROM {points} p CROSS JOIN seg s),
+    sw AS (SELECT *, x1 + least(greatest(w, 0e0), 1e0) * (x2 - x1) AS sx, y1 + least(greatest(w, 0e0), 1e0) * (y2 - y1) AS sy FROM sp),
+    sh AS (SELECT *, 2 * 6371e0 * asin(sqrt(sin(radians(sy - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(sy)) * sin(radians(sx - lon) / 2) ** 2)) AS km FROM sw QUALIFY row_number() OVER (PARTITION BY qid ORDER BY ((lon - sx) * k) ** 2 + (lat - sy) ** 2) = 1)"""
+
 
+def coast(fx):
+    """A line through every fiftieth point in order."""
     ends = fx.points.where("face % 50 = 0").select("face", F.col("lon").alias("x1"), F.col("lat").alias("y1"))
-    w = Window.orderBy("face")
-    coast = ends.select("x1", "y1", F.lead("x1").over(w).alias("x2"), F.lead("y1").over(w).alias("y2")).where("x2 is not null")
-    return spatial.nearest_shore(located_points(fx), coast)
+    following = ends.select((F.col("face") - 50).alias("face"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
+    return ends.join(following, "face").drop("face")
+
+
+@query("jn_14_nearest_shore", f"WITH {COAST.format(place='p.face AS qid, p.lat, p.lon', points='fx_points')} SELECT qid, {r6('CASE WHEN km < 2 THEN 0e0 ELSE km END')} AS km, {r6('sy')} AS shore_lat, {r6('sx')} AS shore_lon FROM sh")
+def _(fx):
+    return tiles.nearest_shore(located_points(fx), coast(fx))
 
 
 SAMPLES = "smp AS (SELECT s_suppkey AS qid, 59e0 + ((s_suppkey * 7919) % 4999) * 1e-5 AS lat, -152e0 + ((s_suppkey * 10007) % 4993) * 1e-5 AS lon FROM supplier)"

@@ -34,13 +34,16 @@ def _(fx):
 SPEC = "spec AS (SELECT p_partkey AS name, 'double' AS type, 'm' AS units FROM part WHERE p_partkey % 2 = 0), act AS (SELECT p_partkey AS name, CASE WHEN p_partkey % 14 = 0 THEN 'float' ELSE 'double' END AS type, CASE WHEN p_partkey % 22 = 0 THEN 'km' ELSE 'm' END AS units FROM part WHERE p_partkey % 10 <> 4)"
 
 
+def specification(fx):
+    """Variables declared and as they are."""
+    k, part = F.col("p_partkey"), fx.table("part")
+    declared = part.where(k % 2 == 0).select(k.alias("name"), F.lit("double").alias("type"), F.lit("m").alias("units"))
+    return declared, part.where(k % 10 != 4).select(k.alias("name"), F.when(k % 14 == 0, "float").otherwise("double").alias("type"), F.when(k % 22 == 0, "km").otherwise("m").alias("units"))
+
+
 @query("flt_11_specification", f"WITH {SPEC} SELECT s.name, CASE WHEN a.name IS NULL THEN 'missing' WHEN a.type <> s.type THEN 'type' ELSE 'units' END AS rule FROM spec s LEFT JOIN act a ON a.name = s.name WHERE a.name IS NULL OR a.type <> s.type OR a.units <> s.units")
 def _(fx):
-    k = F.col("p_partkey")
-    part = fx.table("part")
-    spec = part.where(k % 2 == 0).select(k.alias("name"), F.lit("double").alias("type"), F.lit("m").alias("units"))
-    actual = part.where(k % 10 != 4).select(k.alias("name"), F.when(k % 14 == 0, "float").otherwise("double").alias("type"), F.when(k % 22 == 0, "km").otherwise("m").alias("units"))
-    return records.specification_violations(spec, actual)
+    return records.specification_violations(*specification(fx))
 
 
 @query("flt_12_filled_attributes", "SELECT p_partkey AS name, 'units' AS key, CASE WHEN p_partkey % 3 = 0 AND p_partkey % 6 = 0 THEN 'km' ELSE 'm' END AS value, p_partkey % 3 = 0 AND p_partkey % 6 = 0 AS conflict FROM part")

@@ -13,7 +13,9 @@ from ..sources import tables
 from ..streaming import running_summary
 from . import steps
 from .flow_queries import CORNERS, columns
-from .records_queries import PATH
+from .lookups_queries import KM, SAMPLES, samples
+from .records_queries import PATH, VERSIONS, versions
+from .tides_queries import DIRECTED, LEVELS, MODES, PEAKS, PERIODS, PHASE
 
 
 def located_faces(fx):
@@ -136,11 +138,15 @@ def _(fx):
     return rows.agg((F.count("*") > 0).alias("some"), (F.max("file_index") == F.count_distinct("file_index") - 1).alias("dense"))
 
 
-@query("str_1_running_summary", f"SELECT face, count(*) AS n, {r6('avg(speed)')} AS mean, {r6('max(speed)')} AS high, {r6('min(speed)')} AS low FROM fx_layer GROUP BY face")
+@query("str_1_running_summary", f"SELECT face, count(*) AS n, {r6('avg(speed)')} AS mean, {r6('max(speed)')} AS high, {r6('min(speed)')} AS low, true AS p95_near FROM fx_layer GROUP BY face")
 def _(fx):
+    """Twelve files in three micro-batches; the sketch's percentile lies within three hundredths of the exact one."""
     source, state, check = (tables.scratch(fx.spark, n) for n in ("stream", "stream-state", "stream-checkpoint"))
-    derive.with_flow(fx.velocity).select("face", "t", "speed").repartitionByRange(12, "t").write.parquet(source)
-    return running_summary.summary_of(running_summary.run(fx.spark, source, "face long, t long, speed double", state, check, "speed"))
+    rows = derive.with_flow(fx.velocity).select("face", "t", "speed")
+    rows.repartitionByRange(12, "t").write.parquet(source)
+    found = running_summary.summary_of(running_summary.run(fx.spark, source, "face long, t long, speed double", state, check, "speed"))
+    around = rows.groupBy("face").agg(F.percentile("speed", F.array(F.lit(0.92), F.lit(0.98))).alias("q"))
+    return found.join(around, "face").select("face", "n", "mean", "high", "low", F.col("p95").between(F.col("q")[0], F.col("q")[1]).alias("p95_near"))
 
 
 # Triangles along the equator of latitude 59, some of which lie over the dateline.
@@ -249,9 +255,16 @@ def _(fx):
     return rows.groupBy("face", "sigma_layer").agg(F.count("*").alias("n"), F.avg("speed").alias("mean_speed"), F.avg("sigma_depth").alias("mean_depth"))
 
 
-@query("api_7_yearly")
+YEARLY = f"""{PEAKS}, {PHASE}, {DIRECTED}, {MODES}, flow AS (SELECT face, avg(speed) AS mean_speed, max(speed) AS max_speed, quantile_cont(speed, 95e-2) AS p95_speed, avg(5e-1 * 1025e0 * speed * speed * speed) AS mean_power FROM fx_layer GROUP BY face),
+    two AS (SELECT face, max(CASE WHEN phase = 'flood' THEN bin * 2e0 END) AS flood_direction, max(CASE WHEN phase = 'ebb' THEN bin * 2e0 END) AS ebb_direction FROM modes WHERE rn = 1 AND sigma_layer = 0 GROUP BY face),
+    rep AS (SELECT * EXCLUDE (n_periods, n_cycles) FROM (SELECT {LEVELS} FROM levels) JOIN (SELECT face, {PERIODS} FROM periods) USING (face))"""
+
+
+@query("api_7_yearly", f"WITH {YEARLY} SELECT face, {', '.join(f'{r6(c)} AS {c}' for c in ('mean_speed', 'max_speed', 'p95_speed', 'mean_power', 'flood_direction', 'ebb_direction'))}, rep.* EXCLUDE (face) FROM flow LEFT JOIN two USING (face) LEFT JOIN rep USING (face)")
 def _(fx):
-    return steps.yearly(derive.with_flow(fx.velocity), derive.surface_at_faces(fx.zeta, fx.face))
+    surface = derive.surface_at_faces(fx.zeta, fx.face).withColumn("zeta_center", F.round("zeta_center", 9))
+    out = steps.yearly(derive.with_flow(fx.velocity), surface)
+    return out.withColumn("mean_water", F.abs(F.round("mean_water", 6)))
 
 
 @query("api_8_atlas", f"WITH {CORNERS}, s AS (SELECT face, avg(speed) AS m, quantile_cont(speed, 95e-2) AS q FROM fx_layer GROUP BY face), l AS (SELECT face, avg(CASE WHEN sigma_layer = 0 THEN speed END) AS s0 FROM fx_layer GROUP BY face) SELECT lpad(CAST(s.face AS VARCHAR), 8, '0') AS face_id, {r6('m')} AS mean, {r6('q / m')} AS ratio, {r6('s0')} AS speed_sigma_level_0, {r6('lon_3')} AS lon_3 FROM s JOIN l ON l.face = s.face JOIN crn ON crn.face = s.face")
@@ -279,9 +292,20 @@ def _(fx):
     return out
 
 
-@query("api_19_point_lookup")
-def _(fx):
-    from .records_queries import versions
+def series_points(fx):
+    """Centres of the faces that have series; a strip is a location."""
+    c = derive.with_corner_coordinates(fx.face, fx.node).join(fx.velocity.select("face").distinct(), "face")
+    centre = lambda x: ((F.col(f"{x}_1") + F.col(f"{x}_2") + F.col(f"{x}_3")) / 3).alias(x)
+    return c.select(F.concat(F.lit("site"), (F.floor(F.col("face") / 50) % 25).cast("string")).alias("location"), "face", centre("lat"), centre("lon"))
 
+
+@query("api_19_point_lookup", f"""WITH {SAMPLES}, {CORNERS}, {VERSIONS}, pts AS (SELECT 'site' || CAST(face // 50 % 25 AS VARCHAR) AS location, face, (lat_1 + lat_2 + lat_3) / 3 AS lat, (lon_1 + lon_2 + lon_3) / 3 AS lon FROM crn WHERE face IN (SELECT face FROM fx_velocity)),
+    near AS (SELECT q.qid, p.*, {KM} AS km FROM smp q CROSS JOIN pts p QUALIFY row_number() OVER (PARTITION BY q.qid ORDER BY {KM}, p.face) = 1),
+    lat AS (SELECT 'site' || CAST(location AS VARCHAR) AS location, version, n_versions FROM (SELECT *, count(*) OVER (PARTITION BY location) AS n_versions FROM ver QUALIFY row_number() OVER (PARTITION BY location ORDER BY [CAST(x AS INT) FOR x IN string_split(version, '.')] DESC) = 1) x)
+    SELECT n.qid, n.face, {r6('n.km')} AS km, l.version, l.n_versions, n.location || '/v' || l.version || '/' || {PATH} || '/' || n.location || '.tidal.face=' || CAST(n.face AS VARCHAR) || '.lat=' || printf('%.7f', n.lat) || '.lon=' || printf('%.7f', n.lon) || '-1h.parquet' AS path, v.t, v.sigma_layer, {r6('v.u')} AS u
+    FROM near n JOIN lat l ON l.location = n.location LEFT JOIN fx_velocity v ON v.face = n.face WHERE n.km * 1000 <= 350""")
+def _(fx):
+    """Of every sample the series of the nearest point, from its location's latest version."""
     v = versions(fx).withColumn("location", F.concat(F.lit("site"), F.col("location").cast("string")))
-    return steps.lookup(fx.query, fx.points, v, "site3", 2000.0).select("qid", "face", "km", "latest", "path")
+    series = fx.velocity.select("face", "t", "sigma_layer", "u")
+    return steps.lookup(samples(fx), series_points(fx), v, series, 350.0).select("qid", "face", "km", "version", "n_versions", "path", "t", "sigma_layer", "u")

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ..catalog import query, r6
 from ..functions import geo, names
-from ..operators import derive, sites, spatial, summary, time_checks
+from ..operators import derive, precalc, sites, spatial, summary, tiles, time_checks
 from ..sources import tables
 from . import steps
-from .flow_queries import columns
-from .lookups_queries import FLAGS, INSIDE, flags, located_points, polygons
-from .records_queries import PRODUCT, products
+from .flow_queries import CORNERS, columns
+from .lookups_queries import COAST, FLAGS, INSIDE, POLYGONS, coast, flags, located_points, polygons
+from .records_queries import ATTRS, PRODUCT, SPEC, attributes, products, specification
 from .time_checks_queries import AXIS, axis, steps_sql
 
 
@@ -153,7 +153,7 @@ def _(fx):
 def _(fx):
     """Summaries of batches of faces, one after another; the same as one summary."""
     flow = derive.with_flow(fx.velocity)
-    parts = [flow.where(F.col("face").between(a, a + 24)).groupBy("face").agg(F.avg("speed").alias("mean_speed")) for a in (0, 25)]
+    parts = [flow.where((F.col("face") % 50).between(a, a + 24)).groupBy("face").agg(F.avg("speed").alias("mean_speed")) for a in (0, 25)]
     return parts[0].unionByName(parts[1])
 
 
@@ -162,20 +162,33 @@ def _(fx):
     return derive.with_flow(fx.velocity).where("sigma_layer = 0").select("face", "t", "speed").orderBy(F.desc("speed"), "face", "t").limit(25)
 
 
-@query("api_1_verified", f"""WITH {AXIS}, {steps_sql('axis', 'file', 'time', 'pos')}, by_time AS (SELECT file, epoch_us(time) / 1e6 - lag(epoch_us(time)) OVER (PARTITION BY file ORDER BY time) / 1e6 AS step FROM axis),
+PLACES = "plc AS (SELECT o_custkey AS face, CASE WHEN o_orderkey % 1000 = 1 THEN 1 ELSE 0 END + o_custkey * 1e-1 AS lat FROM orders)"
+
+
+@query("api_1_verified", f"""WITH {AXIS}, {ATTRS}, {SPEC}, {PLACES}, {steps_sql('axis', 'file', 'time', 'pos')}, by_time AS (SELECT file, epoch_us(time) / 1e6 - lag(epoch_us(time)) OVER (PARTITION BY file ORDER BY time) / 1e6 AS step FROM axis),
     a AS (SELECT file, avg(step) AS m, min(step) AS lo, max(step) AS hi FROM st WHERE step IS NOT NULL GROUP BY file), b AS (SELECT file, min(step) AS lo, max(step) AS hi FROM by_time WHERE step IS NOT NULL GROUP BY file),
     e AS (SELECT file, min(time) AS f, max(time) AS l, TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(file * 25 AS INT)) AS s, TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(file * 25 + 24 AS INT)) AS u FROM axis GROUP BY file),
+    cmp AS (SELECT DISTINCT file, key AS component, value AS kind FROM att),
     v AS (SELECT 'order' AS "check", CAST(file AS VARCHAR) AS key FROM st WHERE step <= 0 UNION ALL SELECT 'duplicate', CAST(time AS VARCHAR) FROM axis GROUP BY time HAVING count(*) > 1
     UNION ALL SELECT 'step', CAST(file AS VARCHAR) FROM a WHERE abs(m - 3600) > 1e-3 OR abs(lo - 3600) > 1e-3 OR abs(hi - 3600) > 1e-3
-    UNION ALL SELECT 'incomplete', CAST(e.file AS VARCHAR) FROM e LEFT JOIN b ON b.file = e.file WHERE b.file IS NULL OR f > s OR l < u OR lo <> 3600 OR hi <> 3600)
+    UNION ALL SELECT 'incomplete', CAST(e.file AS VARCHAR) FROM e LEFT JOIN b ON b.file = e.file WHERE b.file IS NULL OR f > s OR l < u OR lo <> 3600 OR hi <> 3600
+    UNION ALL SELECT 'coordinates', CAST(face AS VARCHAR) FROM plc GROUP BY face HAVING min(lat) <> max(lat)
+    UNION ALL SELECT 'attributes', key FROM att WHERE key <> 'key5' GROUP BY key HAVING count(DISTINCT value) > 1 OR count(DISTINCT file) < 20
+    UNION ALL SELECT 'structure', CAST(f.file AS VARCHAR) || ':' || r.component FROM (SELECT DISTINCT file FROM cmp) f CROSS JOIN (SELECT DISTINCT component FROM cmp) r LEFT JOIN cmp c ON c.file = f.file AND c.component = r.component WHERE c.kind IS NULL OR c.kind <> 'same'
+    UNION ALL SELECT 'specification', CAST(s.name AS VARCHAR) || ':' || CASE WHEN t.name IS NULL THEN 'missing' WHEN t.type <> s.type THEN 'type' ELSE 'units' END FROM spec s LEFT JOIN act t ON t.name = s.name WHERE t.name IS NULL OR t.type <> s.type OR t.units <> s.units)
     SELECT "check", key, count(*) AS n FROM v GROUP BY ALL""")
 def _(fx):
-    """Every violation of all four checks."""
-    rows = axis(fx)
+    """Every violation of all eight checks."""
+    rows, (declared, actual), given = axis(fx), specification(fx), attributes(fx)
     start = F.lit("2005-01-01 00:00:00").cast("timestamp_ntz")
     at = lambda h: (start + F.make_dt_interval(hours=h.cast("int"))).cast("timestamp_ntz")
     spec = rows.select("file").distinct().select("file", at(F.col("file") * 25).alias("start"), at(F.col("file") * 25 + 24).alias("end"), F.lit(3600.0).alias("step"))
-    return steps.verified(rows, spec, 3600.0).groupBy("check", "key").agg(F.count("*").alias("n"))
+    lat = F.when(F.col("o_orderkey") % 1000 == 1, 1).otherwise(0) + F.col("o_custkey") * 0.1
+    places = fx.table("orders").select(F.col("o_custkey").alias("face"), lat.alias("lat"), F.lit(0.0).alias("lon"))
+    components = given.select("file", F.col("key").alias("component"), F.col("value").alias("kind")).distinct()
+    wanted = components.select("component").distinct().withColumn("kind", F.lit("same"))
+    found = steps.verified(rows, spec, 3600.0, places, given, ("key5",), components, wanted, declared, actual)
+    return found.groupBy("check", "key").agg(F.count("*").alias("n"))
 
 
 @query("api_2_standardised", "SELECT face, count(*) AS n, min(t) AS first_t FROM fx_velocity WHERE time >= TIMESTAMP '2005-01-01 06:00:00' GROUP BY face")
@@ -190,27 +203,30 @@ def _(fx):
     return summary.monthly_and_yearly(derive.with_flow(fx.velocity), "speed").where("month > 0").select("month", "face", "mean", "max")
 
 
-@query("api_12_regions_by_variable", "WITH l AS (SELECT l_returnflag AS region, CAST(l_quantity AS DOUBLE) AS a, CAST(l_discount AS DOUBLE) AS b FROM lineitem) SELECT region, 'a' AS variable, count(*) AS n, (round(max(a), 6) + 0e0) AS max FROM l GROUP BY region UNION ALL SELECT region, 'b', count(*), (round(max(b), 6) + 0e0) FROM l GROUP BY region")
+VARIABLES = {"a": 30.0, "b": 0.05, "c": 5e4}
+_ROUNDED = ", ".join(f"(round({x}, 4) + 0e0) AS {n}" for n, x in {"min": "min(value)", "max": "max(value)", "mean": "avg(value)", "kept_percent": "100 * avg(CASE WHEN value <= most THEN 1e0 ELSE 0e0 END)", "p95": "quantile_cont(value, 95e-2)", "p99": "quantile_cont(value, 99e-2)", "p9999": "quantile_cont(value, 9999e-4)"}.items())
+
+
+@query("api_12_regions_by_variable", f"""WITH l AS (SELECT l_returnflag AS region, unnest([{{'v': 'a', 'x': CAST(l_quantity AS DOUBLE), 'm': 30e0}}, {{'v': 'b', 'x': CAST(l_discount AS DOUBLE), 'm': 5e-2}}, {{'v': 'c', 'x': CAST(l_extendedprice AS DOUBLE), 'm': 5e4}}]) AS s FROM lineitem),
+    r AS (SELECT region, s.v AS variable, s.x AS value, s.m AS most FROM l) SELECT region, variable, count(*) AS n, {_ROUNDED}, (round(stddev_pop(value), 3) + 0e0) AS std FROM r GROUP BY GROUPING SETS ((region, variable), (variable))""")
 def _(fx):
-    """All variables of all regions in one job."""
-    rows = fx.table("lineitem").select(F.col("l_returnflag").alias("region"), F.col("l_quantity").cast("double").alias("a"), F.col("l_discount").cast("double").alias("b"))
-    long = rows.unpivot(["region"], ["a", "b"], "variable", "value")
-    return long.groupBy("region", "variable").agg(F.count("value").alias("n"), F.max("value").alias("max"))
+    """All variables of all regions, and of all of them."""
+    rows = fx.table("lineitem").select(F.col("l_returnflag").alias("region"), F.col("l_quantity").cast("double").alias("a"), F.col("l_discount").cast("double").alias("b"), F.col("l_extendedprice").cast("double").alias("c"))
+    out = steps.regions(rows, "region", VARIABLES)
+    return out.withColumns({**{c: F.round(c, 4) for c in ("min", "max", "mean", "kept_percent", "p95", "p99", "p9999")}, "std": F.round("std", 3)})
 
 
-def exported_year(fx, velocity):
-    rows = velocity.where("sigma_layer = 0 and t % 17 <> 3").select("face", "time", "u")
-    faces = velocity.select("face").distinct()
-    ends = fx.velocity.agg(F.min("time").alias("start"), F.max("time").alias("end"))
-    expected = faces.crossJoin(F.broadcast(time_checks.timeline(ends, "1 HOUR")))
-    out = time_checks.padded(rows, expected, ["face", "time"], ["u"])
-    t = (F.unix_seconds(F.col("time").cast("timestamp")) - F.unix_seconds(F.lit("2005-01-01 00:00:00").cast("timestamp_ntz").cast("timestamp"))) / 3600
-    return out.select("face", t.cast("long").alias("t"), "u")
+_EXPORTED = ", ".join(f"{r6(f'coalesce(max(CASE WHEN sigma_layer = {k} AND t % 17 <> 3 THEN {c} END), -999e0)')} AS {c}_sigma_layer_0{k}" for c in "uv" for k in range(4))
 
 
-@query("api_13_export_year", "WITH line AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM fx_velocity), f AS (SELECT DISTINCT face FROM fx_velocity) SELECT f.face, l.t, (round(coalesce(v.u, -999e0), 6) + 0e0) AS u FROM line l CROSS JOIN f LEFT JOIN fx_velocity v ON v.face = f.face AND v.t = l.t AND v.sigma_layer = 0 AND v.t % 17 <> 3")
+@query("api_13_export_year", f"""WITH line AS (SELECT unnest(range(min(t), max(t) + 1)) AS t FROM fx_velocity), f AS (SELECT DISTINCT face FROM fx_velocity), x AS (SELECT f.face, l.t, v.sigma_layer, v.u, v.v FROM line l CROSS JOIN f LEFT JOIN fx_velocity v ON v.face = f.face AND v.t = l.t)
+    SELECT face, strftime(TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(t AS INT)), '%Y-%m-%d %H:%M:%S') || '+00:00' AS time_index, {_EXPORTED} FROM x GROUP BY face, t""")
 def _(fx):
-    return exported_year(fx, fx.velocity)
+    """Every layer of both variables, with every seventeenth hour lost and filled."""
+    rows = fx.velocity.where("t % 17 <> 3")
+    ends = fx.velocity.agg(F.min("time").alias("start"), F.max("time").alias("end"))
+    expected = fx.velocity.select("face").distinct().crossJoin(F.broadcast(time_checks.timeline(ends, "1 HOUR")))
+    return steps.exported(rows, expected, ["u", "v"], [0, 1, 2, 3], F.floor(F.col("t") / 25))
 
 
 @query("api_17_jurisdiction", f"WITH {FLAGS} SELECT CASE WHEN state THEN 'State waters' WHEN ts THEN 'Territorial sea' WHEN cz THEN 'Contiguous zone' WHEN eez THEN 'Exclusive economic zone' ELSE 'Outside' END AS jurisdiction, count(*) AS n FROM fl GROUP BY 1")
@@ -221,8 +237,40 @@ def _(fx):
     return flags(fx).groupBy(kind.alias("jurisdiction")).agg(F.count("*").alias("n"))
 
 
-@query("api_4_face_attributes", f"WITH m AS (SELECT face, avg(zeta_center) AS o FROM fx_zeta_center GROUP BY face) SELECT f.face, {r6('m.o')} AS mean_navd88_offset, CAST(-9 AS INT) AS timezone_offset FROM fx_face f JOIN m ON m.face = f.face")
+CONSTANTS = ("timezone_offset", "distance_to_shore", "jurisdiction", "mean_navd88_offset", "grid_resolution")
+_EDGE = " + ".join(f"2 * 6371000e0 * asin(sqrt(sin(radians(lat_{b} - lat_{a}) / 2) ** 2 + cos(radians(lat_{a})) * cos(radians(lat_{b})) * sin(radians(lon_{b} - lon_{a}) / 2) ** 2))" for a, b in ((1, 2), (2, 3), (3, 1)))
+
+
+@query("api_4_face_attributes", f"""WITH m AS (SELECT face, avg(zeta_center) + 1000 AS o FROM fx_zeta_center GROUP BY face), {CORNERS}, pts AS (SELECT c.*, (lat_1 + lat_2 + lat_3) / 3 AS lat, (lon_1 + lon_2 + lon_3) / 3 AS lon FROM crn c WHERE face IN (SELECT face FROM m)),
+    {COAST.format(place='p.face AS qid, p.lat, p.lon', points='pts')}, {POLYGONS},
+    ins AS (SELECT p.face, o.layer FROM pts p JOIN poly o ON abs(p.lon - o.x - 15e-2) + abs(p.lat - o.y - 15e-2) < 15e-2),
+    fl AS (SELECT p.face, coalesce(bool_or(i.layer = 'state'), false) AS state, coalesce(bool_or(i.layer = 'ts'), false) AS ts, coalesce(bool_or(i.layer = 'eez'), false) AS eez, coalesce(bool_or(i.layer = 'cz'), false) AS cz FROM pts p LEFT JOIN ins i ON i.face = p.face GROUP BY p.face)
+    SELECT p.face, CAST(-9 AS INT) AS timezone_offset, {r6('CASE WHEN km < 2 THEN 0e0 ELSE km END')} AS distance_to_shore, CASE WHEN state OR km < 5 THEN 'State waters' WHEN ts THEN 'Territorial sea' WHEN cz THEN 'Contiguous zone' WHEN eez THEN 'Exclusive economic zone' ELSE 'Outside' END AS jurisdiction,
+    {r6('m.o')} AS mean_navd88_offset, (round(({_EDGE}) / 3, 3) + 0e0) AS grid_resolution, 'distance_to_shore,jurisdiction' AS computed FROM pts p JOIN m ON m.face = p.face JOIN sh ON sh.qid = p.face JOIN fl ON fl.face = p.face""")
 def _(fx):
-    """The columns of the precalculated table that change with the data; shores and polygons are joined by their own steps."""
+    """Twice: the second time the distance to the shore is stale and what depends on it with it; the rest is carried over, which the offsets show, as the first table's are moved by 1000."""
+    c = derive.with_corner_coordinates(fx.face, fx.node)
     offset = derive.surface_at_faces(fx.zeta, fx.face).groupBy("face").agg(F.avg("zeta_center").alias("mean_navd88_offset"))
-    return fx.face.join(offset, "face").select("face", "mean_navd88_offset", sites.utc_offset_hours(F.lit("America/Anchorage")).alias("timezone_offset"))
+    centre = lambda x: ((F.col(f"{x}_1") + F.col(f"{x}_2") + F.col(f"{x}_3")) / 3).alias(x)
+    faces = c.join(offset.select("face"), "face").select("face", centre("lat"), centre("lon"))
+    shapes = polygons(fx)
+
+    def zones(table):
+        at = table.select(F.col("face").alias("qid"), "lat", "lon", "distance_to_shore")
+        held = spatial.jurisdiction_flags(at, spatial.containing(at, shapes.select("pid", "ring")), shapes.select("pid", "layer", "name"))
+        kind = spatial.jurisdiction(F.col("state") | (F.col("distance_to_shore") < 5), F.col("ts"), F.col("eez"), F.col("cz"))
+        return held.select(F.col("qid").alias("face"), kind.alias("jurisdiction"))
+
+    sides = [geo.haversine_km(F.col(f"lat_{a}"), F.col(f"lon_{a}"), F.col(f"lat_{b}"), F.col(f"lon_{b}")) * 1000 for a, b in ((1, 2), (2, 3), (3, 1))]
+    makers = {
+        "timezone_offset": lambda table: table.select("face", sites.utc_offset_hours(F.lit("America/Anchorage")).alias("timezone_offset")),
+        "distance_to_shore": lambda table: tiles.nearest_shore(table.select(F.col("face").alias("qid"), "lat", "lon"), coast(fx)).select(F.col("qid").alias("face"), F.col("km").alias("distance_to_shore")),
+        "jurisdiction": zones,
+        "mean_navd88_offset": lambda _: offset,
+        "grid_resolution": lambda _: c.select("face", F.round((sides[0] + sides[1] + sides[2]) / 3, 3).alias("grid_resolution")),
+    }
+    needs = {"jurisdiction": ("distance_to_shore",)}
+    first, _all = precalc.precalculated(faces, makers, needs)
+    moved = first.withColumn("mean_navd88_offset", F.col("mean_navd88_offset") + 1000)
+    table, computed = precalc.precalculated(faces, makers, needs, moved, stale=["distance_to_shore"])
+    return table.select("face", *CONSTANTS, F.lit(",".join(computed)).alias("computed"))

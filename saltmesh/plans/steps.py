@@ -2,20 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, names
-from ..operators import derive, records, spatial, summary, tides, time_checks
-
-
-def verified(axis: DataFrame, spec: DataFrame, step: float) -> DataFrame:
-    """Violations of a site's time axis (file, pos, time): order, duplicates, step and continuity."""
-    check = lambda name, rows, key: rows.select(F.lit(name).alias("check"), F.col(key).cast("string").alias("key"))
-    out = check("order", time_checks.not_increasing(axis, ["file"], "time", "pos"), "file")
-    out = out.unionByName(check("duplicate", time_checks.duplicates(axis, ["time"]), "time"))
-    out = out.unionByName(check("step", time_checks.off_specification(time_checks.step_statistics(axis, ["file"], "time", "pos"), step), "file"))
-    return out.unionByName(check("incomplete", time_checks.incomplete(axis, ["file"], "time", spec), "file"))
+from ..operators import derive, records, selection, spatial, summary, tides, tiles, time_checks
+
+
+def verified(
+    axis: DataFrame, spec: DataFrame, step: float, places: DataFrame | None = None, attributes: DataFrame | None = None, excluded: tuple[str, ...] = ("history",),
+    components: DataFrame | None = None, wanted: DataFrame | None = None, declared: DataFrame | None = None, actual: DataFrame | None = None,
+) -> DataFrame:
+    """(check, key): every violation of a site's raw files. Of their time axis (file, pos, time): order, duplicates, step, and each file whole. And, of what is given: places (face, file, lat, lon) that differ between files, attributes (file, key, value) that do, components (file, component, kind) other than the wanted, and variables (name, type, units) other than those declared."""
+    check = lambda name, rows, *key: rows.select(F.lit(name).alias("check"), F.concat_ws(":", *(F.col(k).cast("string") for k in key)).alias("key"))
+    found = [
+        check("order", time_checks.not_increasing(axis, ["file"], "time", "pos"), "file"),
+        check("duplicate", time_checks.duplicates(axis, ["time"]), "time"),
+        check("step", time_checks.off_specification(time_checks.step_statistics(axis, ["file"], "time", "pos"), step), "file"),
+        check("incomplete", time_checks.incomplete(axis, ["file"], "time", spec), "file"),
+    ]
+    if places is not None:
+        found.append(check("coordinates", time_checks.changed_between_files(places, ["face"], ["lat", "lon"]), "face"))
+    if attributes is not None:
+        found.append(check("attributes", records.unequal_attributes(attributes, list(excluded)), "key"))
+    if components is not None:
+        found.append(check("structure", records.structure_differences(components, wanted), "file", "component"))
+    if declared is not None:
+        found.append(check("specification", records.specification_violations(declared, actual), "name", "rule"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def tracking(axis: DataFrame, violations: DataFrame) -> DataFrame:
+    """(file, pos, time) of a site without violations, the table that later steps start from; raises if there are any."""
+    time_checks.assert_valid(violations)
+    return axis.select("file", "pos", "time")
 
 
 def standardised(velocity: DataFrame, start: str, end: str) -> DataFrame:
@@ -33,13 +55,12 @@ def derived(velocity: DataFrame, columns: DataFrame, sigma: DataFrame) -> DataFr
 
 def yearly(layers: DataFrame, surface: DataFrame) -> DataFrame:
     """One row per face: means and maxima, percentiles, flood and ebb of the surface layer, tidal levels and periods."""
-    flow = summary.summary(layers, "speed", ["face"]).select("face", F.col("mean").alias("mean_speed"), F.col("max").alias("max_speed"), F.col("p95").alias("p95_speed"))
-    power = layers.groupBy("face").agg(F.avg("power_density").alias("mean_power"))
+    flow = layers.groupBy("face").agg(F.avg("speed").alias("mean_speed"), F.max("speed").alias("max_speed"), F.percentile("speed", F.lit(0.95)).alias("p95_speed"), F.avg("power_density").alias("mean_power"))
     phases = tides.tide_phase(surface, ["face"]).select("face", "t", "phase").where("phase is not null")
     modes = tides.direction_modes(layers.where("sigma_layer = 0").join(phases, ["face", "t"]), ["face", "phase"])
     both = modes.groupBy("face").agg(*(F.max(F.when(F.col("phase") == p, F.col("direction"))).alias(f"{p}_direction") for p in ("flood", "ebb")))
     report = tides.surface_report(tides.peaks(surface))
-    return flow.join(power, "face").join(both, "face", "left").join(report.drop("n_periods", "n_cycles"), "face", "left")
+    return flow.join(both, "face", "left").join(report.drop("n_periods", "n_cycles"), "face", "left")
 
 
 def atlas(layers: DataFrame, faces: DataFrame, nodes: DataFrame, n_layers: int) -> DataFrame:
@@ -53,13 +74,39 @@ def atlas(layers: DataFrame, faces: DataFrame, nodes: DataFrame, n_layers: int)
     return out.withColumn("face_id", derive.face_id(F.col("face"))).withColumn("outline", wkt)
 
 
-def lookup(queries: DataFrame, points: DataFrame, versions: DataFrame, location: str, metres: float) -> DataFrame:
-    """Nearest point of each query within a limit, with the path of its series in the latest version."""
-    found = spatial.within_limit(spatial.nearest(queries, points), metres).where("ok").drop("ok")
-    latest = records.latest_versions(versions.where(F.col("location") == location)).select("latest")
-    out = found.join(points, "face").crossJoin(F.broadcast(latest))
-    file = names.point_file(F.lit(location), F.lit("tidal"), F.col("face"), F.col("lat"), F.col("lon"), F.lit("1h"))
-    return out.withColumn("path", F.concat_ws("/", F.lit(location), F.concat(F.lit("v"), "latest"), geo.partition_path(F.col("lat"), F.col("lon")), file))
+def lookup(queries: DataFrame, points: DataFrame, versions: DataFrame, series: DataFrame, metres: float, version: str | None = None, dataset: str = "tidal", period: str = "1h") -> DataFrame:
+    """Series (face, …) of the nearest point (location, face, lat, lon) of each query within a limit, with its distance, the data version asked for, or the latest of its location, the number of versions there are, and the path of its file. Points of locations without that version are left out."""
+    found = tiles.within_limit(tiles.nearest(queries, points), metres).where("ok").drop("ok").join(points, "face")
+    known = records.latest_versions(versions)
+    if version is not None:
+        known = known.join(versions.where(F.col("version") == version).select("location").distinct(), "location").withColumn("latest", F.lit(version))
+    out = found.join(known.select("location", F.col("latest").alias("version"), "n_versions"), "location")
+    file = names.point_file(F.col("location"), F.lit(dataset), F.col("face"), F.col("lat"), F.col("lon"), F.lit(period))
+    out = out.withColumn("path", F.concat_ws("/", "location", F.concat(F.lit("v"), "version"), geo.partition_path(F.col("lat"), F.col("lon")), file))
+    return out.join(series, "face", "left")
+
+
+def regions(rows: DataFrame, region: str, variables: dict[str, float], shares: tuple[float, ...] = (0.95, 0.99, 0.9999)) -> DataFrame:
+    """(region, variable, n, min, max, mean, std, p95, p99, p9999, kept_percent) of all variables of all regions, and of all regions together (region null); variables names the upper end of each variable's shown range. A null region counts in the whole alone."""
+    long = rows.unpivot([region], list(variables), "variable", "value")
+    shown = F.element_at(F.create_map(*(x for v, most in variables.items() for x in (F.lit(v), F.lit(float(most))))), F.col("variable"))
+    others = {"n": F.count("value"), "min": F.min("value"), "max": F.max("value"), "mean": F.avg("value"), "std": F.stddev_pop("value"), "kept_percent": 100 * F.avg(F.when(F.col("value") <= F.col("_shown"), 1.0).when(F.col("value").isNotNull(), 0.0))}
+    long = long.withColumn("_shown", shown)
+    each = selection.percentiles(long.where(F.col(region).isNotNull()), [region, "variable"], "value", list(shares), others)
+    whole = selection.percentiles(long, ["variable"], "value", list(shares), others).withColumn(region, F.lit(None).cast(rows.schema[region].dataType))
+    names_of = [f"p{f'{100 * q:g}'.replace('.', '')}" for q in shares]
+    return each.unionByName(whole).select(region, "variable", *others, *(F.col("q")[k].alias(n) for k, n in enumerate(names_of)))
+
+
+def exported(rows: DataFrame, expected: DataFrame, values: list[str], layers: list[int], chunk: Column, fill: float = -999.0) -> DataFrame:
+    """rows (face, time, sigma_layer, values) as a year for export: a column for each value and layer, every expected (face, time), gaps filled, times as text. Raises if a chunk of the times that there are lacks a variable that most have."""
+    variables = rows.select(chunk.alias("chunk"), F.explode(F.array_compact(F.array(*(F.when(F.col(v).isNotNull(), F.lit(v)) for v in values)))).alias("variable")).distinct()
+    time_checks.assert_valid(records.incomplete_chunks(variables, rows.select(chunk.alias("chunk")).distinct()))
+    picks = [F.max(F.when(F.col("sigma_layer") == k, F.col(v))).alias(f"{v}_sigma_layer_{k:02d}") for v in values for k in layers]
+    wide = rows.groupBy("face", "time").agg(*picks)
+    columns = [c for c in wide.columns if c not in ("face", "time")]
+    out = time_checks.padded(wide, expected, ["face", "time"], columns, fill)
+    return out.withColumn("time_index", F.date_format("time", "yyyy-MM-dd HH:mm:ss'+00:00'")).select("face", "time_index", *columns)
 
 
 def transect(faces: DataFrame, lat: float, lon: float, bearing: float, km: float) -> DataFrame:

@@ -9,8 +9,8 @@ from ..operators import time_checks as tc
 
 EV = "ev AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, value) AS pos FROM events)"
 # An axis of hourly steps per file of 25 steps; every 97th and 75th step is lost and every 61st stands twice.
-AXIS = """axis AS (SELECT t // 25 AS file, t, t * 10 AS pos, TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(t AS INT)) AS time FROM (SELECT DISTINCT o_orderkey // 50 AS t FROM orders) a WHERE t % 97 <> 96 AND t % 75 <> 74
-    UNION ALL SELECT t // 25, t, t * 10 + 1, TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(t AS INT)) FROM (SELECT DISTINCT o_orderkey // 50 AS t FROM orders) a WHERE t % 61 = 7)"""
+AXIS = """axis AS (SELECT t // 25 AS file, t, t * 10 AS pos, TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(t AS INT)) AS time FROM (SELECT DISTINCT t FROM fx_velocity) a WHERE t % 97 <> 96 AND t % 75 <> 74
+    UNION ALL SELECT t // 25, t, t * 10 + 1, TIMESTAMP '2005-01-01 00:00:00' + to_hours(CAST(t AS INT)) FROM (SELECT DISTINCT t FROM fx_velocity) a WHERE t % 61 = 7)"""
 EPOCH = "epoch_us({}) / 1e6"
 START = "2005-01-01 00:00:00"
 

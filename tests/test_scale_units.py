@@ -8,8 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from saltmesh.operators import cover, hotspots, manifest, profiles, rings, selection, spatial, summary
+from saltmesh.operators import cover, hotspots, manifest, precalc, profiles, rings, selection, spatial, summary, tiles
 from saltmesh.operators.time_checks import InvalidData
+from saltmesh.plans import steps
+from saltmesh.streaming import running_summary
 
 
 @pytest.mark.parametrize("few", [200_000, 0])
@@ -226,3 +228,155 @@ def test_manifest_writes_what_changed(spark, tmp_path):
 def test_closed_lines_use_partial_hulls(spark):
     lines = spark.createDataFrame([(1, [(0.0, 0.0), (2.0, 0.5), (1.0, 0.2), (4.0, 0.0)])], "pid long, line array<struct<lon:double,lat:double>>")
     assert [tuple(p) for p in spatial.closed_lines(lines).collect()[0]["ring"]] == [(0.0, 0.0), (4.0, 0.0), (2.0, 0.5)]
+
+
+def test_far_queries_open_few_leaves(spark):
+    """Queries far from one dense cluster, and inside of it; places that repeat a thousand times."""
+    rng = np.random.default_rng(1)
+    n = 60_000
+    at = np.round(rng.normal([59.0, -152.0], 0.01, (n, 2)), 7)
+    at[:2000] = at[0]
+    points = spark.createDataFrame([(k, float(y), float(x)) for k, (y, x) in enumerate(at)], "face long, lat double, lon double").repartition(4)
+    asked = [(k, float(y), float(x)) for k, (y, x) in enumerate(np.vstack([rng.uniform([-80, -180], [80, 180], (150, 2)), at[[0, 9, 5000]], rng.normal([59.0, -152.0], 0.01, (50, 2))]))]
+    queries = spark.createDataFrame(asked, "qid long, lat double, lon double")
+    found = tiles.tiles_of_points(points, 1)
+    assert len(found.levels) == 2 and found.levels[0].agg(F.max("n")).first()[0] <= tiles.LEAF
+    places = queries.select("qid", F.col("lat").alias("qlat"), F.col("lon").alias("qlon"))
+    opened = tiles.candidates(places, found, 1, tiles.reach_km).groupBy("qid").count().toPandas()["count"]
+    assert len(opened) == len(asked) and opened.mean() < 2 * math.sqrt(found.sizes[0]) and opened.max() < found.sizes[0] / 3
+    got = {r["qid"]: (r["face"], r["km"]) for r in tiles.nearest(queries, points).collect()}
+    three = {}
+    for r in tiles.nearest_k(queries, points, 3).orderBy("qid", "rank").collect():
+        three.setdefault(r["qid"], []).append((r["face"], r["deg"]))
+    y, x = np.radians(at[:, 0]), np.radians(at[:, 1])
+    for k, qy, qx in asked:
+        a, b = math.radians(qy), math.radians(qx)
+        km = 2 * 6371 * np.arcsin(np.sqrt(np.minimum(1, np.sin((y - a) / 2) ** 2 + np.cos(a) * np.cos(y) * np.sin((x - b) / 2) ** 2)))
+        east = np.abs(at[:, 1] - qx)
+        deg = np.sqrt((at[:, 0] - qy) ** 2 + np.where(east > 180, 360 - east, east) ** 2)
+        assert math.isclose(got[k][1], km.min(), abs_tol=1e-6) and km[got[k][0]] <= km.min() + 1e-6
+        assert np.allclose([d for _, d in three[k]], np.sort(deg)[:3], atol=1e-9)
+    assert got[150][0] == 0 and [f for f, _ in three[150]] == [0, 1, 2]
+    assert tiles.nearest(queries, points.limit(0)).count() == tiles.nearest(queries.limit(0), points).count() == 0
+
+
+def test_lines_mark_cells_along_them(spark):
+    """A long slanted line marks cells by its length, not by its box; steep, level, short and pointlike ones are whole too."""
+    lines = [(1, 50.0, -160.0, 58.0, -150.0), (2, 59.0, -150.0, 60.0, -150.0), (3, 59.0, -150.0, 59.0, -149.0), (4, 59.001, -150.0, 59.0011, -149.9999), (5, 59.0, -150.0, 59.0, -150.0), (6, 59.0, -149.9, 59.02, -149.0)]
+    df = spark.createDataFrame(lines, "sid long, lat1 double, lon1 double, lat2 double, lon2 double")
+    most = 0.0213
+    marked = {}
+    for r in tiles.lines_cells(df, most).select("sid", "cy", "cx").collect():
+        marked.setdefault(r["sid"], []).append((r["cy"], r["cx"]))
+    assert all(len(set(v)) == len(v) for v in marked.values())
+    assert len(marked[1]) < 20 * 1300
+    for sid, y1, x1, y2, x2 in lines[1:]:
+        cy, cx = np.meshgrid(np.arange(int(y1 * 100) - 20, int(y2 * 100) + 20), np.arange(int(x1 * 100) - 20, int(x2 * 100) + 20))
+        py, px, dy, dx = cy / 100 + 0.005, cx / 100 + 0.005, y2 - y1, x2 - x1
+        w = np.clip(((px - x1) * dx + (py - y1) * dy) / max(dx * dx + dy * dy, 1e-30), 0, 1)
+        near = np.hypot(px - x1 - w * dx, py - y1 - w * dy) <= most
+        assert set(zip(cy[near].tolist(), cx[near].tolist(), strict=True)) <= set(marked[sid])
+
+
+def test_precalculated_computes_what_is_missing(spark):
+    faces = spark.createDataFrame([(k, 59.0 + k, -150.0) for k in range(4)], "face long, lat double, lon double")
+    calls = []
+
+    def maker(name, value):
+        def make(table):
+            calls.append(name)
+            return table.select("face", value.alias(name))
+
+        return make
+
+    makers = {"zone": maker("zone", F.lit(-9)), "shore": maker("shore", F.col("lat") * 2), "kind": maker("kind", F.when(F.col("face") > 1, F.lit("a")).otherwise("b")), "size": maker("size", F.col("face") * 1.5)}
+    needs = {"kind": ("shore",)}
+    whole, computed = precalc.precalculated(faces, makers, needs)
+    assert computed == calls == ["zone", "shore", "kind", "size"]
+
+    def again(existing, want, stale=()):
+        calls.clear()
+        table, computed = precalc.precalculated(faces, makers, needs, existing, stale)
+        assert computed == calls == want
+        return {r["face"]: r for r in table.collect()}
+
+    again(whole, [])
+    kept = again(whole.drop("size").withColumn("zone", F.lit(7)), ["size"])
+    assert [kept[k]["zone"] for k in range(4)] == [7] * 4 and kept[3]["size"] == 4.5
+    again(whole.withColumn("shore", F.when(F.col("face") != 2, F.col("shore"))), ["shore", "kind"])
+    again(whole, ["shore", "kind"], stale=["shore"])
+    again(whole, ["kind"], stale=["kind"])
+    every = ["zone", "shore", "kind", "size"]
+    again(whole.where("face <> 3"), every)
+    again(whole.unionByName(whole.limit(1)), every)
+    again(whole.withColumn("lat", F.col("lat") + 0.01), every)
+    again(None, every)
+    with pytest.raises(InvalidData):
+        precalc.precalculated(faces, {"kind": makers["kind"], "shore": makers["shore"]}, needs)
+
+
+def test_running_summary_survives_a_killed_batch(spark, tmp_path):
+    """States are whole or not there; a batch that runs again adds nothing twice; one state and the one before it stay."""
+    state = str(tmp_path / "state")
+    rng = np.random.default_rng(4)
+    batches = [[(int(f), float(x)) for f, x in zip(rng.integers(0, 3, 500), rng.normal(f0, 1, 500), strict=True)] for f0 in range(6)]
+    df = lambda rows: spark.createDataFrame(rows, "face long, speed double")
+    for n in range(4):
+        running_summary.add_batch(df(batches[n]), n, state, "speed")
+    assert running_summary.versions(spark, state) == [2, 3]
+    (tmp_path / "state" / "upto=3" / "_SUCCESS").unlink()  # as if batch 3 had been killed while it wrote
+    assert running_summary.versions(spark, state) == [2]
+    running_summary.add_batch(df(batches[3]), 3, state, "speed")
+    running_summary.add_batch(df(batches[4]), 4, state, "speed")
+    running_summary.add_batch(df(batches[4]), 4, state, "speed")
+    running_summary.add_batch(df([*batches[5], (0, None), (0, float("nan")), (9, None)]), 5, state, "speed")
+    assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("upto=")]) == 2
+    got = {r["face"]: r for r in running_summary.summary_of(running_summary.read_state(spark, state, f"face long, {running_summary.STATE}")).collect()}
+    assert (got[9]["n"], got[9]["mean"], got[9]["p50"]) == (0, None, None)
+    for face in range(3):
+        x = np.sort([v for b in batches for f, v in b if f == face])
+        r = got[face]
+        assert r["n"] == len(x) and math.isclose(r["mean"], x.mean(), rel_tol=1e-9) and (r["high"], r["low"]) == (x.max(), x.min())
+        assert all(abs(np.searchsorted(x, r[f"p{round(q * 100)}"]) / len(x) - q) < 0.02 for q in (0.5, 0.95, 0.99))
+
+
+def test_lookup_of_a_version(spark):
+    df = spark.createDataFrame
+    points = df([("a", 1, 59.0, -150.0), ("a", 2, 59.01, -150.0), ("b", 3, 61.0, -150.0)], "location string, face long, lat double, lon double")
+    queries = df([(1, 59.0001, -150.0), (2, 59.0099, -150.0), (3, 61.0, -150.0), (4, 70.0, -150.0)], "qid long, lat double, lon double")
+    versions = df([("a", "1.2.0"), ("a", "1.10.0"), ("b", "1.2.0")], "location string, version string")
+    series = df([(f, t, f * 1.0 + t) for f in (1, 3) for t in range(3)], "face long, t long, u double")
+    got = steps.lookup(queries, points, versions, series, 500.0).collect()
+    assert sorted((r["qid"], r["version"], r["n_versions"], r["t"]) for r in got if r["t"] is not None) == [(1, "1.10.0", 2, 0), (1, "1.10.0", 2, 1), (1, "1.10.0", 2, 2), (3, "1.2.0", 1, 0), (3, "1.2.0", 1, 1), (3, "1.2.0", 1, 2)]
+    assert [(r["qid"], r["u"]) for r in got if r["t"] is None] == [(2, None)]  # a point without a series
+    old = steps.lookup(queries, points, versions, series, 500.0, version="1.10.0").collect()
+    assert {r["qid"] for r in old} == {1, 2} and all("/v1.10.0/" in r["path"] for r in old)
+
+
+def test_export_of_a_broken_chunk(spark):
+    rows = spark.createDataFrame([(0, t, s, 1.0, None if t == 5 else 2.0) for t in range(8) for s in (0, 1)], "face long, t long, sigma_layer long, u double, v double").withColumn("time", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    expected = rows.select("face", "time").distinct().unionByName(spark.createDataFrame([(0,)], "face long").withColumn("time", F.lit("2005-01-01 00:00:00").cast("timestamp_ntz")))
+    whole = steps.exported(rows, expected, ["u", "v"], [0, 1], F.floor(F.col("t") / 4))
+    found = {r["time_index"]: r for r in whole.collect()}
+    assert len(found) == 9 and found["2005-01-01 00:00:00+00:00"]["u_sigma_layer_00"] == -999.0 == found["1970-01-01 00:00:05+00:00"]["v_sigma_layer_01"]
+    with pytest.raises(InvalidData):
+        steps.exported(rows, expected, ["u", "v"], [0, 1], F.col("t"))
+
+
+def test_regions_of_all_variables(spark):
+    rows = [(g, float(x), float(x * x)) for g in ("a", "b", None) for x in range(50)] + [("c", None, 1.0)]
+    got = {(r["region"], r["variable"]): r for r in steps.regions(spark.createDataFrame(rows, "region string, x double, y double"), "region", {"x": 10, "y": 1e9}).collect()}
+    assert set(got) == {(g, v) for g in ("a", "b", "c", None) for v in "xy"}
+    assert got[None, "x"]["n"] == 150 and got["c", "x"]["p95"] is None and got["a", "x"]["kept_percent"] == 22.0
+    assert math.isclose(got["b", "y"]["p95"], np.quantile(np.arange(50) ** 2, 0.95))
+
+
+def test_verified_tracks_only_clean_sites(spark):
+    axis = spark.createDataFrame([(0, p) for p in range(4)], "file long, pos long").withColumn("time", F.timestamp_seconds(F.col("pos") * 3600).cast("timestamp_ntz"))
+    spec = axis.groupBy("file").agg(F.min("time").alias("start"), F.max("time").alias("end")).withColumn("step", F.lit(3600.0))
+    assert steps.tracking(axis, steps.verified(axis, spec, 3600.0)).count() == 4
+    places = spark.createDataFrame([(1, 0, 59.0, 1.0), (1, 1, 59.1, 1.0), (2, 0, 59.0, 1.0)], "face long, file long, lat double, lon double")
+    bad = steps.verified(axis, spec, 3600.0, places)
+    assert [tuple(r) for r in bad.collect()] == [("coordinates", "1")]
+    with pytest.raises(InvalidData):
+        steps.tracking(axis, bad)

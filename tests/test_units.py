@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from saltmesh.functions import dateline, geo, names
-from saltmesh.operators import derive, spatial, summary, tides, time_checks
+from saltmesh.operators import derive, spatial, summary, tides, tiles, time_checks
 from saltmesh.sources import tables
 from saltmesh.streaming import running_summary
 
@@ -140,7 +140,7 @@ def test_nearest_shore(spark):
     line = [(-152 + 0.1 * k, 59 + 0.05 * math.sin(k)) for k in range(12)]
     coast = spark.createDataFrame([(*a, *b) for a, b in itertools.pairwise(line)], "x1 double, y1 double, x2 double, y2 double")
     points = [(k, 59 + rng.uniform(-0.5, 0.5), -151.5 + rng.uniform(-0.5, 0.5)) for k in range(60)]
-    got = {r["qid"]: r for r in spatial.nearest_shore(spark.createDataFrame(points, "qid long, lat double, lon double"), coast, snap_km=0.0).collect()}
+    got = {r["qid"]: r for r in tiles.nearest_shore(spark.createDataFrame(points, "qid long, lat double, lon double"), coast, snap_km=0.0).collect()}
     assert len(got) == 60
     for k, lat, lon in points:
         c = math.cos(math.radians(lat))
@@ -159,7 +159,7 @@ def test_nearest_shore_however_far(spark):
     points = [(k, rng.uniform(-75, 80), rng.uniform(-180, 180)) for k in range(60)] + [(60, 60.0, -148.0), (61, 62.5, -151.5), (62, 51.2, -179.0), (63, 51.2, 179.0)]
     p = spark.createDataFrame(points, "qid long, lat double, lon double")
     shore = spark.createDataFrame(coast, "x1 double, y1 double, x2 double, y2 double")
-    got = {r["qid"]: r for r in spatial.nearest_shore(p, shore, snap_km=0.0).collect()}
+    got = {r["qid"]: r for r in tiles.nearest_shore(p, shore, snap_km=0.0).collect()}
     assert len(got) == len(points)
     for q, lat, lon in points:
         c, best, d = math.cos(math.radians(lat)), math.inf, math.inf
@@ -172,7 +172,7 @@ def test_nearest_shore_however_far(spark):
         r = got[q]
         d = math.hypot((abs(r["shore_lon"] - lon) if abs(r["shore_lon"] - lon) <= 180 else 360 - abs(r["shore_lon"] - lon)) * c, r["shore_lat"] - lat)
         assert abs(d - best) < 1e-6 and -180 <= r["shore_lon"] <= 180 and r["km"] > 0
-    none = spatial.nearest_shore(p, shore.limit(0)).collect()
+    none = tiles.nearest_shore(p, shore.limit(0)).collect()
     assert len(none) == len(points) and all(r["km"] is None and r["shore_lat"] is None for r in none)
 
 
@@ -180,7 +180,7 @@ def test_nearest_is_brute_force(spark):
     rng = random.Random(3)
     points = [(k, 59 + rng.random() / 10, -152 + rng.random() / 10) for k in range(300)]
     queries = [(k, 59 + rng.random() / 10, -152 + rng.random() / 10) for k in range(40)]
-    got = {r["qid"]: r["face"] for r in spatial.nearest(spark.createDataFrame(queries, "qid long, lat double, lon double"), spark.createDataFrame(points, "face long, lat double, lon double")).collect()}
+    got = {r["qid"]: r["face"] for r in tiles.nearest(spark.createDataFrame(queries, "qid long, lat double, lon double"), spark.createDataFrame(points, "face long, lat double, lon double")).collect()}
     c = math.cos(math.radians(59.05))
     for q, lat, lon in queries:
         d = {p: math.hypot(y - lat, (x - lon) * c) for p, y, x in points}
@@ -202,11 +202,11 @@ def test_nearest_however_far(spark):
         east = abs(a[1] - b[1])
         return math.hypot(a[0] - b[0], min(east, 360 - east))
 
-    got = {r["qid"]: r["km"] for r in spatial.nearest(q, p).collect()}
+    got = {r["qid"]: r["km"] for r in tiles.nearest(q, p).collect()}
     assert got == {k: pytest.approx(min(km((y, x), (b, a)) for _, b, a in points), abs=1e-6) for k, y, x in queries}
-    several = spatial.nearest_k(q, p, 3).groupBy("qid").agg(F.array_sort(F.collect_list("deg")).alias("deg")).collect()
+    several = tiles.nearest_k(q, p, 3).groupBy("qid").agg(F.array_sort(F.collect_list("deg")).alias("deg")).collect()
     assert {r["qid"]: r["deg"] for r in several} == {k: pytest.approx(sorted(deg((y, x), (b, a)) for _, b, a in points)[:3], abs=1e-9) for k, y, x in queries}
-    assert spatial.nearest_k(q, p, 50).count() == len(queries) * len(points)
+    assert tiles.nearest_k(q, p, 50).count() == len(queries) * len(points)
 
 
 def test_closed_lines(spark):
