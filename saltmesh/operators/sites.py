@@ -86,3 +86,14 @@ def fill_colours(df: DataFrame, styles: dict[str, tuple[float, float, list[str]]
         k = names.colour_class(F.col(name), low, high, len(palette))
         out[f"fill_color_{name}"] = F.coalesce(F.element_at(F.array(*map(F.lit, palette)), k + 1), F.lit("#000000"))
     return df.withColumns(out)
+
+
+def location_features(points: DataFrame, labels: DataFrame) -> DataFrame:
+    """(location, label, n_points, lon_min, lon_max, lat_min, lat_max, wkt, feature) of points (location, lat, lon): the boundary of each location as a box, as text and as a GeoJSON feature. Partial sums come before the shuffle."""
+    ends = [f(c).alias(f"{c}_{n}") for c in ("lon", "lat") for n, f in (("min", F.min), ("max", F.max))]
+    out = points.groupBy("location").agg(F.count("*").alias("n_points"), *ends).join(labels, "location", "left").withColumn("label", F.coalesce("label", "location"))
+    ring = [("lon_min", "lat_min"), ("lon_max", "lat_min"), ("lon_max", "lat_max"), ("lon_min", "lat_max"), ("lon_min", "lat_min")]
+    text = F.concat_ws(", ", *(F.format_string("%.6f %.6f", F.col(x), F.col(y)) for x, y in ring))
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.array(*(F.array(x, y) for x, y in ring))).alias("coordinates"))
+    feature = F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct("location", "label", F.col("n_points").alias("point_count")).alias("properties"))
+    return out.withColumns({"wkt": F.concat(F.lit("POLYGON (("), text, F.lit("))")), "feature": F.to_json(feature)})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import dateline, geo
+from ..functions import dateline, geo, names
 from .cover import containing
 from .rings import convex_hull
 from .tiles import lines_cells
@@ -31,6 +31,13 @@ def grid_index(points: DataFrame) -> DataFrame:
     })
 
 
+def face_index(points: DataFrame, dataset: str, period: str) -> DataFrame:
+    """(location, face, lat, lon, path) of points (location, face, lat, lon), in ranges of location and face, so that a stored index is read only where a face can be."""
+    file = names.point_file(F.col("location"), F.lit(dataset), F.col("face"), F.col("lat"), F.col("lon"), F.lit(period))
+    path = F.concat_ws("/", "location", geo.partition_path(F.col("lat"), F.col("lon")), file)
+    return points.select("location", "face", "lat", "lon", path.alias("path")).repartitionByRange("location", "face").sortWithinPartitions("location", "face")
+
+
 def coarser(cells: DataFrame, degrees: float) -> DataFrame:
     """Cells gathered to boxes: number and envelope."""
     box = lambda c: (F.floor(F.col(c) / degrees) * degrees)

@@ -116,10 +116,10 @@ def _(fx):
     return derive.renamed(fx.velocity.drop("time"), names)
 
 
-@query("prj_16_declared_types", f"SELECT CAST(face AS INT) AS face, CAST(t AS INT) AS t, {r6('CAST(u AS DOUBLE)')} AS u FROM fx_velocity WHERE sigma_layer = 0")
+@query("prj_16_declared_types", f"SELECT CAST(face AS INT) AS face, CAST(t AS INT) AS t, CAST(sigma_layer AS INT) AS sigma_layer, {r6('CAST(u AS DOUBLE)')} AS u FROM fx_velocity")
 def _(fx):
-    spec = {"face": ("int", {"long_name": "cell"}), "t": ("int", {}), "u": ("double", {"units": "m s-1"})}
-    return derive.standardised(fx.velocity.where("sigma_layer = 0"), spec)
+    spec = {"face": ("int", {"long_name": "cell"}), "t": ("int", {}), "sigma_layer": ("int", {}), "u": ("double", {"units": "m s-1"})}
+    return derive.standardised(fx.velocity, spec)
 
 
 @query("prj_17_declared_columns", "SELECT face, t, sigma_layer, v FROM fx_velocity")

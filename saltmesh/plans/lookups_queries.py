@@ -8,6 +8,7 @@ from ..catalog import query, r6
 from ..functions import geo
 from ..operators import derive, hotspots, profiles, rings, spatial, summary, tiles
 from .flow_queries import CORNERS
+from .records_queries import PATH
 
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, sin(radians(p.lat - q.lat) / 2) ** 2 + cos(radians(q.lat)) * cos(radians(p.lat)) * sin(radians(p.lon - q.lon) / 2) ** 2)))"
 # Every place of fx_query, however far from the points.
@@ -49,9 +50,10 @@ def _(fx):
     return cells.select("cy", "cx", F.explode("points").alias("p")).select("cy", "cx", "p.face", "p.lat")
 
 
-@query("agg_23_face_index", "SELECT face, round(lat, 6) + 0e0 AS lat, CAST(trunc(lat) AS INT) AS lat_deg FROM fx_points")
+@query("agg_23_face_index", f"SELECT 'site' || CAST(face % 3 AS VARCHAR) AS location, face, {r6('lat')} AS lat, {r6('lon')} AS lon, 'site' || CAST(face % 3 AS VARCHAR) || '/' || {PATH} || '/site' || CAST(face % 3 AS VARCHAR) || '.tidal.face=' || CAST(face AS VARCHAR) || '.lat=' || printf('%.7f', lat) || '.lon=' || printf('%.7f', lon) || '-1h.parquet' AS path FROM fx_points")
 def _(fx):
-    return fx.points.select("face", "lat", geo.path_part(F.col("lat"))[0].alias("lat_deg"))
+    points = fx.points.withColumn("location", F.concat(F.lit("site"), (F.col("face") % 3).cast("string")))
+    return spatial.face_index(points, "tidal", "1h")
 
 
 @query("agg_24_coarser_boxes", f"WITH {CELLS} SELECT {r6('floor((cy + 5e-1) / 100 / 25e-2) * 25e-2')} AS box_lat, {r6('floor((cx + 5e-1) / 100 / 25e-2) * 25e-2')} AS box_lon, count(*) AS n_cells, {r6('min(cy / 100e0)')} AS lat_min, {r6('max((cy + 1) / 100e0)')} AS lat_max, {r6('min(cx / 100e0)')} AS lon_min, {r6('max((cx + 1) / 100e0)')} AS lon_max FROM cells GROUP BY 1, 2")

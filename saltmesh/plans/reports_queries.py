@@ -7,12 +7,12 @@ import math
 from pyspark.sql import functions as F
 
 from ..catalog import query, r6
-from ..functions import dateline, geo
-from ..operators import derive, manifest, spatial, summary
+from ..functions import dateline, geo, names
+from ..operators import derive, manifest, sites, spatial, summary
 from ..sources import tables
 from ..streaming import running_summary
 from . import steps
-from .flow_queries import CORNERS, columns
+from .flow_queries import ATTRIBUTES, CORNERS, attributes, columns
 from .lookups_queries import KM, SAMPLES, samples
 from .records_queries import PATH, VERSIONS, versions
 from .tides_queries import DIRECTED, LEVELS, MODES, PEAKS, PERIODS, PHASE
@@ -130,12 +130,13 @@ def _(fx):
     return files.where("n_bytes > 0").select(F.regexp_extract("relative_path", r"(period=\d+)", 1).alias("period"), "extension").distinct()
 
 
-@query("api_11_ledger", "SELECT count(DISTINCT t // 120) > 0 AS some, true AS dense FROM fx_velocity")
+@query("api_11_ledger", "WITH p AS (SELECT DISTINCT 'period=' || CAST(t // 120 AS VARCHAR) AS period FROM fx_velocity) SELECT CAST(row_number() OVER (ORDER BY period) - 1 AS BIGINT) AS file_index, period, '.parquet' AS extension, 'pending' AS upload_status, true AS filled FROM p")
 def _(fx):
+    """A row for each file of a layout by periods, in order of paths; a period of a site is one file."""
     folder = tables.scratch(fx.spark, "ledger")
     tables.write_periods(fx.velocity.withColumn("location", F.lit("site")), folder, F.floor(F.col("t") / 120), ["location"])
     rows = tables.ledger(tables.inventory(fx.spark, folder))
-    return rows.agg((F.count("*") > 0).alias("some"), (F.max("file_index") == F.count_distinct("file_index") - 1).alias("dense"))
+    return rows.select("file_index", F.regexp_extract("relative_path", r"(period=\d+)", 1).alias("period"), names.extension(F.col("relative_path")).alias("extension"), "upload_status", (F.col("n_bytes") > 0).alias("filled"))
 
 
 @query("str_1_running_summary", f"SELECT face, count(*) AS n, {r6('avg(speed)')} AS mean, {r6('max(speed)')} AS high, {r6('min(speed)')} AS low, true AS p95_near FROM fx_layer GROUP BY face")
@@ -235,11 +236,16 @@ def _(fx):
     return first.unionByName(second, allowMissingColumns=True)
 
 
-@query("agg_36_location_features", "SELECT face % 6 AS location, count(*) AS n_points FROM fx_points GROUP BY 1")
+_PLACE = "printf('%.6f', {}) || ' ' || printf('%.6f', {})"
+
+
+@query("agg_36_location_features", f"""WITH b AS (SELECT face % 6 AS k, count(*) AS n_points, min(lon) AS x1, max(lon) AS x2, min(lat) AS y1, max(lat) AS y2 FROM fx_points GROUP BY 1)
+    SELECT 'site' || CAST(k AS VARCHAR) AS location, 'Site ' || CAST(k AS VARCHAR) AS label, n_points, 'POLYGON ((' || {' || chr(44) || chr(32) || '.join(_PLACE.format(*c) for c in (('x1', 'y1'), ('x2', 'y1'), ('x2', 'y2'), ('x1', 'y2'), ('x1', 'y1')))} || '))' AS wkt FROM b""")
 def _(fx):
-    boxes = summary.bounding_box(fx.points.withColumn("location", F.col("face") % 6), ["location"])
-    n = fx.points.groupBy((F.col("face") % 6).alias("location")).agg(F.count("*").alias("n_points"))
-    return n.join(boxes, "location").select("location", "n_points")
+    k = (F.col("face") % 6).cast("string")
+    points = fx.points.withColumn("location", F.concat(F.lit("site"), k))
+    labels = points.select("location", F.concat(F.lit("Site "), k).alias("label")).distinct()
+    return sites.location_features(points, labels).select("location", "label", "n_points", "wkt")
 
 
 @query("scl_36_level_table", f"WITH m AS (SELECT max(speed) AS hi FROM fx_layer) SELECT CAST(k AS INT) AS level, {r6('hi * k / 8')} AS low, {r6('CASE WHEN k < 8 THEN hi * (k + 1) / 8 ELSE 1e9 END')} AS high FROM m CROSS JOIN (SELECT unnest(range(9)) AS k) s")
@@ -249,10 +255,15 @@ def _(fx):
     return rows.select("level", (F.col("hi") * F.col("level") / 8).alias("low"), F.when(F.col("level") < 8, F.col("hi") * (F.col("level") + 1) / 8).otherwise(1e9).alias("high"))
 
 
-@query("api_5_derived", f"SELECT face, sigma_layer, count(*) AS n, {r6('avg(speed)')} AS mean_speed, {r6('avg(d)')} AS mean_depth FROM (SELECT l.face, l.sigma_layer, l.speed, -(f.h_center + z.zeta_center) * s.sigma AS d FROM fx_layer l JOIN fx_zeta_center z ON z.face = l.face AND z.t = l.t JOIN fx_face f ON f.face = l.face JOIN fx_sigma s ON s.sigma_layer = l.sigma_layer) x GROUP BY 1, 2")
+@query("api_5_derived", f"""WITH c AS (SELECT face, t, avg(speed) AS m, quantile_cont(speed, 95e-2) AS q, max(512.5e0 * speed * speed * speed) AS p FROM fx_layer GROUP BY 1, 2), att AS ({ATTRIBUTES})
+    SELECT face, sigma_layer, count(*) AS n, {r6('avg(speed)')} AS mean_speed, {r6('avg(d)')} AS mean_depth, {r6('avg(m)')} AS column_mean, {r6('max(q)')} AS column_p95, {r6('max(p)')} AS column_power, any_value(jurisdiction) AS jurisdiction
+    FROM (SELECT l.face, l.sigma_layer, l.speed, -(f.h_center + z.zeta_center) * s.sigma AS d, c.m, c.q, c.p, a.jurisdiction FROM fx_layer l JOIN fx_zeta_center z ON z.face = l.face AND z.t = l.t JOIN fx_face f ON f.face = l.face JOIN fx_sigma s ON s.sigma_layer = l.sigma_layer JOIN c ON c.face = l.face AND c.t = l.t LEFT JOIN att a ON a.face = l.face) x GROUP BY 1, 2""")
 def _(fx):
-    rows = steps.derived(fx.velocity, columns(fx), fx.sigma)
-    return rows.groupBy("face", "sigma_layer").agg(F.count("*").alias("n"), F.avg("speed").alias("mean_speed"), F.avg("sigma_depth").alias("mean_depth"))
+    rows = steps.derived(fx.velocity, columns(fx), fx.sigma, attributes(fx))
+    return rows.groupBy("face", "sigma_layer").agg(
+        F.count("*").alias("n"), F.avg("speed").alias("mean_speed"), F.avg("sigma_depth").alias("mean_depth"), F.avg("speed_mean").alias("column_mean"), F.max("speed_p95").alias("column_p95"),
+        F.max("power_density_max").alias("column_power"), F.first("jurisdiction").alias("jurisdiction"),
+    )
 
 
 YEARLY = f"""{PEAKS}, {PHASE}, {DIRECTED}, {MODES}, flow AS (SELECT face, avg(speed) AS mean_speed, max(speed) AS max_speed, quantile_cont(speed, 95e-2) AS p95_speed, avg(5e-1 * 1025e0 * speed * speed * speed) AS mean_power FROM fx_layer GROUP BY face),
@@ -267,9 +278,20 @@ def _(fx):
     return out.withColumn("mean_water", F.abs(F.round("mean_water", 6)))
 
 
-@query("api_8_atlas", f"WITH {CORNERS}, s AS (SELECT face, avg(speed) AS m, quantile_cont(speed, 95e-2) AS q FROM fx_layer GROUP BY face), l AS (SELECT face, avg(CASE WHEN sigma_layer = 0 THEN speed END) AS s0 FROM fx_layer GROUP BY face) SELECT lpad(CAST(s.face AS VARCHAR), 8, '0') AS face_id, {r6('m')} AS mean, {r6('q / m')} AS ratio, {r6('s0')} AS speed_sigma_level_0, {r6('lon_3')} AS lon_3 FROM s JOIN l ON l.face = s.face JOIN crn ON crn.face = s.face")
+STYLE = ["#111111", "#222222", "#333333", "#444444"]
+
+
+@query("api_8_atlas", f"""WITH {CORNERS}, s AS (SELECT face, avg(speed) AS m, quantile_cont(speed, 95e-2) AS q FROM fx_layer GROUP BY face), l AS (SELECT face, {', '.join(f'avg(CASE WHEN sigma_layer = {k} THEN speed END) AS s{k}' for k in range(4))} FROM fx_layer GROUP BY face),
+    w AS (SELECT 'site' || CAST(s.face % 3 AS VARCHAR) AS location, s.face, m, q, s0, s1, s2, s3, (lat_1 + lat_2 + lat_3) / 3 AS lat, (lon_1 + lon_2 + lon_3) / 3 AS lon, lon_3 FROM s JOIN l ON l.face = s.face JOIN crn ON crn.face = s.face)
+    SELECT CAST(row_number() OVER (ORDER BY location, face) - 1 AS BIGINT) AS index, location, upper(location) AS label, lpad(CAST(face AS VARCHAR), 8, '0') AS face_id, location || '/' || {PATH} || '/' || location || '.tidal.face=' || CAST(face AS VARCHAR) || '.lat=' || printf('%.7f', lat) || '.lon=' || printf('%.7f', lon) || '-1h.parquet' AS path,
+    {r6('m')} AS mean, {r6('q / m')} AS ratio, {', '.join(f'{r6(f"s{k}")} AS speed_sigma_level_{k}' for k in range(4))}, {STYLE}[1 + CAST(least(greatest(floor((m - 1) / 25e-2), 0), 3) AS INT)] AS fill_color_mean, {r6('lon_3')} AS lon_3 FROM w""")
 def _(fx):
-    return steps.atlas(derive.with_flow(fx.velocity), fx.face, fx.node, 4).select("face_id", "mean", "ratio", "speed_sigma_level_0", "lon_3")
+    """The tables of three sites, one after another, as the table of all."""
+    flow = derive.with_flow(fx.velocity)
+    place = lambda k: F.lit(f"site{k}")
+    each = [steps.atlas(flow.where(F.col("face") % 3 == k), fx.face, fx.node, 4, {"mean": (1.0, 2.0, STYLE)}, place(k)) for k in range(3)]
+    labels = fx.spark.createDataFrame([(f"site{k}", f"SITE{k}") for k in range(3)], "location string, label string")
+    return steps.all_locations(each, labels).select("index", "location", "label", "face_id", "path", "mean", "ratio", *(f"speed_sigma_level_{k}" for k in range(4)), "fill_color_mean", "lon_3")
 
 
 MANIFEST = f"""p AS (SELECT 'site' || CAST(face % 3 AS VARCHAR) AS location, * FROM fx_points),

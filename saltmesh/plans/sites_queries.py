@@ -32,9 +32,9 @@ def _(fx):
     return back.groupBy("face", "period").agg(F.count("*").alias("n"))
 
 
-@query("src_11_faces_with_corners", f"SELECT v.face, count(*) AS n, {r6('min(a.lon_node)')} AS lon_1 FROM fx_velocity v JOIN fx_face f ON f.face = v.face JOIN fx_node a ON a.node = f.n1 WHERE v.face % 10 = 2 GROUP BY v.face")
+@query("src_11_faces_with_corners", f"SELECT v.face, count(*) AS n, {r6('min(a.lon_node)')} AS lon_1 FROM fx_velocity v JOIN fx_face f ON f.face = v.face JOIN fx_node a ON a.node = f.n1 GROUP BY v.face")
 def _(fx):
-    rows = fx.velocity.where("face % 10 = 2").join(derive.with_corner_coordinates(fx.face, fx.node), "face")
+    rows = fx.velocity.join(derive.with_corner_coordinates(fx.face, fx.node), "face")
     folder = tables.scratch(fx.spark, "corners")
     rows.repartition("face").write.partitionBy("face").parquet(folder)
     return fx.spark.read.schema("lon_1 double, face long").parquet(folder).groupBy("face").agg(F.count("*").alias("n"), F.min("lon_1").alias("lon_1"))
@@ -191,16 +191,23 @@ def _(fx):
     return found.groupBy("check", "key").agg(F.count("*").alias("n"))
 
 
-@query("api_2_standardised", "SELECT face, count(*) AS n, min(t) AS first_t FROM fx_velocity WHERE time >= TIMESTAMP '2005-01-01 06:00:00' GROUP BY face")
+@query("api_2_standardised", f"""WITH {CORNERS} SELECT CAST(v.face AS INT) AS face, CAST(v.t AS INT) AS step, CAST(v.sigma_layer AS INT) AS sigma_layer, {r6('v.u')} AS x_velocity, {r6('CASE WHEN v.t % 7 <> 0 THEN v.v END')} AS y_velocity, {r6('c.lon_1')} AS lon_1, {r6('c.lat_3')} AS lat_3
+    FROM fx_velocity v JOIN crn c ON c.face = v.face WHERE v.time >= TIMESTAMP '2005-01-01 06:00:00'""")
 def _(fx):
-    twice = fx.velocity.unionByName(fx.velocity.where("t % 5 = 0"))
-    rows = steps.standardised(twice, "2005-01-01 06:00:00", "2099-01-01 00:00:00")
-    return rows.groupBy("face").agg(F.count("u").alias("n"), F.min("t").alias("first_t"))
-
-
-@query("api_6_monthly", f"SELECT CAST(month(time) AS INT) AS month, face, {r6('avg(speed)')} AS mean, {r6('max(speed)')} AS max FROM fx_layer GROUP BY 1, 2")
+    """Every fifth hour stands twice, every seventh has no v."""
+    rows = fx.velocity.withColumn("v", F.when(F.col("t") % 7 == 0, float("nan")).otherwise(F.col("v")))
+    twice = rows.unionByName(rows.where("t % 5 = 0"))
+    spec = {"face": ("int", {"long_name": "cell"}), "step": ("int", {}), "sigma_layer": ("int", {}), "x_velocity": ("double", {"units": "m s-1"}), "y_velocity": ("double", {"units": "m s-1"})}
+    nodes = sites.standard_coordinates(fx.node.select("node", F.col("lon_node").alias("lon"), F.col("lat_node").alias("lat"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")), 5)
+    corners = derive.with_corner_coordinates(fx.face, nodes.select("node", F.col("lon").alias("lon_node"), F.col("lat").alias("lat_node"))).select("face", "lon_1", "lat_3")
+    return steps.standardised(twice, "2005-01-01 06:00:00", "2099-01-01 00:00:00", spec, {"t": "step", "u": "x_velocity", "v": "y_velocity"}, corners)
+
+
+@query("api_6_monthly", f"""WITH f AS (SELECT CAST(year(time) AS INT) AS year, CAST(month(time) AS INT) AS month, face, count(*) AS n, {', '.join(f'avg({x}) AS mean_{c}, max({x}) AS max_{c}, quantile_cont({x}, 95e-2) AS p95_{c}' for c, x in (('speed', 'speed'), ('power_density', '512.5e0 * speed * speed * speed')))} FROM fx_layer GROUP BY 1, 2, 3),
+    z AS (SELECT CAST(year(time) AS INT) AS year, CAST(month(time) AS INT) AS month, face, avg(zeta_center) AS mean_level, min(zeta_center) AS low_level, max(zeta_center) AS high_level FROM fx_zeta_center GROUP BY 1, 2, 3)
+    SELECT year, month, face, n, {', '.join(f'{r6(c)} AS {c}' for c in ('mean_speed', 'max_speed', 'p95_speed', 'mean_power_density', 'max_power_density', 'p95_power_density', 'mean_level', 'low_level', 'high_level'))} FROM f LEFT JOIN z USING (year, month, face)""")
 def _(fx):
-    return summary.monthly_and_yearly(derive.with_flow(fx.velocity), "speed").where("month > 0").select("month", "face", "mean", "max")
+    return steps.monthly(derive.with_flow(fx.velocity), derive.surface_at_faces(fx.zeta, fx.face))
 
 
 VARIABLES = {"a": 30.0, "b": 0.05, "c": 5e4}
@@ -229,12 +236,11 @@ def _(fx):
     return steps.exported(rows, expected, ["u", "v"], [0, 1, 2, 3], F.floor(F.col("t") / 25))
 
 
-@query("api_17_jurisdiction", f"WITH {FLAGS} SELECT CASE WHEN state THEN 'State waters' WHEN ts THEN 'Territorial sea' WHEN cz THEN 'Contiguous zone' WHEN eez THEN 'Exclusive economic zone' ELSE 'Outside' END AS jurisdiction, count(*) AS n FROM fl GROUP BY 1")
+@query("api_17_jurisdiction", f"WITH {FLAGS} SELECT qid, CASE WHEN state THEN 'State waters' WHEN ts THEN 'Territorial sea' WHEN cz THEN 'Contiguous zone' WHEN eez THEN 'Exclusive economic zone' ELSE 'Outside' END AS jurisdiction, names AS source FROM fl")
 def _(fx):
-    from ..operators.spatial import jurisdiction
-
-    kind = jurisdiction(F.col("state"), F.col("ts"), F.col("eez"), F.col("cz"))
-    return flags(fx).groupBy(kind.alias("jurisdiction")).agg(F.count("*").alias("n"))
+    """Of every point the class and the features that it is in."""
+    kind = spatial.jurisdiction(F.col("state"), F.col("ts"), F.col("eez"), F.col("cz"))
+    return flags(fx).select("qid", kind.alias("jurisdiction"), F.col("names").alias("source"))
 
 
 CONSTANTS = ("timezone_offset", "distance_to_shore", "jurisdiction", "mean_navd88_offset", "grid_resolution")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, names
-from ..operators import derive, records, selection, spatial, summary, tides, tiles, time_checks
+from ..operators import derive, records, selection, sites, spatial, summary, tides, tiles, time_checks
+from ..sources import tables
 
 
 def verified(
@@ -40,17 +41,32 @@ def tracking(axis: DataFrame, violations: DataFrame) -> DataFrame:
     return axis.select("file", "pos", "time")
 
 
-def standardised(velocity: DataFrame, start: str, end: str) -> DataFrame:
-    """The site's window, first of duplicate times, declared columns and no NaN."""
+def standardised(velocity: DataFrame, start: str, end: str, spec: dict[str, tuple[str, dict]], vocabulary: dict[str, str] | None = None, corners: DataFrame | None = None) -> DataFrame:
+    """A site's rows in standard form: its window, the first of duplicate times, no NaN, the names of the vocabulary, the declared columns and types with their attributes, and the corners (face, …) of each face."""
     rows = time_checks.in_window(velocity, "time", F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
     rows = time_checks.first_of_each(rows, ["face", "sigma_layer", "time"], "t")
-    return rows.withColumns({c: derive.no_nan(F.col(c)) for c in ("u", "v")})
+    rows = rows.withColumns({c: derive.no_nan(F.col(c)) for c in ("u", "v")})
+    out = derive.standardised(derive.renamed(rows, vocabulary or {}), spec)
+    return out if corners is None else out.join(corners, "face", "left")
 
 
-def derived(velocity: DataFrame, columns: DataFrame, sigma: DataFrame) -> DataFrame:
-    """Speed, direction, power and depth for each face, time and layer."""
+def derived(velocity: DataFrame, columns: DataFrame, sigma: DataFrame, constants: DataFrame | None = None) -> DataFrame:
+    """Speed, direction, power and depth for each face, time and layer, with mean, median, maximum and 95th percentile of its water column, and the constants (face, …) of its face."""
+    flow = derive.with_flow(velocity)
     depth = derive.with_sigma_depth(columns, sigma).select("face", "t", "sigma_layer", "sea_floor_depth", "surface_elevation", "sigma_depth")
-    return derive.with_flow(velocity).join(depth, ["face", "t", "sigma_layer"])
+    out = flow.join(depth, ["face", "t", "sigma_layer"])
+    for value in ("speed", "power_density"):
+        out = out.join(summary.column_statistics(flow, value, ["face", "t"]), ["face", "t"])
+    return out if constants is None else derive.attach(out, constants, [c for c in constants.columns if c != "face"])
+
+
+def monthly(layers: DataFrame, surface: DataFrame) -> DataFrame:
+    """(year, month, face): means, maxima and percentiles of speed and power over times and layers, and mean and extremes of the level."""
+    by = [F.year("time").alias("year"), F.month("time").alias("month"), "face"]
+    p95 = lambda c: F.percentile(c, F.lit(0.95)).alias(f"p95_{c}")
+    flow = layers.groupBy(*by).agg(*(x for c in ("speed", "power_density") for x in (F.avg(c).alias(f"mean_{c}"), F.max(c).alias(f"max_{c}"), p95(c))), F.count("speed").alias("n"))
+    level = surface.groupBy(*by).agg(F.avg("zeta_center").alias("mean_level"), F.min("zeta_center").alias("low_level"), F.max("zeta_center").alias("high_level"))
+    return flow.join(level, ["year", "month", "face"], "left")
 
 
 def yearly(layers: DataFrame, surface: DataFrame) -> DataFrame:
@@ -63,15 +79,25 @@ def yearly(layers: DataFrame, surface: DataFrame) -> DataFrame:
     return flow.join(both, "face", "left").join(report.drop("n_periods", "n_cycles"), "face", "left")
 
 
-def atlas(layers: DataFrame, faces: DataFrame, nodes: DataFrame, n_layers: int) -> DataFrame:
-    """The wide table: id, corners, a column for each layer, the ratio of p95 to mean, and the outline."""
-    means = layers.groupBy("face", "sigma_layer").agg(F.avg("speed").alias("speed"))
-    wide = summary.pivot_layers(means, ["face"], "speed", list(range(n_layers)))
+def atlas(layers: DataFrame, faces: DataFrame, nodes: DataFrame, n_layers: int, styles: dict[str, tuple[float, float, list[str]]], location: Column, dataset: str = "tidal", period: str = "1h") -> DataFrame:
+    """The wide table, in fixed order: location, face and its id, place, path, mean, ratio of p95 to mean, a column for each layer, colours of the styled columns, corners and outline. location is an expression of face."""
+    by_layer = layers.groupBy("face", "sigma_layer").agg(F.avg("speed").alias("speed"))
+    wide = summary.pivot_layers(by_layer, ["face"], "speed", list(range(n_layers)))
     stats = summary.summary(layers, "speed", ["face"]).select("face", "mean", derive.max_to_mean(F.col("p95"), F.col("mean")).alias("ratio"))
-    corners = derive.with_corner_coordinates(faces, nodes)
-    wkt = geo.triangle_wkt([(F.col(f"lon_{k}"), F.col(f"lat_{k}")) for k in (1, 2, 3)])
-    out = wide.join(stats, "face").join(corners.drop("n1", "n2", "n3", "h_center"), "face")
-    return out.withColumn("face_id", derive.face_id(F.col("face"))).withColumn("outline", wkt)
+    at = derive.with_corner_coordinates(faces, nodes).drop("n1", "n2", "n3", "h_center")
+    centre = lambda x: (F.col(f"{x}_1") + F.col(f"{x}_2") + F.col(f"{x}_3")) / 3
+    out = wide.join(stats, "face").join(at, "face").withColumns({"location": location, "lat": centre("lat"), "lon": centre("lon")})
+    file = names.point_file(F.col("location"), F.lit(dataset), F.col("face"), F.col("lat"), F.col("lon"), F.lit(period))
+    out = out.withColumns({"face_id": derive.face_id(F.col("face")), "path": F.concat_ws("/", "location", geo.partition_path(F.col("lat"), F.col("lon")), file)})
+    out = sites.fill_colours(out, styles).withColumn("outline", geo.triangle_wkt([(F.col(f"lon_{k}"), F.col(f"lat_{k}")) for k in (1, 2, 3)]))
+    ends = [f"{c}_{k}" for c in ("lon", "lat") for k in (1, 2, 3)]
+    return out.select("location", "face", "face_id", "lat", "lon", "path", "mean", "ratio", *(f"speed_sigma_level_{k}" for k in range(n_layers)), *(f"fill_color_{c}" for c in styles), *ends, "outline")
+
+
+def all_locations(tables_of: list[DataFrame], labels: DataFrame) -> DataFrame:
+    """Wide tables of several locations as one, with the label (location, label) of each, numbered anew in the order of location and face."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables_of)
+    return tables.numbered(rows.join(labels, "location", "left"), ["location", "face"], "index")
 
 
 def lookup(queries: DataFrame, points: DataFrame, versions: DataFrame, series: DataFrame, metres: float, version: str | None = None, dataset: str = "tidal", period: str = "1h") -> DataFrame:

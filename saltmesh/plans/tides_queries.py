@@ -59,13 +59,13 @@ def _(fx):
 
 
 @query("win_9_bin_rank", f"""WITH {DIRECTED}, b AS (SELECT face, CAST(least(floor(d / 2e0), 179) AS BIGINT) AS bin, count(*) AS n FROM dirs WHERE d IS NOT NULL GROUP BY 1, 2)
-    SELECT face, bin, n, CAST(row_number() OVER (PARTITION BY face ORDER BY n DESC, bin) AS INT) AS rank FROM b QUALIFY rank <= 5""")
+    SELECT face, bin, n, CAST(row_number() OVER (PARTITION BY face ORDER BY n DESC, bin) AS INT) AS rank  FROM b""")
 def _(fx):
     from pyspark.sql import Window
 
     rows = derive.with_flow(fx.velocity).where("to_direction is not null")
     bins = rows.groupBy("face", F.least(F.floor(F.col("to_direction") / 2.0), F.lit(179)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
-    return bins.withColumn("rank", F.row_number().over(Window.partitionBy("face").orderBy(F.desc("n"), "bin"))).where("rank <= 5")
+    return bins.withColumn("rank", F.row_number().over(Window.partitionBy("face").orderBy(F.desc("n"), "bin")))
 
 
 @query("scl_37_angular_difference", f"WITH {DIRECTED} SELECT face, t, sigma_layer, {r6('least(abs(d - 45), 360 - abs(d - 45))')} AS off FROM dirs")
