@@ -102,6 +102,8 @@ def with_views(sql: str) -> str:
     ctes = [f"{n} AS ({duck(VIEWS[n]).strip()})" for n in names]
     body = sql.strip()
     if body.upper().startswith("WITH "):
-        body = body[5:]
-        return f"WITH {', '.join(ctes)}, {body}" if ctes else sql
+        body = body[5:].lstrip()
+        head = "WITH RECURSIVE" if body.upper().startswith("RECURSIVE ") else "WITH"
+        body = body.removeprefix("RECURSIVE ")
+        return f"{head} {', '.join(ctes)}, {body}" if ctes else sql
     return f"WITH {', '.join(ctes)} {body}" if ctes else sql

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..catalog import query, r6
@@ -312,23 +314,59 @@ def boundary_by_site(fx):
     return summary.boundary_edges(fx.face).withColumn("location", F.concat(F.lit("site"), F.floor((F.col("a") - 1) / 36).cast("string")))
 
 
-@query("udf_3_boundary_ring")
+# A walk from each site's smallest node towards its smaller neighbour, to the node before the first again.
+WALK = """RECURSIVE sd AS (SELECT least(a, b) AS a, greatest(a, b) AS b FROM (SELECT n1 AS a, n2 AS b FROM fx_face UNION ALL SELECT n2, n3 FROM fx_face UNION ALL SELECT n3, n1 FROM fx_face) x GROUP BY 1, 2 HAVING count(*) = 1),
+    bo AS (SELECT 'site' || CAST((a - 1) // 36 AS VARCHAR) AS location, a, b FROM sd UNION ALL SELECT 'site' || CAST((a - 1) // 36 AS VARCHAR), b, a FROM sd), nb AS (SELECT location, a AS node, min(b) AS lo, max(b) AS hi FROM bo GROUP BY 1, 2),
+    st AS (SELECT location, min(node) AS first FROM nb GROUP BY 1),
+    walk AS (SELECT location, first, first AS node, CAST(NULL AS BIGINT) AS before, 0 AS pos FROM st
+        UNION ALL SELECT w.location, w.first, CASE WHEN n.lo IS NOT DISTINCT FROM w.before THEN n.hi ELSE n.lo END, w.node, w.pos + 1 FROM walk w JOIN nb n ON n.location = w.location AND n.node = w.node WHERE CASE WHEN n.lo IS NOT DISTINCT FROM w.before THEN n.hi ELSE n.lo END <> w.first)"""
+
+
+@query("udf_3_boundary_ring", f"WITH {WALK} SELECT location, CAST(0 AS INT) AS ring, CAST(pos AS INT) AS pos, CAST(node AS BIGINT) AS node FROM walk")
 def _(fx):
     return rings.ring_of_edges(boundary_by_site(fx))
 
 
-@query("udf_4_boundary_polygon")
+@query("udf_4_boundary_polygon", f"WITH {WALK}, pl AS (SELECT w.location, w.pos, d.lon_node AS x, d.lat_node AS y, printf('%.6f', d.lon_node) || ' ' || printf('%.6f', d.lat_node) AS t FROM walk w JOIN fx_node d ON d.node = w.node) SELECT location, CAST(0 AS INT) AS ring, 'POLYGON ((' || string_agg(t, ', ' ORDER BY pos) || ', ' || arg_min(t, pos) || '))' AS wkt, {r6('min(x)')} AS lon_min, {r6('max(x)')} AS lon_max, {r6('min(y)')} AS lat_min, {r6('max(y)')} AS lat_max FROM pl GROUP BY location")
 def _(fx):
     at = rings.ring_of_edges(boundary_by_site(fx)).join(fx.node, "node")
     return rings.outline(at, ["location", "ring"], F.col("lon_node"), F.col("lat_node"))
 
 
-@query("udf_6_convex_hull")
+# An edge of the hull has all points of its group on its left, or on itself; edges turn from the smallest point on.
+HULL = """pt AS (SELECT DISTINCT face % 20 AS grp, lon AS x, lat AS y FROM fx_points), ed AS (SELECT a.grp, a.x, a.y, degrees(atan2(b.y - a.y, b.x - a.x)) AS way FROM pt a JOIN pt b ON b.grp = a.grp AND (b.x <> a.x OR b.y <> a.y)
+    WHERE NOT EXISTS (SELECT 1 FROM pt c WHERE c.grp = a.grp AND ((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) < 0 OR ((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) = 0 AND NOT (b.x - a.x) * (c.x - a.x) + (b.y - a.y) * (c.y - a.y) BETWEEN 0 AND (b.x - a.x) ** 2 + (b.y - a.y) ** 2))))"""
+
+
+@query("udf_6_convex_hull", f"WITH {HULL} SELECT grp, CAST(row_number() OVER (PARTITION BY grp ORDER BY CASE WHEN way <= -90 THEN way + 360 ELSE way END) - 1 AS INT) AS pos, {r6('x')} AS lon, {r6('y')} AS lat FROM ed")
 def _(fx):
     return rings.convex_hull(fx.points.withColumn("grp", F.col("face") % 20), "grp")
 
 
-@query("top_3_hotspots")
+def hotspots_sql(cells: str, spacing: float, top: int, area: float) -> str:
+    """The greedy choice in SQL, one step after another: of the cells free of all areas, those first that are far enough at the larger spacing, then the strongest."""
+    half, reach = math.sqrt(area) / hotspots.METRES_PER_DEGREE / 2, [spacing]
+    while reach[-1] > hotspots.LEAST_SHARE * spacing:
+        reach.append(reach[-1] * hotspots.SHRINK)
+    metres = "2 * 6371000e0 * asin(sqrt(least(1e0, sin(radians({b}.lat - {a}.lat) / 2) ** 2 + cos(radians({a}.lat)) * cos(radians({b}.lat)) * sin(radians({b}.lon - {a}.lon) / 2) ** 2)))"
+    within = f"abs({{a}}.lat - {{b}}.lat) <= {half:.17e} AND abs({{a}}.lon - {{b}}.lon) <= {half:.17e}"
+    text, before = cells, []
+    for k in range(1, top + 1):
+        step = "CASE " + " ".join(f"WHEN {' AND '.join([f'{metres.format(a='c', b=h)} >= {x:.17e}' for h in before] or ['true'])} THEN {n}" for n, x in enumerate(reach)) + " END"
+        free = " AND ".join([f"c.face <> {h}.face AND NOT ({within.format(a='c', b=h)})" for h in before] or ["true"])
+        text += f", h{k} AS (SELECT c.* FROM cel c{''.join(f' CROSS JOIN {h}' for h in before)} WHERE {free} AND {step} IS NOT NULL ORDER BY {step}, c.power DESC, c.face LIMIT 1)"
+        before.append(f"h{k}")
+    text += ", hs AS (" + " UNION ALL ".join(f"SELECT {k} AS rank, * FROM h{k}" for k in range(1, top + 1)) + ")"
+    text += f", near AS (SELECT a.rank, min({metres.format(a='a', b='b')}) AS nearest_m FROM hs a JOIN hs b ON b.rank <> a.rank GROUP BY a.rank), held AS (SELECT h.rank, c.face, c.power, min(h.rank) OVER (PARTITION BY c.face) AS first FROM cel c JOIN hs h ON {within.format(a='c', b='h')})"
+    text += ", own AS (SELECT rank, count(*) AS n, sum(power) AS total, avg(power) AS mean FROM held WHERE rank = first OR face IN (SELECT face FROM hs) GROUP BY rank)"
+    shown = {"lat": "lat", "lon": "lon", "power": "power", "lat_min": f"lat - {half:.17e}", "lat_max": f"lat + {half:.17e}", "lon_min": f"lon - {half:.17e}", "lon_max": f"lon + {half:.17e}", "total": "total", "mean": "mean", "nearest_m": "nearest_m"}
+    return f"WITH {text} SELECT CAST(hs.rank AS INT) AS rank, face, n, {', '.join(f'{r6(x)} AS {c}' for c, x in shown.items())} FROM hs JOIN own ON own.rank = hs.rank LEFT JOIN near ON near.rank = hs.rank"
+
+
+POWERS = f"{CORNERS}, cel AS (SELECT c.face, (lat_1 + lat_2 + lat_3) / 3 AS lat, (lon_1 + lon_2 + lon_3) / 3 AS lon, p.power FROM crn c JOIN (SELECT face, avg(5e-1 * 1025e0 * speed * speed * speed) AS power FROM fx_layer GROUP BY face) p ON p.face = c.face)"
+
+
+@query("top_3_hotspots", hotspots_sql(POWERS, 1500.0, 5, 4e6))
 def _(fx):
     power = derive.with_flow(fx.velocity).groupBy("face").agg(F.avg("power_density").alias("power"))
     c = derive.with_corner_coordinates(fx.face, fx.node)

@@ -285,7 +285,11 @@ def _(fx):
     return fx.points.select("face", geo.haversine_km(F.col("lat"), F.col("lon"), F.lit(59.5), F.lit(-152.5)).alias("km"))
 
 
-@query("scl_2_ellipsoid_distance")
+_E2 = geo.FLATTENING * (2 - geo.FLATTENING)
+_W = f"(1 - {_E2:.17e} * sin(radians((lat_1 + lat_2) / 2)) ** 2)"
+
+
+@query("scl_2_ellipsoid_distance", f"WITH {CORNERS} SELECT face, (round(sqrt((radians(lat_2 - lat_1) * {geo.AXIS:.17e} * {1 - _E2:.17e} / ({_W} * sqrt({_W}))) ** 2 + (radians(lon_2 - lon_1) * {geo.AXIS:.17e} * cos(radians((lat_1 + lat_2) / 2)) / sqrt({_W})) ** 2), 3) + 0e0) AS metres FROM crn")
 def _(fx):
     c = derive.with_corner_coordinates(fx.face, fx.node)
     return c.select("face", F.round(geo.ellipsoid_m(F.col("lat_1"), F.col("lon_1"), F.col("lat_2"), F.col("lon_2")), 3).alias("metres"))

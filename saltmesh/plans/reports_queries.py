@@ -170,22 +170,34 @@ def _(fx):
     return rows.select("face", F.size(dateline.split_at_dateline(F.col("ring"))).alias("n_parts"))
 
 
-@query("scl_11_split_rows")
+_CLIP = "CAST({a} AS INT) + CAST({b} AS INT) + CAST({c} AS INT) + CAST(({a}) <> ({b}) AS INT) + CAST(({b}) <> ({c}) AS INT) + CAST(({c}) <> ({a}) AS INT)"
+_WEST, _EAST = (_CLIP.format(**dict(zip("abc", (f"{x} {side}" for x in ("x", "x + 1", "x + 5e-1")), strict=True))) for side in ("<= 1799995e-4", ">= 1800005e-4"))
+
+
+@query("scl_11_split_rows", f"""WITH b AS (SELECT face, (face * 7e-1) % 20 + 170 AS x FROM fx_points), o AS (SELECT *, x + 1 > 180 AND x < 180 AS over, {_WEST} AS nw, {_EAST} AS ne FROM b)
+    SELECT face, CAST(0 AS INT) AS split_part, CASE WHEN over THEN 2 ELSE 1 END AS split_total, CAST(CASE WHEN over THEN nw ELSE 3 END AS INT) AS n_points,
+    {r6('CASE WHEN over THEN CASE WHEN nw > 0 THEN 1799995e-4 END ELSE greatest(CASE WHEN x >= 180 THEN x - 360 ELSE x END, CASE WHEN x + 1 >= 180 THEN x + 1 - 360 ELSE x + 1 END, CASE WHEN x + 5e-1 >= 180 THEN x + 5e-1 - 360 ELSE x + 5e-1 END) END')} AS lon_max FROM o
+    UNION ALL SELECT face, 1, 2, CAST(ne AS INT), {r6('CASE WHEN ne > 0 THEN x + 1 - 360 END')} FROM o WHERE over""")
 def _(fx):
     parts = dateline.split_at_dateline(F.col("ring"))
     return dateline_faces(fx).select("face", F.posexplode(parts).alias("split_part", "part"), F.size(parts).alias("split_total")).select("face", "split_part", "split_total", F.size("part").alias("n_points"), F.array_max(F.transform("part", lambda p: p["lon"])).alias("lon_max"))
 
 
-@query("jn_15_transect")
+def frame_sql(lat: str, lon: str, bearing: str) -> str:
+    """The line's own frame: the way along it, and to its side, of each corner in km, and where its sides meet the line."""
+    return f"""{CORNERS}, fr AS (SELECT face, {", ".join(f"(lon_{k} + {lon}) * (pi() * 6371e0 / 180 * cos(radians({lat}))) AS x{k}, (lat_{k} - {lat}) * (pi() * 6371e0 / 180) AS y{k}" for k in (1, 2, 3))} FROM crn),
+    ln AS (SELECT face, {", ".join(f"x{k} * sin(radians({bearing})) + y{k} * cos(radians({bearing})) AS a{k}, x{k} * cos(radians({bearing})) - y{k} * sin(radians({bearing})) AS s{k}" for k in (1, 2, 3))} FROM fr),
+    mt AS (SELECT face, {", ".join(f"CASE WHEN (s{a} > 0) <> (s{b} > 0) THEN a{a} + (a{b} - a{a}) * s{a} / (s{a} - s{b}) END AS m{k}" for k, (a, b) in enumerate(((1, 2), (2, 3), (3, 1))))} FROM ln),
+    al AS (SELECT face, least(m0, m1, m2) AS i, greatest(m0, m1, m2) AS o, (least(m0, m1, m2) + greatest(m0, m1, m2)) / 2 AS along FROM mt)"""
+
+
+@query("jn_15_transect", f"""WITH {frame_sql('59001e-3', '152e0', '60e0')}, ng AS (SELECT *, along - lag(along) OVER (ORDER BY along) AS gap FROM al WHERE along BETWEEN 0 AND 10), fa AS (SELECT *, coalesce(gap > avg(gap) OVER () + 5 * stddev_pop(gap) OVER (), false) AS far FROM ng),
+    ps AS (SELECT *, bool_or(far) OVER (ORDER BY along) AS past FROM fa) SELECT face, {r6('i')} AS "into", {r6('o')} AS out_of, {r6('along')} AS along FROM ps WHERE NOT past""")
 def _(fx):
     return steps.transect(located_faces(fx), 59.001, -152.0, 60.0, 10.0).select("face", "into", "out_of", "along")
 
 
-# The line's own frame: the way along it, and to its side, of each corner in km.
-WAYS = f"""{CORNERS}, fr AS (SELECT face, {", ".join(f"(lon_{k} + 151977e-3) * (pi() * 6371e0 / 180 * cos(radians(590233e-4))) AS x{k}, (lat_{k} - 590233e-4) * (pi() * 6371e0 / 180) AS y{k}" for k in (1, 2, 3))} FROM crn),
-    ln AS (SELECT face, {", ".join(f"x{k} * sin(radians(30e0)) + y{k} * cos(radians(30e0)) AS a{k}, x{k} * cos(radians(30e0)) - y{k} * sin(radians(30e0)) AS s{k}" for k in (1, 2, 3))} FROM fr),
-    mt AS (SELECT face, {", ".join(f"CASE WHEN (s{a} > 0) <> (s{b} > 0) THEN a{a} + (a{b} - a{a}) * s{a} / (s{a} - s{b}) END AS m{k}" for k, (a, b) in enumerate(((1, 2), (2, 3), (3, 1))))} FROM ln),
-    al AS (SELECT face, least(m0, m1, m2) AS i, greatest(m0, m1, m2) AS o, (least(m0, m1, m2) + greatest(m0, m1, m2)) / 2 AS along FROM mt),
+WAYS = f"""{frame_sql('590233e-4', '151977e-3', '30e0')},
     ng AS (SELECT *, along >= 0 AS ahead, abs(along) - lag(abs(along)) OVER (PARTITION BY along >= 0 ORDER BY abs(along)) AS gap FROM al WHERE abs(along) <= 10),
     fa AS (SELECT *, coalesce(gap > avg(gap) OVER (PARTITION BY ahead) + 5 * stddev_pop(gap) OVER (PARTITION BY ahead), false) AS far FROM ng),
     ps AS (SELECT *, bool_or(far) OVER (PARTITION BY ahead ORDER BY abs(along)) AS past FROM fa),
@@ -221,9 +233,25 @@ def _(fx):
     return spatial.cell_edges(fx.points.select((F.col("face") % 20).alias("track"), "lon"), ["track"], "lon")
 
 
-@query("scl_6_utm_to_lonlat")
+def utm_sql(x: str, y: str, zone: int) -> tuple[str, str]:
+    """The same series in SQL, its coefficients as numbers."""
+    n = geo.FLATTENING / (2 - geo.FLATTENING)
+    a = geo.AXIS / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996
+    beta, delta = [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480], [2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15]
+    xi, eta = f"(({y}) / {a:.17e})", f"((({x}) - 500000e0) / {a:.17e})"
+    xi1 = f"({xi} - " + " - ".join(f"{b:.17e} * sin({2 * k} * {xi}) * cosh({2 * k} * {eta})" for k, b in enumerate(beta, 1)) + ")"
+    eta1 = f"({eta} - " + " - ".join(f"{b:.17e} * cos({2 * k} * {xi}) * sinh({2 * k} * {eta})" for k, b in enumerate(beta, 1)) + ")"
+    chi = f"asin(sin({xi1}) / cosh({eta1}))"
+    phi = f"({chi} + " + " + ".join(f"{d:.17e} * sin({2 * k} * {chi})" for k, d in enumerate(delta, 1)) + ")"
+    return f"degrees(atan2(sinh({eta1}), cos({xi1}))) + {zone * 6 - 183}", f"degrees({phi})"
+
+
+UTM_LON, UTM_LAT = utm_sql("400000e0 + face * 10", "6500000e0 + face * 7", 5)
+
+
+@query("scl_6_utm_to_lonlat", f"SELECT face, {r6(UTM_LON)} AS lon, {r6(UTM_LAT)} AS lat FROM fx_points")
 def _(fx):
-    """The tests compare with known places."""
+    """The tests compare with known places too."""
     lon, lat = geo.utm_to_lonlat(F.lit(400000.0) + F.col("face") * 10, F.lit(6500000.0) + F.col("face") * 7, 5)
     return fx.points.select("face", lon.alias("lon"), lat.alias("lat"))
 
