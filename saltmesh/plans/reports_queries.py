@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..catalog import query, r6
 from ..functions import dateline, geo, names
 from ..operators import derive, manifest, sites, spatial, summary
-from ..sources import tables
+from ..sources import layout, tables
 from ..streaming import running_summary
 from . import steps
 from .flow_queries import ATTRIBUTES, CORNERS, attributes, columns
@@ -38,6 +38,33 @@ def _(fx):
     return fx.spark.read.parquet(folder).groupBy("lat_deg", "lat_dec").agg(F.count("*").alias("n"))
 
 
+def laid_out(fx, rows, tile_of, buckets=8):
+    """A table of rows, under a name of its own."""
+    folder = tables.scratch(fx.spark, "layout")
+    name = f"layout_{folder.rsplit('-', 1)[1]}"
+    layout.write_series(rows, tile_of, name, folder, buckets)
+    return name
+
+
+@query("snk_2_tiled_layout", f"""WITH {CORNERS}, pts AS (SELECT face, (lat_1 + lat_2 + lat_3) / 3 AS lat, (lon_1 + lon_2 + lon_3) / 3 AS lon FROM crn WHERE face IN (SELECT face FROM fx_velocity))
+    SELECT v.face, v.t, v.sigma_layer, {r6('v.u')} AS u FROM fx_velocity v JOIN pts p ON p.face = v.face WHERE p.lat BETWEEN 5901e-2 AND 5903e-2 AND p.lon BETWEEN -15199e-2 AND -15197e-2""")
+def _(fx):
+    """The series of a rectangle, of which few tiles are read."""
+    faces = series_points(fx).select("face", "lat", "lon")
+    tile_of, index = layout.tiles_of_faces(faces, 8)
+    name = laid_out(fx, fx.velocity, tile_of)
+    return layout.read_area(fx.spark, name, index, faces, 59.01, 59.03, -151.99, -151.97).select("face", "t", "sigma_layer", "u")
+
+
+@query("api_9_bucketed_series", f"SELECT v.face, count(*) AS n, {r6('avg(v.u * z.zeta_center)')} AS mean_product FROM fx_velocity v JOIN fx_zeta_center z ON z.face = v.face AND z.t = v.t GROUP BY v.face")
+def _(fx):
+    """Two tables by face, joined and summed without a shuffle."""
+    layout.join_by_face(fx.spark)
+    tile_of, _index = layout.tiles_of_faces(series_points(fx).select("face", "lat", "lon"), 8)
+    flow, surface = (fx.spark.table(laid_out(fx, rows, tile_of)) for rows in (fx.velocity, derive.surface_at_faces(fx.zeta, fx.face)))
+    return flow.join(surface.select("face", "t", "zeta_center").hint("shuffle_hash"), ["face", "t"]).groupBy("face").agg(F.count("*").alias("n"), F.avg(F.col("u") * F.col("zeta_center")).alias("mean_product"))
+
+
 @query("snk_3_daily_partitions", f"SELECT strftime(time, '%Y-%m-%d') AS day, count(*) AS n, {r6('max(v)')} AS high FROM fx_velocity GROUP BY 1")
 def _(fx):
     folder = tables.scratch(fx.spark, "daily")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from saltmesh.operators import cover, hotspots, manifest, precalc, profiles, rings, selection, spatial, summary, tiles
 from saltmesh.operators.time_checks import InvalidData
 from saltmesh.plans import steps
+from saltmesh.sources import layout
 from saltmesh.streaming import running_summary
 
 
@@ -380,3 +381,28 @@ def test_verified_tracks_only_clean_sites(spark):
     assert [tuple(r) for r in bad.collect()] == [("coordinates", "1")]
     with pytest.raises(InvalidData):
         steps.tracking(axis, bad)
+
+
+def test_layout_reads_few_files_and_joins_without_a_shuffle(spark, tmp_path):
+    faces = spark.createDataFrame([(k, 59 + (k // 20) * 0.01, -152 + (k % 20) * 0.01) for k in range(400)], "face long, lat double, lon double")
+    rows = faces.select("face").join(spark.range(5).select(F.col("id").alias("t"))).withColumn("time", F.timestamp_seconds("t").cast("timestamp_ntz")).withColumn("u", F.col("face") * 1.0 + F.col("t"))
+    tile_of, index = layout.tiles_of_faces(faces, 16)
+    assert index.agg(F.max("n")).first()[0] <= 16 and tile_of.count() == 400
+    layout.write_series(rows, tile_of, "flow_layout", str(tmp_path / "flow"), 4)
+    layout.write_series(rows.withColumnRenamed("u", "w"), tile_of, "other_layout", str(tmp_path / "other"), 4)
+    area = layout.read_area(spark, "flow_layout", index, faces, 59.02, 59.05, -151.95, -151.92)
+    assert sorted({r["face"] for r in area.collect()}) == [r["face"] for r in faces.where("lat between 59.02 and 59.05 and lon between -151.95 and -151.92").orderBy("face").collect()] and area.count() == 16 * 5
+    met = index.where("lat1 <= 59.05 and lat2 >= 59.02 and lon1 <= -151.92 and lon2 >= -151.95").count()
+    assert "PartitionFilters: [tile" in area._jdf.queryExecution().executedPlan().toString()
+    tiles_read = [r["tile"] for r in index.where("lat1 <= 59.05 and lat2 >= 59.02 and lon1 <= -151.92 and lon2 >= -151.95").collect()]
+    files = lambda df: df.select(F.input_file_name().alias("f")).distinct().count()
+    assert met <= 5 and 4 * files(spark.table("flow_layout").where(F.col("tile").isin(tiles_read))) < files(spark.table("flow_layout"))
+    # By face: neither side is shuffled, nor is the sum.
+    layout.join_by_face(spark)
+    joined = spark.table("flow_layout").join(spark.table("other_layout").hint("shuffle_hash"), ["face", "t"]).groupBy("face").agg(F.sum(F.col("u") * F.col("w")).alias("s"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and joined.count() == 400
+    layout.register(spark, "time timestamp_ntz, u double, t long, face long", "flow_again", str(tmp_path / "flow"), 4)
+    assert spark.table("flow_again").where("tile = 0").groupBy().agg(F.count("*")).first()[0] == 16 * 5
+    for name in ("flow_layout", "other_layout", "flow_again"):
+        spark.sql(f"DROP TABLE {name}")
