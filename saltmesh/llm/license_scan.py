@@ -1,10 +1,13 @@
 """License scan by a positional rare-token index.
 
-Every template is a short word sequence with a mandatory key phrase. The index maps a template word to its postings
-(template, position). Of each template a document looks up the rarest word of the key phrase, and each posting names
-the place where the template would have to start (word position less template position). As the key phrase must stand
-there word by word, no place is missed. A place's share of the template's IDF weight is counted from all template words
-that agree there. A label is given if one of its templates is found; what else a file holds makes no difference. IDF is counted over all documents.
+Every template is a short word sequence with a mandatory key phrase. The index maps each template word to its postings
+(template, position). A document looks up its licence words from the highest IDF down. Each posting of a word's place
+names the place where the template would have to start (word position less template position), and the postings of the words
+are intersected there: a place begins with one of the template's rarest words, its head, and gathers the IDF of every later
+word that agrees. The head is as long as the rest of the template is too light to be enough without it, so that no place is
+missed, and what else a file holds makes no difference. Places that can still reach enough are verified: the key phrase must
+stand there word by word, and the share of the template's IDF weight is then counted from all its words. A label is given if one
+of its templates is found. IDF is counted over all documents.
 
 The base phrases are templates of their own that are all key phrase.
 
@@ -101,7 +104,7 @@ def document_frequency(docs: DataFrame, text_col: str = "text") -> dict[bytes, i
 
 
 class RareTokenIndex:
-    """Postings of the templates' rarest key words, with IDF weights of the corpus."""
+    """Postings of all template words, with IDF weights of the corpus and the head of each template."""
 
     def __init__(self, df: dict[bytes, int]):
         n = max(df.get(b"", 0), 1)
@@ -109,37 +112,69 @@ class RareTokenIndex:
         self.vocab = vocabulary()
         self.idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1e-3 for w in self.vocab}
         self.weight = [sum(self.idf[w] for w in words) for _, words, _, _ in self.templates]
+        #: Weight that a place must have: all of a base phrase.
+        self.need = [x * (1.0 if base else ENOUGH) - 1e-9 for x, (_, _, _, base) in zip(self.weight, self.templates, strict=True)]
         self.key_at = [next(i for i in range(len(words)) if words[i : i + len(key)] == key) for _, words, key, _ in self.templates]
-        #: Under the rarest word of each key phrase, with ties by spelling: without it there is no place for the template.
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t, (_, _, key, _) in enumerate(self.templates):
-            anchor = max(key, key=lambda w: (self.idf[w], w))
-            self.postings[anchor].append((t, self.key_at[t] + key.index(anchor)))
+        #: Words of each template, from the rarest on (ties by spelling), without which the others weigh too little.
+        self.head: list[frozenset[bytes]] = []
+        for t, (_, words, _, _) in enumerate(self.templates):
+            for pos, w in enumerate(words):
+                self.postings[w].append((t, pos))
+            rest, head = self.weight[t], []
+            for w, count in sorted(Counter(words).items(), key=lambda x: (-self.idf[x[0]], x[0])):
+                if rest < self.need[t]:
+                    break
+                head.append(w)
+                rest -= self.idf[w] * count
+            self.head.append(frozenset(head))
+        self.rare = frozenset().union(*self.head)
 
     def share(self, t: int, words: list[bytes], start: int) -> float:
         """Share of a template's IDF weight that agrees with the words from start on; start may lie before the text."""
         template = self.templates[t][1]
         return sum(self.idf[w] for i, w in enumerate(template, start) if 0 <= i < len(words) and words[i] == w) / self.weight[t]
 
+    def intersected(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """(template, start) of the places that may weigh enough, from the licence words by falling IDF."""
+        at: dict[bytes, list[int]] = defaultdict(list)
+        for i, w in enumerate(words):
+            if w in self.vocab:
+                at[w].append(i)
+        found: dict[tuple[int, int], float] = {}
+        if self.rare.isdisjoint(at):
+            return []
+        for w in sorted(at, key=lambda w: (-self.idf[w], w)):
+            own: dict[int, list[int]] = {}
+            for t, pos in self.postings[w]:
+                if w not in self.head[t]:
+                    own.setdefault(t, []).append(pos)
+                    continue
+                for i in at[w]:
+                    found[t, i - pos] = found.get((t, i - pos), 0.0) + self.idf[w]
+            # Words that open no place are met from the open ones, which are fewer than the places of a common word.
+            for t, start in found if own else ():
+                for pos in own.get(t, ()):
+                    if 0 <= start + pos < len(words) and words[start + pos] == w:
+                        found[t, start] += self.idf[w]
+        return sorted(place for place, weight in found.items() if weight >= self.need[place[0]])
+
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)
         places: list[int] = []
         base_labels, labels, score = set(), set(), 0.0
-        if not self.postings.keys().isdisjoint(words):
-            for i, w in enumerate(words):
-                for t, pos in self.postings.get(w, ()):
-                    start = i - pos
-                    label, _, key, base = self.templates[t]
-                    at = start + self.key_at[t]
-                    if at < 0 or words[at : at + len(key)] != key:
-                        continue
-                    if base:
-                        places.append(start)
-                        base_labels.add(label)
-                        score = 1.0
-                    elif (share := self.share(t, words, start)) >= ENOUGH:
-                        labels.add(label)
-                        score = max(score, min(1.0, share))
+        for t, start in self.intersected(words):
+            label, _, key, base = self.templates[t]
+            at = start + self.key_at[t]
+            if at < 0 or words[at : at + len(key)] != key:
+                continue
+            if base:
+                places.append(start)
+                base_labels.add(label)
+                score = 1.0
+            elif (share := self.share(t, words, start)) >= ENOUGH:
+                labels.add(label)
+                score = max(score, min(1.0, share))
         return (
             len(words), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(base_labels)), ",".join(sorted(labels | base_labels)), score,

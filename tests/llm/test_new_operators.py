@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import DOCUMENTS, clashing, corpus, words
 
-from saltmesh.llm import decontaminate, fill_middle, vector_codes
+from saltmesh.llm import decontaminate, fill_middle, license_scan, vector_codes
 
 
 @pytest.fixture(scope="module")
@@ -212,3 +212,25 @@ def test_cells_compare_few_entries():
     assert cache.made < 0.5 * cache.asked and cache.compared < 4 * cache.asked
     small = vector_codes.CellCache(centres, kept=10)
     assert (small.nearest(x)[0] == best).all() and len(small.cells) <= 10
+
+
+def test_license_postings_meet_by_relative_position():
+    """Every template word has postings; places begin with a head word alone, and all that weigh enough are found, whatever a file holds besides."""
+    rng = random.Random(12)
+    vocab = sorted(license_scan.vocabulary())
+    index = license_scan.RareTokenIndex({b"": 1000, **{w: rng.choice([0, 1, 5, 60, 900]) for w in vocab}})
+    assert sum(map(len, index.postings.values())) == sum(len(words) for _, words, _, _ in index.templates)
+    for t, (_, words, _, _) in enumerate(index.templates):
+        assert index.head[t] and sum(index.idf[w] for w in words if w not in index.head[t]) < index.need[t]
+    for _ in range(60):
+        text = []
+        for _ in range(rng.randint(1, 6)):
+            own = rng.choice(index.templates)[1]
+            text += [w if rng.random() < 0.85 else rng.choice(vocab) for w in own] + [rng.choice([*vocab, b"word"]) for _ in range(rng.randint(0, 30))]
+        want = {
+            (t, start)
+            for t, (_, words, _, _) in enumerate(index.templates)
+            for start in range(-len(words), len(text))
+            if sum(index.idf[w] for i, w in enumerate(words, start) if 0 <= i < len(text) and text[i] == w) >= index.need[t]
+        }
+        assert set(index.intersected(text)) == want
