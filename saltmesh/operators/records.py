@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..sources.scratch import broadcast_if_few
 
 
 def unequal_attributes(attributes: DataFrame, allowed: list[str]) -> DataFrame:
@@ -17,7 +18,7 @@ def unequal_attributes(attributes: DataFrame, allowed: list[str]) -> DataFrame:
 
 def structure_differences(actual: DataFrame, reference: DataFrame) -> DataFrame:
     """(file, component, kind) against (component, kind): what is missing, extra or of another kind in each file."""
-    want = actual.select("file").distinct().crossJoin(F.broadcast(reference.withColumnRenamed("kind", "expected")))
+    want = actual.select("file").distinct().crossJoin(broadcast_if_few(reference.withColumnRenamed("kind", "expected")))
     out = want.join(actual, ["file", "component"], "full_outer")
     return out.where(~F.col("kind").eqNullSafe(F.col("expected"))).select("file", "component", "expected", "kind")
 
@@ -35,6 +36,24 @@ def filled_attributes(spec: DataFrame, actual: DataFrame) -> DataFrame:
     return out.select("name", "key", F.coalesce("own", "value").alias("value"), (F.col("own").isNotNull() & (F.col("own") != F.col("value"))).alias("conflict"))
 
 
+def orientation_breaks(attributes: DataFrame, same: list[tuple[str, str]], wanted: dict[str, str]) -> DataFrame:
+    """(file, problem) of attributes (file, name, key, value): pairs of variables that lack units or have other ones than each other, and variables whose `positive` isn't the wanted. Each file is judged by itself, in one sum."""
+    value = lambda name, key: F.max(F.when((F.col("name") == name) & (F.col("key") == key), F.col("value")))
+    needed = sorted({x for pair in same for x in pair})
+    held = attributes.groupBy("file").agg(*(value(n, "units").alias(f"u_{n}") for n in needed), *(value(n, "positive").alias(f"p_{n}") for n in wanted))
+    units = [F.when(F.col(f"u_{a}").isNull() | F.col(f"u_{b}").isNull(), F.lit(f"no units: {a}, {b}")).when(F.col(f"u_{a}") != F.col(f"u_{b}"), F.lit(f"other units: {a}, {b}")) for a, b in same]
+    ways = [F.when(~F.col(f"p_{n}").eqNullSafe(F.lit(w)), F.lit(f"not positive {w}: {n}")) for n, w in wanted.items()]
+    return held.select("file", F.explode(F.array_compact(F.array(*units, *ways))).alias("problem"))
+
+
+def variable_shapes(values: DataFrame) -> DataFrame:
+    """(name, shape, n_layers, n_faces) of values (name, t, sigma_layer, face), where what a variable has not is null: by time, layer and face, by time and face, by face, or other."""
+    out = values.groupBy("name").agg(F.count("t").alias("_t"), F.count("face").alias("_f"), F.count_distinct("sigma_layer").alias("n_layers"), F.count_distinct("face").alias("n_faces"))
+    timed, faced, layered = F.col("_t") > 0, F.col("_f") > 0, F.col("n_layers") > 0
+    shape = F.when(timed & layered & faced, "time, layer, face").when(timed & faced & ~layered, "time, face").when(faced & ~layered, "face").otherwise("other")
+    return out.select("name", shape.alias("shape"), "n_layers", "n_faces")
+
+
 def outside(rows: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """Rows whose value is null, NaN or not in the range."""
     c = F.col(column)

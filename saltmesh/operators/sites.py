@@ -67,18 +67,6 @@ def corrected_name(name: Column, first: Column) -> Column:
     return F.concat_ws(".", F.lpad(p["number"].cast("string"), 3, "0"), p["location"], p["dataset"], p["level"], F.concat(F.lit("v"), p["version"]), F.date_format(first, "yyyyMMdd"), p["ext"])
 
 
-def unit_conflicts(df: DataFrame, pairs: list[tuple[str, str]]) -> list[str]:
-    """Columns that should have the same units in their attributes, and don't."""
-    units = {f.name: f.metadata.get("units") for f in df.schema.fields}
-    return [f"{a}, {b}" for a, b in pairs if units.get(a) is None or units.get(a) != units.get(b)]
-
-
-def variable_catalogue(df: DataFrame, keys: list[str]) -> list[tuple[str, str, str]]:
-    """(name, type, shape) of each value column of a table."""
-    shape = ", ".join(keys)
-    return [(f.name, f.dataType.simpleString(), shape) for f in df.schema.fields if f.name not in keys]
-
-
 def fill_colours(df: DataFrame, styles: dict[str, tuple[float, float, list[str]]]) -> DataFrame:
     """A fill_color_ column for each styled variable (low, high, palette); black for null."""
     out = {}

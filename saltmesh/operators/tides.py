@@ -131,7 +131,7 @@ def peaks(surface: DataFrame, prominence: float = PROMINENCE, share: float = 0.2
         out = out.reindex(columns=[c.split()[0] for c in PEAKS.split(", ")])
         return out.assign(next_high=pd.to_datetime(out["next_high"]), low=out["low"].astype(float), low_time=pd.to_datetime(out["low_time"]))
 
-    return surface.select("face", "t", "time", "zeta_center").where("zeta_center is not null").groupBy("face").applyInPandas(run, PEAKS)
+    return surface.select("face", "t", "time", "zeta_center").where("zeta_center is not null and not isnan(zeta_center)").groupBy("face").applyInPandas(run, PEAKS)
 
 
 LEVELS = ("max_high", "min_high", "mean_high", "max_low", "mean_low", "min_low")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import query, r6
 from ..functions import geo, names
-from ..operators import derive, precalc, sites, spatial, summary, tiles, time_checks
+from ..operators import derive, precalc, records, sites, spatial, summary, tiles, time_checks
 from ..sources import tables
 from . import steps
 from .flow_queries import CORNERS, columns
@@ -55,17 +55,32 @@ def _(fx):
     return tables.inventory(fx.spark, folder).select(parts["lat_deg"].alias("lat_deg"), parts["lat_dec"].alias("lat_dec")).distinct()
 
 
-@query("src_13_variable_catalogue", "SELECT 'u' AS name, 'double' AS type, 'face, t, time, sigma_layer' AS shape, count(u) AS n FROM fx_velocity UNION ALL SELECT 'v', 'double', 'face, t, time, sigma_layer', count(v) FROM fx_velocity")
+SHAPES = " UNION ALL ".join(f"SELECT '{c}' AS name, t, sigma_layer, face FROM fx_velocity WHERE {c} IS NOT NULL" for c in "uv") + " UNION ALL SELECT 'zeta_center', t, NULL, face FROM fx_zeta_center UNION ALL SELECT 'h_center', NULL, NULL, face FROM fx_face UNION ALL SELECT 'sigma', NULL, sigma_layer, NULL FROM fx_sigma"
+
+
+@query("src_13_variable_catalogue", f"WITH v AS ({SHAPES}), c AS (SELECT name, count(t) AS nt, count(face) AS nf, count(DISTINCT sigma_layer) AS n_layers, count(DISTINCT face) AS n_faces FROM v GROUP BY name) SELECT name, CASE WHEN nt > 0 AND nf > 0 AND n_layers > 0 THEN 'time, layer, face' WHEN nt > 0 AND nf > 0 THEN 'time, face' WHEN nf > 0 AND n_layers = 0 THEN 'face' ELSE 'other' END AS shape, n_layers, n_faces FROM c")
 def _(fx):
-    found = fx.spark.createDataFrame(sites.variable_catalogue(fx.velocity, ["face", "t", "time", "sigma_layer"]), "name string, type string, shape string")
-    counts = fx.velocity.agg(F.count("u").alias("u"), F.count("v").alias("v")).unpivot([], ["u", "v"], "name", "n")
-    return found.join(counts, "name")
+    """From what the variables hold."""
+    key = ["t", "sigma_layer", "face"]
+    flow = fx.velocity.select(*key, "u", "v").unpivot(key, ["u", "v"], "name", "value").where("value is not null").drop("value")
+    none = F.lit(None).cast("long")
+    surface = derive.surface_at_faces(fx.zeta, fx.face).select("t", none.alias("sigma_layer"), "face", F.lit("zeta_center").alias("name"))
+    depth = fx.face.select(none.alias("t"), none.alias("sigma_layer"), "face", F.lit("h_center").alias("name"))
+    sigma = fx.sigma.select(none.alias("t"), "sigma_layer", none.alias("face"), F.lit("sigma").alias("name"))
+    return records.variable_shapes(flow.unionByName(surface).unionByName(depth).unionByName(sigma))
 
 
-@query("flt_18_unit_agreement", "SELECT 1 AS n_conflicts, count(*) AS n FROM fx_velocity")
+@query("flt_18_unit_agreement", """SELECT o_orderkey AS file, unnest(list_concat(CASE WHEN o_orderkey % 23 = 4 THEN ['no units: u, v'] WHEN o_orderkey % 17 = 3 THEN ['other units: u, v'] ELSE [] END, CASE WHEN o_orderkey % 29 = 5 THEN ['not positive down: h'] ELSE [] END, CASE WHEN o_orderkey % 31 = 6 THEN ['not positive up: zeta'] ELSE [] END)) AS problem FROM orders""")
 def _(fx):
-    rows = tables.with_attributes(fx.velocity, {"u": {"units": "m s-1"}, "v": {"units": "m s-1"}, "t": {"units": "h"}})
-    return rows.agg(F.lit(len(sites.unit_conflicts(rows, [("u", "v"), ("u", "t")]))).alias("n_conflicts"), F.count("*").alias("n"))
+    """A file for each order, some without or with other attributes."""
+    k = F.col("o_orderkey")
+    row = lambda name, key, value: F.struct(F.lit(name).alias("name"), F.lit(key).alias("key"), value.alias("value"))
+    rows = F.array(
+        row("u", "units", F.lit("m s-1")), row("v", "units", F.when(k % 23 == 4, F.lit(None)).when(k % 17 == 3, "cm s-1").otherwise("m s-1")),
+        row("h", "positive", F.when(k % 29 != 5, "down").otherwise("up")), row("zeta", "positive", F.when(k % 31 != 6, "up")),
+    )
+    attributes_of = fx.table("orders").select(k.alias("file"), F.explode(rows).alias("r")).select("file", "r.*").where("value is not null")
+    return records.orientation_breaks(attributes_of, [("u", "v")], {"h": "down", "zeta": "up"})
 
 
 @query("scl_8_standard_coordinates", f"SELECT face, {r6('lon')} AS lon, {r6('lat')} AS lat FROM fx_points")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import query, r6
 from ..operators import time_checks as tc
+from ..sources.scratch import broadcast_if_few
 
 EV = "ev AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, value) AS pos FROM events)"
 # An axis of hourly steps per file of 25 steps; every 97th and 75th step is lost and every 61st stands twice.
@@ -191,7 +192,7 @@ def _(fx):
 @query("set_1_missing_batches", f"WITH {BATCHES} SELECT n_nationkey AS location, s FROM nation CROSS JOIN (SELECT DISTINCT s FROM bat) b EXCEPT SELECT location, s FROM bat")
 def _(fx):
     found = batches(fx).select("location", F.col("start").alias("s"))
-    expected = fx.table("nation").select(F.col("n_nationkey").alias("location")).crossJoin(F.broadcast(found.select("s").distinct()))
+    expected = fx.table("nation").select(F.col("n_nationkey").alias("location")).crossJoin(broadcast_if_few(found.select("s").distinct()))
     return tc.missing_batches(expected, found, ["location", "s"])
 
 

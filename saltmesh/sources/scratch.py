@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, what: str) -> str:
@@ -24,6 +25,15 @@ def kept(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Rows of a table that may be broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df, with a hint to broadcast it if it was counted to have few rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def exists(spark: SparkSession, folder: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from saltmesh.operators import cover, hotspots, manifest, precalc, profiles, rings, selection, spatial, summary, tiles
+from saltmesh.operators import cover, hotspots, manifest, precalc, profiles, records, rings, selection, spatial, summary, tides, tiles
 from saltmesh.operators.time_checks import InvalidData
 from saltmesh.plans import steps
 from saltmesh.sources import layout
@@ -406,3 +406,21 @@ def test_layout_reads_few_files_and_joins_without_a_shuffle(spark, tmp_path):
     assert spark.table("flow_again").where("tile = 0").groupBy().agg(F.count("*")).first()[0] == 16 * 5
     for name in ("flow_layout", "other_layout", "flow_again"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_peaks_leave_nan_levels_out(spark):
+    level = [math.sin(k / 2) for k in range(60)]
+    rows = [(f, k, float("nan") if f == 1 and k in (0, 17) else x) for f in (0, 1) for k, x in enumerate(level)]
+    df = spark.createDataFrame(rows, "face long, t long, zeta_center double").withColumn("time", F.timestamp_seconds(F.col("t") * 3600).cast("timestamp_ntz"))
+    got = {r["face"]: r for r in tides.tidal_levels(tides.peaks(df)).collect()}
+    assert got[1]["method"] == "peaks" and all(got[1][c] is not None and not math.isnan(got[1][c]) for c in ("max_high", "mean_low", "range_extremes"))
+    assert math.isclose(got[1]["max_high"], got[0]["max_high"], abs_tol=0.1)
+
+
+def test_orientation_and_shapes(spark):
+    rows = [(1, "u", "units", "m"), (1, "v", "units", "m"), (1, "h", "positive", "down"), (2, "u", "units", "m"), (2, "v", "units", "km"), (3, "u", "units", "m"), (3, "h", "positive", "up")]
+    got = records.orientation_breaks(spark.createDataFrame(rows, "file long, name string, key string, value string"), [("u", "v")], {"h": "down"}).collect()
+    assert sorted(map(tuple, got)) == [(2, "not positive down: h"), (2, "other units: u, v"), (3, "no units: u, v"), (3, "not positive down: h")]
+    values = [("u", 1, 0, 5), ("u", 1, 1, 5), ("z", 1, None, 5), ("z", 2, None, 6), ("h", None, None, 5), ("s", None, 0, None), ("t", 3, None, None)]
+    found = records.variable_shapes(spark.createDataFrame(values, "name string, t long, sigma_layer long, face long")).collect()
+    assert {tuple(r) for r in found} == {("u", "time, layer, face", 2, 1), ("z", "time, face", 0, 2), ("h", "face", 0, 1), ("s", "other", 1, 0), ("t", "other", 0, 0)}
