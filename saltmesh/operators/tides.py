@@ -108,30 +108,30 @@ def peaks(surface: DataFrame, prominence: float = PROMINENCE, share: float = 0.2
         part = part.sort_values("t")
         z = part["zeta_center"].to_numpy()
         high, low = find_peaks(z, prominence), find_peaks(-z, prominence)
-        rows = part[["face", "t", "time"]]
-
-        def shown(at: np.ndarray, is_high: bool, is_peak: bool) -> pd.DataFrame:
-            return rows.iloc[at].assign(level=z[at], is_high=is_high, is_peak=is_peak)
-
-        found = [shown(low, False, True)]
-        cycles = shown(high, True, True)
-        following = np.r_[high[1:], -1] if len(high) else high
+        following = np.append(high[1:], -1)[: len(high)]
         between = [low[(low > a) & (low < b)] for a, b in zip(high, following, strict=True)] if len(low) else [low] * len(high)
         least = [b[np.argmin(z[b])] if len(b) else -1 for b in between]
-        times = part["time"].to_numpy()
-        cycles["next_high"] = [times[b] if b >= 0 else pd.NaT for b in following]
-        cycles["low"] = [z[k] if k >= 0 else None for k in least]
-        cycles["low_time"] = [times[k] if k >= 0 else pd.NaT for k in least]
-        found.append(cycles)
+        # Places of low tides, of high ones and, without peaks on either side, of the highest and lowest share.
+        at, sides, n_peaks = [low, high], [False, True], len(low) + len(high)
         if not len(high) or not len(low):
             k = max(1, int(len(z) * share))
             order = np.argsort(z, kind="stable")
-            found += [shown(order[-k:], True, False), shown(order[:k], False, False)]
-        out = pd.concat([f for f in found if len(f)]).assign(mean_level=z.mean(), mean_left=(z - z.mean()).mean(), top=z.max(), bottom=z.min())
-        out = out.reindex(columns=[c.split()[0] for c in PEAKS.split(", ")])
-        return out.assign(next_high=pd.to_datetime(out["next_high"]), low=out["low"].astype(float), low_time=pd.to_datetime(out["low_time"]))
-
-    return surface.select("face", "t", "time", "zeta_center").where("zeta_center is not null and not isnan(zeta_center)").groupBy("face").applyInPandas(run, PEAKS)
+            at, sides = [*at, order[-k:], order[:k]], [*sides, True, False]
+        where, n = np.concatenate(at).astype(np.int64), sum(map(len, at))
+        of_high = lambda values: np.concatenate([np.full(len(low), -1), values, np.full(n - n_peaks, -1)]).astype(np.int64)
+        following, least = of_high(following), of_high(least)
+        times = part["time"].to_numpy()
+        pick = lambda values, k, none: np.where(k >= 0, values[np.maximum(k, 0)], none)
+        never = np.array("NaT", times.dtype)
+        return pd.DataFrame({
+            "face": np.full(n, part["face"].iloc[0]), "t": part["t"].to_numpy()[where], "time": times[where], "level": z[where], "is_high": np.repeat(sides, [len(x) for x in at]), "is_peak": np.arange(n) < n_peaks,
+            "next_high": pick(times, following, never), "low": pick(z, least, np.nan), "low_time": pick(times, least, never), "mean_level": z.mean(), "mean_left": (z - z.mean()).mean(), "top": z.max(), "bottom": z.min(),
+        })
+
+    rows = surface.select("face", "t", "time", "zeta_center").where("zeta_center is not null and not isnan(zeta_center)")
+    # Faces are work rather than bytes: a number of partitions that is given isn't made smaller for being light.
+    n = int(surface.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "face").groupBy("face").applyInPandas(run, PEAKS)
 
 
 LEVELS = ("max_high", "min_high", "mean_high", "max_low", "mean_low", "min_low")

@@ -48,8 +48,8 @@ def curve(lat: Column, lon: Column) -> Column:
 
 def packed(items: DataFrame, order: list[str], leaf: int = LEAF, fan: int = FAN) -> Tiles:
     """Tiles of items with a box, in the order given: one range sort, then counts of runs."""
+    # The order is stored; only places in it are computed again.
     found = numbered(items, order).withColumn("node", F.floor(F.col("position") / leaf)).drop("position")
-    found = kept(found, "tiles")
     boxes = [f(c).alias(c) for f, c in zip((F.min, F.max, F.min, F.max), BOX, strict=True)]
     leaves = kept(found.groupBy("node").agg(*boxes, F.count("*").alias("n")).withColumn("parent", F.floor(F.col("node") / fan)), "leaves")
     levels, sizes = [leaves], [leaves.count()]
