@@ -6,7 +6,7 @@ the first `few` of them within `head` places. So each set's head in the order of
 set that shares fewer than `least` keys with others links to nothing. What is left is exact: no link is lost.
 
 Sets with enough shared keys are partitioned into groups of similar documents: each joins the leader that most of its keys
-have, and groups are cut into blocks of bounded size. For each block its token union is kept, with who has which token: a
+have, and groups are cut into blocks of bounded size, in documents and in tokens. For each block its token union is kept, with who has which token: a
 query with too few tokens in the union can't link to any member, and the block stays shut; open blocks are compared by
 exact intersection sizes.
 
@@ -38,6 +38,8 @@ from .shared import drop_tables, free_shuffles, fresh, keep_only, last_made, sli
 WORDS, PERCENT = 5, 80
 #: Documents of a block, and visitors that are compared with it at once.
 BLOCK = 128
+#: Tokens of a block, and of the visitors compared with it at once (eight bytes each): as many sets of very long texts would not fit a task.
+BLOCK_TOKENS = 1 << 20
 #: Rows of ids and numbers up to which they are broadcast to the documents (40 bytes each); beyond it the documents are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -213,6 +215,11 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _shares(what: str) -> Column:
+    """Into how many shares of at most about BLOCK sets and BLOCK_TOKENS tokens the sets of a group, each of n tokens, are dealt."""
+    return F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_TOKENS))).cast("int").alias(what)
+
+
 def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     """nodes with their component from labels, else themselves."""
     if labels is None:
@@ -276,10 +283,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Groups: the leader of a key is the document that shares most keys with others; a document joins its most frequent leader.
     leaders = entries.groupBy("key").agg(F.max_by("node", F.struct("w", -F.col("node"))).alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c")
     votes = stored(entries.select("node", "n", "key").join(leaders, "key").groupBy("node", "n", "leader").agg(F.count("*").alias("v")), "votes")
-    group = votes.groupBy("node").agg(F.max_by("leader", F.struct("v", -F.col("leader"))).alias("grp"))
+    group = votes.groupBy("node", "n").agg(F.max_by("leader", F.struct("v", -F.col("leader"))).alias("grp"))
     group = stored(group, "groups")
-    parts = group.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
-    blocks = stored(group.join(parts, "grp").select("node", F.xxhash64("grp", F.pmod(F.xxhash64("node"), "parts")).alias("block")), "blocks")
+    parts = group.groupBy("grp").agg(_shares("parts"))
+    blocks = stored(group.join(parts, "grp").select("node", "n", F.xxhash64("grp", F.pmod(F.xxhash64("node"), "parts")).alias("block")), "blocks")
     free_shuffles(spark)
     wanted = blocks.join(nodes.select("node", "rep", "text_key"), "node")
     if blocks.count() <= BROADCAST_ROWS:
@@ -307,12 +314,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             placed = stored(_labelled(entries.select("key", "node", "n"), labels), "placed")
             mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
             left = placed.join(mixed.select("key"), "key").groupBy("node", "n", "component").agg(F.count("*").alias("shared"))
-            left = left.where(F.col("shared") >= least(F.col("n"), percent)).select("node", "component").join(blocks, "node")
+            left = left.where(F.col("shared") >= least(F.col("n"), percent)).select("node", "component").join(blocks.drop("n"), "node")
             visits = _opened_by_rare_tokens(left, tokens, percent)
         visits = stored(visits.join(blocks.withColumnRenamed("block", "_home"), "node").where("block <> _home").drop("_home"), "visits")
         if visits.isEmpty():
             continue
-        slots = visits.groupBy("block").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("slots"))
+        slots = visits.groupBy("block").agg(_shares("slots"))
         went = visits.join(slots, "block").withColumn("slot", F.pmod(F.xxhash64("node"), "slots").cast("int"))
         visitors = went.join(tokens.select("node", "tokens"), "node").select("block", "slot", F.lit(1).alias("kind"), "node", "component", "tokens")
         members = _labelled(tokens.join(slots, "block"), labels).withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))

@@ -379,8 +379,10 @@ def test_ngram_join(docs, none, rows):
     assert ngram_join.near_duplicates(none).count() == 0
 
 
-def test_ngram_join_clusters(spark):
-    """Near copies of near copies, more than a block of them, and unlinked texts that share a passage."""
+@pytest.mark.parametrize("most", [ngram_join.BLOCK_TOKENS, 2_000])
+def test_ngram_join_clusters(spark, monkeypatch, most):
+    """Near copies of near copies, more than a block of them, and unlinked texts that share a passage; with blocks bounded by documents and by tokens."""
+    monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", most)
     rng = random.Random(9)
     stock = [f"w{k}" for k in range(4000)]
     origin = [rng.choice(stock) for _ in range(150)]
