@@ -25,19 +25,23 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import filterfalse, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import keep_only, slices, stored, table
+from .shared import keep_only, stored, table
 
 CAPACITY = 2048
 #: Pieces that one task packs at once.
 PIECES_AT_ONCE = 20_000
 ROUNDS, EXCHANGES = 6, 3
+#: Bytes of text that a task cuts into words at once, and new words that go to the library at once.
+TEXT_AT_ONCE, LEARNED_AT_ONCE = 1_000_000, 5_000
 #: Distinct words in each of the two generations that a worker keeps (about 200 bytes each), and the longest one kept.
 WORDS_KEPT, KEPT_CHARS = 150_000, 40
 
@@ -48,66 +52,145 @@ NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}
 WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 WORD_END = "</w>"
 
-#: What makes a text or word other than plain: characters beyond ASCII and the letters of Latin-1, and the start of an added token.
+#: What makes a word between spaces other than plain: characters beyond ASCII and the letters of Latin-1, and the start of an added token.
 _ODD = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]|<\|")
-#: The words of the tokenizer in a plain text in lower case.
-_WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-
-
-#: The characters under which the model lists bytes: those of Latin-1 that can be seen as they are, the others from 256 on.
+#: Kinds of bytes in UTF-8. Of what is plain only the letters from À to ÿ have bytes from 128 on: 195 and another one.
+SPACE, LETTER, DIGIT, SIGN, ODD = range(5)
+_KIND = bytes(
+    SPACE if b in b" \t\n\r" else DIGIT if chr(b) in "0123456789" else ODD if b < 32 or b in (127, 0x97, 0xB7) or b > 191 and b != 195 else LETTER if b > 127 or chr(b).isalpha() else SIGN
+    for b in range(256)
+)
+_LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
+
+
+def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of the tokenizer in lower case, one after another, and before which of them each text begins, with their number at the end. What stands between spaces and is not plain is one word as it is."""
+    texts = texts.cast(pa.large_string())
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if not len(at) or at[0] == at[-1]:
+        return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+    raw = memoryview(texts.buffers()[2])[at[0] : at[-1]].tobytes()
+    at = at - at[0]
+    n = len(raw)
+    kind, lower = np.frombuffer(bytearray(raw.translate(_KIND)), np.uint8), np.frombuffer(raw.translate(_LOWER), np.uint8)
+    head = np.zeros(n + 1, bool)
+    head[at] = True
+    odd = np.flatnonzero(kind == ODD)
+    if b"<|" in raw:
+        odd = np.r_[odd, [k for k in (m.start() for m in re.finditer(rb"<\|", raw)) if not head[k + 1]]].astype(np.int64)
+    if len(odd):
+        part = np.cumsum((kind == SPACE) | head[:-1])
+        is_odd = np.zeros(part[-1] + 1, bool)
+        is_odd[part[odd]] = True
+        whole = is_odd[part] & (kind != SPACE)
+        kind[whole] = ODD
+        lower = np.where(whole, np.frombuffer(raw, np.uint8), lower)
+    begins = head[:-1] | (kind == DIGIT)
+    begins[1:] |= kind[1:] != kind[:-1]
+    # Contractions: a sign that is an apostrophe alone, with the letters right after it.
+    a = np.flatnonzero(begins[:-1] & (lower[:-1] == ord("'")) & (kind[:-1] == SIGN) & (kind[1:] == LETTER) & ~head[1:-1])
+    first, second = lower[a + 1], np.where(head[a + 2], 0, lower[np.minimum(a + 2, n - 1)])
+    short = np.isin(first, list(b"stmd"))
+    long = np.isin(first.astype(np.int64) << 8 | second, [x[0] << 8 | x[1] for x in (b"re", b"ve", b"ll")])
+    begins[a[short | long] + 1] = False
+    rest = np.r_[a[short] + 2, a[long] + 3]
+    begins[rest[rest < n]] = True
+    starts = np.flatnonzero(begins)
+    lengths = np.diff(starts, append=n)
+    solid = kind[starts] != SPACE
+    starts, offsets = starts[solid], np.r_[0, np.cumsum(lengths[solid])]
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(lower[kind != SPACE]))
+    return words, np.searchsorted(starts, at)
+
+
+#: The characters under which the model lists bytes: those of Latin-1 that can be seen as they are, the others from 256 on. The space stays, to part words.
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
-_SHOWN = {b: 256 + k for k, b in enumerate(_HIDDEN)}
+_SHOWN = np.arange(256, dtype="<u4")
+_SHOWN[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
+_SHOWN[32] = 32
 
 
 class WordTokenizer:
     """Token ids of texts. Each word between spaces is tokenised once, as no token reaches across white space."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             given = json.load(f)
+        vocab = given["model"]["vocab"]
         split = (given["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
         self.by_word = (given["normalizer"] or {}).get("normalizers") == NORMALIZERS and split.get("pattern") == {"Regex": WORD_PATTERN}
         self.by_word &= given["model"].get("end_of_word_suffix") == WORD_END and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in given["added_tokens"])
+        self.by_word &= all(chr(c) + end in vocab for b, c in enumerate(_SHOWN) if b != 32 for end in ("", WORD_END))
+        #: The model's own merges, past the steps that only cut texts into words, and the tokens that end a word.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.last = np.zeros(1 + max(vocab.values()), bool)
+        self.last[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def words(self, text: str) -> list[str]:
-        """The words of the tokenizer; of a text that is not plain, odd words between spaces stay whole behind a space."""
-        if not _ODD.search(text):
-            return _WORDS.findall(text.lower())
-        out: list[str] = []
-        for w in filter(None, text.replace("\n", " ").split(" ")):
-            out += [f" {w}"] if _ODD.search(w) else _WORDS.findall(w.lower())
-        return out
-
-    def learn(self, word: str) -> bytes:
-        """Ids of a word: of a plain one by the model's own merges, past the steps that only cut texts into words."""
-        if word[0] == " ":
-            ids = self.tokenizer.encode(word[1:], add_special_tokens=False).ids
-        else:
-            shown = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
-            ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
-        return array("I", ids).tobytes()
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of plain words of the tokenizer, all in one call."""
+        if not words:
+            return {}
+        shown = _SHOWN[np.frombuffer(" ".join(words).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self.merges.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1  # one in each word at least
+        if len(words) == 1:
+            return {words[0]: ids.tobytes()}
+        if len(ends) > len(words):  # a word spells out the mark of the end
+            half = len(words) // 2
+            return self.learn(words[:half]) | self.learn(words[half:])
+        data = ids.tobytes()
+        return {w: data[k:end] for w, (k, end) in zip(words, pairwise([0, *(4 * ends).tolist()]), strict=True)}
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        young, old = self.young, self.old
+        new: dict[str, bytes] = {}
+        plain: list[str] = []
+        for w in filterfalse(young.__contains__, words):
+            if w in old:
+                new[w] = old[w]
+            elif _ODD.search(w):
+                new[w] = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+            else:
+                plain.append(w)
+        for k in range(0, len(plain), LEARNED_AT_ONCE):
+            new |= self.learn(plain[k : k + LEARNED_AT_ONCE])
+        young.update(new)
+        ids = list(map(young.__getitem__, words))
+        for w in [w for w in new if len(w) > KEPT_CHARS]:
+            del young[w]
+        if len(young) > WORDS_KEPT:
+            self.old, self.young = young, {}
+        return ids
 
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
+    def ids(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
         if not self.by_word:
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            for e in self.tokenizer.encode_batch_fast(texts.to_pylist() if isinstance(texts, pa.Array) else texts, add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
             return
-        cut = [self.words(t) for t in texts]
-        young, old = self.young, self.old
-        new = {w: old[w] if w in old else self.learn(w) for w in set().union(*cut).difference(young)}
-        long = {w: new.pop(w) for w in [w for w in new if len(w) > KEPT_CHARS]}
-        young.update(new)
-        get = (young | long if long else young).__getitem__
-        for words in cut:
-            yield b"".join(map(get, words))
-        if len(young) > WORDS_KEPT:
-            self.old, self.young = young, {}
+        words, begins = cut_words(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
+        words = words.dictionary_encode()
+        ids = pa.array(self.look_up(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(words.indices)
+        ends = np.r_[0, np.cumsum(pc.binary_length(ids).to_numpy())][begins].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        for k, end in pairwise(ends):
+            yield data[k:end].tobytes()
+
+
+def text_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """The texts in order (null: empty), in slices of about so many bytes, so that memory follows the slice and not the Arrow batch."""
+    texts = pc.fill_null(texts, "")
+    passed = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64) + 100) // size
+    at = np.flatnonzero(np.diff(passed, prepend=0, append=-1))
+    for k, end in pairwise([0, *(at + 1).tolist()] if len(texts) else [0]):
+        yield texts[k:end]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -130,7 +213,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: s
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(path)
         for batch in batches:
-            ids_of = (b for part in slices(batch.column(1).to_pylist()) for b in words.ids(part))
+            ids_of = (b for part in text_slices(batch.column(1), TEXT_AT_ONCE) for b in words.ids(part))
             out: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of, strict=True):
                 ids += b"\0\0\0\0"

@@ -199,6 +199,35 @@ def test_word_tokenizer():
         own.old, own.young = own.young, {}
 
 
+def test_word_tokenizer_learns_at_once():
+    """The new words of a slice go to the library in one call; words that spell the mark of the end, contractions at the edges of texts, slices of an array."""
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), best_fit.WordTokenizer(path)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abehntéÉßüñ") for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    edges = ["x'", "s y", "'", "re", "a'r", "e", "''s 'sa 'll'", "!'s", "1'd2", "</w> a</w>b w>", "café's l'été", "a×b c÷d É×", "'s", "", None, "Tf<", "|Qf <", "\x00'S 'Sé \x0bb", "日's 's"]
+    texts = [None, *edges, *edges[::-1], *[" ".join(words[k : k + 30]) for k in range(0, 3000, 30)], "end'"]
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    learn, calls = own.learn, []
+    own.learn = lambda words: calls.append(len(words)) or learn(words)
+    column = pa.array(["before", *texts], pa.string())[1:]
+    for size in (10**9, 500, 1):
+        parts = list(best_fit.text_slices(column, size))
+        calls.clear()
+        assert [b for part in parts for b in own.ids(part)] == want
+        assert sum(map(len, parts)) == len(texts) and sum(calls) < len(set(words)) * 2
+        own.old, own.young = {}, {}
+        if size == 10**9:
+            assert len(parts) == 1 and max(calls) >= len({w.lower() for w in words})
+    assert list(best_fit.text_slices(column[:0], 10)) == []
+    own.by_word = False
+    assert list(own.ids(next(best_fit.text_slices(column, 10**9)))) == want
+
+
 def test_best_fit_exchange(spark):
     """Pieces of all partitions with room are packed again until the total meets its bound; equal rows are dealt apart; clashing names."""
     rng = random.Random(8)
