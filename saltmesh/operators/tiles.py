@@ -4,6 +4,9 @@ Places are put in the order of a space-filling curve and cut into runs: a leaf h
 however dense they lie. Queries start at the few nodes on top. At each level the greatest distance to a box bounds the nearest
 place of a query, and only boxes whose least distance is within the bound are opened. So a query far from one dense cluster
 meets the leaves on its near side, about as many as the root of all, and one inside of it those around it.
+
+Segments are cut into pieces first, so that boxes are tight however long they are, and are looked up for blocks of points that lie
+together: the tree is gone down once for a block, and its points meet each segment that they may be nearest to once.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +27,11 @@ from ..sources.tables import numbered
 LEAF, FAN, BROADCAST_NODES = 128, 64, 100_000
 BOX = ("lat1", "lat2", "lon1", "lon2")
 QUERY = ["qid", "qlat", "qlon"]
+#: Pieces of a leaf, pieces for each segment on average at most, and of one segment.
+PIECES, CUTS, MOST_CUTS = 32, 32, 100_000
+#: Points of a block, pieces that a group may meet, and segments that are held against a block at once.
+BLOCK, MET, AT_ONCE = 64, 65_536, 2_048
+BLOCKS = ["block", "south", "north", "west", "east"]
 
 
 @dataclass
@@ -60,32 +70,32 @@ def packed(items: DataFrame, order: list[str], leaf: int = LEAF, fan: int = FAN)
     return Tiles(found, levels, sizes)
 
 
-def _bounded(frontier: DataFrame, k: int, reach: Callable[[], tuple[Column, Column]]) -> DataFrame:
+def _bounded(frontier: DataFrame, k: int, reach: Callable[[], tuple[Column, Column]], query: list[str]) -> DataFrame:
     """Nodes that may hold one of the k nearest: the boxes that are sure to hold k places, nearest first by their far sides, bound the rest."""
     low, high = reach()
     rows = frontier.withColumns({"_low": low, "_high": high})
     if k == 1:
-        sure = F.min("_high").over(Window.partitionBy(*QUERY))
+        sure = F.min("_high").over(Window.partitionBy(*query))
     else:
-        upto = Window.partitionBy(*QUERY).orderBy("_high", "node").rowsBetween(Window.unboundedPreceding, 0)
+        upto = Window.partitionBy(*query).orderBy("_high", "node").rowsBetween(Window.unboundedPreceding, 0)
         rows = rows.withColumn("_sum", F.sum("n").over(upto))
-        sure = F.min(F.when(F.col("_sum") >= k, F.col("_high"))).over(Window.partitionBy(*QUERY))
+        sure = F.min(F.when(F.col("_sum") >= k, F.col("_high"))).over(Window.partitionBy(*query))
     rows = rows.withColumn("_bound", F.least("_bound", sure))
-    return rows.where(F.col("_low") <= F.col("_bound") * (1 + 1e-9) + 1e-9).select(*QUERY, "node", "_bound")
+    return rows.where(F.col("_low") <= F.col("_bound") * (1 + 1e-9) + 1e-9).select(*query, "node", "_bound")
 
 
-def candidates(queries: DataFrame, tiles: Tiles, k: int, reach: Callable[[], tuple[Column, Column]]) -> DataFrame:
-    """(qid, qlat, qlon, node): the leaves that may hold one of the k nearest of each query. reach gives the least and greatest distance of (qlat, qlon) to a box. At most FAN nodes, those on top, come to the driver."""
+def candidates(queries: DataFrame, tiles: Tiles, k: int, reach: Callable[[], tuple[Column, Column]], query: list[str] = QUERY) -> DataFrame:
+    """(qid, qlat, qlon, node), or other columns of a query: the leaves that may hold one of the k nearest of each query. reach gives the least and greatest distance of (qlat, qlon) to a box. At most FAN nodes, those on top, come to the driver."""
     top = tiles.levels[-1].select("node", *BOX, "n").collect()
     if not top:
         return queries.withColumn("node", F.lit(0).cast("long")).limit(0)
     roots = F.array(*(F.struct(*(F.lit(r[c]).alias(c) for c in ("node", *BOX, "n"))) for r in top))
-    frontier = queries.withColumns({"_bound": F.lit(float("inf")), "_r": F.explode(roots)}).select(*QUERY, "_bound", "_r.*")
+    frontier = queries.withColumns({"_bound": F.lit(float("inf")), "_r": F.explode(roots)}).select(*query, "_bound", "_r.*")
     for below, size in zip(tiles.levels[-2::-1], tiles.sizes[-2::-1], strict=True):
-        opened = _bounded(frontier, k, reach).withColumnRenamed("node", "parent")
+        opened = _bounded(frontier, k, reach, query).withColumnRenamed("node", "parent")
         nodes = below.select("parent", "node", *BOX, "n")
-        frontier = opened.join(F.broadcast(nodes) if size <= BROADCAST_NODES else nodes, "parent")
-    return _bounded(frontier, k, reach).drop("_bound")
+        frontier = opened.join(F.broadcast(nodes) if size <= BROADCAST_NODES else nodes.hint("merge"), "parent")
+    return _bounded(frontier, k, reach, query).drop("_bound")
 
 
 def _east() -> tuple[Column, Column]:
@@ -166,30 +176,89 @@ def nearest_k(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
     return ranked.where(F.col("rank") <= k).select("qid", "rank", "face", "deg")
 
 
-def tiles_of_segments(coast: DataFrame) -> Tiles:
-    """Tiles of segments (x1, y1, x2, y2), each once; one over the dateline goes the short way, its box from its west end on."""
-    rows = coast.where("x1 is not null and y1 is not null and x2 is not null and y2 is not null").select("x1", "y1", "x2", "y2").distinct()
-    over = F.abs(F.col("x2") - F.col("x1")) > 180
-    west = F.when(over, F.greatest("x1", "x2")).otherwise(F.least("x1", "x2"))
-    wide = F.abs(F.when(over, geo.wrapped(F.col("x2") - F.col("x1"))).otherwise(F.col("x2") - F.col("x1")))
-    rows = rows.withColumns({"lat1": F.least("y1", "y2"), "lat2": F.greatest("y1", "y2"), "lon1": west, "lon2": west + wide})
-    middle = curve((F.col("lat1") + F.col("lat2")) / 2, (F.col("lon1") + F.col("lon2")) / 2)
-    return packed(rows.withColumn("_z", middle), ["_z", "x1", "y1", "x2", "y2"])
+def tiles_of_segments(coast: DataFrame, leaf: int = PIECES) -> Tiles:
+    """Tiles of the pieces of segments (x1, y1, x2, y2), each segment once; one over the dateline goes the short way. Pieces are about half as long as the middles of a leaf's segments usually lie apart, and not more than CUTS for each segment on average."""
+    rows = coast.select("x1", "y1", "x2", "y2").where("x1 * 0 = 0 and y1 * 0 = 0 and x2 * 0 = 0 and y2 * 0 = 0").distinct()  # no nulls, NaN or infinite ends
+    east, north = _short(F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1")
+    mid = {"_y": F.col("y1") + north / 2, "_x": F.pmod(F.col("x1") + east / 2, F.lit(360.0))}
+    rows = rows.withColumns({"_east": east, "_north": north, "_long": F.sqrt(east * east + north * north)} | mid).withColumn("_z", curve(F.col("_y"), F.col("_x")))
+    rows = numbered(rows, ["_z", "x1", "y1", "x2", "y2"])
+    wide = F.greatest(F.max("_x") - F.min("_x"), F.max("_y") - F.min("_y"))
+    runs = rows.groupBy(F.floor(F.col("position") / leaf)).agg(F.count("*").alias("n"), F.sum("_long").alias("long"), wide.alias("wide"))
+    runs = runs.agg(F.sum("n").alias("n"), F.sum("long").alias("long"), F.percentile_approx("wide", 0.5).alias("wide")).first()
+    step = max(runs["long"] / (CUTS * runs["n"]), runs["wide"] / 2) if runs["n"] else 0.0
+    cuts = F.least(F.greatest(F.ceil(F.col("_long") / step), F.lit(1)), F.lit(MOST_CUTS)) if step else F.lit(1)
+    rows = rows.withColumn("_n", cuts).withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)))
+    (x, x_), (y, y_) = [[F.col(c) + (F.col("_j") + k) / F.col("_n") * F.col(d) for k in (0, 1)] for c, d in (("x1", "_east"), ("y1", "_north"))]
+    west = F.pmod(F.least(x, x_), F.lit(360.0))
+    rows = rows.withColumns({"lat1": F.least(y, y_), "lat2": F.greatest(y, y_), "lon1": west, "lon2": west + F.abs(x_ - x)})
+    rows = rows.select("x1", "y1", "x2", "y2", "_j", *BOX, curve((F.col("lat1") + F.col("lat2")) / 2, (F.col("lon1") + F.col("lon2")) / 2).alias("_z"))
+    return packed(rows, ["_z", "x1", "y1", "x2", "y2", "_j"], leaf=leaf)
+
+
+def _short(east: Column) -> Column:
+    """A step of longitude, the short way around the earth."""
+    return F.when(F.abs(east) > 180, geo.wrapped(east)).otherwise(east)
+
+
+def _reach_blocks() -> tuple[Column, Column]:
+    """Planar distances in degrees of any place of a block to a box, the short way around the earth, longitudes shrunk as they are at the least and most within the block."""
+    turned = [(F.col("west") + s, F.col("east") + s) for s in (-360.0, 0.0, 360.0)]
+    x1 = F.least(*(F.greatest(F.col("lon1") - e, w - F.col("lon2"), F.lit(0.0)) for w, e in turned))
+    x2 = F.least(*(F.greatest(F.col("lon2") - w, e - F.col("lon1")) for w, e in turned))
+    y1 = F.greatest(F.col("lat1") - F.col("north"), F.col("south") - F.col("lat2"), F.lit(0.0))
+    y2 = F.greatest(F.col("lat2") - F.col("south"), F.col("north") - F.col("lat1"))
+    ends = F.cos(F.radians("south")), F.cos(F.radians("north"))
+    widest = F.when((F.col("south") <= 0) & (F.col("north") >= 0), 1.0).otherwise(F.greatest(*ends))
+    return F.sqrt(y1**2 + (F.least(*ends) * x1) ** 2), F.sqrt(y2**2 + (widest * x2) ** 2)
+
+
+def _nearest_of_block(points: pa.Table, coast: pa.Table) -> pa.Table:
+    """The points of a block with the distance d and the nearest place (sy, sx) of some segments; of places as near, the southern and western one. Segments are taken some at a time."""
+    lat, lon = (points[c].to_numpy()[:, None] for c in ("qlat", "qlon"))
+    k, best = np.cos(np.radians(lat)), np.full((3, len(lat)), np.inf)
+    for at in range(0, coast.num_rows, AT_ONCE):
+        x1, y1, x2, y2 = (coast[c].slice(at, AT_ONCE).to_numpy()[None, :] for c in ("x1", "y1", "x2", "y2"))
+        east, north = x2 - x1, y2 - y1
+        east = np.where(np.abs(east) > 180, (east + 180) % 360 - 180, east)
+        off = x1 - lon
+        off = off - np.round(off / 360) * 360
+        # A segment that reaches far round may be nearer a turn on, or back.
+        ways = (0.0,) if np.all(np.abs(off) + np.abs(east) < 180) else (-360.0, 0.0, 360.0)
+        dx = east * k
+        length = dx * dx + north * north
+        length[length == 0] = np.inf  # no way along: the nearest place is the first end
+        for more in ways:
+            ax, ay = (off + more) * k, y1 - lat
+            t = np.clip(-(ax * dx + ay * north) / length, 0.0, 1.0)
+            d, sy, sx = np.sqrt((ax + t * dx) ** 2 + (ay + t * north) ** 2), y1 + t * north, x1 + t * east
+            found = [d.min(axis=1)]
+            tied = d == found[0][:, None]
+            found.append(np.where(tied, sy, np.inf).min(axis=1))
+            found.append(np.where(tied & (sy == found[1][:, None]), sx, np.inf).min(axis=1))
+            (a, b, c), (p, q, r) = found, best
+            best = np.where((a < p) | ((a == p) & ((b < q) | ((b == q) & (c < r)))), found, best)
+    return pa.table({c: points[c] for c in QUERY} | dict(zip(("d", "sy", "sx"), best, strict=True)))
 
 
 def nearest_shore(points: DataFrame, coast: DataFrame, snap_km: float = 2.0) -> DataFrame:
     """(qid, km, shore_lat, shore_lon): nearest place on coast segments (x1, y1, x2, y2) to every point, however far, by planar distance with longitudes shrunk at the point's latitude, the short way around the earth; nulls if there is no coast. Distances are on the sphere, snapped to 0 below snap_km."""
     tiles = tiles_of_segments(coast)
-    shrink = lambda: F.cos(F.radians("qlat"))
-    met = candidates(_query_places(points), tiles, 1, reach_degrees(shrink)).join(tiles.items.select("node", "x1", "y1", "x2", "y2"), "node")
-    k, turn = shrink(), F.round((F.col("x1") - F.col("qlon")) / 360) * 360
-    # A segment over the dateline goes the short way; the one that is nearer on either side of it is the same segment a turn on.
-    x2 = F.col("x1") + F.when(F.abs(F.col("x2") - F.col("x1")) > 180, geo.wrapped(F.col("x2") - F.col("x1"))).otherwise(F.col("x2") - F.col("x1"))
-    ways = []
-    for more in (-360, 0, 360):
-        d, qx, qy = geo.segment_distance(F.col("qlon") * k, F.col("qlat"), (F.col("x1") - turn + more) * k, F.col("y1"), (x2 - turn + more) * k, F.col("y2"))
-        ways.append(F.struct(d.alias("d"), qy.alias("sy"), (qx / k + turn - more).alias("sx")))
-    best = met.groupBy(*QUERY).agg(F.min(F.least(*ways)).alias("b"))
+    kind = dict(points.dtypes)["qid"]
+    placed = _query_places(points).withColumn("_z", curve(F.col("qlat"), F.col("qlon")))
+    placed = numbered(placed, ["_z", "qlat", "qlon", "qid"]).select(*QUERY, F.floor(F.col("position") / BLOCK).alias("block"))
+    turn = F.pmod("qlon", F.lit(360.0))
+    blocks = placed.groupBy("block").agg(F.min("qlat").alias("south"), F.max("qlat").alias("north"), F.min(turn).alias("west"), F.max(turn).alias("east"))
+    # Points meet the segments of their block in as many groups as bound what one of them holds.
+    groups = F.ceil(F.count("*").over(Window.partitionBy(*BLOCKS)) * PIECES / MET)
+    pairs = kept(candidates(blocks, tiles, 1, _reach_blocks, BLOCKS).select("block", "node", groups.alias("groups")), "met")
+    ends = ["x1", "y1", "x2", "y2"]
+    met = pairs.hint("merge").join(tiles.items.select("node", *ends), "node").select("block", F.pmod(F.xxhash64(*ends), "groups").alias("group"), *ends)
+    met = met.repartition("block", "group").distinct()  # dealt once, for both this and the groups
+    own = placed.join(pairs.select("block", "groups").distinct().hint("merge"), "block")
+    own = own.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("group"), *QUERY)
+    found = own.groupBy("block", "group").cogroup(met.groupBy("block", "group")).applyInArrow(_nearest_of_block, f"qid {kind}, qlat double, qlon double, d double, sy double, sx double")
+    best = found.groupBy(*QUERY).agg(F.min(F.struct("d", "sy", "sx")).alias("b"))
     km = geo.haversine_km(F.col("qlat"), F.col("qlon"), F.col("b.sy"), F.col("b.sx"))
     sx = F.when(F.abs(F.col("b.sx")) <= 180, F.col("b.sx")).otherwise(geo.wrapped(F.col("b.sx")))
     found = best.select("qid", F.when(km < snap_km, 0.0).otherwise(km).alias("km"), F.col("b.sy").alias("shore_lat"), sx.alias("shore_lon"))

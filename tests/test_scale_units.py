@@ -261,6 +261,38 @@ def test_far_queries_open_few_leaves(spark):
     assert tiles.nearest(queries, points.limit(0)).count() == tiles.nearest(queries.limit(0), points).count() == 0
 
 
+@pytest.mark.parametrize("met", [65_536, 2_000])
+def test_long_segments_open_few_leaves(spark, monkeypatch, met):
+    """Segments as long as the area that they cross: their pieces have tight boxes, and each point still finds the nearest place of whole segments, in one group or in several."""
+    monkeypatch.setattr(tiles, "MET", met, raising=False)
+    rng = np.random.default_rng(4)
+    ends = rng.uniform([-153.0, 59.0, -153.0, 59.0], [-152.0, 60.0, -152.0, 60.0], (2000, 4))
+    ends = np.vstack([ends, [[-152.5, 59.5, -152.5, 59.5], [179.5, 59.0, -179.5, 60.0]]])
+    form = "x1 double, y1 double, x2 double, y2 double"
+    coast = spark.createDataFrame([tuple(map(float, e)) for e in ends], form)
+    wide = tiles.tiles_of_segments(coast).levels[0].where("pmod(lon1, 360D) > 200").agg(F.avg(F.col("lon2") - F.col("lon1")), F.avg(F.col("lat2") - F.col("lat1"))).first()
+    assert max(wide) < 0.4
+    coast = coast.unionByName(spark.createDataFrame([(None, 1.0, 2.0, 3.0), (float("nan"), 1.0, 2.0, 3.0)], form))
+    at = np.vstack([rng.uniform([59.0, -153.0], [60.0, -152.0], (300, 2)), ends[:20, [1, 0]], [[59.5, -152.5], [59.5, 179.9], [59.4, -179.9], [70.0, 20.0]]])
+    rows = [(k, float(y), float(x)) for k, (y, x) in enumerate(at)]
+    points = spark.createDataFrame([*rows, rows[0], (len(rows), None, 1.0)], "qid long, lat double, lon double").repartition(4)
+    got = tiles.nearest_shore(points, coast, snap_km=0.0).collect()
+    assert len(got) == len(rows) + 2 and sum(r["qid"] == 0 for r in got) == 2 and [r["qid"] for r in got if r["km"] is None] == [len(rows)]
+    x1, y1, y2 = ends[:, 0], ends[:, 1], ends[:, 3]
+    dx, dy = (ends[:, 2] - x1 + 180) % 360 - 180, y2 - y1
+    for r in got:
+        if r["qid"] == len(rows):
+            continue
+        lat, lon = at[r["qid"]]
+        k, best = math.cos(math.radians(lat)), math.inf
+        for turn in (-360, 0, 360):
+            ax, ay = (x1 + turn - lon) * k, y1 - lat
+            t = np.clip(-(ax * dx * k + ay * dy) / np.maximum((dx * k) ** 2 + dy**2, 1e-30), 0, 1)
+            best = min(best, np.hypot(ax + t * dx * k, ay + t * dy).min())
+        east = abs(r["shore_lon"] - lon)
+        assert math.isclose(math.hypot(min(east, 360 - east) * k, r["shore_lat"] - lat), best, abs_tol=1e-9)
+
+
 def test_lines_mark_cells_along_them(spark):
     """A long slanted line marks cells by its length, not by its box; steep, level, short and pointlike ones are whole too."""
     lines = [(1, 50.0, -160.0, 58.0, -150.0), (2, 59.0, -150.0, 60.0, -150.0), (3, 59.0, -150.0, 59.0, -149.0), (4, 59.001, -150.0, 59.0011, -149.9999), (5, 59.0, -150.0, 59.0, -150.0), (6, 59.0, -149.9, 59.02, -149.0)]
