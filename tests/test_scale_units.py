@@ -311,6 +311,18 @@ def test_lines_mark_cells_along_them(spark):
         assert set(zip(cy[near].tolist(), cx[near].tolist(), strict=True)) <= set(marked[sid])
 
 
+def test_marked_cells_are_not_broadcast(spark, monkeypatch):
+    """The table of segments is small by its estimate, and marks many cells: the counted cells are sent around, or both sides are shuffled."""
+    cells = spatial.grid_index(spark.range(20_000).select(F.col("id").alias("face"), (59 + F.col("id") % 100 / 100 + 0.005).alias("lat"), (-152 + F.floor(F.col("id") / 100) / 100 + 0.005).alias("lon")))
+    segments = spark.range(40).select(F.col("id").alias("sid"), (59 + F.col("id") / 50).alias("lat1"), F.lit(-152.0).alias("lon1"), F.lit(59.5).alias("lat2"), F.lit(-151.0).alias("lon2"))
+    found = spatial.along_segments(cells, segments, 0.0213).select("sid", "cy", "cx")
+    assert "BuildLeft" not in (plan := found._jdf.queryExecution().executedPlan().toString()) and "BuildRight" in plan
+    monkeypatch.setattr(spatial, "broadcast_if_few", lambda df: df)
+    spread = spatial.along_segments(cells, segments, 0.0213).select("sid", "cy", "cx")
+    assert "BroadcastHashJoin" not in spread._jdf.queryExecution().executedPlan().toString()
+    assert sorted(found.collect()) == sorted(spread.collect())
+
+
 def test_precalculated_computes_what_is_missing(spark):
     faces = spark.createDataFrame([(k, 59.0 + k, -150.0) for k in range(4)], "face long, lat double, lon double")
     calls = []
