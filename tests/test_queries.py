@@ -70,6 +70,12 @@ def test_no_cartesian_product_in_lookups(spark, sf_dir):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
+@pytest.mark.parametrize("name", ["jn_11_along_line", "set_6_distinct_cells", "top_2_closest_on_line"])
+def test_marked_cells_are_not_broadcast(name, spark):
+    plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.1")._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     plan = catalog.QUERIES["set_4_changed_not_allowed"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint>" in plan
