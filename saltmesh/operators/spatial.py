@@ -54,7 +54,7 @@ def in_rectangle(cells: DataFrame, lat_min: float, lat_max: float, lon_min: floa
 
 
 def along_segments(cells: DataFrame, segments: DataFrame, most: float, max_points: int | None = None) -> DataFrame:
-    """Cells at most so many degrees from segments (sid, lat1, lon1, lat2, lon2), with the way along; of each segment the max_points closest, if given. Segments mark the cells along them, which join cells by equality."""
+    """Cells at most so many degrees from segments (sid, lat1, lon1, lat2, lon2), with the way along; of each segment the max_points closest to six places, if given, ties to the smaller cell. Segments mark the cells along them, which join cells by equality."""
     d, qx, qy = geo.segment_distance(F.col("centroid_lon"), F.col("centroid_lat"), F.col("lon1"), F.col("lat1"), F.col("lon2"), F.col("lat2"))
     # Each segment marks hundreds of cells, which no estimate of its table tells: they stay where they are or are shuffled, never broadcast.
     dealt = segments.repartition(int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sid")
@@ -62,7 +62,7 @@ def along_segments(cells: DataFrame, segments: DataFrame, most: float, max_point
     out = marked.join(broadcast_if_few(cells), ["cy", "cx"]).withColumn("off", d).withColumn("along", F.sqrt((qx - F.col("lon1")) ** 2 + (qy - F.col("lat1")) ** 2)).where(F.col("off") <= most)
     if max_points is None:
         return out
-    ranked = out.withColumn("_n", F.row_number().over(Window.partitionBy("sid").orderBy("off", "cy", "cx")))
+    ranked = out.withColumn("_n", F.row_number().over(Window.partitionBy("sid").orderBy(F.round("off", 6), "cy", "cx")))
     return ranked.where(F.col("_n") <= max_points).drop("_n")
 
 

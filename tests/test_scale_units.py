@@ -311,6 +311,17 @@ def test_lines_mark_cells_along_them(spark):
         assert set(zip(cy[near].tolist(), cx[near].tolist(), strict=True)) <= set(marked[sid])
 
 
+def test_closest_cells_are_tied_at_six_places(spark):
+    """Cells on both sides of a line between two columns are as far from it but for rounding: the smaller comes first."""
+    cells = spatial.grid_index(spark.createDataFrame([(k, 59.005 + k // 6 / 100, -151.045 + k % 6 / 100) for k in range(120)], "face long, lat double, lon double"))
+    lines = spark.createDataFrame([(k, 59.005 + k / 100, -151.02, 59.145 + k / 1000, -151.02) for k in range(8)], "sid long, lat1 double, lon1 double, lat2 double, lon2 double")
+    rows = spatial.along_segments(cells, lines, 0.0213).select("sid", "cy", "cx", "off").collect()
+    got = spatial.along_segments(cells, lines, 0.0213, 5).select("sid", "cy", "cx").collect()
+    for sid in range(8):
+        own = sorted((round(r["off"], 6), r["cy"], r["cx"]) for r in rows if r["sid"] == sid)
+        assert sorted((r["cy"], r["cx"]) for r in got if r["sid"] == sid) == sorted(r[1:] for r in own[:5])
+
+
 def test_marked_cells_are_not_broadcast(spark, monkeypatch):
     """The table of segments is small by its estimate, and marks many cells: the counted cells are sent around, or both sides are shuffled."""
     cells = spatial.grid_index(spark.range(20_000).select(F.col("id").alias("face"), (59 + F.col("id") % 100 / 100 + 0.005).alias("lat"), (-152 + F.floor(F.col("id") / 100) / 100 + 0.005).alias("lon")))
