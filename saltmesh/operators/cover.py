@@ -17,12 +17,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import kept
+from ..sources.scratch import broadcast_if_few, kept
 
 #: Edges that a cell may keep undivided, and the finest level; there a cell keeps all edges that touch it.
 LEAF, FINEST = 16, 20
 #: Degrees by which cells are widened, so that rounding loses no edge and no point.
 WIDER = 1e-10
+#: Degrees within which a point is on an edge but for rounding; less than WIDER, so that its cell has the edge.
+NEAR = 1e-11
 #: Cells that are broadcast.
 BROADCAST_CELLS = 200_000
 CELL = ["pid", "level", "cy", "cx"]
@@ -104,8 +106,8 @@ def covering(polygons: DataFrame, leaf: int = LEAF, finest: int = FINEST) -> Dat
         first = first.select("pid", "level", "q.cy", "q.cx", "x1", "y1", "x2", "y2", "start", "east")
 
 
-def containing(points: DataFrame, polygons: DataFrame, leaf: int = LEAF, finest: int = FINEST) -> DataFrame:
-    """(qid, pid) of points (qid, lat, lon) in polygons (pid, ring), one row for each row of points and polygon that holds it. Points without a place are in none. Each level of cells that the covering has is looked up by equality; a hot cell's points are split by the broadcast or the skew join."""
+def containing(points: DataFrame, polygons: DataFrame, leaf: int = LEAF, finest: int = FINEST, on_edge: Column | None = None) -> DataFrame:
+    """(qid, pid) of points (qid, lat, lon) in polygons (pid, ring), one row for each row of points and polygon that holds it. Points without a place are in none. Whether a polygon holds points on its edges is rounding, or what on_edge says, a condition on lat, lon and columns of polygons. Each level of cells that the covering has is looked up by equality; a hot cell's points are split by the broadcast or the skew join."""
     cover = covering(polygons, leaf, finest)
     levels = sorted(r["level"] for r in cover.select("level").distinct().collect())  # finest + 1 at most
     few = cover.count() <= BROADCAST_CELLS
@@ -119,5 +121,11 @@ def containing(points: DataFrame, polygons: DataFrame, leaf: int = LEAF, finest:
         e = {c: edge[c] for c in ("x1", "y1", "x2", "y2")}
         return parity.bitwiseXOR((_crosses(e, F.col("lon"), F.col("lat")) != _far_ends(e, east, F.col("lat"))).cast("int"))
 
-    return met.where(F.aggregate("edges", F.col("parity"), flipped) == 1).select("qid", "pid")
+    inside = F.aggregate("edges", F.col("parity"), flipped) == 1
+    if on_edge is None:
+        return met.where(inside).select("qid", "pid")
+    near = F.exists("edges", lambda e: _touches({c: e[c] for c in ("x1", "y1", "x2", "y2")}, F.col("lon"), F.col("lat"), F.lit(NEAR)))
+    met = met.select("qid", "pid", "lat", "lon", inside.alias("_in"), near.alias("_near")).where("_in or _near")
+    rules = broadcast_if_few(polygons.withColumnRenamed("pid", "_pid"))
+    return met.join(rules, (F.col("pid") == F.col("_pid")) & F.when(F.col("_near"), on_edge).otherwise(F.col("_in")), "left_semi").select("qid", "pid")
 

@@ -76,6 +76,26 @@ def test_marked_cells_are_not_broadcast(name, spark):
     assert "BuildRight" in plan and "BuildLeft" not in plan
 
 
+# Points on edges of the polygons but for rounding, and on the southern edges of the bands.
+ON_EDGE = [2497, 21166, 32954, 53423, 54282, 73892, 74522, 12485, 22966, 37724, 42942, 43435, 63904, 83880, 94361, 104349, 114087, 114337, 114830, 124818, 126963, 130645, 135299, 147203, 150885, 167443, 207008, 221676, 223566, 92248, 94833, 97418, 192251, 194836, 197421]
+
+
+@pytest.fixture(scope="module")
+def edges_dir(tmp_path_factory, sf_dir):
+    folder = tmp_path_factory.mktemp("edges")
+    pd.DataFrame({"c_custkey": ON_EDGE}).astype("int64").to_parquet(folder / "customer.parquet")
+    duckdb.sql(f"COPY (SELECT * FROM '{sf_dir}/nation.parquet') TO '{folder}/nation.parquet'")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["api_17_jurisdiction"])
+def test_points_on_edges(name, spark, edges_dir):
+    con = duckdb.connect()
+    for t in ("customer", "nation"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{edges_dir}/{t}.parquet'")
+    assert rows(catalog.QUERIES[name](spark, edges_dir).toPandas()) == rows(con.execute(catalog.SQL[name]).df())
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     plan = catalog.QUERIES["set_4_changed_not_allowed"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint>" in plan

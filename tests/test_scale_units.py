@@ -74,6 +74,19 @@ def test_containing(spark, leaf, finest):
     assert got == {(k, pid) for k, y, x in points[:-2] for pid in range(1, 9) if inside([r for i, r in shapes if i == pid], y, x)}
 
 
+@pytest.mark.parametrize("leaf", [16, 1])
+def test_points_on_edges_are_decided_by_a_condition(spark, leaf):
+    """Of a square with a hole, on_edge decides on the points of its edges alone; columns of its rows don't multiply them."""
+    ring = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
+    square = spark.createDataFrame([(1, ring(10.0, 14.0), True), (1, ring(11.0, 13.0), True), (2, ring(10.0, 14.0), False)], "pid long, ring array<struct<lon:double,lat:double>>, closed boolean")
+    on = [(10.0, 12.0), (14.0, 12.0), (12.0, 10.0), (12.0, 14.0), (10.0, 10.0), (14.0, 14.0)]
+    hole, inside, outside = [(11.0, 12.0), (12.0, 13.0)], [(10.5, 12.0), (10.0 + 1e-9, 12.0)], [(9.5, 12.0), (10.0 - 1e-9, 12.0)]
+    at = [*on, *hole, *inside, *outside, (12.0, 12.0)]
+    points = spark.createDataFrame([(k, y, x) for k, (x, y) in enumerate(at)], "qid long, lat double, lon double")
+    got = sorted((r["pid"], r["qid"]) for r in cover.containing(points, square, leaf, on_edge=F.col("closed")).collect())
+    assert got == [(1, k) for k in range(10)] + [(2, k) for k in (6, 7, 8, 9, 12)]
+
+
 def test_covering_is_bounded(spark):
     """A circle of many edges: cells within need no edge, cells of the boundary hold few, and cells follow the boundary."""
     ring = [(math.cos(a), math.sin(a)) for a in np.linspace(0, 2 * math.pi, 4000, endpoint=False)]
