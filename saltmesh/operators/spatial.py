@@ -114,12 +114,12 @@ def repaired_boundaries(features: DataFrame, region: str) -> DataFrame:
     return features.where(~broken).unionByName(out)
 
 
-def island_jurisdictions(points: DataFrame, boundaries: DataFrame, states: DataFrame, region: str) -> DataFrame:
-    """points (qid, lat, lon) with the flags and names of the states (pid, ring, name) and of the boundaries (pid, region, line, closed, layer, name) that hold them; territorial seas and economic zones of the region are closed first. Keys of states and boundaries must differ."""
+def island_jurisdictions(points: DataFrame, boundaries: DataFrame, states: DataFrame, region: str, on_edge: Column | None = None) -> DataFrame:
+    """points (qid, lat, lon) with the flags and names of the states (pid, ring, name) and of the boundaries (pid, region, line, closed, layer, name) that hold them; territorial seas and economic zones of the region are closed first. Keys of states and boundaries must differ. on_edge is as in containing; it may use more columns of the states, which are null for boundaries."""
     repair = F.col("layer").isin("ts", "eez")
     fixed = repaired_boundaries(boundaries.where(repair), region).unionByName(boundaries.where(~repair)).where("closed")
-    rings = fixed.select("pid", F.col("line").alias("ring"), "layer", "name").unionByName(states.select("pid", "ring", F.lit("state").alias("layer"), "name"))
-    return jurisdiction_flags(points, containing(points, rings.select("pid", "ring")), rings.select("pid", "layer", "name"))
+    rings = fixed.select("pid", F.col("line").alias("ring"), "layer", "name").unionByName(states.withColumn("layer", F.lit("state")), allowMissingColumns=True)
+    return jurisdiction_flags(points, containing(points, rings.drop("layer", "name"), on_edge=on_edge), rings.select("pid", "layer", "name"))
 
 
 def trimmed_at_shore(transect: DataFrame, key: str, times: float = 5.0) -> DataFrame:

@@ -88,7 +88,7 @@ def edges_dir(tmp_path_factory, sf_dir):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["api_17_jurisdiction"])
+@pytest.mark.parametrize("name", ["api_17_jurisdiction", "api_18_island_jurisdictions"])
 def test_points_on_edges(name, spark, edges_dir):
     con = duckdb.connect()
     for t in ("customer", "nation"):
