@@ -88,7 +88,7 @@ def edges_dir(tmp_path_factory, sf_dir):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["api_17_jurisdiction", "api_18_island_jurisdictions", "flt_37_overlapping_states", "jn_12_point_in_polygon", "jn_13_all_layers", "scl_46_containing_domains", "scl_16_jurisdiction", "scl_17_island_jurisdiction"])
+@pytest.mark.parametrize("name", ["api_17_jurisdiction", "api_18_island_jurisdictions", "flt_37_overlapping_states", "jn_12_point_in_polygon", "jn_13_all_layers", "scl_46_containing_domains", "scl_16_jurisdiction", "scl_17_island_jurisdiction", "scl_18_containing_names"])
 def test_points_on_edges(name, spark, edges_dir):
     con = duckdb.connect()
     for t in ("customer", "nation"):
