@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import broadcast_if_few, kept
+
 #: Water density in kg/m3, speed in m/s under which a direction is undefined, and Earth's radius in m.
 RHO, STILL, EARTH_RADIUS = 1025.0, 0.01, 6371000.0
+#: Numbers of nodes or faces, without other columns, that may be broadcast.
+KEYS = 1_000_000
 
 
 def no_nan(c: Column) -> Column:
@@ -50,6 +54,13 @@ def with_corner_coordinates(faces: DataFrame, nodes: DataFrame) -> DataFrame:
     return faces.join(at.groupBy("face").agg(*picks), "face")
 
 
+def faces_of_nodes(faces: DataFrame, rows: DataFrame) -> DataFrame:
+    """faces that have a node among rows (node, …): a mesh may be much larger than the part that a series covers."""
+    nodes = broadcast_if_few(kept(rows.select("node").distinct(), "nodes"), KEYS)
+    ids = corners(faces).join(nodes, "node", "left_semi").select("face").distinct()
+    return faces.join(broadcast_if_few(kept(ids, "ids"), KEYS), "face", "left_semi")
+
+
 def surface_at_faces(zeta: DataFrame, faces: DataFrame) -> DataFrame:
     """(face, t, time, zeta_center): mean of the three nodes; the mesh is a dimension table."""
     return corners(faces).join(zeta, "node").groupBy("face", "t", "time").agg((F.sum("zeta") / 3).alias("zeta_center"))

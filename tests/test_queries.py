@@ -7,6 +7,8 @@ import pandas as pd
 import pytest
 
 from saltmesh import catalog
+from saltmesh.fixtures import Fixtures
+from saltmesh.operators import derive
 
 catalog.load()
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -107,6 +109,22 @@ def test_many_files_give_the_faces_of_all_strips(spark, sf_dir, tmp_path):
     assert rows(got) == rows(con.execute(catalog.SQL["src_5_many_files"]).df()) and got["face"].max() > 50
 
 
+def test_attributes_of_far_strips(spark, sf_dir, tmp_path):
+    """Every five-hundredth strip begins a row of the mesh, where centres lie on edges of the polygons but for rounding; of most faces here no node has a surface."""
+    strips = [0, 500, 1000, 1500, 2000, 2500, 3000]
+    keys = sorted({k for s in strips for k in (*range(s * 50, s * 50 + 50), *range(s * 36, s * 36 + 36), *range(s * 15000, s * 15000 + 100))})
+    pd.DataFrame({"o_orderkey": keys}).astype("int64").to_parquet(tmp_path / "orders.parquet")
+    con = duckdb.connect()
+    for t in ("customer", "nation"):
+        con.execute(f"COPY (SELECT * FROM '{sf_dir}/{t}.parquet') TO '{tmp_path}/{t}.parquet'")
+    for t in ("customer", "nation", "orders"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got = catalog.QUERIES["api_4_face_attributes"](spark, str(tmp_path)).toPandas()
+    assert rows(got) == rows(con.execute(catalog.SQL["api_4_face_attributes"]).df()) and set(strips) <= set(got["face"] // 50)
+    fx = Fixtures(spark, str(tmp_path))
+    assert fx.face.count() > len(got) == derive.faces_of_nodes(fx.face, fx.zeta).count()
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     plan = catalog.QUERIES["set_4_changed_not_allowed"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint>" in plan
